@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folio.llm import langid, mixing, sharding, topk
+from folio.llm import langid, mixing, neardup, sharding, topk
 from folio.llm.common import read
 
 
@@ -22,6 +22,28 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shuffle(docs, 16).select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(read(spark, sf_dir, "documents"), shingle=2, percent=80)
+
+
+OP5 = r"""
+WITH RECURSIVE tok AS (
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+sets AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) = 1 THEN [w[1]]
+    ELSE list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) END) AS s FROM tok),
+flat AS (SELECT doc_id, len(s) AS n, unnest(s) AS x FROM sets),
+shared AS (
+  SELECT a.doc_id AS p, b.doc_id AS q FROM flat a JOIN flat b ON a.x = b.x AND a.doc_id < b.doc_id
+    AND 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+edges AS (SELECT p, q FROM shared UNION ALL SELECT q, p FROM shared),
+reach(id, to_id) AS (SELECT p, q FROM edges UNION SELECT r.id, e.q FROM reach r JOIN edges e ON r.to_id = e.p),
+low AS (SELECT id, least(id, min(to_id)) AS component FROM reach GROUP BY id)
+SELECT s.doc_id, coalesce(len(s.s), 0)::BIGINT AS n_shingles, coalesce(l.component, s.doc_id) AS component_id, coalesce(l.component, s.doc_id) = s.doc_id AS kept
+FROM sets s LEFT JOIN low l ON s.doc_id = l.id"""
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "source", "text")
     return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
@@ -74,5 +96,5 @@ pairs AS (
 ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM pairs)
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5"""
 
-QUERIES = {"op1_language_id": op1_language_id, "op2_sharding": op2_sharding, "op6_mixing": op6_mixing, "op9_topk": op9_topk}
-ORACLES = {"op6_mixing": OP6, "op9_topk": OP9}
+QUERIES = {"op1_language_id": op1_language_id, "op2_sharding": op2_sharding, "op5_near_dedup": op5_near_dedup, "op6_mixing": op6_mixing, "op9_topk": op9_topk}
+ORACLES = {"op5_near_dedup": OP5, "op6_mixing": OP6, "op9_topk": OP9}
