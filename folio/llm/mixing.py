@@ -42,7 +42,7 @@ def water_fill(sizes: list[int], weights: list[int], max_epochs: int) -> list[fl
     return targets
 
 
-def mix(df: DataFrame, text: str = "text", source: str = "source", key: str = "doc_id", weights=WEIGHTS, max_epochs: int = 3, seed: int = 17, bucket_rows: int = 20_000) -> DataFrame:
+def mix(df: DataFrame, text: str = "text", source: str = "source", key: str = "doc_id", weights=WEIGHTS, max_epochs: int = 3, seed: int = 17, bucket_rows: int = 4096) -> DataFrame:
     """Adds size, source_size, target (of the row's source) and taken (words) to every row. Only a table of sources comes to the driver."""
     df = without(df, "size", "source_size", "target", "taken")
     src, order, bucket, whole, rest, upto, mine = fresh(df, "mix_source", "mix_order", "mix_bucket", "mix_whole", "mix_rest", "mix_upto", "mix_sum")

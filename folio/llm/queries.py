@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folio.llm import langid, mixing, neardup, sharding, topk
+from folio.llm import decontam, langid, mixing, neardup, sharding, topk
 from folio.llm.common import read
 
 
@@ -81,6 +81,10 @@ SELECT doc_id, size, source_size, target,
 FROM ranked"""
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def op9_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.search(read(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
 
@@ -96,5 +100,5 @@ pairs AS (
 ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM pairs)
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5"""
 
-QUERIES = {"op1_language_id": op1_language_id, "op2_sharding": op2_sharding, "op5_near_dedup": op5_near_dedup, "op6_mixing": op6_mixing, "op9_topk": op9_topk}
+QUERIES = {"op1_language_id": op1_language_id, "op2_sharding": op2_sharding, "op5_near_dedup": op5_near_dedup, "op6_mixing": op6_mixing, "op7_decontamination": op7_decontamination, "op9_topk": op9_topk}
 ORACLES = {"op5_near_dedup": OP5, "op6_mixing": OP6, "op9_topk": OP9}
