@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folio.llm import decontam, langid, mixing, neardup, sharding, topk
+from folio.llm import decontam, langid, mixing, neardup, pii, sharding, topk
 from folio.llm.common import read
 
 
@@ -22,6 +22,11 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shuffle(docs, 16).select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2("base", 256).alias("base_sha256"), "spans")
+
+
 def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(read(spark, sf_dir, "documents"), shingle=2, percent=80)
 
@@ -100,5 +105,5 @@ pairs AS (
 ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM pairs)
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5"""
 
-QUERIES = {"op1_language_id": op1_language_id, "op2_sharding": op2_sharding, "op5_near_dedup": op5_near_dedup, "op6_mixing": op6_mixing, "op7_decontamination": op7_decontamination, "op9_topk": op9_topk}
+QUERIES = {"op1_language_id": op1_language_id, "op2_sharding": op2_sharding, "op3_pii": op3_pii, "op5_near_dedup": op5_near_dedup, "op6_mixing": op6_mixing, "op7_decontamination": op7_decontamination, "op9_topk": op9_topk}
 ORACLES = {"op5_near_dedup": OP5, "op6_mixing": OP6, "op9_topk": OP9}
