@@ -11,12 +11,11 @@ never go back over a run, and only triggers' neighbourhoods are tokenised. Repea
 
 from __future__ import annotations
 
-import hashlib
 import re
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from folio.llm.common import without
@@ -332,5 +331,19 @@ def find(df: DataFrame, text: str = "text", field: Field | None = None) -> DataF
     return own.select("*", spans_of(F.col(text)).alias("pii_found")).select(*[f"`{c}`" for c in own.columns], "pii_found.*")
 
 
-def digest(base: str) -> str:
-    return hashlib.sha256(base.encode()).hexdigest()
+def masks(text: Column) -> Column:
+    """Edits that put <KIND> in place of the base spans: array<struct<start, end, text>>, in order; of spans that overlap the first stays."""
+
+    @F.arrow_udf("array<struct<start: int, end: int, text: string>>")
+    def edits(texts: pa.Array) -> pa.Array:
+        out = []
+        for t in texts.to_pylist():
+            found, done = [], 0
+            for s, e, k in sorted((s, e, k) for k, spans in enumerate(base_spans(t or "")) for s, e in spans):
+                if s >= done:
+                    found.append({"start": s, "end": e, "text": f"<{KINDS[k].upper()}>"})
+                    done = e
+            out.append(found)
+        return pa.array(out, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("text", pa.string())])))
+
+    return edits(text)

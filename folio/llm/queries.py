@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folio.llm import decontam, langid, mixing, neardup, pii, sharding, topk
+from folio.llm import decontam, html_text, langid, mixing, neardup, pii, quality, sharding, tokencount, topk
 from folio.llm.common import read
 
 
@@ -27,6 +27,11 @@ def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2("base", 256).alias("base_sha256"), "spans")
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return quality.grade(docs, quality.train(docs, read(spark, sf_dir, "labels"))).select("doc_id", "expected_grade", "tail_prob", "selected")
+
+
 def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(read(spark, sf_dir, "documents"), shingle=2, percent=80)
 
@@ -90,6 +95,10 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.visible_text(read(spark, sf_dir, "pages").select("page_id", "html")).select("page_id", "text")
+
+
 def op9_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.search(read(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
 
@@ -105,5 +114,12 @@ pairs AS (
 ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM pairs)
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5"""
 
-QUERIES = {"op1_language_id": op1_language_id, "op2_sharding": op2_sharding, "op3_pii": op3_pii, "op5_near_dedup": op5_near_dedup, "op6_mixing": op6_mixing, "op7_decontamination": op7_decontamination, "op9_topk": op9_topk}
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document, and what is left to count after masking the personal data that the patterns find in it."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    counted = docs.select("doc_id", tokencount.edited(F.col("text"), tokencount.trees(F.col("text")), pii.masks(F.col("text"))).alias("c"))
+    return counted.select("doc_id", "c.n_tokens", "c.n_pretokens", "c.n_edits", "c.n_tokens_after", "c.n_reencoded")
+
+
+QUERIES = {"op1_language_id": op1_language_id, "op2_sharding": op2_sharding, "op3_pii": op3_pii, "op4_quality": op4_quality, "op5_near_dedup": op5_near_dedup, "op6_mixing": op6_mixing, "op7_decontamination": op7_decontamination, "op8_html_text": op8_html_text, "op9_topk": op9_topk, "op10_token_counts": op10_token_counts}
 ORACLES = {"op5_near_dedup": OP5, "op6_mixing": OP6, "op9_topk": OP9}
