@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
-FLAGSHIP = ""
-QUERIES: dict = {}
-ORACLES: dict = {}
+from folio.plans import text_queries
+
+FLAGSHIP = "packed_coverage"
+_PARTS = [text_queries]
+QUERIES = {name: f for part in _PARTS for name, f in part.Q.items()}
+ORACLES = {name: sql for part in _PARTS for name, sql in part.O.items()}
