@@ -53,7 +53,7 @@ def is_complete(c: Column) -> Column:
 
 def starts_item(c: Column) -> Column:
     """Looks like a list item."""
-    return c.rlike(r"^\s*(?:[-*+•]\s|[0-9]+[.)]\s)")
+    return c.rlike(r"^(?:[0-9]+\.|[-*•])\s")
 
 
 def odd_case(c: Column) -> Column:

@@ -82,7 +82,7 @@ def visual_rows(lines_: DataFrame, page: list[str]) -> DataFrame:
     start = F.struct(F.array().cast(f"array<struct<row_no:int,line:{kind}>>").alias("out"), F.lit(-1).alias("n"), F.lit(None).cast("struct<x0:double,y0:double,x1:double,y1:double>").alias("first"))
 
     def step(acc, r):
-        same = F.coalesce((F.abs(acc["first"]["y0"] - r["box"]["y0"]) < 3) | same_level(acc["first"], r["box"]), F.lit(False))
+        same = acc["first"].isNotNull() & F.coalesce((F.abs(acc["first"]["y0"] - r["box"]["y0"]) < 3) | same_level(acc["first"], r["box"]), F.lit(False))
         n = acc["n"] + F.when(same, 0).otherwise(1)
         return F.struct(F.array_append(acc["out"], F.struct(n.alias("row_no"), r.alias("line"))).alias("out"), n.alias("n"), F.when(same, acc["first"]).otherwise(r["box"]).alias("first"))
 

@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 from folio.functions.text import lines, squeeze, strip
 
 #: Titles of bookmarks and contents entries.
-CHAPTER = r"(?i)^(?:chapter\s+)?([0-9]{1,2})(?:[.:\s]+)(.*)$"
-APPENDIX = r"(?i)^appendix(?:\s+([A-Z]))?[.:\s]*(.*)$"
-GLOSSARY = r"(?i)^glossary\b"
+CHAPTER = r"(?i)^\s*chapter\s+([0-9]{1,3})\s*[:.–—-]?\s*(.*)$"
+APPENDIX = r"^\s*(?i:appendix)(?:[\s–-]*([A-Z]|[0-9]{1,2})(?!\w)|(?!\w))\s*[:.–—-]?\s*(.*)$"
+GLOSSARY = r"(?i)^\s*glossary\s*$"
 
 
 def body_mode(spans: DataFrame, book: list[str]) -> DataFrame:
@@ -82,7 +82,7 @@ def contents_entries(pages: DataFrame, book: list[str], text: str = "text", most
     line = pages.filter(F.col("page_idx") < most).select(*book, "page_idx", F.posexplode(rows).alias("line_no", "line"))
     w = Window.partitionBy(*book, "page_idx").orderBy("line_no")
     near = line.withColumn("l1", F.lead("line", 1).over(w)).withColumn("l2", F.lead("line", 2).over(w)).withColumn("l3", F.lead("line", 3).over(w))
-    head = r"(?i)^(?:chapter\s+([0-9]{1,2})|appendix(?:\s+([A-Z]))?)\b[.:\s]*(.*)$"
+    head = r"^(?:(?i:chapter)\s+([0-9]{1,3})\b|(?i:appendix)(?:[\s–-]*([A-Z])(?!\w)|(?!\w)))\s*[:.–—-]?\s*(.*)$"
     number = lambda c: c.rlike("^[0-9]{1,4}$")
     rest = F.regexp_extract("line", head, 3)
     own_page = F.regexp_extract(rest, r"(?:^|\s)([0-9]{1,4})$", 1)
@@ -94,9 +94,9 @@ def contents_entries(pages: DataFrame, book: list[str], text: str = "text", most
     page = F.when(own_page != "", own_page).when(two, b).when(number(a), a)
     full = F.when(two, F.concat_ws(" ", title, a)).otherwise(title)
     entry = near.filter(F.col("line").rlike(head)).select(*book, "page_idx", "line_no", F.when(F.regexp_extract("line", head, 1) != "", "chapter").otherwise("appendix").alias("kind"), F.concat(F.regexp_extract("line", head, 1), F.upper(F.regexp_extract("line", head, 2))).alias("no"), full.alias("title"), page.cast("int").alias("printed_page"))
-    other = r"(?i)^(glossary|index|references|bibliography|part\s+[0-9IVX]+.*?)(?:\s+([0-9]{1,4}))?$"
+    other = r"(?i)^(glossary|subject index|author index|index|references|part\s+[0-9]{1,2}\b.*?)(?:\s+([0-9]{1,4}))?$"
     kind = F.when(F.col("line").rlike("(?i)^glossary"), "glossary").when(F.col("line").rlike("(?i)^part"), "part").otherwise("end")
-    part_page = F.when(F.col("line").rlike(r"(?i)^part\s+[0-9IVX]+$"), F.lit("")).otherwise(F.regexp_extract("line", other, 2))
+    part_page = F.when(F.col("line").rlike(r"(?i)^part\s+[0-9]+$"), F.lit("")).otherwise(F.regexp_extract("line", other, 2))
     more = near.filter(F.col("line").rlike(other)).select(*book, "page_idx", "line_no", kind.alias("kind"), F.lit("").alias("no"), F.regexp_extract("line", other, 1).alias("title"), F.when(part_page != "", part_page).when(number(F.col("l1")), F.col("l1")).cast("int").alias("printed_page"))
     both = entry.unionByName(more).filter("printed_page IS NOT NULL AND title <> ''")
     return both.withColumn("pos", F.row_number().over(Window.partitionBy(*book).orderBy("page_idx", "line_no"))).select(*book, "pos", "kind", "no", "title", "printed_page")

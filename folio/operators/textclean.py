@@ -64,7 +64,7 @@ def remove_page_numbers(pages: DataFrame, text: str = "text", printed: str = "pr
     return pages.withColumn(text, F.when(F.col(printed).isNull(), F.col(text)).otherwise(F.array_join(keep, "\n")))
 
 
-CAPTION = r"^[*_>\s]*(?:Figure|Fig\.|Table)\s+(?:[0-9]+|[A-Z])\.[0-9]+"
+CAPTION = r"^(?:Figure|Table)\s+(?:[0-9]+|[A-Z])\.[0-9]+\w*\s+[A-Z“\"(]"
 
 
 def paragraph_kinds(paragraphs: DataFrame, book: list[str], order: str = "pos", text: str = "text") -> DataFrame:
@@ -74,7 +74,7 @@ def paragraph_kinds(paragraphs: DataFrame, book: list[str], order: str = "pos",
     beside = lambda c: F.coalesce(c.rlike(CAPTION) | c.contains("<br>"), F.lit(False))
     floating = t.rlike(r"^(\||<!--|!\[)") | t.contains("<br>") | t.rlike(r"^[*_`\s]*<[A-Za-z/]") | t.rlike(r"^>\s*[†‡*§]|^[†‡]") | t.rlike(r"^(#+\s*)?https?://\S+(\s*/)?\s*$") | (t.rlike(CAPTION) & (words(t) <= 20))
     stray = (words(t) <= 6) & ~is_complete(t) & ~starts_item(t) & (beside(F.lag(t).over(w)) | beside(F.lead(t).over(w)))
-    kind = F.when(t.rlike(r"^#{1,6}\s"), "heading").when(t.rlike(r"^\*\*[^*]{1,60}\*\*$"), "box").when(floating | stray, "floating").otherwise("text")
+    kind = F.when(t.rlike(r"^#{1,5}\s"), "heading").when(t.rlike(r"^######\s"), "box").when(floating | stray, "floating").otherwise("text")
     return paragraphs.withColumn("kind", kind)
 
 
@@ -91,9 +91,9 @@ def bullet_glyphs(rows: DataFrame, book: list[str], order: str = "pos", text: st
     return fixed.select(*rows.columns).unionByName(rows.filter(blank))
 
 
-#: Parts that make a compound whatever else the text says.
-COMPOUND_FIRST = ["self", "non", "well", "high", "low", "real", "object", "service", "client", "user", "long", "short", "cost", "time", "pre", "post", "multi", "cross", "state", "open"]
-COMPOUND_LAST = ["based", "oriented", "driven", "specific", "centric", "level", "time", "like", "wide", "free", "related", "aware", "effective"]
+# First and last parts that make a compound whatever else the text says.
+COMPOUND_FIRST = "so self non multi well high low real cross user object safety mission business time".split()
+COMPOUND_LAST = "based centric critical oriented driven called level stage scale specific wide intensive defined dependent independent known time term making sized free like off up in out aided related".split()
 
 
 def hyphen_compounds(raw: DataFrame, book: list[str], text: str = "text") -> DataFrame:

@@ -11,7 +11,7 @@ FIXTURES: dict[str, tuple[str, list[tuple]]] = {
     "fx_bookmark": (
         "doc_id long, pos int, level int, title string, page int",
         [(1, 1, 1, "Preface", 1), (1, 2, 1, "Chapter 1 Basics", 5), (1, 3, 2, "Appendix inside", 9), (1, 4, 1, "Chapter 2  Data   models", 15), (1, 5, 2, "2.1 Rows", 16), (1, 6, 1, "Chapter 3", 25), (1, 7, 1, "Appendix A Tools", 40), (1, 8, 1, "Appendix", 45), (1, 9, 1, "Appendix A Again", 48), (1, 10, 1, "Glossary", 50), (1, 11, 1, "Index", 55),
-         (2, 1, 1, "Part 1", 1), (2, 2, 2, "1. First", 1), (2, 3, 2, "2. Second", 10), (2, 4, 1, "Part 2", 20), (2, 5, 2, "3. Third", 20), (3, 1, 1, "Chapter 1 Alone", 2)],
+         (2, 1, 1, "Part 1", 1), (2, 2, 2, "Chapter 1. First", 1), (2, 3, 2, "Chapter 2: Second", 10), (2, 4, 1, "Part 2", 20), (2, 5, 2, "Chapter 3 – Third", 20), (3, 1, 1, "Chapter 1 Alone", 2)],
     ),
     "fx_toc_entry": (
         "doc_id long, pos int, kind string, no string, title string, printed_page int",
@@ -53,7 +53,7 @@ FIXTURES: dict[str, tuple[str, list[tuple]]] = {
     ),
     "fx_paragraph": (
         "doc_id long, pos int, text string",
-        [(1, 1, "# Chapter one"), (1, 2, "There are fewer natural"), (1, 3, "| a | b |"), (1, 4, "**History of it**"), (1, 5, "A box with its own end."), (1, 6, "resources, and they change."), (1, 7, "The language is called Unified Modeling"), (1, 8, "![x](y.png)"), (1, 9, "Figure 2.1 A caption"), (1, 10, "of testing"), (1, 11, "Language, or UML."), (1, 12, "- an item that is not text"), (1, 13, "A longer paragraph that ends nowhere at all"), (1, 14, "## Next"), (1, 15, "goes not back over a heading."), (1, 16, "https://example.com/a"), (2, 1, "Whole."), (2, 2, "Also whole.")],
+        [(1, 1, "# Chapter one"), (1, 2, "In most places there are now fewer natural"), (1, 3, "| a | b |"), (1, 4, "###### History of it"), (1, 5, "A box with its own end."), (1, 6, "resources, and they change."), (1, 7, "The language for all of this is called Unified Modeling"), (1, 8, "![x](y.png)"), (1, 9, "Figure 2.1 A caption"), (1, 10, "of testing"), (1, 11, "Language, or UML."), (1, 12, "- an item that is not text"), (1, 13, "A longer paragraph that ends nowhere at all"), (1, 14, "## Next"), (1, 15, "goes not back over a heading."), (1, 16, "https://example.com/a"), (2, 1, "Whole."), (2, 2, "Also whole.")],
     ),
     "fx_bullet": ("doc_id long, pos int, text string", [(1, 1, "- I understand this"), (1, 2, ""), (1, 3, "- I know that"), (1, 4, "Text."), (1, 5, "- I think alone"), (1, 6, "More."), (2, 1, "- I a"), (2, 2, "- plain"), (2, 3, "- I b"), (2, 4, "- I c")]),
     "fx_raw": (

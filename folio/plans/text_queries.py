@@ -137,15 +137,18 @@ def chunk_prompts(spark, sf):
 
 
 @query(rf"""WITH {cte('fx_paragraph')}, near AS (SELECT *, lag(text) OVER w AS b, lead(text) OVER w AS n FROM fx_paragraph WINDOW w AS (PARTITION BY doc_id ORDER BY pos))
-SELECT doc_id, pos, text, CASE WHEN regexp_matches(text, '^#{{1,6}}\s') THEN 'heading' WHEN regexp_full_match(text, '\*\*[^*]{{1,60}}\*\*') THEN 'box'
- WHEN regexp_matches(text, '^(\||<!--|!\[)') OR contains(text, '<br>') OR regexp_matches(text, '^(#+\s*)?https?://\S+$') OR (regexp_matches(text, '^(Figure|Table) [0-9]+\.[0-9]+') AND len(regexp_extract_all(text, '\S+')) <= 20)
-   OR (len(regexp_extract_all(text, '\S+')) <= 6 AND NOT regexp_matches(text, '[.:!?]$') AND NOT regexp_matches(text, '^[-*+] ') AND (coalesce(regexp_matches(b, '^(Figure|Table) [0-9]+\.[0-9]+'), false) OR coalesce(regexp_matches(n, '^(Figure|Table) [0-9]+\.[0-9]+'), false)))
+SELECT doc_id, pos, text, CASE WHEN regexp_matches(text, '^#{{1,5}}\s') THEN 'heading' WHEN regexp_matches(text, '^###### ') THEN 'box'
+ WHEN regexp_matches(text, '^(\||<!--|!\[)') OR contains(text, '<br>') OR regexp_matches(text, '^(#+\s*)?https?://\S+$') OR (regexp_matches(text, '^(Figure|Table) [0-9]+\.[0-9]+ [A-Z]') AND len(regexp_extract_all(text, '\S+')) <= 20)
+   OR (len(regexp_extract_all(text, '\S+')) <= 6 AND NOT regexp_matches(text, '[.:!?]$') AND NOT regexp_matches(text, '^[-*+] ') AND (coalesce(regexp_matches(b, '^(Figure|Table) [0-9]+\.[0-9]+ [A-Z]'), false) OR coalesce(regexp_matches(n, '^(Figure|Table) [0-9]+\.[0-9]+ [A-Z]'), false)))
  THEN 'floating' ELSE 'text' END AS kind FROM near""")
 def paragraph_kind(spark, sf):
     return textclean.paragraph_kinds(frame(spark, "fx_paragraph"), ["doc_id"])
 
 
-@query()
+STITCHED = [(1, 1, "heading", "# Chapter one"), (1, 2, "text", "In most places there are now fewer natural resources, and they change."), (1, 3, "floating", "| a | b |"), (1, 4, "box", "###### History of it"), (1, 5, "text", "A box with its own end."), (1, 7, "text", "The language for all of this is called Unified Modeling Language, or UML."), (1, 8, "floating", "![x](y.png)"), (1, 9, "floating", "Figure 2.1 A caption"), (1, 10, "floating", "of testing"), (1, 12, "text", "- an item that is not text"), (1, 13, "text", "A longer paragraph that ends nowhere at all"), (1, 14, "heading", "## Next"), (1, 15, "text", "goes not back over a heading."), (1, 16, "floating", "https://example.com/a"), (2, 1, "text", "Whole."), (2, 2, "text", "Also whole.")]
+
+
+@query("SELECT * FROM (VALUES " + ", ".join(f"({d}::BIGINT, {p}, '{k}', '{t}')" for d, p, k, t in STITCHED) + ") t(doc_id, pos, kind, text)")
 def stitched_paragraphs(spark, sf):
     return stitch.stitched(frame(spark, "fx_paragraph"), ["doc_id"])
 
