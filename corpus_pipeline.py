@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folio.llm import decontam, langid, mixing, neardup, sharding
-from folio.llm.common import fresh, read, staged
+from folio.llm.common import fresh, read, sent_if_small, staged
 
 #: A document is rejected if the network gives its best language less than this probability, or finds no letter in it.
 LEAST_SCORE = 0.4
@@ -28,8 +28,10 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     found = staged(neardup.near_duplicates(docs, shingle=5, percent=80).groupBy("doc_id").agg(F.min("component_id").alias("c"), F.count(F.lit(1)).alias("n")), "found")
     flag, times = fresh(docs, "dropped_id", "times")
     odd = found.filter("doc_id IS NOT NULL AND (doc_id <> c OR n > 1)").select(F.col("doc_id").alias(flag), F.when(F.expr("doc_id = c"), F.col("n")).otherwise(0).alias(times))
-    rows = docs.join(odd, docs["doc_id"] == odd[flag], "left")
+    rows = docs.join(sent_if_small(odd), docs["doc_id"] == odd[flag], "left")
     once = rows.filter(F.col(flag).isNull()).select(*[f"`{c}`" for c in docs.columns])
+    if not odd.filter(F.col(times) > 1).limit(1).count():
+        return once
     return once.unionByName(rows.filter(F.col(times) > 1).select(*[f"`{c}`" for c in docs.columns]).dropDuplicates(["doc_id"]))
 
 

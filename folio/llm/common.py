@@ -35,6 +35,15 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Up to so many rows of a few numbers (tens of MB) are sent to every executor; more are joined by a shuffle, with the same result.
+MOST_SENT = 1_000_000
+
+
+def sent_if_small(df: DataFrame) -> DataFrame:
+    """df, marked for sending to all executors if a count shows that it has MOST_SENT rows at most. df should be cheap to read twice."""
+    return F.broadcast(df) if df.count() <= MOST_SENT else df
+
+
 def fresh(df: DataFrame, *names: str) -> list[str]:
     """Column names like the given ones that df does not have (compared without case, as Spark does)."""
     taken, out = {c.lower() for c in df.columns}, []

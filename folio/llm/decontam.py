@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from folio.llm.common import LOWER, mix, pieces, staged, word_hashes
+from folio.llm.common import LOWER, mix, pieces, sent_if_small, staged, word_hashes
 
 WINDOW = 8
 LEAST = 4
@@ -180,4 +180,5 @@ def leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", key: str =
 
 def clean(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", **how) -> DataFrame:
     """The documents that hold no item, with their own columns."""
-    return docs.join(leaks(docs, benchmark, key=key, **how).select(F.col(key)).distinct(), key, "left_anti").select(*[f"`{c}`" for c in docs.columns])
+    found = staged(leaks(docs, benchmark, key=key, **how).select(F.col(key)).distinct(), "leaks")
+    return docs.join(sent_if_small(found), key, "left_anti").select(*[f"`{c}`" for c in docs.columns])

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from folio.llm.common import LOWER, mix, pieces, staged, word_hashes, words
+from folio.llm.common import LOWER, mix, pieces, sent_if_small, staged, word_hashes, words
 from folio.llm.graph import components
 
 TREES, PREFIX = 24, 4
@@ -33,8 +33,6 @@ COORDS = TREES * PREFIX
 FEW = 8
 #: Classes of a region that stays crowded at the last depth are compared along chunks of about this size.
 CHUNK = 256
-#: Up to so many ids (8 bytes each) are sent to every executor to pick candidates' texts; more are joined by a shuffle.
-MOST_SENT = 1_000_000
 
 _rng = np.random.default_rng(5)
 _TIMES = _rng.integers(0, 1 << 63, COORDS, np.uint64) * np.uint64(2) + np.uint64(1)
@@ -184,11 +182,9 @@ def near_duplicates(df: DataFrame, text: str = "text", key: str = "doc_id", shin
     class_of = named.groupBy("n", "f1", "f2").agg(F.min("id").alias("rep"))
     reps = shapes.join(class_of.select(F.col("rep").alias("id"), "n", "f1", "f2"), ["id", "n", "f1", "f2"], "left_semi").select("id", "sig").dropDuplicates(["id", "sig"])
     pairs = staged(candidates(reps), "pairs")
-    involved = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    if (n := involved.count()) and n <= MOST_SENT:
-        involved = F.broadcast(involved)
+    involved = staged(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "involved")
     # the texts of the classes that met another, once each
-    texts = staged(own.join(involved, "id", "left_semi"), "texts")
+    texts = staged(own.join(sent_if_small(involved), "id", "left_semi"), "texts")
 
     def confirm(some: DataFrame) -> DataFrame:
         a, b = texts.select(F.col("id").alias("a"), F.col("text").alias("text_a")), texts.select(F.col("id").alias("b"), F.col("text").alias("text_b"))
