@@ -22,6 +22,7 @@ import tiktoken
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+
 TOKENIZERS = "/opt/tokenizers"
 VOCABULARY = "byte_bpe_50k.tiktoken"
 # Fixed value: the public pattern of this vocabulary.
@@ -29,7 +30,7 @@ PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|
 #: A pre-token's match looks at most so many characters beyond its end (after an apostrophe).
 BEYOND = 3
 LEAF = 64
-MOST_KNOWN = 300_000
+MOST_KNOWN = 100_000
 
 
 class Counts(dict):
@@ -143,14 +144,27 @@ def planted(text: str, split: regex.Pattern, counts: Counts) -> tuple[np.ndarray
     return np.fromiter(map(len, found), np.int64, len(found)), np.fromiter(map(counts.__getitem__, found), np.int64, len(found))
 
 
+def packed(values: np.ndarray) -> bytes:
+    """Non-negative numbers in as few bytes each as the largest needs, behind a byte that says how many."""
+    kind = np.min_scalar_type(int(values.max(initial=0)))
+    return bytes([kind.itemsize]) + values.astype(kind).tobytes()
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    return np.frombuffer(data, f"u{data[0]}", offset=1).astype(np.int64)
+
+
 def trees(text: Column, folder: str = TOKENIZERS, vocabulary: str = VOCABULARY) -> Column:
-    """A document's tree to keep with it: struct<sizes, counts> of its pre-tokens, 32-bit numbers in binary; sums are planted from them."""
+    """A document's tree to keep with it: struct<sizes, counts> of its pre-tokens, packed; sums are planted from them."""
 
     @F.arrow_udf("sizes binary, counts binary")
     def build(texts: pa.Array) -> pa.Array:
         split, counts = counter(folder, vocabulary)
-        made = [planted(t.as_py() or "", split, counts) for t in texts]
-        return pa.StructArray.from_arrays([pa.array([x[i].astype(np.int32).tobytes() for x in made], pa.binary()) for i in (0, 1)], ["sizes", "counts"])
+        made: list[list[bytes]] = [[], []]
+        for t in texts:
+            for out, values in zip(made, planted(t.as_py() or "", split, counts), strict=True):
+                out.append(packed(values))
+        return pa.StructArray.from_arrays([pa.array(x, pa.binary()) for x in made], ["sizes", "counts"])
 
     return build(text)
 
@@ -168,8 +182,9 @@ def edited(text: Column, tree: Column, edits: Column, folder: str = TOKENIZERS,
         rows, after = [], []
         for t, k, e in zip(texts, kept, changes, strict=True):
             body, k = t.as_py() or "", k.as_py()
-            tree = TokenTree(body, np.frombuffer(k["sizes"], np.int32), np.frombuffer(k["counts"], np.int32), split, counts)
-            before, pretokens, n, moved, done = tree.tokens, len(k["sizes"]) // 4, 0, 0, 0
+            sizes = unpacked(k["sizes"])
+            tree = TokenTree(body, sizes, unpacked(k["counts"]), split, counts)
+            before, pretokens, n, moved, done = tree.tokens, len(sizes), 0, 0, 0
             for x in e.as_py() or []:
                 s, stop = min(max(x["start"], 0), len(body)), min(max(x["end"], x["start"], 0), len(body))
                 if s >= done:
