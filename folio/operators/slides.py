@@ -139,3 +139,41 @@ def slide_markdown(title: Column, items: Column, notes: Column) -> Column:
 
 def table_rows_markdown(cells: Column) -> Column:
     return F.concat(F.lit("| "), F.array_join(F.transform(cells, table_cell), " | "), F.lit(" |"))
+
+
+def label_groups(lines_: DataFrame, page: list[str]) -> DataFrame:
+    """(page, label): lines stacked under each other with near centres (20 points) and small gaps (0.7 of the height) are one label.
+
+    Each line looks up its nearest line above by a join within the slide; chains are followed by counting breaks in each column of centres.
+    """
+    b = F.col("box")
+    centre = F.bround((b["x0"] + b["x1"]) / 2 / 20).alias("column")
+    rows = lines_.select(*page, "pos", "text", "box", centre)
+    w = Window.partitionBy(*page, "column").orderBy(b["y0"], b["x0"])
+    near = F.coalesce(b["y0"] - F.lag(b["y1"]).over(w) < 0.7 * (b["y1"] - b["y0"]), F.lit(False))
+    runs = rows.withColumn("new", (~near).cast("int")).withColumn("run", F.sum("new").over(w))
+    ordered = F.array_sort(F.collect_list(F.struct(b["y0"].alias("y"), b["x0"].alias("x"), "text")))
+    grouped = runs.groupBy(*page, "column", "run").agg(F.array_join(F.transform(ordered, lambda t: t["text"]), " ").alias("label"), F.min(b["y0"]).alias("top"), F.min(b["x0"]).alias("left"))
+    return grouped.select(*page, F.row_number().over(Window.partitionBy(*page).orderBy("top", "left")).alias("no"), "label")
+
+
+def structured(lines_: DataFrame, deck: list[str], slide: str = "page_idx", page_height: float = 540.0) -> DataFrame:
+    """Adds role: title (the largest text in the top 28 %, 1.15 times the slide's upper median size or more), item (with a bullet) or paragraph."""
+    page = [*deck, slide]
+    size = F.col("box")["y1"] - F.col("box")["y0"]
+    sized = lines_.withColumn("size", size)
+    median = upper_median(sized, page, "size").withColumnRenamed("median", "median_size")
+    top = F.col("box")["y0"] < 0.28 * page_height
+    rank = F.row_number().over(Window.partitionBy(*page).orderBy(F.desc(F.when(top, F.col("size"))), F.col("box")["y0"], "pos"))
+    ranked = sized.join(median, page).withColumn("rank", rank)
+    role = F.when((F.col("rank") == 1) & top & (F.col("size") >= 1.15 * F.col("median_size")) & F.col("bullet_x").isNull(), "title").when(F.col("bullet_x").isNotNull(), "item").otherwise("paragraph")
+    return ranked.withColumn("role", role).drop("rank", "median_size", "size")
+
+
+def drop_caps(spans: DataFrame, page: list[str], body_size: float) -> DataFrame:
+    """(page, capital, pos): single capitals over twice the body size with a line in small letters to their right at their height."""
+    b = F.col("box")
+    caps = spans.filter(F.trim("text").rlike(r"^\p{Lu}$") & (F.col("size") > 2 * body_size)).select(*page, F.trim("text").alias("capital"), F.col("box").alias("cap_box"))
+    c = F.col("cap_box")
+    near = spans.join(caps, page).filter(F.ltrim("text").rlike(r"^\p{Ll}") & (b["x0"] >= c["x1"] - 2) & (b["x0"] - c["x1"] < 20) & (b["y0"] < c["y1"]) & (b["y1"] > c["y0"]))
+    return near.groupBy(*page, "capital").agg(F.min_by("pos", F.struct(b["y0"], b["x0"])).alias("pos"))
