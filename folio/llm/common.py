@@ -44,6 +44,18 @@ def sent_if_small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= MOST_SENT else df
 
 
+#: Rows of texts that go to a Python worker at once: some MB of ordinary documents.
+BATCH = 512
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def small_batches() -> None:
+    """Lowers the session's batch size for Python to BATCH, so that workers and the JVM's Arrow buffers stay small whatever the texts' length."""
+    spark = SparkSession.getActiveSession()
+    if spark and not 0 < int(spark.conf.get(_BATCH)) <= BATCH:
+        spark.conf.set(_BATCH, str(BATCH))
+
+
 def fresh(df: DataFrame, *names: str) -> list[str]:
     """Column names like the given ones that df does not have (compared without case, as Spark does)."""
     taken, out = {c.lower() for c in df.columns}, []

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from folio.llm.common import LOWER, mix, pieces, sent_if_small, staged, word_hashes
+from folio.llm.common import LOWER, mix, pieces, sent_if_small, small_batches, staged, word_hashes
 
 WINDOW = 8
 LEAST = 4
@@ -150,6 +150,7 @@ SCHEMA = "id long, place int, hash long, n int, slots array<string>"
 
 def leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", key: str = "doc_id", item_text: str = "text", item_key: str = "item_id", coverage: float = 0.5, consistency: float = 0.8) -> DataFrame:
     """One row for each document and item it holds: key, item_key, windows (of the item found), coverage, slots and slots_kept (consistent)."""
+    small_batches()
     items = benchmark.filter(F.col(item_key).isNotNull()).select(F.col(item_key).cast("long").alias("id"), F.col(item_text).alias("text")).distinct()
     sizes = [(WINDOW, False), *((s, True) for s in range(LEAST, WINDOW))]
     index = staged(items.mapInArrow(_emit(sizes, None), SCHEMA), "items")

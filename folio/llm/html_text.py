@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from folio.llm.common import without
+from folio.llm.common import small_batches, without
 
 DEEPEST = 400
 #: Cells up to this width set the width of their column; longer ones overflow it.
@@ -210,6 +210,8 @@ def _block(root: Node) -> list[str]:
         if isinstance(node, str):
             if parent.tag in ("table", "tbody", "thead", "tfoot", "tr", "ul", "ol", "select") and not node.strip(" \t\n\r\f"):
                 continue
+            if parent.tag == "details" and "open" not in parent.attrs:
+                continue
             if parent.tag in ("pre", "textarea", "xmp"):
                 *whole, open_line = node.replace("\r\n", "\n").split("\n")
                 if whole and not whole[0] and node is parent.children[0] and not out.now:
@@ -312,6 +314,7 @@ def extract(page: str | None) -> str | None:
 def visible_text(df: DataFrame, html: str = "html", output: str = "text") -> DataFrame:
     """Adds the page's visible text, laid out, to every row."""
 
+    small_batches()
     @F.arrow_udf("string")
     def laid_out(pages: pa.Array) -> pa.Array:
         return pa.array([extract(p.as_py()) for p in pages], pa.string())

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from folio.llm.common import pieces, utf8, without
+from folio.llm.common import pieces, small_batches, utf8, without
 
 WINDOW = 256
 WIDTHS = (2, 3, 4)
@@ -119,6 +119,7 @@ def train(df: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc
 
     The bound is on what is trained on only: the counts that set the draw cover all rows, and the draw is the same at every size.
     """
+    small_batches()
     known = df.filter(F.col(lang).isNotNull() & F.coalesce(F.col(text), F.lit("")).rlike(r"\p{L}"))
     counts = {r[0]: r[1] for r in known.groupBy(lang).count().collect()}
     langs = sorted(counts)
@@ -154,6 +155,7 @@ def train(df: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc
 
 def predict(df: DataFrame, model: ByteConvNet, text: str = "text") -> DataFrame:
     """Adds lang_pred and score (mean probability of that language over the whole text's windows) to every row."""
+    small_batches()
     langs, tables = model.langs, model.tables() if model.langs else None
 
     @F.arrow_udf("lang_pred string, score double")

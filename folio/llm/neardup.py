@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from folio.llm.common import LOWER, mix, pieces, sent_if_small, staged, word_hashes, words
+from folio.llm.common import LOWER, mix, pieces, sent_if_small, small_batches, staged, word_hashes, words
 from folio.llm.graph import components
 
 TREES, PREFIX = 24, 4
@@ -176,6 +176,7 @@ def near_duplicates(df: DataFrame, text: str = "text", key: str = "doc_id", shin
 
     Two rows are linked if 100 * (shared shingles) >= percent * (shingles in either).
     """
+    small_batches()
     own = df.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
     shapes = staged(own.select("id", _shapes(shingle)(F.col("text")).alias("x")).select("id", "x.*"), "shapes")
     named = shapes.filter("id IS NOT NULL AND n > 0")

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from folio.llm.common import without
+from folio.llm.common import small_batches, without
 
 KINDS = ("email", "ip", "card", "phone")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -301,6 +301,7 @@ def _sensible(kind: int, span: str) -> bool:
 
 def find(df: DataFrame, text: str = "text", field: Field | None = None) -> DataFrame:
     """Adds n_email, n_ip, n_card, n_phone (base spans), base (their list) and spans (base and the field's) to every row; lists are kind:start:end."""
+    small_batches()
     field = field or train()
     names = [f"n_{k}" for k in KINDS]
     schema = ", ".join(f"{n} long" for n in names) + ", base string, spans string"

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from folio.llm.common import LOWER, SEPARATOR, pieces, without, word_hashes
+from folio.llm.common import LOWER, SEPARATOR, pieces, small_batches, without, word_hashes
 
 BUCKETS = 1 << 16
 GRADES = 3
@@ -69,8 +69,13 @@ class CumulativeLink:
         return sums[bounds[1:]] - sums[bounds[:-1]]
 
 
-def fit(rows: list[np.ndarray], grades: np.ndarray, sample_weight: np.ndarray, epochs: int = 20, batch: int = 32, rate: float = 0.1, decay: float = 1e-4, seed: int = 9) -> CumulativeLink:
-    """AdaGrad on the likelihood of the grades; thresholds stay in order as sums of a first one and positive gaps."""
+def fit(rows: list[np.ndarray], grades: np.ndarray, sample_weight: np.ndarray, epochs: int = 20, batch: int = 32, rate: float = 0.1, decay: float = 1e-4, seed: int = 9, least: int = 10) -> CumulativeLink:
+    """AdaGrad on the likelihood of the grades; thresholds stay in order as sums of a first one and positive gaps.
+
+    Buckets that fewer than `least` of the rows hold keep the weight 0: a word seen that rarely would only tell its rows apart.
+    """
+    seen = np.bincount(np.concatenate([*rows, np.zeros(0, np.int32)]).astype(np.int64), minlength=BUCKETS)
+    rows = [r[seen[r] >= least] for r in rows]
     share = np.array([max(1e-3, sample_weight[grades >= j].sum() / max(1e-9, sample_weight.sum())) if len(rows) else 0.5 for j in range(1, GRADES)])
     share = np.clip(np.minimum.accumulate(share), 1e-3, 1 - 1e-3)
     cut = -np.log(share / (1 - share))
@@ -106,8 +111,9 @@ def fit(rows: list[np.ndarray], grades: np.ndarray, sample_weight: np.ndarray, e
     return CumulativeLink(w, ordered())
 
 
-def train(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id", max_docs: int = 6000, seed: int = 9) -> CumulativeLink:
+def train(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id", max_docs: int = 12_000, seed: int = 9) -> CumulativeLink:
     """Fits on at most `max_docs` labelled documents, equally many of each grade, drawn by a hash of the key and weighted back to their shares."""
+    small_batches()
     grade = F.when(F.coalesce(F.col("toxic"), F.lit(0)) == 1, 0).when(F.col("quality") == 1, 2).otherwise(1)
     rated = labels.filter(F.col(key).isNotNull() & F.col("quality").isNotNull()).select(F.col(key).alias("rated_id"), grade.alias("grade"))
     counts = {r[0]: r[1] for r in rated.groupBy("grade").count().collect()}
@@ -136,6 +142,7 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "do
 def grade(df: DataFrame, model: CumulativeLink, text: str = "text", least: float = 0.5) -> DataFrame:
     """Adds expected_grade (0 to 2), tail_prob (of the best grade) and selected (tail_prob >= least) to every row."""
 
+    small_batches()
     @F.arrow_udf("expected_grade double, tail_prob double")
     def rate(texts: pa.Array) -> pa.Array:
         mean, tail = np.zeros(len(texts)), np.zeros(len(texts))

@@ -22,6 +22,7 @@ import tiktoken
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from folio.llm.common import small_batches
 
 TOKENIZERS = "/opt/tokenizers"
 VOCABULARY = "byte_bpe_50k.tiktoken"
@@ -157,6 +158,7 @@ def unpacked(data: bytes) -> np.ndarray:
 def trees(text: Column, folder: str = TOKENIZERS, vocabulary: str = VOCABULARY) -> Column:
     """A document's tree to keep with it: struct<sizes, counts> of its pre-tokens, packed; sums are planted from them."""
 
+    small_batches()
     @F.arrow_udf("sizes binary, counts binary")
     def build(texts: pa.Array) -> pa.Array:
         split, counts = counter(folder, vocabulary)
@@ -176,6 +178,7 @@ def edited(text: Column, tree: Column, edits: Column, folder: str = TOKENIZERS,
     """
     names = ["n_tokens", "n_pretokens", "n_edits", "n_tokens_after", "n_reencoded"]
 
+    small_batches()
     @F.arrow_udf(", ".join(f"{n} long" for n in names) + ", text_after string")
     def apply(texts: pa.Array, kept: pa.Array, changes: pa.Array) -> pa.Array:
         split, counts = counter(folder, vocabulary)
