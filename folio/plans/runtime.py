@@ -7,12 +7,14 @@ import tempfile
 from pyspark.sql import DataFrame, SparkSession
 
 
+_own: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors see (spark.checkpoint.dir); a temporary one where it is unset, as in tests."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    """The folder all executors see (spark.checkpoint.dir); a temporary one of this session where it is unset, as in tests."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or _own.get(spark.sparkContext.applicationId)
     if not base:
-        base = tempfile.mkdtemp(prefix="spark-shared-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        base = _own[spark.sparkContext.applicationId] = tempfile.mkdtemp(prefix="spark-shared-")
     return base.rstrip("/")
 
 
