@@ -71,7 +71,7 @@ def communication_matrix(sizes: list[int], shards: int, seed: int) -> np.ndarray
     return out
 
 
-def shuffle(df: DataFrame, shards: int = 16, seed: int = 11, block_rows: int = 20_000) -> DataFrame:
+def shuffle(df: DataFrame, shards: int = 16, seed: int = 11, block_rows: int = 4096) -> DataFrame:
     """Adds shard (0 to shards - 1) and slot (gapless from 0 in each shard): a uniform random order of all rows, cut at exact sizes."""
     if shards < 1:
         raise ValueError("shards must be 1 at least")
