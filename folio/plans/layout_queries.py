@@ -69,7 +69,8 @@ def chapter_bounds_contents(spark, sf):
     return structure.chapters_from_contents(frame(spark, "fx_toc_entry"), frame(spark, "fx_offset"), frame(spark, "fx_document"), ["doc_id"])
 
 
-@query()
+@query("""SELECT * FROM (VALUES (2::BIGINT, 'chapter', '1', 'First', 0, 8), (2, 'chapter', '2', 'Second', 9, 18), (2, 'chapter', '3', 'Third', 19, 39),
+(1, 'chapter', '1', 'Basics', 12, 20), (1, 'chapter', '2', 'Models', 21, 28), (1, 'chapter', '3', 'Queries', 30, 41), (1, 'appendix', 'A', 'Tools', 42, 46), (1, 'glossary', '99', 'Glossary', 47, 50)) t(doc_id, kind, no, title, first_page, last_page)""")
 def chapters_first_found(spark, sf):
     """Bookmarks, else contents."""
     marks = structure.chapters_from_bookmarks(frame(spark, "fx_bookmark"), frame(spark, "fx_document"), ["doc_id"])

@@ -131,7 +131,8 @@ def forbidden_terms(spark, sf):
     return pack.forbidden_uses(table(spark, sf, "conversations").filter("role = 'assistant'"), frame(spark, "fx_term"), ["conv_id", "turn"])
 
 
-@query()
+@query(f"""WITH RECURSIVE {PACK.format(text='text', docs='documents')}, made AS (SELECT p.source, p.lang, chunk_no, 'Pages ' || min(p.doc_id) || '-' || max(p.doc_id) || chr(10) || chr(10) || string_agg(text, chr(10) || chr(10) ORDER BY p.doc_id) AS prompt
+FROM packed p JOIN documents d USING (doc_id) GROUP BY p.source, p.lang, chunk_no) SELECT source, lang, chunk_no, max(chunk_no) OVER (PARTITION BY source, lang) AS n_chunks, prompt FROM made""")
 def chunk_prompts(spark, sf):
     return pack.prompts(table(spark, sf, "documents"), BOOK, "doc_id", "Pages %s\n\n%s")
 
@@ -194,7 +195,7 @@ def split_word_pairs(spark, sf):
     return vocab.split_words(frame(spark, "fx_torn"), ["deck_id"])
 
 
-@query()
+@query("SELECT * FROM (VALUES (1::BIGINT, 1, 'a hazard in the plant'), (1, 2, 'every hazard counts in to day'), (1, 3, 'into the hazard zone, rd'), (2, 1, 'haza rd alone'), (1, 4, 'the system and a system to')) t(deck_id, pos, text)")
 def split_word_repair(spark, sf):
     return vocab.repair_split_words(frame(spark, "fx_torn"), ["deck_id"], ["pos"])
 
