@@ -8,9 +8,11 @@
    sorted neighbours. Pivots are the class that shares most regions (in even trees; copies of one text gather around it) or a
    hash's choice (in odd trees), so a crowded region costs as many candidates as it has members, however many.
 3. Candidates are confirmed on the whole sets, computed anew from the texts: first the best supported one of each class, then, after
-   joining what is linked, those between different components. All links found are exact; a pair with similarity 0.8 is missed by all
-   trees with probability (1 - 0.8^4)^24, 3 in a million, and more similar ones far less often.
-4. Components are found by stars (graph.py), in the shared folder; nothing of it goes to the driver.
+   joining what is linked, those between different components.
+4. What then still falls into several components of one crowded region is compared exactly: the members outside its largest component with
+   all its members, in blocks of BLOCK. So each pair that any tree brings into one region is either linked, or in one component, or compared.
+   A pair with similarity 0.8 shares no region with probability (1 - 0.8^4)^24, 3 in a million, and more similar ones far less often.
+5. Components are found by stars (graph.py), in the shared folder; nothing of it goes to the driver.
 
 Edge cases: a null or wordless text has an empty set and links to nothing; fewer words than a shingle are one shingle. Rows sharing an id
 are one node. A row without an id links to nothing, has no component, and is kept. Repeated rows are returned as often as given. An empty
@@ -31,6 +33,8 @@ TREES, PREFIX = 24, 4
 COORDS = TREES * PREFIX
 #: A region of so many classes has all its pairs compared; in more crowded ones members are compared with pivots, and the region goes deeper.
 FEW = 8
+#: Members of a crowded region that are compared with others at a time.
+BLOCK = 512
 #: Classes of a region that stays crowded at the last depth are compared along chunks of about this size.
 CHUNK = 256
 
@@ -112,8 +116,9 @@ def _forest(batches):
             yield pa.RecordBatch.from_arrays([pa.array(x) for x in cols], ["id", "h", "s1", "s2"])
 
 
-def candidates(classes: DataFrame) -> DataFrame:
-    """classes(id, sig) to pairs (a, b, support): a < b, and in how many regions they met."""
+def candidates(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """classes(id, sig) to pairs (a, b, support), a < b with the number of regions they met in; and (h, id), the members of crowded regions."""
+    crowds = None
     rows, key, found = classes.mapInArrow(_forest, "id long, h long, s1 long, s2 long"), [], []
     pair = lambda x, y: [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
     for depth in ("h", "s1", "s2"):
@@ -130,6 +135,7 @@ def candidates(classes: DataFrame) -> DataFrame:
         rank = F.when(F.col("h").bitwiseAND(F.lit(1)) == 0, F.col("weight") * (1 << 20)).otherwise(0) + chosen
         pivots = crowded.join(weight, "id").groupBy(*key).agg(F.max_by("id", rank).alias("pivot"))
         found.append(crowded.join(pivots, key).filter("id <> pivot").select(*pair(F.col("id"), F.col("pivot"))))
+        crowds = crowds or crowded.select("h", "id")
         rows = crowded.select("id", "h", "s1", "s2", "c")
         if depth != "s2":
             rows = rows.drop("c")
@@ -139,7 +145,7 @@ def candidates(classes: DataFrame) -> DataFrame:
     every = found[0]
     for more in found[1:]:
         every = every.union(more)
-    return every.filter("a <> b").groupBy("a", "b").agg(F.count(F.lit(1)).alias("support"))
+    return every.filter("a <> b").groupBy("a", "b").agg(F.count(F.lit(1)).alias("support")), crowds
 
 
 def _linked(k: int, percent: int):
@@ -171,6 +177,58 @@ def _linked(k: int, percent: int):
     return linked
 
 
+def _block_links(k: int, percent: int):
+    """Exact links of a block of query rows with a block of a region's members, one for each query and other component."""
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def sets(rows: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+        values, bounds = [np.zeros(0, np.uint64)], [np.zeros(1, np.int64)]
+        for _, data, at in pieces(rows["text"].combine_chunks()):
+            v, b = shingle_sets(data, at, k)
+            bounds.append(b[1:] + bounds[-1][-1])
+            values.append(v)
+        return np.concatenate(values), np.concatenate(bounds)
+
+    def links(queries: pa.Table, members: pa.Table) -> pa.Table:
+        out = []
+        if queries.num_rows and members.num_rows:
+            q, q_at = sets(queries)
+            m, m_at = sets(members)
+            size, order = np.diff(m_at), np.argsort(m, kind="stable")
+            token, owner = m[order], np.repeat(np.arange(len(size)), size)[order]
+            m_id, m_comp = members["id"].to_numpy(), members["comp"].to_numpy()
+            for i, (x, comp) in enumerate(zip(queries["id"].to_pylist(), queries["comp"].to_pylist(), strict=True)):
+                own = q[q_at[i] : q_at[i + 1]]
+                low = np.searchsorted(token, own, "left")
+                n = np.searchsorted(token, own, "right") - low
+                place = np.repeat(low - np.cumsum(n) + n, n) + np.arange(n.sum())
+                shared = np.bincount(owner[place], minlength=len(size))
+                hit = np.flatnonzero((100 * shared >= percent * (len(own) + size - shared)) & (m_comp != comp) & (shared > 0))
+                _, first = np.unique(m_comp[hit], return_index=True)
+                out += [(x, int(y)) for y in m_id[hit[first]]]
+        return pa.table([pa.array([p[j] for p in out], pa.int64()) for j in (0, 1)], schema=schema)
+
+    return links
+
+
+def crowd_links(crowds: DataFrame, components_: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
+    """(a, b): links between different components within crowded regions: members outside a region's largest component against all of it."""
+    placed = crowds.join(components_, "id", "left").select("h", "id", F.coalesce("component", "id").alias("comp"))
+    sizes = placed.groupBy("h", "comp").agg(F.count(F.lit(1)).alias("n"))
+    regions = sizes.groupBy("h").agg(F.max_by("comp", F.col("n") * (1 << 20) + F.xxhash64("comp").bitwiseAND(F.lit((1 << 20) - 1))).alias("major"), F.sum("n").alias("members"), F.max("n").alias("most")).filter("members > most")
+    mixed = staged(placed.join(regions, "h"), "mixed")
+    count = lambda n: F.ceil(n / BLOCK).cast("int")
+    blocks = lambda n: F.explode(F.sequence(F.lit(0), count(n) - 1))
+    own = lambda n: F.pmod(F.xxhash64("id"), count(n)).cast("int")
+    minors = F.col("members") - F.col("most")
+    queries = mixed.filter("comp <> major").select("h", "id", "comp", own(minors).alias("qb"), blocks(F.col("members")).alias("mb"))
+    members = mixed.select("h", "id", "comp", own(F.col("members")).alias("mb"), blocks(minors).alias("qb"))
+    keys = ["h", "qb", "mb"]
+    left, right = (x.join(texts, "id").select(*keys, "id", "comp", "text") for x in (queries, members))
+    left, right = left.groupBy(*keys), right.toDF(*right.columns).groupBy(*keys)  # toDF: columns of its own, though both come from one table
+    return left.cogroup(right).applyInArrow(_block_links(k, percent), "a long, b long")
+
+
 def near_duplicates(df: DataFrame, text: str = "text", key: str = "doc_id", shingle: int = 5, percent: int = 80) -> DataFrame:
     """One row per input row: the key, n_shingles, component_id (smallest id reachable over links) and kept (it is that id).
 
@@ -182,7 +240,8 @@ def near_duplicates(df: DataFrame, text: str = "text", key: str = "doc_id", shin
     named = shapes.filter("id IS NOT NULL AND n > 0")
     class_of = named.groupBy("n", "f1", "f2").agg(F.min("id").alias("rep"))
     reps = shapes.join(class_of.select(F.col("rep").alias("id"), "n", "f1", "f2"), ["id", "n", "f1", "f2"], "left_semi").select("id", "sig").dropDuplicates(["id", "sig"])
-    pairs = staged(candidates(reps), "pairs")
+    met, crowds = candidates(reps)
+    pairs = staged(met, "pairs")
     involved = staged(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "involved")
     # the texts of the classes that met another, once each
     texts = staged(own.join(sent_if_small(involved), "id", "left_semi"), "texts")
@@ -204,7 +263,9 @@ def near_duplicates(df: DataFrame, text: str = "text", key: str = "doc_id", shin
     apart = apart.filter(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
     apart = apart.join(by_a, ["a", "b"], "left_anti").join(by_b, ["a", "b"], "left_anti")
     more = confirm(apart)
-    whole = components(joined.select(F.col("id").alias("a"), F.col("component").alias("b")).union(more))
+    star = lambda c: c.select(F.col("id").alias("a"), F.col("component").alias("b"))
+    second = components(star(joined).union(more))
+    whole = components(star(second).union(crowd_links(crowds, second, texts, shingle, percent)))
     rows = shapes.select("id", "n", "f1", "f2").join(class_of, ["n", "f1", "f2"], "left")
     rows = rows.join(whole.select(F.col("id").alias("rep"), "component"), "rep", "left")
     component = F.when(F.col("id").isNotNull(), F.coalesce("component", "rep", "id"))
