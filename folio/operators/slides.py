@@ -177,3 +177,22 @@ def drop_caps(spans: DataFrame, page: list[str], body_size: float) -> DataFrame:
     c = F.col("cap_box")
     near = spans.join(caps, page).filter(F.ltrim("text").rlike(r"^\p{Ll}") & (b["x0"] >= c["x1"] - 2) & (b["x0"] - c["x1"] < 20) & (b["y0"] < c["y1"]) & (b["y1"] > c["y0"]))
     return near.groupBy(*page, "capital").agg(F.min_by("pos", F.struct(b["y0"], b["x0"])).alias("pos"))
+
+
+def slide_middle(lines_: DataFrame, page: list[str]) -> DataFrame:
+    """(page, middle): halfway between the left edge at place n div 10 and the right edge at that place from the right: buttons at the
+    margins do not count."""
+    b = F.col("box")
+    rows = lines_.groupBy(*page).agg(F.array_sort(F.collect_list(b["x0"])).alias("l"), F.array_sort(F.collect_list(b["x1"])).alias("r"))  # of one slide
+    place = F.floor(F.size("l") / 10).cast("int")
+    return rows.select(*page, ((F.get("l", place) + F.get("r", F.size("r") - 1 - place)) / 2).alias("middle"))
+
+
+def visual_regions(objects: DataFrame, page_width: float, page_height: float) -> DataFrame:
+    """Objects (kind raster or drawing, box) that may be figures: rasters of 2 to 90 % of the slide; drawings up to 80 % that are no rule across
+    it and no dot, with kind line for thin ones."""
+    b = F.col("box")
+    w, h, share = b["x1"] - b["x0"], b["y1"] - b["y0"], (b["x1"] - b["x0"]) * (b["y1"] - b["y0"]) / (page_width * page_height)
+    raster_ = (F.col("kind") == "raster") & (share >= 0.02) & (share < 0.9)
+    drawing = (F.col("kind") == "drawing") & (share <= 0.8) & ~((h < 4) & (w > 0.4 * page_width)) & ~((w < 4) & (h < 4))
+    return objects.filter(raster_ | drawing).withColumn("kind", F.when(F.col("kind") == "raster", "raster").when((h < 4) | (w < 4), "line").otherwise("shape"))

@@ -132,3 +132,20 @@ def first_found(*tries: DataFrame, book: list[str]) -> DataFrame:
     for t in tries[1:]:
         out = out.unionByName(t.join(out.select(*book).distinct(), book, "left_anti"))
     return out
+
+
+def single_chapter(pages: DataFrame, documents: DataFrame, book: list[str], most: int = 12) -> DataFrame:
+    """A book without bookmarks and contents as one chapter: number and title by vote of the chapter headers on its first pages, else from
+    the first page's first five lines, else 1 and "Chapter"."""
+    head = r"(?i)chapter\s+([0-9]{1,3})\s*[■•|:–—-]?\s*(.+)$"
+    line = pages.filter(F.col("page_idx") < most).select(*book, "page_idx", F.posexplode(F.transform(lines(F.col("text")), strip)).alias("line_no", "line"))
+    votes = line.filter(F.col("line").rlike(head)).select(*book, F.regexp_extract("line", head, 1).cast("int").alias("no"), strip(F.regexp_extract("line", head, 2)).alias("title"), F.struct("page_idx", "line_no").alias("at")).filter(F.length("title") < 60)
+    counts = votes.groupBy(*book, "no", "title").agg(F.count(F.lit(1)).alias("n"), F.min("at").alias("at"))
+    best = counts.groupBy(*book).agg(F.min_by(F.struct("no", "title"), F.struct((-F.col("n")).alias("n"), "at")).alias("voted"))
+    first = F.slice(F.filter(F.transform(lines(F.col("text")), strip), lambda x: x != ""), 1, 5)
+    number = F.filter(first, lambda x: x.rlike("^[0-9]{1,2}$"))
+    words_ = F.filter(first, lambda x: ~x.rlike("^[0-9]+$"))
+    front = pages.filter("page_idx = 0").select(*book, F.coalesce(F.get(number, F.lit(0)).cast("int"), F.lit(1)).alias("no0"), F.coalesce(F.get(words_, F.lit(0)), F.lit("Chapter")).alias("title0"))
+    rows = documents.select(*book, "n_pages").join(best, book, "left").join(front, book, "left")
+    no, title = F.coalesce("voted.no", "no0", F.lit(1)).cast("string"), F.coalesce("voted.title", "title0", F.lit("Chapter"))
+    return rows.select(*book, F.lit("chapter").alias("kind"), no.alias("no"), title.alias("title"), F.lit(0).alias("first_page"), (F.col("n_pages") - 1).cast("int").alias("last_page"))

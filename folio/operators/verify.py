@@ -145,3 +145,25 @@ def flag_kinds(flags: Column) -> tuple[Column, Column]:
     """Warnings, and what is information only."""
     info = F.array(*[F.lit(x) for x in INFORMATION])
     return F.filter(flags, lambda f: ~F.array_contains(info, f)), F.filter(flags, lambda f: F.array_contains(info, f))
+
+
+def needs_image(flags: Column, prefixes: list[str], every: bool = False) -> Column:
+    """Whether a slide's picture is kept: in any case, or if a flag begins with one of the prefixes."""
+    return F.lit(True) if every else F.exists(flags, lambda f: F.greatest(*[F.startswith(f, F.lit(p)) for p in prefixes]) if len(prefixes) > 1 else F.startswith(f, F.lit(prefixes[0])))
+
+
+def first_image(candidates: DataFrame, slide: list[str]) -> DataFrame:
+    """Of several renderings (rank, fill) of a slide the first that is not blank; a slide whose renderings are all blank has none."""
+    return candidates.filter(F.col("fill") > 0.005).groupBy(*slide).agg(F.min("rank").alias("rank"))
+
+
+def text_changes(pages: DataFrame, key: list[str], source: str, output: str, share: float = 0.03, words_: int = 3) -> DataFrame:
+    """Pages that lost or gained more than a share of their words plus a few."""
+    c = coverage(pages, key, source, output)
+    most = F.col("total") * share + words_
+    return c.filter((F.col("missing") > most) | (F.col("extra") > most))
+
+
+def shared_tables(tables: DataFrame, book: list[str]) -> DataFrame:
+    """Table texts that stand in more than one figure of a book."""
+    return tables.groupBy(*book, "table_md").agg(F.count(F.lit(1)).alias("n"), F.min("no").alias("first")).filter("n > 1")
