@@ -9,9 +9,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from folio.functions.text import capital_d, is_complete, lines, normal_line, starts_item, strip, words
+from folio.plans.runtime import checkpointed
 
 EDGE = 3
 LONGEST = 100
+#: Headers of up to so many books (32 lines of 100 characters each at most) are sent to all tasks; more are joined by a shuffle.
+MOST_BOOKS = 20_000
 
 
 def _blank(c: Column) -> Column:
@@ -47,7 +50,9 @@ def running_headers(pages: DataFrame, book: list[str], text: str = "text") -> Da
 def remove_headers(pages: DataFrame, book: list[str], text: str = "text") -> DataFrame:
     """The pages with running headers deleted from their edges; other lines stay as they are."""
     found = running_headers(pages, book, text).groupBy(*book).agg(F.collect_set("header").alias("headers"))  # 32 strings at most
-    found = found.toDF(*[f"header_{b}" for b in book], "headers")
+    found = checkpointed(found.toDF(*[f"header_{b}" for b in book], "headers"))
+    if found.count() <= MOST_BOOKS:  # then the texts stay where they are
+        found = F.broadcast(found)
     joined = pages.join(found, [F.col(b).eqNullSafe(F.col(f"header_{b}")) for b in book], "left")
     rows = F.col("edge_lines")
     gone = lambda x, i: F.array_contains("edges", i) & (F.length(strip(x)) <= LONGEST) & F.array_contains(F.coalesce("headers", F.array().cast("array<string>")), normal_line(x))

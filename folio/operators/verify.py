@@ -16,9 +16,9 @@ def coverage(df: DataFrame, key: list[str], source: str, output: str) -> DataFra
 
     Both texts' words are counted in one sum by (key, word), combined before the shuffle; no join is needed.
     """
-    side = lambda c, s, o: df.select(*key, F.explode_outer(tokens(F.col(c))).alias("word"), F.lit(s).alias("s"), F.lit(o).alias("o"))
-    counts = side(source, 1, 0).union(side(output, 0, 1)).groupBy(*key, "word").agg(F.sum("s").alias("s"), F.sum("o").alias("o"))
-    c = counts.filter("word IS NOT NULL").withColumn("both", F.least("s", "o"))
+    side = lambda c, s, o: F.transform(tokens(F.col(c)), lambda w: F.struct(w.alias("word"), F.lit(s).alias("s"), F.lit(o).alias("o")))
+    both = df.select(*key, F.explode(F.concat(side(source, 1, 0), side(output, 0, 1))).alias("w"))
+    c = both.groupBy(*key, "w.word").agg(F.sum("w.s").alias("s"), F.sum("w.o").alias("o")).withColumn("both", F.least("s", "o"))
     sums = c.groupBy(*key).agg(F.sum("s").alias("total"), F.sum("both").alias("common"), F.sum(F.col("s") - F.col("both")).alias("missing"), F.sum(F.col("o") - F.col("both")).alias("extra"))
     return sums.withColumn("coverage", F.when(F.col("total") == 0, 1.0).otherwise(F.col("common") / F.col("total")))
 
