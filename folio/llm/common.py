@@ -92,7 +92,7 @@ def utf8(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return all_bytes[at[0] : at[-1]], at - at[0]
 
 
-def pieces(col: pa.Array, most: int = 1 << 21):
+def pieces(col: pa.Array, most: int = 1 << 19):
     """Yields (first row, bytes, offsets) of runs of rows with about `most` bytes each, one row at least."""
     data, at = utf8(col)
     i, n = 0, len(at) - 1
