@@ -21,10 +21,15 @@ def _blank(c: Column) -> Column:
     return strip(c) == ""
 
 
+def _edges(rows: Column, n: int) -> Column:
+    """The first and last n lines that are not blank, as structs of place (from 0) and line; rows is read once, not once a line."""
+    filled = F.filter(F.transform(rows, lambda x, i: F.struct(i.alias("i"), x.alias("x"))), lambda s: ~_blank(s["x"]))
+    return F.concat(F.slice(filled, 1, n), F.reverse(F.slice(F.reverse(filled), 1, n)))
+
+
 def edge_places(rows: Column, n: int) -> Column:
-    """Places (from 0) of the first and last n lines that are not blank."""
-    filled = F.filter(F.sequence(F.lit(0), F.size(rows) - 1), lambda i: ~_blank(F.get(rows, i)))
-    return F.array_distinct(F.concat(F.slice(filled, 1, n), F.reverse(F.slice(F.reverse(filled), 1, n))))
+    """Places of the first and last n lines that are not blank."""
+    return F.array_distinct(F.transform(_edges(rows, n), lambda s: s["i"]))
 
 
 def exploded_lines(df: DataFrame, key: str, text: str = "text") -> DataFrame:
@@ -38,7 +43,7 @@ def running_headers(pages: DataFrame, book: list[str], text: str = "text") -> Da
     One count with map-side sums; a book has at most 32 such lines, since a page offers 6 and a line needs max(3, n / 4).
     """
     rows = lines(F.col(text))
-    edges = F.array_distinct(F.transform(edge_places(rows, EDGE), lambda i: F.get(rows, i)))
+    edges = F.array_distinct(F.transform(_edges(rows, EDGE), lambda s: s["x"]))
     short = pages.select(*book, F.explode(edges).alias("line")).filter(F.length(strip(F.col("line"))) <= LONGEST)
     counts = short.groupBy(*book, normal_line(F.col("line")).alias("header")).agg(F.count(F.lit(1)).alias("n_pages"))
     sizes = pages.groupBy(*book).agg(F.count(F.lit(1)).alias("book_pages"))
@@ -65,8 +70,9 @@ def remove_page_numbers(pages: DataFrame, text: str = "text", printed: str = "pr
     number = F.col(printed).cast("string")
     hit = lambda x: x.rlike(r"^\s*[0-9]+\b|\b[0-9]+\s*$") & ((F.regexp_extract(x, r"^\s*([0-9]+)(?:\s|$)", 1) == number) | (F.regexp_extract(x, r"(?:^|\s)([0-9]+)\s*$", 1) == number))
     rows = lines(F.col(text))
-    keep = F.filter(rows, lambda x, i: ~(F.array_contains(edge_places(rows, 2), i) & (F.length(strip(x)) <= LONGEST) & hit(x)))
-    return pages.withColumn(text, F.when(F.col(printed).isNull(), F.col(text)).otherwise(F.array_join(keep, "\n")))
+    edged = pages.withColumn("page_edges", edge_places(rows, 2))
+    keep = F.filter(rows, lambda x, i: ~(F.array_contains("page_edges", i) & (F.length(strip(x)) <= LONGEST) & hit(x)))
+    return edged.withColumn(text, F.when(F.col(printed).isNull(), F.col(text)).otherwise(F.array_join(keep, "\n"))).drop("page_edges")
 
 
 CAPTION = r"^(?:Figure|Table)\s+(?:[0-9]+|[A-Z])\.[0-9]+\w*\s+[A-Z“\"(]"
