@@ -59,10 +59,12 @@ def remove_headers(pages: DataFrame, book: list[str], text: str = "text") -> Dat
     if found.count() <= MOST_BOOKS:  # then the texts stay where they are
         found = F.broadcast(found)
     joined = pages.join(found, [F.col(b).eqNullSafe(F.col(f"header_{b}")) for b in book], "left")
-    rows = F.col("edge_lines")
-    gone = lambda x, i: F.array_contains("edges", i) & (F.length(strip(x)) <= LONGEST) & F.array_contains(F.coalesce("headers", F.array().cast("array<string>")), normal_line(x))
-    cleaned = joined.withColumn("edge_lines", lines(F.col(text))).withColumn("edges", edge_places(rows, EDGE))
-    return cleaned.withColumn(text, F.array_join(F.filter(rows, lambda x, i: ~gone(x, i)), "\n")).select(*pages.columns)
+    rows = lines(F.col(text))
+    known = F.coalesce("headers", F.array().cast("array<string>"))
+    gone = F.filter(_edges(rows, EDGE), lambda s: (F.length(strip(s["x"])) <= LONGEST) & F.array_contains(known, normal_line(s["x"])))
+    # places make the lines distinct; nothing is computed anew for each line
+    kept = F.array_except(F.transform(rows, lambda x, i: F.struct(i.alias("i"), x.alias("x"))), gone)
+    return joined.withColumn(text, F.array_join(F.transform(kept, lambda s: s["x"]), "\n")).select(*pages.columns)
 
 
 def remove_page_numbers(pages: DataFrame, text: str = "text", printed: str = "printed_no") -> DataFrame:
