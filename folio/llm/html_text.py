@@ -6,6 +6,10 @@ styles, templates, `hidden`, `display: none`, closed details and dialogs) are le
 put on lines of their own, paragraphs are set apart by a blank line, list items get a mark and an indent by depth, and the cells of a table
 stand in aligned columns.
 
+SVG and MathML are read by their own rules: any element may close itself (<svg/>), no text is raw, CDATA is text, and an HTML block ends what
+is open of them. Of SVG the drawn text is shown (text elements and foreign objects), of MathML all but annotations and phantoms. Text that SVG
+draws only through <use> or a pattern is left out.
+
 Edge cases: null gives null; an empty page gives an empty text. Malformed markup never fails: a stray end tag is ignored, an open comment
 ends the page, a lone < is text. Nesting of any depth is walked without recursion, but below DEEPEST levels elements are put beside their
 parent. Repeated rows are kept; an input column named like the output is replaced.
@@ -27,10 +31,17 @@ DEEPEST = 400
 #: Cells up to this width set the width of their column; longer ones overflow it.
 WIDEST = 60
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-RAW = set("script style textarea title noscript template iframe noembed noframes xmp svg math".split())
-HIDDEN = set("head script style title noscript template iframe noembed noframes datalist audio video canvas object svg math rp area base link meta param source track embed".split())
+RAW = set("script style textarea title noscript template iframe noembed noframes xmp".split())
+HIDDEN = set("head script style title noscript template iframe noembed noframes datalist audio video canvas object rp area base link meta param source track embed".split())
 BLOCKS = set("html body address article aside blockquote center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr legend li main menu nav ol optgroup option p pre search section summary table tbody td tfoot th thead tr ul caption".split())
 SPACED = set("p h1 h2 h3 h4 h5 h6 ul ol dl table pre blockquote figure menu".split())
+#: Of SVG and MathML: what is never drawn, whose text SVG draws, parts of a formula that stand apart, and where HTML's rules hold again.
+UNDRAWN = set("title desc defs metadata script style annotation annotation-xml symbol clippath mask marker pattern lineargradient radialgradient filter mphantom".split())
+DRAWN = set("text tspan textpath a foreignobject".split())
+APART = set("mfrac mroot munder mover munderover mtable mtr mlabeledtr".split())
+HTML_WITHIN = {"svg": set("foreignobject desc title".split()), "math": set("mi mo mn ms mtext".split())}
+#: HTML tags that end open SVG and MathML.
+BREAKS = set("b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta nobr ol p pre ruby s small span strong strike sub sup table tt u ul var".split())
 #: What closes an open <p>.
 ENDS_P = BLOCKS - set("html body tr td th thead tbody tfoot caption option optgroup".split())
 #: New tag: what it closes, and where the search for it stops.
@@ -55,16 +66,33 @@ _SPACE = re.compile(r"[ \t\n\r\f]+")
 
 
 class Node:
-    __slots__ = ("attrs", "children", "tag")
+    __slots__ = ("attrs", "children", "ns", "tag")
 
-    def __init__(self, tag: str, attrs: dict | None = None) -> None:
-        self.tag, self.attrs, self.children = tag, attrs or {}, []
+    def __init__(self, tag: str, attrs: dict | None = None, ns: str = "") -> None:
+        self.tag, self.attrs, self.children, self.ns = tag, attrs or {}, [], ns  # ns: svg, math, or empty for HTML
 
     def number(self, name: str, most: int) -> int:
         value = self.attrs.get(name, "")
         return min(most, max(1, int(value))) if value.isascii() and value.isdigit() and len(value) < 6 else 1
 
 
+def foreign(top: Node, tag: str) -> bool:
+    """Whether a new tag within top is one of SVG or MathML."""
+    if not top.ns:
+        return False
+    if top.tag in HTML_WITHIN[top.ns]:
+        return top.ns == "math" and tag in ("mglyph", "malignmark")
+    return not (top.ns == "math" and top.tag == "annotation-xml" and (tag == "svg" or top.attrs.get("encoding", "").lower() in ("text/html", "application/xhtml+xml")))
+
+
+def self_closing(text: str) -> bool:
+    """Whether the slash at the end of a tag's text closes it, and is not the end of an unquoted value."""
+    if text[-1:] != "/":
+        return False
+    start = max(text.rfind(c) for c in " \t\n\r\f\"'") + 1
+    return "=" not in text[start:] and not text[:start].rstrip().endswith("=")
+
+
 def tree(page: str) -> Node:
     """The page's elements; a child is a Node or a text."""
     root = Node("#root")
@@ -85,9 +113,16 @@ def tree(page: str) -> Node:
                 tags = tags - {"li", "option"}  # these close one of their kind
                 if not tags:
                     return
-            elif stack[i].tag in until:
+            elif stack[i].tag in until or stack[i].ns:
                 return
 
+    def leave() -> None:
+        """Closes SVG and MathML down to where HTML's rules hold."""
+        i = len(stack)
+        while foreign(stack[i - 1], "p"):
+            i -= 1
+        cut(i)
+
     while at < len(page):
         m = _MARKUP.search(page, at, last) if at < last else None
         if not m:
@@ -102,8 +137,14 @@ def tree(page: str) -> Node:
             break
         tag = (m[2] or m[5] or "").lower()
         if not tag:
+            if stack[-1].ns and m[0].startswith("<![CDATA[") and foreign(stack[-1], ""):
+                end = page.find("]]>", m.start())
+                stack[-1].children.append(page[m.start() + 9 : end if end >= 0 else len(page)])
+                at = end + 3 if end >= 0 else len(page)
             continue
         if m[1] or m[4]:
+            if tag in ("p", "br"):
+                leave()
             if tag == "br":
                 stack[-1].children.append(Node("br"))
             for i in range(len(stack) - 1, 0, -1) if count[tag] > 0 else ():
@@ -115,6 +156,15 @@ def tree(page: str) -> Node:
             continue
         text = m[3] or m[6] or ""
         attrs = {k.lower(): unescape(a or b or c) for k, a, b, c in reversed(_ATTRIBUTE.findall(text))} if text.strip(" /") else {}
+        if stack[-1].ns and foreign(stack[-1], tag):
+            if tag in BREAKS or tag == "font" and attrs.keys() & {"color", "face", "size"}:
+                leave()
+            else:
+                stack[-1].children.append(Node(tag, attrs, stack[-1].ns))
+                if len(stack) < DEEPEST and not self_closing(text):
+                    stack.append(stack[-1].children[-1])
+                    count[tag] += 1
+                continue
         if tag in ENDS_P:
             close({"p"}, {"table", "td", "th", "button", "caption", "object"})
         if tag in CLOSES:
@@ -123,7 +173,7 @@ def tree(page: str) -> Node:
             stack[-1].children.append(Node("tr"))
             stack.append(stack[-1].children[-1])
             count["tr"] += 1
-        node = Node(tag, attrs)
+        node = Node(tag, attrs, tag if tag in HTML_WITHIN else "")
         stack[-1].children.append(node)
         if tag in RAW:
             lower = lower or page.lower()
@@ -136,7 +186,7 @@ def tree(page: str) -> Node:
             if end >= 0:
                 stop = page.find(">", end)
                 at = len(page) if stop < 0 else stop + 1
-        elif tag not in VOID and len(stack) < DEEPEST:
+        elif tag not in VOID and len(stack) < DEEPEST and not (node.ns and self_closing(text)):
             stack.append(node)
             count[tag] += 1
     return root
@@ -144,7 +194,12 @@ def tree(page: str) -> Node:
 
 def visible(node: Node, parent: Node) -> bool:
     a = node.attrs
-    if node.tag in HIDDEN or "hidden" in a or "style" in a and _GONE.search(a["style"]) or node.tag == "input":
+    if node.ns:
+        if node.tag in UNDRAWN or a.get("display") == "none" or node.ns == "svg" and a.get("visibility") in ("hidden", "collapse"):
+            return False
+        if "style" in a and _GONE.search(a["style"]):
+            return False
+    elif node.tag in HIDDEN or "hidden" in a or "style" in a and _GONE.search(a["style"]) or node.tag == "input":
         return False
     if node.tag == "dialog" and "open" not in a:
         return False
@@ -207,10 +262,13 @@ def _block(root: Node) -> list[str]:
             if tag in ("li", "dd", "blockquote"):
                 out.indent, out.mark = parent, ""
             continue
+        if what == "gap":
+            out.gap = True
+            continue
         if isinstance(node, str):
             if parent.tag in ("table", "tbody", "thead", "tfoot", "tr", "ul", "ol", "select") and not node.strip(" \t\n\r\f"):
                 continue
-            if parent.tag == "details" and "open" not in parent.attrs:
+            if parent.tag == "details" and "open" not in parent.attrs or parent.ns == "svg" and parent.tag not in DRAWN:
                 continue
             if parent.tag in ("pre", "textarea", "xmp"):
                 *whole, open_line = node.replace("\r\n", "\n").split("\n")
@@ -226,7 +284,19 @@ def _block(root: Node) -> list[str]:
         if not visible(node, parent):
             continue
         tag = node.tag
-        if tag == "br":
+        if node.ns:
+            if node.ns == "svg" and tag in ("tspan", "textpath", "a") and parent.tag not in DRAWN:
+                node.tag = tag = "g"  # text is drawn within a text element only
+            apart = node.ns == "svg" and (tag in ("text", "foreignobject") or tag == "tspan" and not node.attrs.keys().isdisjoint({"x", "y", "dy"}))
+            block = tag == "math" and node.attrs.get("display", "").lower() == "block"
+            if block:
+                out.line()
+            out.gap |= apart
+            todo += [("close", node, out.indent)] if block else [("gap", node, parent)] if apart else []
+            children = [c for c in node.children if not isinstance(c, str)][:1] if tag in ("semantics", "maction") else node.children  # these show their first part
+            steps = [step for child in reversed(children) for step in (("open", child, node), ("gap", node, parent))]
+            todo += steps[:-1] if node.ns == "math" and tag in APART else steps[::2]
+        elif tag == "br":
             out.put("".join(out.now)) if out.now else None if out.mark or not out.done or out.blank else out.put("")
             out.now, out.gap = [], False
         elif tag == "table":
@@ -250,7 +320,7 @@ def _block(root: Node) -> list[str]:
             todo.append(("close", node, before))
             todo += [("open", child, node) for child in reversed(node.children)]
         else:
-            if parent.tag == "pre":  # markup within preformatted text keeps it preformatted
+            if parent.tag == "pre" and not parent.ns:  # markup within preformatted text keeps it preformatted
                 node.tag = "pre"
             todo += [("open", child, node) for child in reversed(node.children)]
     out.line()

@@ -351,6 +351,24 @@ def test_layout(page, want):
     assert html_text.extract(page) == want
 
 
+@pytest.mark.parametrize(
+    ("page", "want"),
+    [
+        ("<p>a <svg width=1 /> b</p><svg/><math/>c", "a b\n\nc"),
+        ("x<svg viewBox='0 0 9 9'/>between<svg></svg>y", "xbetweeny"),
+        ("<svg><title>t</title><defs><text>d</text></defs><style>a > b {}</style><text x=1>one</text><text>two<tspan dy=1>three</tspan></text>junk</svg> z", "one two three z"),
+        ("<svg><a><text>linked</text></a><metadata>m<x/>n</metadata><path d=M0/><text>in a path</text></path></svg><p>out", "linked in a path\n\nout"),
+        ("so <math><mi>x</mi><mo>=</mo><mfrac><mn>1</mn><mn>2</mn></mfrac></math>.", "so x=1 2."),
+        ("<math><semantics><mi>E</mi><annotation encoding='application/x-tex'>\\\\E</annotation></semantics></math>", "E"),
+        ("<svg><foreignObject><p>first<p>second</foreignObject></svg>after", "first\n\nsecond\n\nafter"),
+        ("<svg><defs><g><p>a block ends it</p><title>t</title>b", "a block ends it\n\nb"), ("<p>a<svg><desc><p>no</p></desc></svg>b", "ab"),
+        ("<svg><text><![CDATA[a > b]]></text></svg>c", "a > b c"), ("<svg hidden><text display='none'>n</text><text>y</text></svg>", "y"),
+    ],
+)
+def test_svg_and_math(page, want):
+    assert html_text.extract(page) == want
+
+
 def test_html_odd_input(spark):
     for bad in ('<a "' * 30_000, "<div>" * 30_000 + "x", "<table><tr><td>" * 300 + "x", "<" * 100_000, "<!--" * 30_000, "<ul><li>" * 5000):
         html_text.extract(bad)
