@@ -6,11 +6,15 @@ joined by hash with those of every whole document. A match on one diagonal (same
 Its slots (placeholders) must be consistent: each value of the item maps to one value in the document, as when a question is re-told with
 other numbers, names or units. A document holds an item if consistent occurrences cover at least `coverage` of the item's windows.
 
+Templates need LEAST literal words a window. So that copies of any item are found, also of sums and lists of names, all texts are windowed a
+second time by their literal tokens, without placeholders; a document also holds an item if these cover at least `coverage` of it.
+
 The benchmark's distinct window hashes go to all tasks if they are at most MOST_SENT; otherwise all documents' windows are shuffled and
 joined. Both ways give the same rows. Matches are few, and are grouped by document, item and diagonal.
 
 Edge cases: null and empty texts, on either side, match nothing; an item of fewer than WINDOW tokens is one window, and one of fewer than
-LEAST tokens, or whose windows all hold fewer than LEAST literal words, is not looked for. Rows sharing a doc_id count as one document; a
+LEAST tokens, or whose windows all hold fewer than LEAST literal words, is looked for literally only, be it a single word; an item without
+letters and digits cannot be found. Punctuation and small or capital letters make no difference. Rows sharing a doc_id count as one document; a
 document without id cannot be reported and is kept by `clean`. Repeated items count once. Empty tables give no rows.
 """
 
@@ -25,6 +29,8 @@ from folio.llm.common import LOWER, mix, pieces, sent_if_small, small_batches, s
 
 WINDOW = 8
 LEAST = 4
+#: Added to a window's size in the hash of literal ones, which templates never meet.
+LITERAL = 1000
 MOST_SENT = 4_000_000
 #: Units that stand after a number.
 UNITS = "mm cm m km in ft yd mi mg g kg t lb oz ml cl l gal s sec min h hr hrs day days week weeks month months year years second seconds minute minutes hour hours meter meters metre metres kilometer kilometers kilometre kilometres gram grams kilogram kilograms liter liters litre litres inch inches foot feet yard yards mile miles pound pounds ounce ounces dollar dollars euro euros cent cents eur usd gbp kmh mph percent degrees".split()
@@ -62,10 +68,10 @@ def member(x: np.ndarray, table: np.ndarray) -> np.ndarray:
 
 
 def template(data: np.ndarray, at: np.ndarray):
-    """Token hashes with placeholders, whether each is a placeholder, start, end and row of each token."""
+    """Token hashes with placeholders, whether each is a placeholder, start, end and row of each token; and the same of the literal tokens."""
     empty = np.zeros(0, np.int64)
     if not len(data):
-        return empty.astype(np.uint64), empty.astype(bool), empty, empty, empty
+        return [(empty.astype(np.uint64), empty.astype(bool), empty, empty, empty)] * 2
     digit = _DIGIT[data]
     inside = _INSIDE[data]
     joins = np.zeros(len(data), bool)  # 3.5 and 1,000 are one number
@@ -92,18 +98,19 @@ def template(data: np.ndarray, at: np.ndarray):
     name = capital[start] & (upper[end] - upper[start] == 1) & (end - start > 1) & ~first & ~number
     go_on = np.zeros(len(start), bool)
     go_on[1:] = name[1:] & name[:-1]
+    plain = word_hashes(low, start, end), np.zeros(len(start), bool), start, end, row
     keep = np.flatnonzero(~go_on)
     end = end[np.concatenate([keep[1:], [len(end)]]) - 1] if len(keep) else end
     start, row, number, name = start[keep], row[keep], number[keep], name[keep]
-    token = word_hashes(low, start, end)
+    token = word_hashes(low, start, end) if go_on.any() else plain[0].copy()
     unit = np.zeros(len(start), bool)
     unit[1:] = number[:-1] & (row[1:] == row[:-1])
     unit[unit] = member(token[unit], _UNIT_HASHES)
     token[number], token[name], token[unit] = _NUMBER, _NAME, _UNIT
-    return token, number | name | unit, start, end, row
+    return (token, number | name | unit, start, end, row), plain
 
 
-def windows(token: np.ndarray, slot: np.ndarray, row: np.ndarray, n: int, size: int, whole: bool = False):
+def windows(token: np.ndarray, slot: np.ndarray, row: np.ndarray, n: int, size: int, whole: bool = False, literally: bool = False):
     """Hash and first token of each window of `size` tokens in a row; whole: only of rows that have just so many tokens."""
     count = np.bincount(row, minlength=n)
     first = np.cumsum(count) - count
@@ -111,72 +118,75 @@ def windows(token: np.ndarray, slot: np.ndarray, row: np.ndarray, n: int, size:
     if whole:
         ok &= count[row] == size
     begin = np.flatnonzero(ok)
-    literal = np.concatenate([[0], np.cumsum(~slot)])
-    begin = begin[literal[begin + size] - literal[begin] >= LEAST]
-    h = np.full(len(begin), size, np.uint64)
+    if not literally:
+        literal = np.concatenate([[0], np.cumsum(~slot)])
+        begin = begin[literal[begin + size] - literal[begin] >= LEAST]
+    h = np.full(len(begin), size + (LITERAL if literally else 0), np.uint64)
     for j in range(size):
         h = mix(h * np.uint64(0x9FB21C651E98DF25) + token[begin + j])
     return h, begin
 
 
 def _emit(size_of, keep):
-    """(id, text) batches to (id, first token's place, hash, slots); size_of: window sizes, and whether short texts are windows."""
-    schema = pa.schema([("id", pa.int64()), ("place", pa.int32()), ("hash", pa.int64()), ("n", pa.int32()), ("slots", pa.list_(pa.string()))])
+    """(id, text) batches to (id, first token's place, hash, slots, size, literally); size_of: (size, whether whole short texts only, literally)."""
+    schema = pa.schema([("id", pa.int64()), ("place", pa.int32()), ("hash", pa.int64()), ("slots", pa.list_(pa.string())), ("size", pa.int32()), ("literally", pa.bool_())])
 
     def emit(batches):
         for b in batches:
             ids = b.column(0)
             for lead, data, at in pieces(b.column(1)):
-                token, slot, start, end, row = template(data, at)
                 n = len(at) - 1
-                count = np.bincount(row, minlength=n)
-                first = np.cumsum(count) - count
-                for size, whole in size_of:
-                    h, begin = windows(token, slot, row, n, size, whole)
-                    if keep is not None:
-                        hit = member(h, keep)
-                        h, begin = h[hit], begin[hit]
-                    if not len(h):
-                        continue
-                    values = [[data[start[i] : end[i]].tobytes().decode("utf-8", "replace") for i in range(g, g + size) if slot[i]] for g in begin.tolist()]
-                    r = row[begin]
-                    yield pa.RecordBatch.from_arrays([ids.take(pa.array(r + lead)), pa.array((begin - first[r]).astype(np.int32)), pa.array(h.view(np.int64)), pa.array((np.maximum(1, count[r] - size + 1)).astype(np.int32)), pa.array(values, pa.list_(pa.string()))], schema=schema)
+                for literally, (token, slot, start, end, row) in enumerate(template(data, at)):
+                    count = np.bincount(row, minlength=n)
+                    first = np.cumsum(count) - count
+                    for size, whole in [(size, whole) for size, whole, how in size_of if how == literally]:
+                        h, begin = windows(token, slot, row, n, size, whole, bool(literally))
+                        if keep is not None:
+                            hit = member(h, keep)
+                            h, begin = h[hit], begin[hit]
+                        if not len(h):
+                            continue
+                        values = [[]] * len(begin) if literally else [[data[start[i] : end[i]].tobytes().decode("utf-8", "replace") for i in range(g, g + size) if slot[i]] for g in begin.tolist()]
+                        r = row[begin]
+                        yield pa.RecordBatch.from_arrays([ids.take(pa.array(r + lead)), pa.array((begin - first[r]).astype(np.int32)), pa.array(h.view(np.int64)), pa.array(values, pa.list_(pa.string())), pa.array(np.full(len(h), size, np.int32)), pa.array(np.full(len(h), bool(literally)))], schema=schema)
 
     return emit
 
 
-SCHEMA = "id long, place int, hash long, n int, slots array<string>"
+SCHEMA = "id long, place int, hash long, slots array<string>, size int, literally boolean"
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", key: str = "doc_id", item_text: str = "text", item_key: str = "item_id", coverage: float = 0.5, consistency: float = 0.8) -> DataFrame:
     """One row for each document and item it holds: key, item_key, windows (of the item found), coverage, slots and slots_kept (consistent)."""
     small_batches()
     items = benchmark.filter(F.col(item_key).isNotNull()).select(F.col(item_key).cast("long").alias("id"), F.col(item_text).alias("text")).distinct()
-    sizes = [(WINDOW, False), *((s, True) for s in range(LEAST, WINDOW))]
+    sizes = [(WINDOW, False, False), *((s, True, False) for s in range(LEAST, WINDOW)), (WINDOW, False, True), *((s, True, True) for s in range(1, WINDOW))]
     index = staged(items.mapInArrow(_emit(sizes, None), SCHEMA), "items")
     hashes = index.select("hash").distinct()
-    short = [(s, False) for s in range(LEAST, WINDOW)] if index.filter("n = 1").count() else []  # short items are looked for anywhere
-    looked = [(WINDOW, False), *short]
+    looked = [(r["size"], False, r["literally"]) for r in index.select("size", "literally").distinct().collect()]  # short items are looked for anywhere
     own = docs.filter(F.col(key).isNotNull()).select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
     if hashes.count() <= MOST_SENT:
         known = np.sort(np.array([r[0] for r in hashes.collect()], np.int64).view(np.uint64))
         found = own.mapInArrow(_emit(looked, known), SCHEMA)
     else:
         found = own.mapInArrow(_emit(looked, None), SCHEMA)
-    i = index.select(F.col("id").alias("item"), F.col("place").alias("item_place"), "hash", F.col("n").alias("item_windows"), F.col("slots").alias("item_slots"))
+    i = index.select(F.col("id").alias("item"), F.col("place").alias("item_place"), "hash", "literally", F.col("slots").alias("item_slots"))
     met = found.select("id", "place", "hash", "slots").join(i, "hash").withColumn("diagonal", F.col("place") - F.col("item_place"))
     met = staged(met.withColumnRenamed("slots", "doc_slots"), "met")
-    at = ["id", "item", "diagonal"]
+    at = ["id", "item", "literally", "diagonal"]
     # each slot of an occurrence is seen in several windows; it counts in each of them
     pairs = met.select(*at, F.explode(F.arrays_zip("item_slots", "doc_slots")).alias("s")).groupBy(*at, "s").agg(F.count(F.lit(1)).alias("c"))
     by_value = pairs.groupBy(*at, F.col("s.item_slots").alias("v")).agg(F.sum("c").alias("all"), F.max("c").alias("most"))
     kept = by_value.groupBy(*at).agg(F.sum("all").alias("slots"), F.sum("most").alias("slots_kept"))
     good = met.join(kept, at, "left").filter(F.col("slots").isNull() | (F.col("slots_kept") >= consistency * F.col("slots")))
-    per_item = index.groupBy(F.col("id").alias("item")).agg(F.countDistinct("place").alias("total"))
-    once = good.groupBy("id", "item", "item_place").agg(F.max(F.coalesce("slots", F.lit(0))).alias("slots"), F.max(F.coalesce("slots_kept", F.lit(0))).alias("slots_kept"))
-    whole = once.groupBy("id", "item").agg(F.count(F.lit(1)).alias("windows"), F.max("slots").alias("slots"), F.max("slots_kept").alias("slots_kept"))
+    per_item = index.groupBy(F.col("id").alias("item"), "literally").agg(F.countDistinct("place").alias("total"))
+    once = good.groupBy("id", "item", "literally", "item_place").agg(F.max(F.coalesce("slots", F.lit(0))).alias("slots"), F.max(F.coalesce("slots_kept", F.lit(0))).alias("slots_kept"))
+    whole = once.groupBy("id", "item", "literally").agg(F.count(F.lit(1)).alias("windows"), F.max("slots").alias("slots"), F.max("slots_kept").alias("slots_kept"))
     share = F.col("windows") / F.col("total")
-    return whole.join(per_item, "item").filter(share >= coverage).select(F.col("id").alias(key), F.col("item").alias(item_key), "windows", share.alias("coverage"), "slots", "slots_kept")
+    held = whole.join(per_item, ["item", "literally"]).filter(share >= coverage)
+    # found in both ways: the template's figures
+    one = held.groupBy("id", "item").agg(F.min_by(F.struct("windows", share.alias("coverage"), "slots", "slots_kept"), "literally").alias("h"))
+    return one.select(F.col("id").alias(key), F.col("item").alias(item_key), "h.windows", "h.coverage", "h.slots", "h.slots_kept")
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", **how) -> DataFrame:

@@ -297,6 +297,19 @@ def test_leaks_with_other_values(spark):
     assert decontam.leaks(docs.limit(0), items).count() == 0 and decontam.leaks(docs, items.limit(0)).count() == 0
 
 
+def test_leaks_of_numbers_names_and_short_items(spark, monkeypatch):
+    texts = {1: "Compute 12 + 7 * 3 - 4", 2: "12 15 18 21 24 27 30 33 36 39", 3: "Ask Anna Berg, Carl Dorn, Emil Falk, Gert Holm, Ines Jung and Karl Lind", 4: "Paris or Rome?", 5: "xylem", 6: "Water boils at high heat in open pans"}
+    lead, tail = "As John Smith wrote to Mary Jones: ", " (see 5 and 6) he said."
+    docs = [(i, lead + t + tail) for i, t in texts.items()] + [(10, "Compute 12 + 8 * 3 - 4"), (11, "Carl Dorn saw Paris, then Rome"), (12, "12 15 18 and 33 36 39"), (13, texts[3].upper().replace(" ", "\n"))]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    items = spark.createDataFrame([*texts.items(), (7, "+ - *"), (8, "")], "item_id long, text string")
+    want = {(i, i) for i in texts} | {(13, 3)}
+    assert {(r.doc_id, r.item_id) for r in decontam.leaks(df, items).collect()} == want
+    assert sorted(r.doc_id for r in decontam.clean(df, items).collect()) == [10, 11, 12]
+    monkeypatch.setattr(decontam, "MOST_SENT", 0)
+    assert {(r.doc_id, r.item_id) for r in decontam.leaks(df, items).collect()} == want
+
+
 def test_both_ways_of_joining_agree(spark, monkeypatch):
     docs, items = spark.read.parquet(f"{DATA}/documents.parquet"), spark.read.parquet(f"{DATA}/benchmark.parquet")
     a = sorted(map(tuple, decontam.leaks(docs, items).collect()))
