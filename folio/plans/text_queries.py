@@ -190,6 +190,12 @@ def capitals_restored(spark, sf):
     return docs.select("doc_id", capital_d(F.col("text")).alias("text"))
 
 
+@query()
+def capitals_restored_everywhere(spark, sf):
+    """All documents, also those with do at a start and null texts, which the SQL of capitals_restored leaves out."""
+    return table(spark, sf, "documents").select("doc_id", capital_d(F.col("text")).alias("text"))
+
+
 @query("SELECT * FROM (VALUES (1::BIGINT, 'haza', 'rd', 'hazard'), (1, 'sys', 'tem', 'system')) t(deck_id, \"left\", \"right\", joined)")
 def split_word_pairs(spark, sf):
     return vocab.split_words(frame(spark, "fx_torn"), ["deck_id"])

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import random
+import re
 
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from folio import queries
 from folio.functions.text import capital_d, content_words, escape_block, is_complete, join_lines, odd_case, safe_name
 from folio.operators import figures, pack, slides, structure, textclean, verify, vocab
 from folio.plans.fixtures import frame
@@ -111,6 +113,19 @@ def test_coverage_of_null_and_empty(spark):
     assert 3 not in rows  # no words on either side
 
 
+def test_capitals_restored_in_all_documents(spark, tmp_path):
+    texts = [None, "", "do it. does it? doi:10.1/x. done\ndocument\ndoi 7\n- do not\n1. doing", "x do. dx. den", "doit. doing! doi", "do"]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+
+    def plain(text):
+        for start in (r"(^|\n)(\s*(?:[-*]\s+|\d+\.\s+)?)", r"([.!?] )()"):
+            text = re.sub(start + r"d([a-z]{2,})", lambda m: m[0] if m[3].startswith("oi") and len(m[3]) == 2 else f"{m[1]}{m[2]}D{m[3]}", text)
+        return text
+
+    got = {r.doc_id: r.text for r in queries.QUERIES["capitals_restored_everywhere"](spark, str(tmp_path)).collect()}
+    assert got == {i: t if t is None else plain(t) for i, t in enumerate(texts)}
+
+
 def test_split_words_repaired(spark):
     rows = vocab.repair_split_words(frame(spark, "fx_torn"), ["deck_id"], ["pos"]).collect()
     texts = {(r.deck_id, r.pos): r.text for r in rows}
