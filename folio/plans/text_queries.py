@@ -219,6 +219,13 @@ def edit1_fix(spark, sf):
     return vocab.one_edit_fixes(v.filter("n <= 1"), v.filter("n >= 5"))
 
 
+@query()
+def edit1_fix_every_letter(spark, sf):
+    """The whole vocabulary, with edits by character; the SQL of edit1_fix measures bytes and keeps to a-z."""
+    v = vocab.vocabulary(table(spark, sf, "documents"), [])
+    return vocab.one_edit_fixes(v.filter("n <= 1"), v.filter("n >= 5"))
+
+
 @query(rf"""WITH {EDIT}, cuts AS (SELECT word, unnest(range(2, length(word) - 1)) AS cut FROM rare WHERE length(word) >= 6),
 both_ AS (SELECT c.word, c.cut, l.word AS l, r.word AS r, least(l.n, r.n) AS s FROM cuts c JOIN known l ON l.word = substr(c.word, 1, c.cut) JOIN known r ON r.word = substr(c.word, c.cut + 1)),
 best AS (SELECT *, row_number() OVER (PARTITION BY word ORDER BY s DESC, cut) AS i FROM both_) SELECT word, l AS "left", r AS "right" FROM best WHERE i = 1""")

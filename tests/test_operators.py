@@ -126,6 +126,23 @@ def test_capitals_restored_in_all_documents(spark, tmp_path):
     assert got == {i: t if t is None else plain(t) for i, t in enumerate(texts)}
 
 
+def one_edit(a, b):
+    letters = set(a + b)
+    near = {a[:i] + a[i + 1 :] for i in range(len(a))} | {a[:i] + c + a[j:] for i in range(len(a) + 1) for j in (i, i + 1) for c in letters}
+    return a != b and b in near
+
+
+def test_edits_of_words_with_any_letter(spark, tmp_path):
+    often = ["größen", "straße", "niñera", "garçon", "planet", "plänet", "schönes", "häuser2"]
+    once = ["grössen", "größem", "strase", "niñerá", "garcon", "plonet", "planets", "schones", "häuser3", "überall"]
+    text = " ".join(often * 5 + once)
+    spark.createDataFrame([(1, text)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    fixes = {w: [k for k in often if one_edit(w, k)] for w in once if len(w) >= 6}
+    want = {w: k[0] for w, k in fixes.items() if len(k) == 1}
+    got = {r.word: r.fixed for r in queries.QUERIES["edit1_fix_every_letter"](spark, str(tmp_path)).collect()}
+    assert got == want and "plonet" not in got and {"garcon", "größem", "schones"} <= set(got)
+
+
 def test_split_words_repaired(spark):
     rows = vocab.repair_split_words(frame(spark, "fx_torn"), ["deck_id"], ["pos"]).collect()
     texts = {(r.deck_id, r.pos): r.text for r in rows}
