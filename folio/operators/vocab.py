@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,15 +40,40 @@ def split_words(df: DataFrame, deck: list[str], text: str = "text") -> DataFrame
     return pairs.join(l, [*deck, "left"], "left").join(r, [*deck, "right"], "left").filter("l OR r").select(*deck, "left", "right", "joined")
 
 
+_TORN = re.compile(r"(?<=[A-Za-z]) (?=[a-z])")
+_HEAD = re.compile(r"[a-z]+")
+
+
+def _rejoin(text: str, pairs: set) -> str:
+    """The text without the spaces that tear one of the pairs apart; one pass, linear in the text."""
+    first, *rest = _TORN.split(text)
+    out, tail = [first], _last(first)
+    for part in rest:
+        last = _last(part)
+        torn = f"{tail} {_HEAD.match(part)[0]}" in pairs
+        out.append(part if torn else f" {part}")
+        tail = tail + last if torn and len(last) == len(part) else last
+    return "".join(out)
+
+
+def _last(part: str) -> str:
+    """The letters at the end, small."""
+    i = len(part)
+    while i and part[i - 1].isascii() and part[i - 1].isalpha():
+        i -= 1
+    return part[i:].lower()
+
+
 def repair_split_words(df: DataFrame, deck: list[str], order: list[str], text: str = "text") -> DataFrame:
     """The texts with torn words joined; a deck's list of pairs is sent to its lines by a join."""
     found = split_words(df, deck, text).groupBy(*deck).agg(F.collect_set(F.concat_ws(" ", "left", "right")).alias("pairs"))
     rows = df.join(found, deck, "left")
-    parts = F.split(F.col(text), r"(?<=[A-Za-z]) (?=[a-z])")
-    tail = lambda s: F.lower(F.regexp_extract(s, "([A-Za-z]+)$", 1))
-    head = lambda s: F.regexp_extract(s, "^([a-z]+)", 1)
-    torn = lambda acc, p: F.array_contains("pairs", F.concat_ws(" ", tail(acc), head(p)))
-    joined = F.aggregate(F.slice(parts, 2, 100_000), F.element_at(parts, 1), lambda acc, p: F.concat(acc, F.when(torn(acc, p), F.lit("")).otherwise(F.lit(" ")), p))
+
+    @F.arrow_udf("string")
+    def rejoined(texts: pa.Array, found: pa.Array) -> pa.Array:
+        return pa.array([t if t is None or p is None else _rejoin(t, set(p)) for t, p in zip(texts.to_pylist(), found.to_pylist(), strict=True)], pa.string())
+
+    joined = rejoined(F.col(text), F.col("pairs"))
     return rows.withColumn(text, F.when(F.col("pairs").isNull(), F.col(text)).otherwise(joined)).select(*df.columns)
 
 

@@ -152,6 +152,13 @@ def test_split_words_repaired(spark):
     assert texts[2, 1] == "haza rd alone"
 
 
+def test_split_words_repaired_in_long_texts(spark):
+    long = "a hazard " + "x y " * 52_000 + "the haza rd end"
+    rows = spark.createDataFrame([(1, 1, long), (1, 2, None), (1, 3, "")], "deck_id long, pos int, text string")
+    got = {r.pos: r.text for r in vocab.repair_split_words(rows, ["deck_id"], ["pos"]).collect()}
+    assert got == {1: long.replace("haza rd", "hazard"), 2: None, 3: ""}
+
+
 def test_offset_needs_votes(spark):
     pages = spark.createDataFrame([(1, i, f"{i - 3}\ntext") for i in range(4, 8)], "doc_id long, page_idx int, text string")
     assert structure.page_offset(pages, ["doc_id"]).count() == 0
