@@ -18,8 +18,8 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long") + 1
-    docs = read(spark, sf_dir, "documents").select("doc_id", size.alias("size"), F.crc32(F.col("text").cast("binary")).alias("text_crc32"))
-    return sharding.shuffle(docs, 16).select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+    shards = sharding.shuffle(read(spark, sf_dir, "documents"), 16)
+    return shards.select("doc_id", size.alias("size"), F.crc32(F.col("text").cast("binary")).alias("text_crc32"), F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -67,6 +67,15 @@ def test_sharding(spark, docs, odd):
     assert sharding.shuffle(odd.limit(0), 3).count() == 0
 
 
+def test_sharding_shuffles_the_texts(spark, monkeypatch):
+    seen, shuffle = [], sharding.shuffle
+    monkeypatch.setattr(sharding, "shuffle", lambda df, *how: seen.append(df.columns) or shuffle(df, *how))
+    rows = queries.op2_sharding(spark, DATA).collect()
+    assert {"doc_id", "text", "lang", "source"} <= set(seen[0])
+    texts = {r.doc_id: (r.text or "").encode() for r in spark.read.parquet(f"{DATA}/documents.parquet").collect()}
+    assert len(rows) == len(texts) and all((r.size, r.text_crc32) == (len(texts[r.doc_id]) + 1, zlib.crc32(texts[r.doc_id])) for r in rows)
+
+
 def test_sharding_is_uniform(spark):
     # the first row's shard and the neighbours of a row are as in a uniform shuffle
     seen = Counter()
