@@ -6,7 +6,8 @@ spacing, two tokens to each side. It is trained from a small labelled table (lab
 the spans it finds that touch no base span: phones without a leading plus, and addresses written out with "at" and "dot".
 
 Edge cases: a null text is empty and has no spans. Spans are in code points, end exclusive. A text may be of any length: the patterns
-never go back over a run, and only triggers' neighbourhoods are tokenised. Repeated rows are kept.
+never go back over a run, and only triggers' neighbourhoods are tokenised. Only 0-9 are digits: raised, circled and other scripts' digits
+are signs like any other. Repeated rows are kept; an empty table gives no rows; input columns named like the outputs are replaced.
 """
 
 from __future__ import annotations
@@ -75,7 +76,7 @@ N_FEATURES = 200
 
 def shape(token: str, spaced: bool) -> list[int]:
     """The numbers of a token's five features."""
-    if token[0].isdigit():
+    if "0" <= token[0] <= "9":
         n = min(len(token), 20)
         return [0, 40 + n, 150, 100 + spaced, 110 + (n if n > 3 or int(token) <= 255 else 21)]
     if token[0].isalpha():
@@ -295,7 +296,7 @@ def decode(field: Field, texts: list[str], places: list[list[tuple[int, int]]],
 def _sensible(kind: int, span: str) -> bool:
     """What a span must hold at least, whatever the field says."""
     if kind == 3:
-        return 7 <= sum(c.isdigit() for c in span) <= 15 and len(span) <= 40 and bool(re.search(r"[0-9][-. ()]+[0-9]", span))
+        return 7 <= sum("0" <= c <= "9" for c in span) <= 15 and len(span) <= 40 and bool(re.search(r"[0-9][-. ()]+[0-9]", span))
     return kind == 0 and len(span) <= 120 and bool(_SPELLED.search(span))
 
 
