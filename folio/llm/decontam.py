@@ -1,28 +1,35 @@
 """Benchmark decontamination by template canonicalisation.
 
 A text becomes a sequence of tokens: lower-cased runs of letters and digits, with typed placeholders for numbers, for units after a number,
-and for names (title-case words inside a sentence; neighbours make one name). Windows of WINDOW tokens are hashed; benchmark windows are
-joined by hash with those of every whole document. A match on one diagonal (same distance between places) is an occurrence of the item.
-Its slots (placeholders) must be consistent: each value of the item maps to one value in the document, as when a question is re-told with
-other numbers, names or units. A document holds an item if consistent occurrences cover at least `coverage` of the item's windows.
+and for names (title-case words; neighbours in a sentence make one name, a sentence's first word may be one). Windows of WINDOW tokens are
+hashed; benchmark windows are joined by hash with those of every whole document.
+
+An occurrence of an item is a stretch of a document: windows of the item on diagonals (distances between the two places) that lie within
+NEAR tokens or half the item of each other, so that words may be put in or left out, but pieces scattered over a text do not add up. Its
+slots (placeholders) must be consistent, as when a question is re-told with other numbers, names or units: each value of the item maps to
+one value in the document, and each name or unit of the document to one of the item (two numbers may become equal by chance). A document
+holds an item if one consistent occurrence covers at least `coverage` of the item's windows.
 
 Templates need LEAST literal words a window. So that copies of any item are found, also of sums and lists of names, all texts are windowed a
 second time by their literal tokens, without placeholders; a document also holds an item if these cover at least `coverage` of it.
 
 The benchmark's distinct window hashes go to all tasks if they are at most MOST_SENT; otherwise all documents' windows are shuffled and
-joined. Both ways give the same rows. Matches are few, and are grouped by document, item and diagonal.
+joined. Both ways give the same rows. A document that holds `need` of an item's n windows holds one of any n - need + 1 of them: candidates
+are met by the windows that fewest items share, so that a phrase of many items brings no pairs by itself; only then are all windows of a
+candidate pair joined, by document and hash.
 
 Edge cases: null and empty texts, on either side, match nothing; an item of fewer than WINDOW tokens is one window, and one of fewer than
 LEAST tokens, or whose windows all hold fewer than LEAST literal words, is looked for literally only, be it a single word; an item without
-letters and digits cannot be found. Punctuation and small or capital letters make no difference. Rows sharing a doc_id count as one document; a
-document without id cannot be reported and is kept by `clean`. Repeated items count once. Empty tables give no rows.
+letters and digits cannot be found. Punctuation and small or capital letters make no difference to literal windows. Rows sharing a doc_id
+count as one document; texts sharing an item_id are looked for one by one and reported as one item; a document without id cannot be reported
+and is kept by `clean`. Repeated rows count once. Empty tables give no rows.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from folio.llm.common import LOWER, mix, pieces, sent_if_small, small_batches, staged, word_hashes
@@ -31,7 +38,10 @@ WINDOW = 8
 LEAST = 4
 #: Added to a window's size in the hash of literal ones, which templates never meet.
 LITERAL = 1000
-MOST_SENT = 4_000_000
+#: Hashes that are sent to all tasks (8 bytes each), and index rows that are (some 100 bytes each).
+MOST_SENT, MOST_ROWS = 4_000_000, 200_000
+#: Tokens by which the windows of one occurrence may be shifted against each other; half of a longer item's windows.
+NEAR = 8
 #: Units that stand after a number.
 UNITS = "mm cm m km in ft yd mi mg g kg t lb oz ml cl l gal s sec min h hr hrs day days week weeks month months year years second seconds minute minutes hour hours meter meters metre metres kilometer kilometers kilometre kilometres gram grams kilogram kilograms liter liters litre litres inch inches foot feet yard yards mile miles pound pounds ounce ounces dollar dollars euro euros cent cents eur usd gbp kmh mph percent degrees".split()
 
@@ -95,9 +105,9 @@ def template(data: np.ndarray, at: np.ndarray):
     first[1:] = (row[1:] != row[:-1]) | (stops[start[1:]] > stops[end[:-1]])
     upper = np.concatenate([[0], np.cumsum(capital, dtype=np.int32)])
     number = digit[start]
-    name = capital[start] & (upper[end] - upper[start] == 1) & (end - start > 1) & ~first & ~number
+    name = capital[start] & (upper[end] - upper[start] == 1) & (end - start > 1) & ~number
     go_on = np.zeros(len(start), bool)
-    go_on[1:] = name[1:] & name[:-1]
+    go_on[1:] = name[1:] & name[:-1] & ~first[1:]
     plain = word_hashes(low, start, end), np.zeros(len(start), bool), start, end, row
     keep = np.flatnonzero(~go_on)
     end = end[np.concatenate([keep[1:], [len(end)]]) - 1] if len(keep) else end
@@ -146,7 +156,7 @@ def _emit(size_of, keep):
                             h, begin = h[hit], begin[hit]
                         if not len(h):
                             continue
-                        values = [[]] * len(begin) if literally else [[data[start[i] : end[i]].tobytes().decode("utf-8", "replace") for i in range(g, g + size) if slot[i]] for g in begin.tolist()]
+                        values = [[]] * len(begin) if literally else [[" ".join(data[start[i] : end[i]].tobytes().decode("utf-8", "replace").split()) for i in range(g, g + size) if slot[i]] for g in begin.tolist()]
                         r = row[begin]
                         yield pa.RecordBatch.from_arrays([ids.take(pa.array(r + lead)), pa.array((begin - first[r]).astype(np.int32)), pa.array(h.view(np.int64)), pa.array(values, pa.list_(pa.string())), pa.array(np.full(len(h), size, np.int32)), pa.array(np.full(len(h), bool(literally)))], schema=schema)
 
@@ -159,34 +169,54 @@ SCHEMA = "id long, place int, hash long, slots array<string>, size int, literall
 def leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", key: str = "doc_id", item_text: str = "text", item_key: str = "item_id", coverage: float = 0.5, consistency: float = 0.8) -> DataFrame:
     """One row for each document and item it holds: key, item_key, windows (of the item found), coverage, slots and slots_kept (consistent)."""
     small_batches()
-    items = benchmark.filter(F.col(item_key).isNotNull()).select(F.col(item_key).cast("long").alias("id"), F.col(item_text).alias("text")).distinct()
+    # texts under one item_key are items of their own until the end
+    name, words = F.col(item_key).cast("long"), F.col(item_text)
+    items = staged(benchmark.filter(name.isNotNull()).select(F.xxhash64(name, words).alias("id"), name.alias("name"), words.alias("text")).distinct(), "texts")
     sizes = [(WINDOW, False, False), *((s, True, False) for s in range(LEAST, WINDOW)), (WINDOW, False, True), *((s, True, True) for s in range(1, WINDOW))]
-    index = staged(items.mapInArrow(_emit(sizes, None), SCHEMA), "items")
+    index = staged(items.select("id", "text").mapInArrow(_emit(sizes, None), SCHEMA), "items")
     hashes = index.select("hash").distinct()
     looked = [(r["size"], False, r["literally"]) for r in index.select("size", "literally").distinct().collect()]  # short items are looked for anywhere
-    own = docs.filter(F.col(key).isNotNull()).select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
-    if hashes.count() <= MOST_SENT:
-        known = np.sort(np.array([r[0] for r in hashes.collect()], np.int64).view(np.uint64))
-        found = own.mapInArrow(_emit(looked, known), SCHEMA)
-    else:
-        found = own.mapInArrow(_emit(looked, None), SCHEMA)
-    i = index.select(F.col("id").alias("item"), F.col("place").alias("item_place"), "hash", "literally", F.col("slots").alias("item_slots"))
-    met = found.select("id", "place", "hash", "slots").join(i, "hash").withColumn("diagonal", F.col("place") - F.col("item_place"))
-    met = staged(met.withColumnRenamed("slots", "doc_slots"), "met")
-    at = ["id", "item", "literally", "diagonal"]
+    docs = docs.filter(F.col(key).isNotNull())
+    known = np.sort(hashes.toArrow()["hash"].to_numpy().view(np.uint64)) if hashes.count() <= MOST_SENT else None
+    found = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text")).mapInArrow(_emit(looked, known), SCHEMA)
+    if known is None:
+        found = found.join(hashes, "hash", "left_semi")
+    found = staged(found.select("id", "hash", "place", "slots"), "found")
+
+    # any n - need + 1 of an item's windows hold one of `need`: those that fewest items share
+    shared = index.groupBy("hash").agg(F.countDistinct("id").alias("items"))
+    by_rarity = Window.partitionBy("id", "literally").orderBy("items", "hash", "place")
+    of_item = Window.partitionBy("id", "literally")
+    index = index.join(shared, "hash").select(F.col("id").alias("item"), F.col("place").alias("item_place"), "hash", "literally", F.col("slots").alias("item_slots"), F.row_number().over(by_rarity).alias("rank"), F.count(F.lit(1)).over(of_item).alias("total"))
+    index = staged(index, "index")
+    sent = (lambda df: F.broadcast(df)) if index.count() <= MOST_ROWS else (lambda df: df)
+    rare = index.filter(F.col("rank") <= F.col("total") - F.ceil(coverage * F.col("total") - 1e-9) + 1)
+    candidates = found.select("id", "hash").distinct().join(sent(rare.select("item", "literally", "hash")), "hash").select("id", "item", "literally").distinct()
+    met = candidates.join(sent(index.drop("rank")), ["item", "literally"]).join(found, ["id", "hash"])
+    near = F.greatest(F.lit(NEAR), F.ceil(F.col("total") / 2)).cast("int")
+    # bands twice as wide as what is near, twice: any two near diagonals share one
+    bands = F.array(*[F.floor((F.col("place") - F.col("item_place") + i * near) / (2 * near)) * 2 + i for i in (0, 1)])
+    met = staged(met.select("id", "item", "literally", "total", "item_place", "item_slots", F.col("slots").alias("doc_slots"), F.explode(bands).alias("band")), "met")
+
+    at = ["id", "item", "literally", "band"]
     # each slot of an occurrence is seen in several windows; it counts in each of them
     pairs = met.select(*at, F.explode(F.arrays_zip("item_slots", "doc_slots")).alias("s")).groupBy(*at, "s").agg(F.count(F.lit(1)).alias("c"))
-    by_value = pairs.groupBy(*at, F.col("s.item_slots").alias("v")).agg(F.sum("c").alias("all"), F.max("c").alias("most"))
-    kept = by_value.groupBy(*at).agg(F.sum("all").alias("slots"), F.sum("most").alias("slots_kept"))
+    ways = F.array(F.struct(F.lit(True).alias("there"), F.col("s.item_slots").alias("v")), F.struct(F.lit(False).alias("there"), F.col("s.doc_slots").alias("v")))
+    by_value = pairs.select(*at, "c", F.explode(ways).alias("w")).groupBy(*at, "w").agg(F.sum("c").alias("all"), F.max("c").alias("most"))
+    there, back = F.col("w.there"), ~F.col("w.there") & ~F.col("w.v").rlike("^[0-9]")
+    when = lambda cond, x: F.coalesce(F.sum(F.when(cond, x)), F.lit(0))
+    kept = by_value.groupBy(*at).agg(when(there, F.col("all")).alias("slots"), when(there, F.col("most")).alias("forth"), when(back, F.col("all") - F.col("most")).alias("lost"))
+    kept = kept.select(*at, "slots", F.least("forth", F.col("slots") - F.col("lost")).alias("slots_kept"))
     good = met.join(kept, at, "left").filter(F.col("slots").isNull() | (F.col("slots_kept") >= consistency * F.col("slots")))
-    per_item = index.groupBy(F.col("id").alias("item"), "literally").agg(F.countDistinct("place").alias("total"))
-    once = good.groupBy("id", "item", "literally", "item_place").agg(F.max(F.coalesce("slots", F.lit(0))).alias("slots"), F.max(F.coalesce("slots_kept", F.lit(0))).alias("slots_kept"))
-    whole = once.groupBy("id", "item", "literally").agg(F.count(F.lit(1)).alias("windows"), F.max("slots").alias("slots"), F.max("slots_kept").alias("slots_kept"))
-    share = F.col("windows") / F.col("total")
-    held = whole.join(per_item, ["item", "literally"]).filter(share >= coverage)
-    # found in both ways: the template's figures
-    one = held.groupBy("id", "item").agg(F.min_by(F.struct("windows", share.alias("coverage"), "slots", "slots_kept"), "literally").alias("h"))
-    return one.select(F.col("id").alias(key), F.col("item").alias(item_key), "h.windows", "h.coverage", "h.slots", "h.slots_kept")
+    zero = lambda c: F.max(F.coalesce(c, F.lit(0))).alias(c)
+    held = good.groupBy(*at, "total").agg(F.countDistinct("item_place").alias("windows"), zero("slots"), zero("slots_kept"))
+    held = held.withColumn("coverage", F.col("windows") / F.col("total")).filter(F.col("windows") >= F.ceil(coverage * F.col("total") - 1e-9))
+    # found in both ways: the template's figures, of its fullest occurrence
+    order = F.struct("literally", (-F.col("coverage")).alias("c"), "band")
+    one = held.groupBy("id", "item").agg(F.min_by(F.struct("literally", "windows", "coverage", "slots", "slots_kept"), order).alias("h"))
+    named = one.join(items.select(F.col("id").alias("item"), F.col("name").alias("item_name")), "item")
+    best = named.groupBy("id", "item_name").agg(F.min_by("h", F.struct("h.literally", (-F.col("h.coverage")).alias("c"), "item")).alias("h"))
+    return best.select(F.col("id").alias(key), F.col("item_name").alias(item_key), "h.windows", "h.coverage", "h.slots", "h.slots_kept")
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", **how) -> DataFrame:

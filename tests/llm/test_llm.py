@@ -141,6 +141,70 @@ def test_pii_odd_input(spark, odd):
     assert pii.find(odd.limit(0)).count() == 0
 
 
+def test_pii_on_any_sign(spark):
+    """Digits of other scripts, raised and circled ones, combining marks and wide letters beside triggers."""
+    odd = [chr(c) for c in range(0x20, 0x30000, 37) if not 0xD800 <= c <= 0xDFFF] + list("²³¹①⑳٣७Ⅷ𝟘½")
+    texts = ["flat of 85² m"] + [f"call 555{c}010{c} 1234 {c}@x.org a dot {c}7" for c in odd] + ["".join(odd[i : i + 9]) + "5" for i in range(0, len(odd), 9)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = pii.find(df).collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        want = [f"{k}:{s}:{e}" for k, spans in zip(pii.KINDS, plain_spans(r.text), strict=True) for s, e in spans]
+        assert r.base == ",".join(want) and set(want) <= set(r.spans.split(",")) | {""}
+
+
+def random_field(rng):
+    field = pii.Field()
+    field.weights = rng.normal(0, 1, field.weights.shape)
+    field.moves = rng.normal(0, 1, field.moves.shape)
+    return field
+
+
+def path_score(field, ids, tags):
+    e = field.emissions(ids[None], np.ones((1, len(ids)), bool))[0]
+    moves = field.moves + field.barred
+    return field.first[tags[0]] + sum(e[i, t] for i, t in enumerate(tags)) + sum(moves[a, b] for a, b in zip(tags, tags[1:], strict=False))
+
+
+def test_viterbi_against_enumeration():
+    rng, k = np.random.default_rng(1), len(pii.TAGS)
+    for n in (1, 2, 4):
+        field, ids = random_field(rng), rng.integers(0, pii.N_FEATURES - 1, (6, n, 5))
+        got = field.viterbi(ids, np.ones((6, n), bool))
+        for x, tags in zip(ids, got, strict=True):
+            every = [(path_score(field, x, p), p) for p in np.ndindex(*[k] * n)]
+            assert path_score(field, x, tuple(tags)) == pytest.approx(max(every)[0]) and tuple(tags) == max(every)[1]
+
+
+def test_field_gradient_against_enumeration():
+    """One small Adam step goes along the sign of the likelihood's gradient, which is taken from all tag sequences."""
+    rng, k, n = np.random.default_rng(3), len(pii.TAGS), 3
+    ids, tags = rng.integers(0, 30, (2, n, 5)), np.array([[1, 2, 0], [0, 3, 4]])
+    mask = np.ones((2, n), bool)
+
+    def likelihood(field):
+        total = 0.0
+        for x, t in zip(ids, tags, strict=True):
+            scores = np.array([path_score(field, x, p) for p in np.ndindex(*[k] * n)])
+            total += path_score(field, x, tuple(t)) - np.logaddexp.reduce(scores)
+        return total
+
+    field = random_field(rng)
+    before = field.weights.copy(), field.moves.copy()
+    start = likelihood(field)
+    places = [(0, (pii.REACH, int(ids[0, 0, 0]), 1)), (0, (pii.REACH + 1, int(ids[1, 2, 1]), 3)), (1, (1, 2)), (1, (0, 3)), (1, (2, 0))]
+    slopes = []
+    for which, at in places:
+        table = (field.weights, field.moves)[which]
+        table[at] += 1e-5
+        slopes.append((likelihood(field) - start) / 1e-5)
+        table[at] -= 1e-5
+    field.train(ids, mask, tags, steps=1, rate=1e-3, decay=0.0)
+    moved = [((field.weights, field.moves)[which][at] - before[which][at]) for which, at in places]
+    assert all(abs(g) > 1e-4 and np.sign(g) == np.sign(m) for g, m in zip(slopes, moved, strict=True))
+    assert likelihood(field) > start
+
+
 # ---- quality -----------------------------------------------------------------------------------
 
 
@@ -319,6 +383,99 @@ def test_leaks_of_numbers_names_and_short_items(spark, monkeypatch):
     assert {(r.doc_id, r.item_id) for r in decontam.leaks(df, items).collect()} == want
 
 
+def template_by_rule(text):
+    """Tokens as (what they match by, value of a slot or None), and the literal tokens; word by word."""
+    found = [(m.group(), m.start(), m.end()) for m in re.finditer(r"(?:[0-9A-Za-z]|(?<=[0-9])[.,](?=[0-9]))+", text)]
+    out, last = [], 0
+    for w, s, e in found:
+        gap = re.sub(r"(?<=[0-9])[.,](?=[0-9])", "", text[last:s])
+        first = not out or re.search(r"[.!?\n]", gap)
+        if w[0].isdigit():
+            out.append(("<n>", w))
+        elif out and out[-1][0] == "<n>" and w.lower() in decontam.UNITS:
+            out.append(("<u>", w))
+        elif len(w) > 1 and w[0].isupper() and w[1:].islower():
+            if out and out[-1][0] == "<p>" and not first:
+                out[-1] = ("<p>", out[-1][1] + " " + w)
+            else:
+                out.append(("<p>", w))
+        else:
+            out.append((w.lower(), None))
+        last = e
+    return out, [(w.lower(), None) for w, *_ in found]
+
+
+def holds(text, item):
+    """Whether the text holds the item, by trying all places and alignments."""
+    for mine, its, literally in zip(template_by_rule(text), template_by_rule(item), (False, True), strict=True):
+        size = min(decontam.WINDOW, len(its))
+        windows = [i for i in range(len(its) - size + 1) if size and (literally or sum(v is None for _, v in its[i : i + size]) >= decontam.LEAST)]
+        if not windows:
+            continue
+        near = max(decontam.NEAR, -(-len(windows) // 2))
+        met = [(i, j) for i in windows for j in range(len(mine) - size + 1) if [k for k, _ in its[i : i + size]] == [k for k, _ in mine[j : j + size]]]
+        bands = defaultdict(list)
+        for i, j in met:
+            for half in (0, 1):
+                bands[(j - i + half * near) // (2 * near), half].append((i, j))
+        for some in bands.values():
+            pairs = Counter((its[i + n][1], mine[j + n][1]) for i, j in some for n in range(size) if its[i + n][1] is not None)
+            forth, back = defaultdict(list), defaultdict(list)
+            for (a, b), c in pairs.items():
+                forth[a].append(c)
+                if not b[0].isdigit():
+                    back[b].append(c)
+            total = sum(pairs.values())
+            kept = min(sum(map(max, forth.values())), total - sum(sum(x) - max(x) for x in back.values()))
+            if kept >= 0.8 * total and len({i for i, _ in some}) >= 0.5 * len(windows):
+                return True
+    return False
+
+
+def test_templates_against_brute_force(spark):
+    rng = random.Random(12)
+    people, places, units = ["Alice", "Bob", "Chen Wu", "Maria Silva", "Ivan", "Zoe"], ["Paris", "Oslo", "New York"], ["km", "kg", "dollars", "minutes"]
+    frames = [
+        "{p} buys {n} apples for {n} {u} each", "{p} walks from {c} to {c} in {n} {u} and then {p} rests for {n} {u} before going home", "If {p} has {n} red balls and {q} takes {n} of them, how many are left for {p}?",
+        "Compute {n} + {n} * {n} - {n} / {n}", "Is {n} plus {n} equal {n}?", "Capital of {c}?", "{p}, {q} and {p}", "A pump fills the long tank in {n} {u}. {p} opens it at {n}. When will {q} find the tank full of water?",
+    ]
+
+    def fill(frame, fixed=None):
+        own = fixed or {"p": rng.choice(people), "q": rng.choice(people), "c": rng.choice(places)}
+        return re.sub(r"\{(.)\}", lambda m: own[m[1]] if m[1] in own else rng.choice(units) if m[1] == "u" else str(rng.randint(2, 99)), frame)
+
+    items = [fill(f) for f in frames for _ in range(2)]
+    docs = []
+    for n in range(150):
+        text = fill(rng.choice(frames)) if n % 3 else rng.choice(items)
+        parts = text.split(" ")
+        if n % 5 == 1:  # a word put in, or the text cut
+            parts.insert(rng.randrange(len(parts)), "very")
+        if n % 7 == 2:
+            parts = parts[: len(parts) // 2]
+        if n % 11 == 3:  # scattered halves
+            parts = parts[: len(parts) // 2] + ["filler"] * 60 + parts[len(parts) // 2 :]
+        docs.append(rng.choice(["", "some lead words here. ", "Then "]) + " ".join(parts) + rng.choice(["", ". And more of it."]))
+    want = {(i, j) for i, d in enumerate(docs) for j, t in enumerate(items) if holds(d, t)}
+    df, bench = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string"), spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in decontam.leaks(df, bench).collect()}
+    assert got == want and len(want) > 60
+    told = {i for i, d in enumerate(docs) for j, t in enumerate(items) if (i, j) in got and t not in d}
+    assert len(told) > 20
+
+
+def test_first_words_scattered_pieces_and_two_way_slots(spark):
+    long = " ".join(f"word{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(40)) + " Anna and Bert and Carl and Anna and Bert and Carl end here now with all of this"
+    parts = long.split(" ")
+    rows = [
+        (1, "Bob buys 5 apples for 4 dollars each"), (2, "Is 3 plus 4 equal 7?"), (3, "Capital of France?"), (4, "Compute 12 + 7 * 3 - 4 / 2"), (5, "Bob buys 4 apples for 4 dollars each"),
+        (6, " filler ".join(" ".join(parts[i : i + 9]) + " x" * 200 for i in range(0, len(parts), 9))), (7, long.replace("Bert", "Anna").replace("Carl", "Anna")), (8, long.replace("Bert", "Dora").replace("Carl", "Emil")), (9, "Capital of Spain?"),
+    ]
+    items = [(1, "Alice buys 3 apples for 2 dollars each"), (2, rows[1][1]), (3, rows[2][1]), (4, rows[3][1]), (5, long), (5, "another text under the same id that is as long"), (6, "Anna Bert")]
+    got = {(r.doc_id, r.item_id) for r in decontam.leaks(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert {(1, 1), (2, 2), (3, 3), (4, 4), (5, 1), (8, 5)} <= got and not {(6, 5), (9, 3)} & got
+
+
 def test_both_ways_of_joining_agree(spark, monkeypatch):
     docs, items = spark.read.parquet(f"{DATA}/documents.parquet"), spark.read.parquet(f"{DATA}/benchmark.parquet")
     a = sorted(map(tuple, decontam.leaks(docs, items).collect()))
