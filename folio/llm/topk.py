@@ -4,12 +4,17 @@ Each vector is made whole (floor of 256 times each component). Its distances to
 |q - x| >= |d(q, p) - d(x, p)| for every pivot p, and q.x = (|q|^2 + |x|^2 - |q - x|^2) / 2, so the largest of these lower bounds on the
 distance gives an upper bound on the score. Rows are evaluated in the order of that bound, until the next bound is below the k-th score.
 
-All rows are dealt into blocks, the queries into blocks as well, and each pair of blocks is one group of bounded size; the best k of each
-query and block are merged by a window of k rows a block.
-
-Edge cases: a vector that is null, empty, or holds a null, NaN or infinite component takes no part, nor does a null id. Vectors of
-different lengths are not compared. Equal (id, vector) rows count once; rows with the query's id are its own, whatever they hold. Ties
-go to the smaller id. Scores must fit a long: components' products are summed in 64-bit whole numbers.
+1. Rows are dealt into blocks by their nearest pivot (and by hash, so that a crowd around one pivot is many blocks); a block's table row
+   holds the least and largest distance to each pivot and the largest norm, which bound the score of a query with any of its rows.
+2. Each query is first searched in its own block. Its k-th score there is the threshold that it takes along.
+3. Queries in blocks of `query_rows` meet the other blocks: a pair of blocks that cannot reach the lowest threshold of its queries is
+   skipped before any row moves, and so is each query for which a block is of no use; in a block, rows below the threshold are eliminated
+   and the rest evaluated in bound order. Every group has a bounded size; the best k of each query and block are merged.
+
+Edge cases: a vector that is null, empty, or holds a null, NaN or infinite component takes no part, nor does a null id, nor a vector whose
+squared length is above 2^62 (its scores need not fit a long; below it, all do). Vectors of different lengths are not compared. Equal
+(id, vector) rows count once; rows with the query's id are its own, whatever they hold; an id with several vectors counts with its best.
+Ties go to the smaller id. An empty table, or one without queries, gives no rows; other columns are not read.
 """
 
 from __future__ import annotations
@@ -19,9 +24,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from folio.llm.common import staged
+from folio.llm.common import sent_if_small, staged
 
 PIVOTS = 24
+#: Below any score.
+NONE = -(1 << 63)
 
 
 def matrix(col: pa.Array, kind) -> np.ndarray:
@@ -30,71 +37,114 @@ def matrix(col: pa.Array, kind) -> np.ndarray:
     return col.flatten().to_numpy(zero_copy_only=False).astype(kind, copy=False).reshape(len(col), -1)
 
 
-def best(q: np.ndarray, qd: np.ndarray, qid: np.ndarray, x: np.ndarray, xd: np.ndarray, xid: np.ndarray, k: int, step: int = 256):
-    """For each query the k best rows: yields (query id, row id, score), rows with the query's id left out."""
+def best(q: np.ndarray, qd: np.ndarray, qid: np.ndarray, x: np.ndarray, xd: np.ndarray, xid: np.ndarray, k: int, floor: np.ndarray | None = None, step: int = 256):
+    """For each query its k best rows of other ids that reach its floor: yields (ids, scores), in order."""
     x_norm, q_norm = (x.astype(float) ** 2).sum(1), (q.astype(float) ** 2).sum(1)
     for i in range(len(q)):
         gap = np.abs(xd - qd[i]).max(1) if xd.shape[1] else np.zeros(len(x))
         bound = (q_norm[i] + x_norm - gap**2) / 2 + 1 + 1e-9 * (q_norm[i] + x_norm)  # rounding stays below this slack
-        bound[xid == qid[i]] = -np.inf
-        order = np.argsort(-bound)
+        left = np.flatnonzero((bound >= floor[i]) & (xid != qid[i])) if floor is not None else np.flatnonzero(xid != qid[i])
+        order = left[np.argsort(-bound[left])]
         score, ids, at = np.zeros(0, np.int64), np.zeros(0, np.int64), 0
-        while at < len(order) and bound[order[at]] > -np.inf:
-            if len(score) >= k and bound[order[at]] < score[k - 1]:
-                break
+        while at < len(order) and not (len(score) >= k and bound[order[at]] < score[k - 1]):
             rows = order[at : at + step]
-            rows = rows[bound[rows] > -np.inf]
             score, ids = np.concatenate([score, x[rows] @ q[i]]), np.concatenate([ids, xid[rows]])
-            top = np.lexsort((ids, -score))[:k]
+            top = np.lexsort((ids, -score))
+            top = top[np.sort(np.unique(ids[top], return_index=True)[1])[:k]]  # an id once, with its best
             score, ids, at = score[top], ids[top], at + step
-        yield from zip([int(qid[i])] * len(ids), ids.tolist(), score.tolist(), strict=True)
+        yield ids, score
+
+
+def _whole(vector: str, scale: int):
+    """The whole vector, and whether it takes part."""
+    v = F.transform(F.col(vector), lambda c: F.floor(c.cast("double") * scale).cast("long"))
+    finite = F.col(vector).isNotNull() & (F.size(vector) > 0) & F.forall(F.col(vector), lambda c: c.isNotNull() & ~F.isnan(c.cast("double")) & (F.abs(c.cast("double")) < F.lit(float("inf"))))
+    short = F.aggregate(F.col(vector), F.lit(0.0), lambda a, c: a + F.pow(F.floor(c.cast("double") * scale).cast("double"), F.lit(2.0))) <= F.lit(2.0**62)
+    return v, finite & short
 
 
-def search(df: DataFrame, key: str = "vec_id", vector: str = "embedding", is_query=None, k: int = 5, scale: int = 256, pivots: int = PIVOTS, block_rows: int = 8192, query_rows: int = 1024) -> DataFrame:
+def search(df: DataFrame, key: str = "vec_id", vector: str = "embedding", is_query=None, k: int = 5, scale: int = 256, pivots: int = PIVOTS, block_rows: int = 8192, query_rows: int = 8192) -> DataFrame:
     """query_id, rank, vec_id, score: the k best other rows of each row that is_query (a condition; by default key divisible by 50) holds for.
 
-    Pivots are the rows with the smallest hashes of their ids, of the commonest length: any choice gives the same result.
+    Pivots are the rows with the smallest hashes of their ids, at most `pivots`: any choice gives the same result.
     """
     is_query = F.expr(f"`{key}` % 50 = 0") if is_query is None else is_query
-    whole = F.transform(F.col(vector), lambda c: F.floor(c.cast("double") * scale).cast("long"))
-    finite = F.col(vector).isNotNull() & (F.size(vector) > 0) & F.forall(F.col(vector), lambda c: c.isNotNull() & ~F.isnan(c.cast("double")) & (F.abs(c.cast("double")) < F.lit(float("inf"))))
-    rows = df.filter(F.col(key).isNotNull() & finite).select(F.col(key).cast("long").alias("vec_id"), whole.alias("v"), is_query.alias("is_query")).distinct()
+    whole, takes_part = _whole(vector, scale)
+    rows = df.filter(F.col(key).isNotNull() & takes_part).select(F.col(key).cast("long").alias("vec_id"), whole.alias("v"), F.coalesce(is_query, F.lit(False)).alias("is_query")).distinct()
     rows = rows.withColumn("dim", F.size("v"))
     at = [np.array(r[0], float) for r in rows.orderBy(F.xxhash64("vec_id"), "vec_id", "v").limit(pivots).select("v").collect()]
 
     @F.arrow_udf("array<double>")
-    def distances(vectors: pa.Array) -> pa.Array:
+    def measures(vectors: pa.Array) -> pa.Array:
+        """Distances to the pivots (0 to one of another length), and the squared length."""
         size = np.diff(vectors.offsets.to_numpy())
-        flat, start, out = vectors.flatten().to_numpy(zero_copy_only=False).astype(float), 0, []
-        if len(set(size.tolist())) == 1:
-            x = flat.reshape(len(size), -1)
-            d = [np.sqrt(((x - p) ** 2).sum(1)) if len(p) == x.shape[1] else np.zeros(len(x)) for p in at]
-            out = np.stack(d, 1)
-            return pa.ListArray.from_arrays(pa.array(np.arange(0, out.size + 1, len(at), dtype=np.int32)), pa.array(out.ravel()))
-        for n in size:
-            x = flat[start : start + n]
-            out.append([float(np.sqrt(((x - p) ** 2).sum())) if len(p) == n else 0.0 for p in at])
-            start += n
-        return pa.array(out, pa.list_(pa.float64()))
-
-    table = staged(rows.withColumn("d", distances(F.col("v"))), "pivots")
-    n, queries = table.agg(F.count(F.lit(1)), F.count(F.when(F.col("is_query"), 1))).first()
-    x_blocks, q_blocks = max(1, -(-n // block_rows)), max(1, -(-queries // query_rows))
-    each = lambda b: F.explode(F.sequence(F.lit(0), F.lit(b - 1)))
-    own = lambda b: F.pmod(F.xxhash64("vec_id", F.lit(b)), F.lit(b)).cast("int")
-    left = table.filter("is_query").select("vec_id", "v", "d", "dim", own(q_blocks).alias("qb"), each(x_blocks).alias("xb"))
-    right = table.select("vec_id", "v", "d", "dim", own(x_blocks).alias("xb"), each(q_blocks).alias("qb"))
-    schema = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64())])
+        flat, ends = vectors.flatten().to_numpy(zero_copy_only=False).astype(float), np.cumsum(size)
+        out = np.zeros((len(size), len(at) + 1))
+        for n in np.unique(size):
+            which = np.flatnonzero(size == n)
+            x = flat[(ends[which] - n)[:, None] + np.arange(n)]
+            out[which, -1] = (x**2).sum(1)
+            for j, p in enumerate(at):
+                if len(p) == n:
+                    out[which, j] = np.sqrt(((x - p) ** 2).sum(1))
+        return pa.ListArray.from_arrays(pa.array(np.arange(0, out.size + 1, out.shape[1], dtype=np.int32)), pa.array(out.ravel()))
+
+    p = len(at)
+    d = F.slice("m", 1, p)
+    table = rows.withColumn("m", measures(F.col("v")))
+    nearest = F.coalesce(F.array_position(d, F.array_min(d)).cast("int"), F.lit(0)) if p else F.lit(0)
+    table = staged(table.withColumn("c", nearest), "pivots")
+    # a crowded cluster is several blocks; query blocks are filled cluster by cluster
+    upto = F.sum("queries").over(Window.partitionBy("dim").orderBy("c")) - F.col("queries")
+    clusters = staged(table.groupBy("dim", "c").agg(F.count(F.lit(1)).alias("n"), F.count(F.when(F.col("is_query"), 1)).alias("queries")).withColumn("before", upto), "clusters")
+    share = F.pmod(F.xxhash64("vec_id", "v"), F.lit(1 << 20))
+    part = lambda n: F.floor(share * n / (1 << 20))
+    placed = table.join(sent_if_small(clusters), ["dim", "c"])
+    placed = placed.withColumn("xb", F.col("c").cast("long") * (1 << 32) + part(F.ceil(F.col("n") / block_rows))).withColumn("qb", F.floor((F.col("before") + part(F.col("queries"))) / query_rows)).select("dim", "xb", "qb", "vec_id", "v", "m", "is_query")
+    list_of = lambda kind: pa.list_(kind)
+    schema = pa.schema([("dim", pa.int32()), ("own", pa.int64()), ("qb", pa.int64()), ("vec_id", pa.int64()), ("v", list_of(pa.int64())), ("m", list_of(pa.float64())), ("floor", pa.int64()), ("ids", list_of(pa.int64())), ("scores", list_of(pa.int64()))])
+
+    def first(block: pa.Table) -> pa.Table:
+        """The queries of a block with their best rows in it."""
+        q = block.filter(block["is_query"])
+        if not q.num_rows:
+            return schema.empty_table()
+        x, xm, qm = matrix(block["v"], np.int64), matrix(block["m"], float)[:, :p], matrix(q["m"], float)[:, :p]
+        found = list(best(matrix(q["v"], np.int64), qm, q["vec_id"].to_numpy(), x, xm, block["vec_id"].to_numpy(), k))
+        floors = [int(s[k - 1]) if len(s) >= k else NONE for _, s in found]
+        cols = [q["dim"], q["xb"], q["qb"], q["vec_id"], q["v"], q["m"], pa.array(floors, pa.int64()), pa.array([i.tolist() for i, _ in found], schema.field("ids").type), pa.array([s.tolist() for _, s in found], schema.field("scores").type)]
+        return pa.Table.from_arrays([c.combine_chunks() if isinstance(c, pa.ChunkedArray) else c for c in cols], names=schema.names).cast(schema)
+
+    seeds = staged(placed.groupBy("dim", "xb").applyInArrow(first, "dim int, own long, qb long, vec_id long, v array<long>, m array<double>, floor long, ids array<long>, scores array<long>"), "seeds")
+
+    m = lambda i: F.col("m")[i]
+    ends = lambda df, by, more: df.groupBy("dim", by).agg(F.array(*[F.min(m(i)) for i in range(p + 1)]).alias(f"{by}_lo"), F.array(*[F.max(m(i)) for i in range(p + 1)]).alias(f"{by}_hi"), *more)
+    blocks = staged(ends(placed, "xb", []), "blocks")
+    wanted = ends(seeds, "qb", [F.min("floor").alias("qb_floor")])
+
+    def reach(lo, hi):
+        """The bound on the score of a query (or block of queries) with measures lo to hi and any row of a block."""
+        apart = [F.lit(0.0), *[x for i in range(p) for x in (lo[i] - F.col("xb_hi")[i], F.col("xb_lo")[i] - hi[i])]]
+        gap = F.greatest(*apart) if p else F.lit(0.0)
+        both = hi[p] + F.col("xb_hi")[p]
+        return (both - gap * gap) / 2 + 1 + both * 1e-9
+
+    pairs = staged(wanted.join(blocks, "dim").filter(reach(F.col("qb_lo"), F.col("qb_hi")) >= F.col("qb_floor")).select("dim", "qb", "xb", "xb_lo", "xb_hi"), "pairs")
+    left = seeds.join(pairs, ["dim", "qb"]).filter((F.col("xb") != F.col("own")) & (reach(F.col("m"), F.col("m")) >= F.col("floor"))).select("dim", "qb", "xb", "vec_id", "v", "m", "floor")
+    right = placed.drop("qb", "is_query").join(sent_if_small(pairs.select("dim", "qb", "xb")), ["dim", "xb"]).select("dim", "qb", "xb", "vec_id", "v", "m")
+    out = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64())])
 
     def pair(q: pa.Table, x: pa.Table) -> pa.Table:
         if not q.num_rows or not x.num_rows:
-            return schema.empty_table()
-        got = list(best(matrix(q["v"], np.int64), matrix(q["d"], float), q["vec_id"].to_numpy(), matrix(x["v"], np.int64), matrix(x["d"], float), x["vec_id"].to_numpy(), k))
-        return pa.table(list(zip(*got, strict=True)) or [[], [], []], schema=schema)
+            return out.empty_table()
+        found = list(best(matrix(q["v"], np.int64), matrix(q["m"], float)[:, :p], q["vec_id"].to_numpy(), matrix(x["v"], np.int64), matrix(x["m"], float)[:, :p], x["vec_id"].to_numpy(), k, q["floor"].to_numpy()))
+        ids, scores = (np.concatenate([f[j] for f in found]) for j in (0, 1))
+        return pa.table([pa.array(np.repeat(q["vec_id"].to_numpy(), [len(i) for i, _ in found])), pa.array(ids), pa.array(scores)], schema=out)
 
-    keys = ["qb", "xb", "dim"]
+    keys = ["dim", "qb", "xb"]
     found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(pair, "query_id long, vec_id long, score long")
-    # a repeated id with another vector would give its best score only once
-    found = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+    own = seeds.select(F.col("vec_id").alias("query_id"), F.explode(F.arrays_zip("ids", "scores")).alias("s")).select("query_id", F.col("s.ids").alias("vec_id"), F.col("s.scores").alias("score"))
+    # an id that several vectors have counts once
+    every = found.union(own).groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     w = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return found.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    return every.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
