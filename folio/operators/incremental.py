@@ -1,4 +1,8 @@
-"""What changed: hashes, manifests, folders, freshness."""
+"""What changed: hashes, manifests, folders, freshness.
+
+Edge cases: a null content has a null hash, which is a content of its own; files of a null path are never done (they are processed each time);
+a path listed twice is processed twice; equal extensions go to the smaller path; an empty table gives no rows.
+"""
 
 from __future__ import annotations
 

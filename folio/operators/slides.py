@@ -1,4 +1,9 @@
-"""Slide decks: one-dimensional clusters, bullets, labels, titles, tables, markdown."""
+"""Slide decks: one-dimensional clusters, bullets, labels, titles, tables, markdown.
+
+Edge cases: null values are in no cluster and no median; boxes that are null, and lines of a null page or deck, meet no other; a null text is
+an empty label and no title; ties go to the smaller place; repeated lines count as often as they stand; an empty table gives no rows. Work is by
+slide (some dozens of lines) or by distinct values of a deck.
+"""
 
 from __future__ import annotations
 
@@ -8,6 +13,7 @@ from pyspark.sql import functions as F
 
 from folio.functions.geometry import same_level
 from folio.functions.text import escape_block, join_lines, normal_line, squeeze, table_cell
+from folio.plans.runtime import same_keys
 
 
 def clusters_1d(df: DataFrame, keys: list[str], value: str, tolerance: float) -> DataFrame:
@@ -196,3 +202,79 @@ def visual_regions(objects: DataFrame, page_width: float, page_height: float) ->
     raster_ = (F.col("kind") == "raster") & (share >= 0.02) & (share < 0.9)
     drawing = (F.col("kind") == "drawing") & (share <= 0.8) & ~((h < 4) & (w > 0.4 * page_width)) & ~((w < 4) & (h < 4))
     return objects.filter(raster_ | drawing).withColumn("kind", F.when(F.col("kind") == "raster", "raster").when((h < 4) | (w < 4), "line").otherwise("shape"))
+
+
+#: How OCR reads a bullet.
+READ_AS_BULLET = ["e", "o", "c", "¢", "©", "®", "°", "•", "*", "-", "»", "«", "+"]
+
+
+def read_bullets(words: DataFrame, line: list[str]) -> DataFrame:
+    """(line, bullet_x, text, x0): lines whose first word is a bullet that OCR took for a sign: one or two signs set apart by half the line's height, or a
+    known misreading, before a word with a capital or a digit; text and x0 are what follows. words(line, box, text), in order from the left."""
+    b = F.col("box")
+    ordered = F.array_sort(F.collect_list(F.struct(b["x0"].alias("x0"), b["x1"].alias("x1"), F.col("text").alias("text"))))
+    rows = words.groupBy(*line).agg(ordered.alias("w"), (F.max(b["y1"]) - F.min(b["y0"])).alias("h")).filter(F.size("w") >= 2)  # of one line
+    first, second = F.element_at("w", 1), F.element_at("w", 2)
+    known = first["text"].isin(READ_AS_BULLET)
+    sign = (F.length(first["text"]) <= 2) & ~first["text"].rlike(r"[\p{L}\p{N}]")
+    apart = second["x0"] - first["x1"] >= 0.5 * F.greatest(F.lit(8.0), F.col("h"))
+    hit = (known | (sign & apart)) & second["text"].rlike(r"^[\p{Lu}\p{N}]")
+    rest = F.transform(F.slice("w", F.lit(2), F.size("w")), lambda x: x["text"])
+    return rows.filter(hit).select(*line, first["x0"].alias("bullet_x"), F.array_join(rest, " ").alias("text"), second["x0"].alias("x0"))
+
+
+def blob_bullets(lines_: DataFrame, ink: DataFrame, page: list[str], line: str = "line_no", cell: float = 2.0) -> DataFrame:
+    """(page, line, bullet_x): lines with one small dark blob to their left, and nothing else there: the search goes from 4.5 to 0.3 line heights left
+    of the text, at its middle; the blob is at most 0.8 heights wide and high, and ends 0.2 heights before the strip does.
+    lines_(page, line, box), ink(page, gx, gy) of dark cells."""
+    b = F.col("box")
+    h = F.greatest(F.lit(8.0), b["y1"] - b["y0"])
+    x, y = F.col("gx") * cell, F.col("gy") * cell
+    middle = (b["y0"] + b["y1"]) / 2
+    left, right = F.greatest(F.lit(0.0), b["x0"] - 4.5 * h), F.greatest(F.lit(0.0), b["x0"] - 0.3 * h)
+    beside = lines_.select(*page, line, "box").join(ink.select(*page, "gx", "gy").distinct(), page).filter((x >= left) & (x < right) & (y >= middle - 0.5 * h) & (y < middle + 0.5 * h))
+    columns = beside.groupBy(*page, line, "box", "gx").agg(F.collect_set("gy").alias("rows"))  # of one strip
+    blobs = columns.groupBy(*page, line, "box").agg(F.min("gx").alias("a"), F.max("gx").alias("z"), F.count(F.lit(1)).alias("n"), F.size(F.array_distinct(F.flatten(F.collect_list("rows")))).alias("high"))
+    one = (F.col("z") - F.col("a") + 1 == F.col("n")) & (F.col("n") * cell <= 0.8 * h) & (F.col("high") * cell <= 0.8 * h) & (right - (F.col("z") + 1) * cell >= 0.2 * h)
+    return blobs.filter(one).select(*page, line, (F.col("a") * cell).alias("bullet_x"))
+
+
+def image_slides(lines_: DataFrame, page: list[str]) -> DataFrame:
+    """(page, slide, pos, role, level, text): the lines of image-only pages as slides: parted after repeated footers, which go; the tallest line of
+    a slide, if in its top 28 % and 1.15 times the upper median, is the title; lines with a bullet are items at the level of their indent.
+
+    lines_(page, pos, box, text, confidence, bullet_x), the page's last key its number in the book.
+    """
+    from folio.operators.ocr import slide_bands
+
+    b = F.col("box")
+    banded = slide_bands(lines_.withColumn("y0", b["y0"]), page).filter("NOT is_footer")
+    whole = [*page, "slide"]
+    height = b["y1"] - b["y0"]
+    sized = banded.withColumn("h", height)
+    median = upper_median(sized, whole, "h").withColumnRenamed("median", "median_h")
+    w = Window.partitionBy(*whole)
+    top, bottom = F.min(b["y0"]).over(w), F.max(b["y1"]).over(w)
+    placed = sized.withColumn("top", top).withColumn("span", bottom - top).join(median, whole)
+    high = (b["y0"] - F.col("top") <= 0.28 * F.col("span")) & F.col("bullet_x").isNull() & (F.coalesce("confidence", F.lit(100.0)) >= 80)
+    rank = F.row_number().over(w.orderBy(F.desc(F.when(high, F.col("h"))), b["y0"], "pos"))
+    title = (rank == 1) & high & (F.col("h") >= 1.15 * F.col("median_h"))
+    role = F.when(title, "title").when(F.col("bullet_x").isNotNull(), "item").otherwise("paragraph")
+    levels = bullet_levels(placed.withColumn("role", role), page[:-1])
+    return levels.select(*whole, "pos", "role", "level", "text")
+
+
+def reread(bands: DataFrame, words_before: DataFrame, words_after: DataFrame, band: list[str], page_height: float) -> DataFrame:
+    """(band, again): which reading of a band counts: bands(band, top, bottom) of a fifth of the page or more with fewer than eight words are read again,
+    and the new reading (words_after) is taken if it has more words. Words are rows with the band's key."""
+    n = lambda df, name: df.groupBy(*band).agg(F.count(F.lit(1)).alias(name))
+    rows = same_keys(same_keys(bands, n(words_before, "before"), band, "left"), n(words_after, "after"), band, "left").fillna(0, ["before", "after"])
+    return rows.select(*band, ((F.col("bottom") - F.col("top") >= 0.2 * page_height) & (F.col("before") < 8) & (F.col("after") > F.col("before"))).alias("again"))
+
+
+def best_structure(readings: DataFrame, page: list[str]) -> DataFrame:
+    """(page, reading): of several readings the one with a table (three rows, three quarters of the cells filled), then with more words, then the surer,
+    then the first. readings(page, reading, n_rows, n_cells, n_filled, n_words, confidence)."""
+    table = (F.col("n_rows") >= 3) & (F.col("n_filled") >= 0.75 * F.col("n_cells"))
+    best = F.max_by("reading", F.struct(F.coalesce(table, F.lit(False)).alias("t"), "n_words", "confidence", (-F.col("reading")).alias("r")))
+    return readings.groupBy(*page).agg(best.alias("reading"))

@@ -1,4 +1,8 @@
-"""Chapters from bookmarks or a contents page, page offsets, body fonts."""
+"""Chapters from bookmarks or a contents page, page offsets, body fonts.
+
+Edge cases: a null title or text names nothing; a null page is no place; books need a row in documents (null keys meet none) to have chapters; ties
+go to what is read first; repeated entries count as the first; an empty table gives no rows.
+"""
 
 from __future__ import annotations
 

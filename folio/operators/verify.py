@@ -1,26 +1,50 @@
-"""Checks: word coverage, completeness, answers, flags."""
+"""Checks: word coverage, completeness, answers, flags.
+
+Edge cases: a null text has no words, lines or pages; repeated rows are compared each by itself, and count as often as they stand where counts
+are asked for; keys may be null (null meets null); an empty table gives no rows; ties go to the smaller number.
+"""
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from folio.functions.text import content_words, tokens
+from folio.plans.runtime import same_keys
 
 SHORT, SHORT_FROM = 0.55, 40
 BRIEF, BRIEF_FROM = 0.4, 120
 
 
-def coverage(df: DataFrame, key: list[str], source: str, output: str) -> DataFrame:
-    """Multiset word coverage of source by output: total, common, missing and extra words, rate (1 for an empty source).
+def _compared(source: pa.Array, output: pa.Array) -> pa.Array:
+    """Multiset counts of two token lists in each row: words become numbers, and equal (row, word) numbers are counted side by side."""
+    n = len(source)
+    lists = (source, output)  # never null, as tokens() has it
+    rows = [np.repeat(np.arange(n), np.diff(c.offsets.to_numpy())) for c in lists]
+    codes = pa.concat_arrays([c.flatten() for c in lists]).dictionary_encode().indices.to_numpy().astype(np.int64)
+    cut, width = len(rows[0]), int(codes.max(initial=0)) + 1
+    keys, place = np.unique(np.concatenate(rows) * width + codes, return_inverse=True)
+    s, o = (np.bincount(p, minlength=len(keys)) for p in (place[:cut], place[cut:]))
+    both, owner = np.minimum(s, o), keys // width
+    sums = [np.bincount(owner, c, n).astype(np.int64) for c in (s, both, s - both, o - both)]
+    return pa.StructArray.from_arrays([pa.array(x) for x in sums], ["total", "common", "missing", "extra"])
+
+
+def coverage(df: DataFrame, key: list[str], source: str, output: str, expected: str | None = None) -> DataFrame:
+    """Multiset word coverage of source by output, one row for each row: total, common, missing and extra words, rate (1 for an empty source).
 
-    Both texts' words are counted in one sum by (key, word), combined before the shuffle; no join is needed.
+    Both texts stand in one row, so nothing is shuffled. expected (a text, say the words of repairs made on purpose) names words that count
+    neither as missing nor as extra: they leave both sides.
     """
-    side = lambda c, s, o: F.transform(tokens(F.col(c)), lambda w: F.struct(w.alias("word"), F.lit(s).alias("s"), F.lit(o).alias("o")))
-    both = df.select(*key, F.explode(F.concat(side(source, 1, 0), side(output, 0, 1))).alias("w"))
-    c = both.groupBy(*key, "w.word").agg(F.sum("w.s").alias("s"), F.sum("w.o").alias("o")).withColumn("both", F.least("s", "o"))
-    sums = c.groupBy(*key).agg(F.sum("s").alias("total"), F.sum("both").alias("common"), F.sum(F.col("s") - F.col("both")).alias("missing"), F.sum(F.col("o") - F.col("both")).alias("extra"))
-    return sums.withColumn("coverage", F.when(F.col("total") == 0, 1.0).otherwise(F.col("common") / F.col("total")))
+    a, b = tokens(F.col(source)), tokens(F.col(output))
+    if expected:
+        known = F.array_distinct(tokens(F.col(expected)))
+        a, b = (F.filter(c, lambda w: ~F.array_contains(known, w)) for c in (a, b))
+    counts = F.arrow_udf("total long, common long, missing long, extra long")(_compared)
+    counted = df.select(*key, counts(a, b).alias("covered_words")).select(*key, "covered_words.*")
+    return counted.withColumn("coverage", F.when(F.col("total") == 0, 1.0).otherwise(F.col("common") / F.col("total")))
 
 
 def set_coverage(df: DataFrame, key: list[str], source: str, output: str) -> DataFrame:
@@ -64,7 +88,7 @@ def source_pages(chunks: DataFrame, key: list[str], text: str = "source_text") -
 
 
 def missing_pages(source: DataFrame, answer: DataFrame, key: list[str]) -> DataFrame:
-    return source.select(*key, "page_no").distinct().join(answer.select(*key, "page_no"), [*key, "page_no"], "left_anti")
+    return same_keys(source.select(*key, "page_no").distinct(), answer.select(*key, "page_no"), [*key, "page_no"], "left_anti")
 
 
 def extra_pages(source: DataFrame, answer: DataFrame, key: list[str]) -> DataFrame:
@@ -167,3 +191,52 @@ def text_changes(pages: DataFrame, key: list[str], source: str, output: str, sha
 def shared_tables(tables: DataFrame, book: list[str]) -> DataFrame:
     """Table texts that stand in more than one figure of a book."""
     return tables.groupBy(*book, "table_md").agg(F.count(F.lit(1)).alias("n"), F.min("no").alias("first")).filter("n > 1")
+
+
+def repair_words(log: DataFrame, key: list[str]) -> DataFrame:
+    """(key, expected): the words that repairs made or took away on purpose, for `coverage(expected=...)`; log(key, left, right, joined)."""
+    return log.groupBy(*key).agg(F.array_join(F.array_sort(F.collect_set(F.concat_ws(" ", "left", "right", "joined"))), " ").alias("expected"))
+
+
+def slide_coverage(slides: DataFrame, key: list[str], source: str, output: str, expected: str, deck_file: str, flags: str) -> DataFrame:
+    """(key, total, missing, extra, rate, flag): words compared as the way of reading asks, less the expected ones.
+
+    Where deck_file is false both texts come from one page: every word counts, and any difference is flagged. Where it is true they come from two
+    sources (deck and rendered page), which may draw a text twice: only words that the other side lacks altogether count, and a rate below 0.95
+    is flagged unless the slide has a chart.
+    """
+    known = tokens(F.col(expected))
+    drop = lambda c: F.filter(c, lambda w: ~F.array_contains(known, w))
+    a, b = F.array_distinct(tokens(F.col(source))), F.array_distinct(tokens(F.col(output)))
+    lost, gained = drop(F.array_except(a, b)), drop(F.array_except(b, a))
+    rows = slides.withColumn("expected_words", F.coalesce(F.col(expected), F.lit("")))
+    exact = coverage(rows.select(*key, F.col(source).alias("s"), F.col(output).alias("o"), "expected_words"), key, "s", "o", "expected_words")
+    # all words of the source are the rate's measure, also those that are expected to differ
+    sets = slides.select(*key, F.col(deck_file).alias("deck_file"), F.size(tokens(F.col(source))).cast("long").alias("all_words"), F.size(a).cast("long").alias("set_words"), F.size(lost).cast("long").alias("lost"), F.size(gained).cast("long").alias("gained"), F.coalesce(F.exists(flags, lambda f: f.startswith("chart")), F.lit(False)).alias("chart"))
+    both = same_keys(sets, exact.select(*key, F.col("missing").alias("m"), F.col("extra").alias("e")), key)
+    pick = lambda x, y: F.when(F.col("deck_file"), F.col(x)).otherwise(F.col(y))
+    both = both.withColumn("total", pick("set_words", "all_words")).withColumn("missing", pick("lost", "m")).withColumn("extra", pick("gained", "e"))
+    rate = F.when(F.col("total") > 0, 1 - F.col("missing") / F.col("total")).otherwise(1.0)
+    flag = F.when(~F.col("deck_file") & (F.col("missing") + F.col("extra") > 0), "texts differ").when(F.col("deck_file") & (F.col("total") > 0) & (rate < 0.95) & ~F.col("chart"), "deck and page differ")
+    return both.select(*key, "total", "missing", "extra", rate.alias("rate"), flag.alias("flag"))
+
+
+def report(chunks: DataFrame, answers: DataFrame, issues: DataFrame, key: list[str]) -> DataFrame:
+    """(key, n_issues, line): one line a chunk: no answer (which counts as one issue), its issues in order, or that all is well.
+
+    chunks(key), answers(key), issues(key, page_no, code). n_issues summed over all lines is what a run exits with.
+    """
+    said = issues.groupBy(*key).agg(F.array_sort(F.collect_list(F.struct("page_no", "code"))).alias("i"))
+    rows = same_keys(same_keys(chunks.select(*key).distinct(), answers.select(*key).distinct().withColumn("answered", F.lit(True)), key, "left"), said, key, "left")
+    listed = F.transform("i", lambda x: F.concat(F.lit("\n    - page "), x["page_no"].cast("string"), F.lit(": "), x["code"]))
+    n = F.when(F.col("answered").isNull(), 1).otherwise(F.coalesce(F.size("i"), F.lit(0))).cast("long")
+    name = F.concat_ws("-", *[F.col(k).cast("string") for k in key])
+    line = F.when(F.col("answered").isNull(), F.concat(F.lit("- "), name, F.lit(": no answer"))).when(F.col("i").isNull(), F.concat(F.lit("- "), name, F.lit(": complete"))).otherwise(F.concat(F.lit("- "), name, F.lit(": "), F.size("i").cast("string"), F.lit(" issues"), F.array_join(listed, "")))
+    return rows.select(*key, n.alias("n_issues"), line.alias("line"))
+
+
+def merged_answers(answers: DataFrame, book: list[str], order: str, text: str = "answer_text") -> DataFrame:
+    """(book, md): a book's answers in order as one text, with a page break between two and none twice. It is one text in the end."""
+    parts = F.transform(F.array_sort(F.collect_list(F.struct(order, F.trim(text).alias("t")))), lambda a: a["t"])
+    md = F.array_join(F.filter(parts, lambda t: t != ""), "\n\n---PAGE---\n\n")
+    return answers.groupBy(*book).agg(F.regexp_replace(md, r"(?:\s*---PAGE---\s*){2,}", "\n\n---PAGE---\n\n").alias("md"))

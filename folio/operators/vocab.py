@@ -1,14 +1,19 @@
-"""Vocabularies, and repairs by them: split words, glued words, single wrong letters."""
+"""Vocabularies, and repairs by them: split words, glued words, single wrong letters.
 
-from __future__ import annotations
+A repair never carries a book's or deck's list of findings to its rows: findings meet the words of the texts in a join, and each text gets
+only what concerns it. A text is known by a 128-bit hash of itself and its keys in these joins, so equal texts are repaired once.
+
+Edge cases: a null text has no words and stays null, an empty one stays empty; null keys are a deck (or language) of their own; repeated rows
+are kept; an empty table gives no rows; other columns, whatever their names, are handed through by the repairs.
+"""
 
-import re
+from __future__ import annotations
 
-import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from folio.functions.text import tokens
+from folio.plans.runtime import fresh, kept, same_keys, sent_if_small
 
 
 def vocabulary(df: DataFrame, keys: list[str], text: str = "text") -> DataFrame:
@@ -24,57 +29,81 @@ def adjacent_pairs(df: DataFrame, deck: list[str], text: str = "text") -> DataFr
     return rows.groupBy(*deck, F.lower(F.trim("p.l")).alias("left"), F.col("p.r").alias("right")).agg(F.count(F.lit(1)).alias("n"))
 
 
+def deck_words(df: DataFrame, deck: list[str], text: str = "text") -> DataFrame:
+    """(deck, word, known, in_pairs): how often a run of letters stands in the deck, and how often in pairs whose joined form the deck knows."""
+    letters = F.regexp_extract_all(F.lower(F.col(text)), F.lit("([a-z]+)"), F.lit(1))
+    known = df.select(*deck, F.explode(letters).alias("word")).groupBy(*deck, "word").agg(F.count(F.lit(1)).alias("known"))
+    pairs = adjacent_pairs(df, deck, text).withColumn("word", F.concat("left", "right"))
+    torn = same_keys(pairs, known.drop("known"), [*deck, "word"], "left_semi")
+    sides = torn.select(*deck, "n", F.explode(F.array("left", "right")).alias("word")).groupBy(*deck, "word").agg(F.sum("n").alias("in_pairs"))
+    return same_keys(known, sides, [*deck, "word"], "left").fillna(0, ["in_pairs"])
+
+
+def torn_pairs(pairs: DataFrame, facts: DataFrame, deck: list[str]) -> DataFrame:
+    """(deck, left, right, joined, n): those of the pairs that are one word torn apart, by the deck's facts (deck_words): the joined form is
+    known, and one part never stands but in such pairs. Joins by word, so a common word costs no more than its distinct neighbours."""
+    found = same_keys(pairs.withColumn("joined", F.concat("left", "right")), facts.select(*deck, F.col("word").alias("joined")), [*deck, "joined"], "left_semi")
+    for side in ("left", "right"):
+        part = facts.select(*deck, F.col("word").alias(side), (F.col("known") == F.col("in_pairs")).alias(f"{side}_only"))
+        found = same_keys(found, part, [*deck, side], "left")
+    only = lambda s: F.coalesce(f"{s}_only", F.lit(True))
+    return found.filter(only("left") | only("right")).select(*deck, "left", "right", "joined", "n")
+
+
 def split_words(df: DataFrame, deck: list[str], text: str = "text") -> DataFrame:
-    """(deck, left, right, joined): pairs that are one word torn apart.
+    """(deck, left, right, joined): pairs that are one word torn apart."""
+    return torn_pairs(adjacent_pairs(df, deck, text), deck_words(df, deck, text), deck).drop("n")
 
-    The joined form must be known in the deck, and one part must never stand but in such pairs. Joins by word, so that a common word costs no
-    more than its distinct neighbours.
-    """
-    letters = F.regexp_extract_all(F.lower(F.col(text)), F.lit("([a-z]+)"), F.lit(1))
-    known = df.select(*deck, F.explode(letters).alias("joined")).groupBy(*deck, "joined").agg(F.count(F.lit(1)).alias("known"))
-    pairs = adjacent_pairs(df, deck, text).withColumn("joined", F.concat("left", "right")).join(known, [*deck, "joined"])
-    sides = pairs.select(*deck, F.col("left").alias("part"), "n").union(pairs.select(*deck, F.col("right").alias("part"), "n")).groupBy(*deck, "part").agg(F.sum("n").alias("in_pairs"))
-    alone = sides.join(known.select(*deck, F.col("joined").alias("part"), F.col("known").alias("all")), [*deck, "part"]).filter("all = in_pairs").select(*deck, "part")
-    only = alone.withColumn("yes", F.lit(True))
-    l, r = only.select(*deck, F.col("part").alias("left"), F.col("yes").alias("l")), only.select(*deck, F.col("part").alias("right"), F.col("yes").alias("r"))
-    return pairs.join(l, [*deck, "left"], "left").join(r, [*deck, "right"], "left").filter("l OR r").select(*deck, "left", "right", "joined")
 
+#: Where a word may be torn: a space between a letter and a small letter.
+GAP = r"(?<=[A-Za-z]) (?=[a-z])"
 
-_TORN = re.compile(r"(?<=[A-Za-z]) (?=[a-z])")
-_HEAD = re.compile(r"[a-z]+")
 
+def _pieces(text: Column) -> Column:
+    return F.split(text, GAP)
 
-def _rejoin(text: str, pairs: set) -> str:
-    """The text without the spaces that tear one of the pairs apart; one pass, linear in the text."""
-    first, *rest = _TORN.split(text)
-    out, tail = [first], _last(first)
-    for part in rest:
-        last = _last(part)
-        torn = f"{tail} {_HEAD.match(part)[0]}" in pairs
-        out.append(part if torn else f" {part}")
-        tail = tail + last if torn and len(last) == len(part) else last
-    return "".join(out)
 
+def _signature(*columns: Column) -> Column:
+    return F.struct(F.xxhash64(*columns).alias("a"), F.xxhash64(F.lit("again"), *columns).alias("b"))
 
-def _last(part: str) -> str:
-    """The letters at the end, small."""
-    i = len(part)
-    while i and part[i - 1].isascii() and part[i - 1].isalpha():
-        i -= 1
-    return part[i:].lower()
+
+def close_gaps(df: DataFrame, pairs: DataFrame, deck: list[str], text: str = "text") -> DataFrame:
+    """The texts without the spaces between the deck's pairs(deck, left, right); of gaps that touch one word the first is closed.
+
+    A text's gaps are joined with the pairs, and the places found go back to the text.
+    """
+    sign, at = fresh(df, "text_sign", "gap_places")
+    signed = df.withColumn(sign, _signature(*[F.col(f"`{k}`") for k in deck], F.col(text)))
+    parts = _pieces(F.col(text))
+    ends = F.struct(F.lower(F.regexp_extract(F.element_at("parts", F.col("i")), "([A-Za-z]+)$", 1)).alias("left"), F.regexp_extract(F.element_at("parts", F.col("i") + 1), "^([a-z]+)", 1).alias("right"))
+    gaps = signed.filter(F.col(text).rlike(GAP)).select(*[F.col(f"`{k}`") for k in deck], sign, parts.alias("parts")).distinct()
+    gaps = gaps.select(*deck, sign, "parts", F.explode(F.sequence(F.lit(1), F.size("parts") - 1)).alias("i")).select(*deck, sign, "i", ends.alias("e")).select(*deck, sign, "i", "e.*")
+    met = same_keys(gaps, sent_if_small(pairs.select(*deck, "left", "right").distinct()), [*deck, "left", "right"], "left_semi")
+    places = met.groupBy(sign).agg(F.collect_set("i").alias(at))
+    places = kept(places, "gaps")
+    joined = signed.join(sent_if_small(places), sign, "left")
+    mark = lambda i: F.array_contains(at, i) & ~F.array_contains(at, i - 1)
+    closed = F.array_join(F.transform(parts, lambda p, i: F.when(i == 0, p).when(mark(i), p).otherwise(F.concat(F.lit(" "), p))), "")
+    columns = [F.when(F.col(at).isNull(), F.col(f"`{c}`")).otherwise(closed).alias(c) if c == text else F.col(f"`{c}`") for c in df.columns]
+    return joined.select(*columns)
 
 
 def repair_split_words(df: DataFrame, deck: list[str], order: list[str], text: str = "text") -> DataFrame:
-    """The texts with torn words joined; a deck's list of pairs is sent to its lines by a join."""
-    found = split_words(df, deck, text).groupBy(*deck).agg(F.collect_set(F.concat_ws(" ", "left", "right")).alias("pairs"))
-    rows = df.join(found, deck, "left")
+    """The texts with torn words joined, again and again until nothing is left to join; the deck's counts are those of the texts as given."""
+    return repair_with_log(df, deck, text)[0]
 
-    @F.arrow_udf("string")
-    def rejoined(texts: pa.Array, found: pa.Array) -> pa.Array:
-        return pa.array([t if t is None or p is None else _rejoin(t, set(p)) for t, p in zip(texts.to_pylist(), found.to_pylist(), strict=True)], pa.string())
 
-    joined = rejoined(F.col(text), F.col("pairs"))
-    return rows.withColumn(text, F.when(F.col("pairs").isNull(), F.col(text)).otherwise(joined)).select(*df.columns)
+def repair_with_log(df: DataFrame, deck: list[str], text: str = "text") -> tuple[DataFrame, DataFrame]:
+    """The repaired texts, and what was joined: (deck, left, right, joined, n, round)."""
+    facts, rows, log, turn = kept(deck_words(df, deck, text), "words"), df, None, 0
+    while True:
+        turn += 1
+        found = kept(torn_pairs(adjacent_pairs(rows, deck, text), facts, deck).withColumn("round", F.lit(turn)), "torn")
+        log = found if log is None else log.unionByName(found)
+        if not found.limit(1).count():
+            return rows, log
+        # each round closes at least the first gap of every run, so the rounds end
+        rows = kept(close_gaps(rows, found, deck, text), "closed")
 
 
 def _deletions(word):
@@ -97,12 +126,57 @@ def one_edit_fixes(words: DataFrame, known: DataFrame, least: int = 6) -> DataFr
     return pairs.groupBy("word").agg(F.count(F.lit(1)).alias("n"), F.min("fixed").alias("fixed")).filter("n = 1").select("word", "fixed")
 
 
+def _best_cuts(joined: DataFrame, key: list[str], word: str, known: DataFrame, shortest: int) -> DataFrame:
+    """(key, left, right): the cut of each word into two known parts whose rarer part is most frequent, the first of equals; known(word, n)."""
+    cuts = joined.filter(F.length(word) >= 2 * shortest).select(*key, F.col(word).alias("whole"), F.explode(F.sequence(F.lit(shortest), F.length(word) - shortest)).alias("cut"))
+    parts = cuts.select(*key, "cut", F.expr("substring(whole, 1, cut)").alias("left"), F.expr("substring(whole, cut + 1)").alias("right"))
+    side = lambda c: known.select(F.col("word").alias(c), F.col("n").alias(f"n_{c}"))
+    both = parts.join(side("left"), "left").join(side("right"), "right")
+    best = F.max_by(F.struct("left", "right"), F.struct(F.least("n_left", "n_right"), (-F.col("cut")).alias("c")))
+    return both.groupBy(*key).agg(best.alias("b")).select(*key, "b.left", "b.right")
+
+
 def glued_words(words: DataFrame, known: DataFrame, least: int = 6) -> DataFrame:
     """(word, left, right): unknown words that two known ones make, by the split whose rarer part is most frequent; known(word, n)."""
     unknown = words.select("word").distinct().filter(F.length("word") >= least).join(known.select("word"), "word", "left_anti")
-    cuts = unknown.select("word", F.explode(F.sequence(F.lit(2), F.length("word") - 2)).alias("cut"))
-    parts = cuts.select("word", "cut", F.expr("substring(word, 1, cut)").alias("left"), F.expr("substring(word, cut + 1)").alias("right"))
-    l, r = known.select(F.col("word").alias("left"), F.col("n").alias("n_left")), known.select(F.col("word").alias("right"), F.col("n").alias("n_right"))
-    both = parts.join(l, "left").join(r, "right")
-    best = F.max_by(F.struct("left", "right"), F.struct(F.least("n_left", "n_right"), (-F.col("cut")).alias("c")))
-    return both.groupBy("word").agg(best.alias("b")).select("word", "b.left", "b.right")
+    return _best_cuts(unknown, ["word"], "word", known, 2)
+
+
+def shifted_gaps(pairs: DataFrame, known: DataFrame) -> DataFrame:
+    """(first, second, left, right): neighbours whose gap stands in a wrong place ("i tis"): the first is unknown, and the second too unless the
+    first is one letter; together they are two known words, of one letter only if it is a or i. pairs(first, second), known(word, n)."""
+    one = F.length("word") > 1
+    good = known.filter(one | F.col("word").isin("a", "i"))
+    for side in ("first", "second"):
+        pairs = pairs.join(known.select(F.col("word").alias(side), F.lit(True).alias(f"{side}_known")), side, "left")
+    odd = pairs.filter(F.col("first_known").isNull() & (F.col("second_known").isNull() | (F.length("first") == 1))).select("first", "second").distinct()
+    return _best_cuts(odd.withColumn("whole_pair", F.concat("first", "second")), ["first", "second"], "whole_pair", good, 1)
+
+
+def plain_i(words: DataFrame, known: DataFrame) -> DataFrame:
+    """(word, fixed): words with a dotted capital İ that are unknown as they are and known with a plain I; known(word, n) in small letters."""
+    dotted = words.select("word").distinct().filter(F.col("word").contains("İ")).withColumn("fixed", F.replace("word", F.lit("İ"), F.lit("I")))
+    dotted = dotted.withColumn("low", F.lower("fixed")).withColumn("as_it_is", F.lower(F.replace("word", F.lit("İ"), F.lit("i"))))
+    hit = dotted.join(known.select(F.col("word").alias("low")).distinct(), "low", "left_semi")
+    # a word that is known with i too is that word
+    same = F.col("low") == F.col("as_it_is")
+    return hit.join(known.select(F.col("word").alias("as_it_is")).distinct().withColumn("k", F.lit(True)), "as_it_is", "left").filter(same | F.col("k").isNull()).select("word", "fixed")
+
+
+def replace_words(df: DataFrame, fixes: DataFrame, book: list[str], text: str = "text") -> DataFrame:
+    """The texts with whole runs of letters replaced by the book's fixes(book, word, fixed), one for each word.
+
+    Words meet the fixes in a join; a text gets the fixes of its own words only.
+    """
+    sign, own_fixes = fresh(df, "text_sign", "word_fixes")
+    signed = df.withColumn(sign, _signature(*[F.col(f"`{k}`") for k in book], F.col(text)))
+    letters = F.array_distinct(F.regexp_extract_all(F.col(text), F.lit("([A-Za-z]+)"), F.lit(1)))
+    words = signed.select(*[F.col(f"`{k}`") for k in book], sign, F.explode(letters).alias("word"))
+    met = same_keys(words, sent_if_small(fixes.select(*book, "word", "fixed")), [*book, "word"]).select(sign, "word", "fixed").distinct()
+    found = kept(met.groupBy(sign).agg(F.map_from_entries(F.collect_list(F.struct("word", "fixed"))).alias(own_fixes)), "fixes")
+    joined = signed.join(sent_if_small(found), sign, "left")
+    parts = F.split(F.col(text), r"(?<=[A-Za-z])(?![A-Za-z])|(?<![A-Za-z])(?=[A-Za-z])")
+    fixed = F.array_join(F.transform(parts, lambda p: F.coalesce(F.col(own_fixes)[p], p)), "")
+    return joined.select(*[F.when(F.col(own_fixes).isNull(), F.col(f"`{c}`")).otherwise(fixed).alias(c) if c == text else F.col(f"`{c}`") for c in df.columns])
+
+

@@ -1,19 +1,24 @@
-"""The session's shared folder."""
+"""The session's shared folder, and joins, names and sizes that operators have in common."""
 
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import DataFrame, SparkSession
-
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _own: dict[str, str] = {}
+#: Up to so many rows of a few numbers or words are sent to every task; more are joined by a shuffle, with the same result.
+MOST_SENT = 200_000
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors see (spark.checkpoint.dir); a temporary one of this session where it is unset, as in tests."""
+    """The folder all executors see (spark.checkpoint.dir). Where it is unset a local session (a test) takes a temporary one; on a cluster that is an error."""
     base = spark.conf.get("spark.checkpoint.dir", None) or _own.get(spark.sparkContext.applicationId)
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = _own[spark.sparkContext.applicationId] = tempfile.mkdtemp(prefix="spark-shared-")
     return base.rstrip("/")
 
@@ -24,3 +29,46 @@ def checkpointed(df: DataFrame) -> DataFrame:
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared_dir(df.sparkSession))
     return df.checkpoint()
+
+
+def kept(df: DataFrame, name: str) -> DataFrame:
+    """df as Parquet in the shared folder, read back: later steps read only the columns that they need."""
+    path = f"{shared_dir(df.sparkSession)}/folio-{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def sent_if_small(df: DataFrame, most: int = MOST_SENT) -> DataFrame:
+    """df, marked for sending to all tasks if a count shows that it has `most` rows at most. df should be cheap to read twice."""
+    return F.broadcast(df) if df.count() <= most else df
+
+
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """Column names like the given ones that df does not have (compared without case, as Spark does)."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def without(df: DataFrame, *names: str) -> DataFrame:
+    """df less its columns of these names in any case: an operator's own output column replaces an input column."""
+    gone = {n.lower() for n in names}
+    return df.select([F.col(f"`{c}`") for c in df.columns if c.lower() not in gone])
+
+
+def own(df: DataFrame) -> list[Column]:
+    """All columns of df, whatever signs their names hold."""
+    return [F.col(f"`{c}`") for c in df.columns]
+
+
+def same_keys(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """A join by keys in which null meets null; each key stands once in the result, as the left side has it."""
+    names = fresh(left, *[f"{k}_right" for k in keys])
+    other = right.select(*[F.col(f"`{c}`").alias(names[keys.index(c)] if c in keys else c) for c in right.columns])
+    condition = [F.col(f"`{k}`").eqNullSafe(F.col(f"`{n}`")) for k, n in zip(keys, names, strict=True)]
+    joined = left.join(other, condition, how) if keys else left.join(other, F.lit(True), how)
+    return joined.drop(*names)

@@ -66,7 +66,7 @@ def vocabulary(spark, sf):
     return vocab.vocabulary(table(spark, sf, "documents"), ["lang"])
 
 
-PACK = r"""sized AS (SELECT source, lang, doc_id, len(regexp_extract_all({text}, '\S+'))::BIGINT AS n_words, row_number() OVER (PARTITION BY source, lang ORDER BY doc_id) AS i FROM {docs}),
+PACK = r"""sized AS (SELECT source, lang, doc_id, coalesce(len(regexp_extract_all(regexp_replace({text}, '!\[[^\]]*\]\([^)]*\)|<!--.*?-->', '', 'g'), '\S+')), 0)::BIGINT AS n_words, row_number() OVER (PARTITION BY source, lang ORDER BY doc_id, n_words) AS i FROM {docs}),
 packed AS (SELECT source, lang, doc_id, n_words, i, n_words AS filled, 1 AS chunk_no FROM sized WHERE i = 1
   UNION ALL SELECT s.source, s.lang, s.doc_id, s.n_words, s.i, CASE WHEN p.filled + s.n_words > 1800 THEN s.n_words ELSE p.filled + s.n_words END, p.chunk_no + (CASE WHEN p.filled + s.n_words > 1800 THEN 1 ELSE 0 END)
   FROM packed p JOIN sized s ON s.i = p.i + 1 AND s.source IS NOT DISTINCT FROM p.source AND s.lang IS NOT DISTINCT FROM p.lang)"""
