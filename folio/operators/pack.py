@@ -17,7 +17,7 @@ import ahocorasick
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from folio.functions.text import read_words, squeeze, strip
@@ -260,6 +260,32 @@ def term_lines(hits: DataFrame, terms: DataFrame, key: str) -> DataFrame:
     return rows.groupBy(key).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("term_id", "line"))), lambda t: t["line"]), "\n").alias("terms"))
 
 
+def filled_chunks(pages: DataFrame, book: list[str], order: str, text: str = "text", budget: int = BUDGET) -> DataFrame:
+    """(book, chunk_no, n_chunks, first_page, last_page, pages): each chunk with its pages in order, array<struct<order, words, text>>.
+
+    Only a chunk's own pages come together, which the budget bounds but for a single larger page. Pages find their chunk by place and text, so pages
+    that share a place, and repeated ones, keep their own.
+    """
+    place, sign, times, words_ = fresh(pages, "page_place", "page_sign", "page_times", "page_words")
+    rows = pages.select(*[F.col(f"`{b}`") for b in book], F.col(f"`{order}`").alias(place), F.col(f"`{text}`").alias(text)).withColumn(sign, F.xxhash64(text)).withColumn(words_, read_words(F.col(text)))
+    numbered = chunk_numbers(rows, book, place, text, budget, [sign])
+    # equal pages at one place may be dealt to several chunks: the k-th of them goes where the k-th number says
+    same = [*book, place, sign]
+    turn = lambda df, *by: df.withColumn(times, F.row_number().over(Window.partitionBy(*same).orderBy(*by)))
+    met = same_keys(turn(rows, words_), turn(numbered.select(*same, "chunk_no"), "chunk_no"), [*same, times])
+    told = F.array_sort(F.collect_list(F.struct(F.col(place).alias("place"), F.col(words_).alias("words"), F.col(text).alias("text"))))
+    made = met.groupBy(*book, "chunk_no").agg(F.min(place).alias("first_page"), F.max(place).alias("last_page"), told.alias("pages"))
+    counts = numbered.groupBy(*book).agg(F.max("chunk_no").alias("n_chunks"))
+    return same_keys(made, sent_if_small(counts), book).select(*book, "chunk_no", "n_chunks", "first_page", "last_page", "pages")
+
+
+def prompts(pages: DataFrame, book: list[str], order: str, template: str, text: str = "text", budget: int = BUDGET) -> DataFrame:
+    """One prompt per chunk from a template with two places (%s): the page range and the pages' text in order."""
+    made = filled_chunks(pages, book, order, text, budget)
+    span = F.concat_ws("-", F.col("first_page").cast("string"), F.col("last_page").cast("string"))
+    return made.select(*book, "chunk_no", "n_chunks", F.format_string(template, span, F.array_join(F.transform("pages", lambda p: p["text"]), "\n\n")).alias("prompt"))
+
+
 #: The places of a prompt's template.
 PLACES = ("range", "no", "count", "images", "outline", "terms", "note", "text")
 
@@ -269,7 +295,7 @@ def _fill(template: str, values: dict[str, Column]) -> Column:
     return F.concat(*[values[p] if i % 2 else F.lit(p) for i, p in enumerate(parts)])
 
 
-def prompts(chapters: DataFrame, key: str, template: str, terms: DataFrame, first_note: str = "", last_note: str = "", images_note: str = "Pictures of these pages: ", md: str = "md", budget: int = BUDGET) -> DataFrame:
+def study_prompts(chapters: DataFrame, key: str, template: str, terms: DataFrame, first_note: str = "", last_note: str = "", images_note: str = "Pictures of these pages: ", md: str = "md", budget: int = BUDGET) -> DataFrame:
     """(key, chunk_no, n_chunks, first_page, last_page, n_images, prompt): each chapter's pages (by its markers) packed into chunks, and for each
     chunk the template with its places filled: range, no, count, images, outline, terms, note, text.
 

@@ -32,18 +32,24 @@ def _compared(source: pa.Array, output: pa.Array) -> pa.Array:
     return pa.StructArray.from_arrays([pa.array(x) for x in sums], ["total", "common", "missing", "extra"])
 
 
+def covered(source: Column, output: Column, expected: Column | None = None) -> Column:
+    """struct<total, common, missing, extra>: the two texts' words compared as multisets; words of expected leave both sides."""
+    a, b = tokens(source), tokens(output)
+    if expected is not None:
+        known = F.array_distinct(tokens(expected))
+        a, b = (F.filter(c, lambda w: ~F.array_contains(known, w)) for c in (a, b))
+    return F.arrow_udf("total long, common long, missing long, extra long")(_compared)(a, b)
+
+
 def coverage(df: DataFrame, key: list[str], source: str, output: str, expected: str | None = None) -> DataFrame:
-    """Multiset word coverage of source by output, one row for each row: total, common, missing and extra words, rate (1 for an empty source).
+    """Multiset word coverage of source by output, one row for each row that has words on either side: total, common, missing and extra words, and
+    the rate (1 for an empty source).
 
     Both texts stand in one row, so nothing is shuffled. expected (a text, say the words of repairs made on purpose) names words that count
-    neither as missing nor as extra: they leave both sides.
+    neither as missing nor as extra.
     """
-    a, b = tokens(F.col(source)), tokens(F.col(output))
-    if expected:
-        known = F.array_distinct(tokens(F.col(expected)))
-        a, b = (F.filter(c, lambda w: ~F.array_contains(known, w)) for c in (a, b))
-    counts = F.arrow_udf("total long, common long, missing long, extra long")(_compared)
-    counted = df.select(*key, counts(a, b).alias("covered_words")).select(*key, "covered_words.*")
+    counts = covered(F.col(source), F.col(output), F.col(expected) if expected else None)
+    counted = df.select(*key, counts.alias("covered_words")).select(*key, "covered_words.*").filter("total + extra > 0")
     return counted.withColumn("coverage", F.when(F.col("total") == 0, 1.0).otherwise(F.col("common") / F.col("total")))
 
 
@@ -213,7 +219,7 @@ def slide_coverage(slides: DataFrame, key: list[str], source: str, output: str,
     exact = coverage(rows.select(*key, F.col(source).alias("s"), F.col(output).alias("o"), "expected_words"), key, "s", "o", "expected_words")
     # all words of the source are the rate's measure, also those that are expected to differ
     sets = slides.select(*key, F.col(deck_file).alias("deck_file"), F.size(tokens(F.col(source))).cast("long").alias("all_words"), F.size(a).cast("long").alias("set_words"), F.size(lost).cast("long").alias("lost"), F.size(gained).cast("long").alias("gained"), F.coalesce(F.exists(flags, lambda f: f.startswith("chart")), F.lit(False)).alias("chart"))
-    both = same_keys(sets, exact.select(*key, F.col("missing").alias("m"), F.col("extra").alias("e")), key)
+    both = same_keys(sets, exact.select(*key, F.col("missing").alias("m"), F.col("extra").alias("e")), key, "left").fillna(0, ["m", "e"])
     pick = lambda x, y: F.when(F.col("deck_file"), F.col(x)).otherwise(F.col(y))
     both = both.withColumn("total", pick("set_words", "all_words")).withColumn("missing", pick("lost", "m")).withColumn("extra", pick("gained", "e"))
     rate = F.when(F.col("total") > 0, 1 - F.col("missing") / F.col("total")).otherwise(1.0)

@@ -104,10 +104,11 @@ SELECT p.source, p.lang, p.chunk_no, min(p.doc_id) AS first_page, max(p.doc_id)
 FROM packed p JOIN cover c USING (doc_id) GROUP BY p.source, p.lang, p.chunk_no""")
 def packed_coverage(spark, sf):
     """Flagship: headers removed, pages packed, and the words of each chunk checked against the source."""
-    docs = table(spark, sf, "documents")
-    cleaned = textclean.remove_headers(docs.withColumn("raw", F.col("text")), BOOK)
-    cover = verify.coverage(cleaned, ["doc_id"], "raw", "text").select("doc_id", "total", "common")
-    numbered = pack.chunk_numbers(cleaned, BOOK, "doc_id").join(cover, "doc_id")
+    docs = table(spark, sf, "documents").select(*BOOK, "doc_id", "text", F.col("text").alias("raw"))
+    cleaned = textclean.remove_headers(docs, BOOK)
+    # texts are read once: what later steps need of a page is a handful of numbers
+    compared = cleaned.select(*BOOK, "doc_id", "text", verify.covered(F.col("raw"), F.col("text")).alias("c")).select(*BOOK, "doc_id", "text", "c.total", "c.common")
+    numbered = pack.chunk_numbers(compared, BOOK, "doc_id", carry=["total", "common"])
     return numbered.groupBy(*BOOK, "chunk_no").agg(F.min("doc_id").alias("first_page"), F.max("doc_id").alias("last_page"), F.count(F.lit(1)).alias("n_pages"), F.sum("n_words").alias("n_words"), F.sum("total").alias("total"), F.sum("common").alias("common"))
 
 

@@ -29,8 +29,8 @@ _R = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}"
 _LINK = "{http://schemas.openxmlformats.org/package/2006/relationships}Relationship"
 #: English Metric Units in a point.
 EMU = 12_700
-NAMES = ["slide_no", "pos", "kind", "level", "text", "x", "y", "width", "height", "hidden"]
-FIELDS = "slide_no int, pos int, kind string, level int, text string, x double, y double, width double, height double, hidden boolean"
+NAMES = ["slide_no", "pos", "kind", "form", "level", "text", "x", "y", "width", "height", "hidden"]
+FIELDS = "slide_no int, pos int, kind string, form string, level int, text string, x double, y double, width double, height double, hidden boolean"
 SCHEMA = f"path string, {FIELDS}"
 PARAGRAPH = f"array<struct<{FIELDS.replace(' ', ': ').replace(',:', ',')}>>"
 #: Pictures below this share of the slide are marks or logos.
@@ -81,8 +81,8 @@ def _frame(shape, inner: bool, outer):
 
 
 def _shapes(tree, z: zipfile.ZipFile, links: dict[str, str], area: float, outer=None):
-    """(y, x, width, height, kind, rows) of the shapes under a tree: kinds title, footer, text (a placeholder's), box (a text box), shape (text
-    in another shape), label (text within a group), table, chart, picture and connector; rows are (level, text)."""
+    """(y, x, width, height, kind, form, rows) of the shapes under a tree: kinds title, footer, text, table, chart, picture and connector; the form
+    of a text is placeholder, box (a text box), shape (another shape) or group (any of them in a group); rows are (level, text)."""
     for shape in tree:
         x, y, w, h = _frame(shape, outer is not None, outer)
         mark = next(shape.iter(f"{_P}ph"), None)
@@ -90,21 +90,23 @@ def _shapes(tree, z: zipfile.ZipFile, links: dict[str, str], area: float, outer=
         if shape.tag == f"{_P}grpSp":
             yield from _shapes(shape, z, links, area, outer or (x, y, w, h))
         elif shape.tag == f"{_P}cxnSp":
-            yield y, x, w, h, "connector", [(0, "")]
+            yield y, x, w, h, "connector", None, [(0, "")]
         elif shape.tag == f"{_P}pic":
             if w * h >= LEAST_PICTURE * area:
                 blip = next(shape.iter(f"{_A}blip"), None)
-                yield y, x, w, h, "picture", [(0, links.get(blip.get(f"{_R}embed"), "") if blip is not None else "")]
+                yield y, x, w, h, "picture", None, [(0, links.get(blip.get(f"{_R}embed"), "") if blip is not None else "")]
         elif shape.tag == f"{_P}graphicFrame":
             chart = next(shape.iter(f"{_C}chart"), None)
             rows = [_cells([" ".join(_text(p) for p in cell.iter(f"{_A}p")).strip() for cell in row.iter(f"{_A}tc")]) for row in shape.iter(f"{_A}tr")]
             if chart is not None:
                 part = links.get(chart.get(f"{_R}id"), "")
-                yield y, x, w, h, "chart", [(0, r) for r in (_chart(z.read(part)) if part in z.namelist() else [])] or [(0, "")]
+                yield y, x, w, h, "chart", None, [(0, r) for r in (_chart(z.read(part)) if part in z.namelist() else [])] or [(0, "")]
             elif rows:
-                yield y, x, w, h, "table", [(0, r) for r in rows]
+                yield y, x, w, h, "table", None, [(0, r) for r in rows]
         elif shape.tag == f"{_P}sp":
-            kind = "title" if role in ("title", "ctrTitle") else "footer" if role in ("ftr", "sldNum", "dt") else "label" if outer else "text" if role else "box" if any(e.get("txBox") == "1" for e in shape.iter(f"{_P}cNvSpPr")) else "shape"
+            kind = "title" if role in ("title", "ctrTitle") else "footer" if role in ("ftr", "sldNum", "dt") else "text"
+            boxed = any(e.get("txBox") == "1" for e in shape.iter(f"{_P}cNvSpPr"))
+            form = None if kind != "text" else "group" if outer else "placeholder" if role else "box" if boxed else "shape"
             rows = []
             for p in shape.iter(f"{_A}p"):
                 props = p.find(f"{_A}pPr")
@@ -113,7 +115,7 @@ def _shapes(tree, z: zipfile.ZipFile, links: dict[str, str], area: float, outer=
             if kind == "title":
                 rows = [(0, " ".join(t for _, t in rows))] if rows else []
             if rows:
-                yield y, x, w, h, kind, rows
+                yield y, x, w, h, kind, form, rows
 
 
 def _slides(z: zipfile.ZipFile) -> tuple[list[str], float]:
@@ -129,7 +131,7 @@ def _slides(z: zipfile.ZipFile) -> tuple[list[str], float]:
 
 
 def paragraphs(content: bytes) -> list[tuple]:
-    """(slide_no, pos, kind, level, text, x, y, width, height, hidden) of all paragraphs, table and chart rows, pictures and connectors, shapes
+    """(slide_no, pos, kind, form, level, text, x, y, width, height, hidden) of all paragraphs, table and chart rows, pictures and connectors, shapes
     from top to bottom and left to right; a slide's notes stand last."""
     out = []
     with zipfile.ZipFile(io.BytesIO(content)) as z:
@@ -138,12 +140,12 @@ def paragraphs(content: bytes) -> list[tuple]:
             root, links = ElementTree.fromstring(z.read(name)), _related(z, name)
             shapes = [s for tree in root.iter(f"{_P}spTree") for s in _shapes(tree, z, links, area)]
             shapes.sort(key=lambda s: s[:2])
-            rows = [(kind, level, text, x, y, w, h) for y, x, w, h, kind, told in shapes for level, text in told]
+            rows = [(kind, form, level, text, x, y, w, h) for y, x, w, h, kind, form, told in shapes for level, text in told]
             notes = next((n for n in links.values() if n.startswith("ppt/notesSlides/") and n in z.namelist()), None)
             if notes:
                 page = ElementTree.fromstring(z.read(notes))
                 bodies = [s for s in page.iter(f"{_P}sp") if any(p.get("type") == "body" for p in s.iter(f"{_P}ph"))]
-                rows += [("notes", 0, t, 0.0, 0.0, 0.0, 0.0) for s in bodies for t in map(_text, s.iter(f"{_A}p")) if t]
+                rows += [("notes", None, 0, t, 0.0, 0.0, 0.0, 0.0) for s in bodies for t in map(_text, s.iter(f"{_A}p")) if t]
             out += [(number, i, *r, root.get("show") == "0") for i, r in enumerate(rows)]
     return out
 
@@ -191,7 +193,7 @@ def parsed(files: DataFrame, content: str = "content") -> DataFrame:
             except (zipfile.BadZipFile, ElementTree.ParseError, TypeError, ValueError, KeyError) as e:  # one bad file must not stop the others
                 rows.append([])
                 errors.append(f"{type(e).__name__}: {e}"[:200])
-        types = [pa.int32(), pa.int32(), pa.string(), pa.int32(), pa.string(), pa.float64(), pa.float64(), pa.float64(), pa.float64(), pa.bool_()]
+        types = [pa.int32(), pa.int32(), pa.string(), pa.string(), pa.int32(), pa.string(), pa.float64(), pa.float64(), pa.float64(), pa.float64(), pa.bool_()]
         kind = pa.list_(pa.struct(list(zip(NAMES, types, strict=True))))
         return pa.StructArray.from_arrays([pa.array(rows, kind), pa.array(errors, pa.string())], ["rows", "error"])
 
@@ -203,21 +205,23 @@ def slides(rows: DataFrame) -> DataFrame:
 
     A slide is a diagram if it has connectors, text in groups, or three shapes with text: then those texts are labels, else they are listed. items: array<struct<kind, level, text>> with kinds item, paragraph and table; flags say what only a picture shows.
     """
-    order, k = F.struct("pos", "kind", "level", "text"), F.col("kind")
+    order, k = F.struct("pos", "kind", "form", "level", "text"), F.col("kind")
+    shape = F.coalesce(F.col("form") == "shape", F.lit(False))
     per = rows.filter("slide_no IS NOT NULL").groupBy("path", "slide_no").agg(
         F.bool_or("hidden").alias("hidden"), F.array_sort(F.collect_list(order)).alias("r"),
-        (F.bool_or(k.isin("connector", "label")) | (F.countDistinct(F.when(k == "shape", F.struct("x", "y"))) >= 3)).alias("diagram"),
-        F.count(F.when(k == "shape", 1)).alias("shapes"), F.bool_or((k == "shape") & (F.col("level") > 0)).alias("deep"))
+        (F.bool_or((k == "connector") | F.coalesce(F.col("form") == "group", F.lit(False))) | (F.countDistinct(F.when(shape, F.struct("x", "y"))) >= 3)).alias("diagram"),
+        F.count(F.when(shape, 1)).alias("shapes"), F.bool_or(shape & (F.col("level") > 0)).alias("deep"))
     of = lambda *kinds: F.filter("r", lambda x: x["kind"].isin(*kinds))
+    drawn = F.filter("r", lambda x: F.coalesce(x["form"].isin("group", "shape"), F.lit(False)))
     texts = lambda c: F.transform(c, lambda x: x["text"])
     title = F.array_join(texts(of("title")), " ")
-    schematic = F.col("diagram") & (F.size(of("label", "shape")) > 0)
-    listed = F.filter("r", lambda x: x["kind"].isin("text", "box", "table") | ((x["kind"] == "chart") & (x["text"] != "")) | ((x["kind"] == "shape") & ~F.col("diagram")))
+    schematic = F.col("diagram") & (F.size(drawn) > 0)
+    listed = F.filter("r", lambda x: F.coalesce(x["form"].isin("placeholder", "box"), x["kind"] == "table") | ((x["kind"] == "chart") & (x["text"] != "")) | (F.coalesce(x["form"] == "shape", F.lit(False)) & ~F.col("diagram")))
     bulleted = (F.col("shapes") > 1) | F.col("deep")
-    kind = lambda x: F.when(x["kind"].isin("table", "chart"), "table").when((x["kind"] == "text") | ((x["kind"] == "shape") & bulleted), "item").otherwise("paragraph")
+    kind = lambda x: F.when(x["kind"].isin("table", "chart"), "table").when((x["form"] == "placeholder") | ((x["form"] == "shape") & bulleted), "item").otherwise("paragraph")
     items = F.transform(listed, lambda x: F.struct(kind(x).alias("kind"), x["level"].alias("level"), x["text"].alias("text")))
     flags = F.array_compact(F.array(
         F.when(F.size(of("chart")) > 0, F.when(F.exists(of("chart"), lambda x: x["text"] == ""), "chart (values not read, see the picture)").otherwise("chart (values read from the deck)")),
         F.when(schematic, "diagram (arrows and relations are in the picture)"), F.when(F.size(of("picture")) > 0, "picture (see it)"), F.when(title == "", "no title")))
-    labels = F.when(schematic, texts(of("label", "shape"))).otherwise(F.array().cast("array<string>"))
+    labels = F.when(schematic, texts(drawn)).otherwise(F.array().cast("array<string>"))
     return per.select("path", "slide_no", "hidden", title.alias("title"), flags.alias("flags"), labels.alias("labels"), items.alias("items"), F.array_join(texts(of("notes")), "\n").alias("notes"))
