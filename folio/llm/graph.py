@@ -8,15 +8,15 @@ from pyspark.sql import functions as F
 from folio.llm.common import staged
 
 
-def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """edges(a long, b long) to (id, component): the smallest id reachable, for each id that has an edge.
 
     Every step is a sum by node (combined before the shuffle) and a join, whose edges never outnumber those given; its result is written to
-    the shared folder. A node with very many edges costs no more than its edges. Loops and repeated edges are allowed; no edges give no rows.
+    the shared folder, until nothing changes any more. A node with very many edges costs no more than its edges. Loops and repeated edges are allowed; no edges give no rows.
     """
     now = staged(edges.select(F.col("a").cast("long"), F.col("b").cast("long")).filter("a <> b").distinct(), "edges")
     last = None
-    for _ in range(most_rounds):
+    while True:
         both = now.select("a", "b").union(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
         large = both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b").distinct()
@@ -29,7 +29,5 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
         if mark == last:
             break
         last = mark
-    else:
-        raise RuntimeError("components did not settle")
     star = now.select(F.col("a").alias("id"), F.col("b").alias("component"))
     return star.union(star.select(F.col("component").alias("id"), "component").distinct())

@@ -9,8 +9,11 @@
    hash's choice (in odd trees), so a crowded region costs as many candidates as it has members, however many.
 3. Candidates are confirmed on the whole sets, computed anew from the texts: first the best supported one of each class, then, after
    joining what is linked, those between different components.
-4. What then still falls into several components of one crowded region is compared exactly: the members outside its largest component with
-   all its members, in blocks of BLOCK. So each pair that any tree brings into one region is either linked, or in one component, or compared.
+4. What then still falls into several components of one crowded region is compared exactly. Two sets that link share one of their rarest
+   shingles (n - ceil(0.8 n) + 1 of them, in one order of all shingles). Members of different components that share one held by COMMON members at
+   most are confirmed as pairs. Those that share a commoner one, which is all but a copy's text, are compared in blocks of BLOCK: the members
+   outside the region's largest component with all of these members. So each pair that any tree brings into one region is either linked, or in
+   one component, or cannot link, or is compared; and pages that share a template only are not compared.
    A pair with similarity 0.8 shares no region with probability (1 - 0.8^4)^24, 3 in a million, and more similar ones far less often.
 5. Components are found by stars (graph.py), in the shared folder; nothing of it goes to the driver.
 
@@ -35,6 +38,10 @@ COORDS = TREES * PREFIX
 FEW = 8
 #: Members of a crowded region that are compared with others at a time.
 BLOCK = 512
+#: A rare shingle that more members of crowded regions hold than this is compared by blocks, others pair by pair.
+COMMON = 64
+#: Counters of the order of shingles: a table of 2 MB.
+COUNTERS = 1 << 19
 #: Classes of a region that stays crowded at the last depth are compared along chunks of about this size.
 CHUNK = 256
 
@@ -211,22 +218,84 @@ def _block_links(k: int, percent: int):
     return links
 
 
-def crowd_links(crowds: DataFrame, components_: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
-    """(a, b): links between different components within crowded regions: members outside a region's largest component against all of it."""
+def _counted(k: int):
+    """Texts to (place, n): how many shingles fall on each of COUNTERS places."""
+
+    def count(batches):
+        total = np.zeros(COUNTERS, np.int64)
+        for b in batches:
+            for _, data, at in pieces(b.column(0)):
+                total += np.bincount(_place(shingle_sets(data, at, k)[0]), minlength=COUNTERS)
+        used = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array(total[used])], ["place", "n"])
+
+    return count
+
+
+def _place(values: np.ndarray) -> np.ndarray:
+    return (values >> np.uint64(13)).astype(np.int64) & (COUNTERS - 1)
+
+
+def rarest(values: np.ndarray, bounds: np.ndarray, often: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of each set its n - ceil(percent n / 100) + 1 rarest shingles, by their counter and then by value, one set after the other; and n + 1 bounds."""
+    size = np.diff(bounds)
+    row = np.repeat(np.arange(len(size)), size)
+    order = np.lexsort((values, often[_place(values)], row))
+    want = np.where(size > 0, size + (-percent * size) // 100 + 1, 0)
+    first = np.arange(len(values)) - bounds[row] < want[row]
+    return values[order][first], np.concatenate([[0], np.cumsum(want)])
+
+
+def _rare_shingles(k: int, percent: int, often: np.ndarray):
+    @F.arrow_udf("n long, rare array<long>")
+    def rare(texts: pa.Array) -> pa.Array:
+        sizes, out, ends = [], [], [np.zeros(1, np.int64)]
+        for _, data, at in pieces(texts):
+            values, bounds = shingle_sets(data, at, k)
+            chosen, cut = rarest(values, bounds, often, percent)
+            sizes.append(np.diff(bounds))
+            out.append(chosen.view(np.int64))
+            ends.append(cut[1:] + ends[-1][-1])
+        join = lambda x: np.concatenate(x) if x else np.zeros(0, np.int64)
+        lists = pa.ListArray.from_arrays(pa.array(join(ends).astype(np.int32)), pa.array(join(out), pa.int64()))
+        return pa.StructArray.from_arrays([pa.array(join(sizes), pa.int64()), lists], ["n", "rare"])
+
+    return rare
+
+
+def crowd_links(crowds: DataFrame, components_: DataFrame, texts: DataFrame, k: int, percent: int, confirm) -> DataFrame:
+    """(a, b): links between different components within crowded regions, see 4 above; confirm(pairs) keeps those of the pairs that link."""
     placed = crowds.join(components_, "id", "left").select("h", "id", F.coalesce("component", "id").alias("comp"))
     sizes = placed.groupBy("h", "comp").agg(F.count(F.lit(1)).alias("n"))
     regions = sizes.groupBy("h").agg(F.max_by("comp", F.col("n") * (1 << 20) + F.xxhash64("comp").bitwiseAND(F.lit((1 << 20) - 1))).alias("major"), F.sum("n").alias("members"), F.max("n").alias("most")).filter("members > most")
-    mixed = staged(placed.join(regions, "h"), "mixed")
+    mixed = staged(placed.join(regions.select("h", "major"), "h"), "mixed")
+    ids = staged(mixed.select("id", "comp").distinct(), "members")
+    held = texts.join(sent_if_small(ids), "id")
+    often = np.zeros(COUNTERS, np.int64)
+    counted = held.select("text").mapInArrow(_counted(k), "place int, n long").groupBy("place").agg(F.sum("n").alias("n")).toArrow()
+    often[counted["place"].to_numpy()] = counted["n"].to_numpy()
+    rare = held.select("id", "comp", _rare_shingles(k, percent, often)(F.col("text")).alias("s")).select("id", "comp", "s.n", F.explode("s.rare").alias("x"))
+    rare = staged(rare, "rare")
+    shared = staged(rare.groupBy("x").agg(F.count(F.lit(1)).alias("c"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi").select("x", "c"), "shared")
+    # holders of a rare shingle: at most COMMON, so at most COMMON pairs for each
+    few = rare.join(shared.filter(F.col("c") <= COMMON).select("x"), "x")
+    other = few.select("x", *[F.col(c).alias(f"{c}_b") for c in ("id", "comp", "n")])
+    alike = (F.least("n", "n_b") * 100 >= F.greatest("n", "n_b") * percent) & (F.col("comp") != F.col("comp_b")) & (F.col("id") < F.col("id_b"))
+    pairs = staged(few.join(other, "x").filter(alike).select(F.col("id").alias("a"), F.col("id_b").alias("b")).distinct(), "near")
+    # holders of a common one: blocks of their regions
+    many = rare.join(shared.filter(F.col("c") > COMMON).select("x"), "x", "left_semi").select("id").distinct()
+    rest = mixed.join(many, "id", "left_semi")
+    left_over = rest.groupBy("h").agg(F.count(F.lit(1)).alias("members"), F.count(F.when(F.col("comp") != F.col("major"), 1)).alias("minors")).filter("minors > 0 AND members > 1")
+    mixed = staged(rest.join(left_over, "h"), "blocks")
     count = lambda n: F.ceil(n / BLOCK).cast("int")
     blocks = lambda n: F.explode(F.sequence(F.lit(0), count(n) - 1))
     own = lambda n: F.pmod(F.xxhash64("id"), count(n)).cast("int")
-    minors = F.col("members") - F.col("most")
-    queries = mixed.filter("comp <> major").select("h", "id", "comp", own(minors).alias("qb"), blocks(F.col("members")).alias("mb"))
-    members = mixed.select("h", "id", "comp", own(F.col("members")).alias("mb"), blocks(minors).alias("qb"))
+    queries = mixed.filter("comp <> major").select("h", "id", "comp", own(F.col("minors")).alias("qb"), blocks(F.col("members")).alias("mb"))
+    members = mixed.select("h", "id", "comp", own(F.col("members")).alias("mb"), blocks(F.col("minors")).alias("qb"))
     keys = ["h", "qb", "mb"]
     left, right = (x.join(texts, "id").select(*keys, "id", "comp", "text") for x in (queries, members))
     left, right = left.groupBy(*keys), right.toDF(*right.columns).groupBy(*keys)  # toDF: columns of its own, though both come from one table
-    return left.cogroup(right).applyInArrow(_block_links(k, percent), "a long, b long")
+    return confirm(pairs).union(left.cogroup(right).applyInArrow(_block_links(k, percent), "a long, b long"))
 
 
 def near_duplicates(df: DataFrame, text: str = "text", key: str = "doc_id", shingle: int = 5, percent: int = 80) -> DataFrame:
@@ -265,7 +334,7 @@ def near_duplicates(df: DataFrame, text: str = "text", key: str = "doc_id", shin
     more = confirm(apart)
     star = lambda c: c.select(F.col("id").alias("a"), F.col("component").alias("b"))
     second = components(star(joined).union(more))
-    whole = components(star(second).union(crowd_links(crowds, second, texts, shingle, percent)))
+    whole = components(star(second).union(crowd_links(crowds, second, texts, shingle, percent, confirm)))
     rows = shapes.select("id", "n", "f1", "f2").join(class_of, ["n", "f1", "f2"], "left")
     rows = rows.join(whole.select(F.col("id").alias("rep"), "component"), "rep", "left")
     component = F.when(F.col("id").isNotNull(), F.coalesce("component", "rep", "id"))
