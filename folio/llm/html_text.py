@@ -6,6 +6,11 @@ styles, templates, `hidden`, `display: none`, closed details and dialogs) are le
 put on lines of their own, paragraphs are set apart by a blank line, list items get a mark and an indent by depth, and the cells of a table
 stand in aligned columns.
 
+What is hidden is told by the page's own rules too: `display` and `visibility` in <style> elements (also within @media for all or screen) and in
+style attributes, in the order of the cascade. Selectors of types, classes, ids and *, alone, together, as descendants or as children are
+matched; rules with other selectors (attributes, pseudo-classes, siblings) or other @-rules are not read, nor are linked style sheets. What
+shows itself again within something invisible (visibility: visible) is shown; nothing is within display: none.
+
 SVG and MathML are read by their own rules: any element may close itself (<svg/>), no text is raw, CDATA is text, and an HTML block ends what
 is open of them. Of SVG the drawn text is shown (text elements and foreign objects), of MathML all but annotations and phantoms. Text that SVG
 draws only through <use> or a pattern is left out.
@@ -61,15 +66,20 @@ CLOSES = {
 }
 _MARKUP = re.compile(r"<!--(?:(?=-?>)|.*?(?:-->|--!>|\Z))|<[!?][^>]*+>|<(/?)([a-zA-Z][^\s/>]*)((?>[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*+)>", re.S)
 _ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
-_GONE = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.I)
+_SAYS = re.compile(r"(?:^|;)\s*(display|visibility)\s*:\s*([a-zA-Z-]+)\s*(!\s*important)?", re.I)
+_COMPOUND = re.compile(r"(\*|[a-zA-Z][\w-]*)?((?:[.#][\w-]+)*)\Z")
+_SHEET = re.compile(r"/\*.*?(?:\*/|\Z)|<!--|-->", re.S)
+_SCREEN = re.compile(r"@media\s+(?:only\s+)?(?:all|screen)\s*\Z", re.I)
+_STYLED = re.compile("style|visibility", re.I)
 _SPACE = re.compile(r"[ \t\n\r\f]+")
 
 
 class Node:
-    __slots__ = ("attrs", "children", "ns", "tag")
+    __slots__ = ("attrs", "children", "display", "ns", "tag", "unseen")
 
     def __init__(self, tag: str, attrs: dict | None = None, ns: str = "") -> None:
         self.tag, self.attrs, self.children, self.ns = tag, attrs or {}, [], ns  # ns: svg, math, or empty for HTML
+        self.display, self.unseen = "", False  # what style rules say of display, and whether text in it is invisible
 
     def number(self, name: str, most: int) -> int:
         value = self.attrs.get(name, "")
@@ -181,7 +191,7 @@ def tree(page: str) -> Node:
                 lower = "".join(c if len(c.lower()) > 1 else c.lower() for c in page)
             end = lower.find(f"</{tag}", at)
             body, at = (page[at:], len(page)) if end < 0 else (page[at:end], end)
-            if tag in ("textarea", "xmp"):
+            if tag in ("textarea", "xmp", "style"):
                 node.children.append(unescape(body) if tag == "textarea" else body)
             if end >= 0:
                 stop = page.find(">", end)
@@ -192,14 +202,104 @@ def tree(page: str) -> Node:
     return root
 
 
+def _rules(sheet: str) -> list[tuple[list, tuple, list]]:
+    """(selector, its weight, what it says of display and visibility) of a style sheet's rules, in order. A selector is a list of (how, tag, names),
+    the element's own first; how tells what the one before it is to it: its parent or any ancestor."""
+    out, stack, at = [], [], 0
+    sheet = _SHEET.sub(" ", sheet)
+    for m in re.finditer(r"[{}]", sheet):
+        text, at = sheet[at : m.start()].rsplit(";", 1)[-1].strip() if m[0] == "{" else sheet[at : m.start()], m.end()
+        if m[0] == "{":
+            stack.append(text)
+            continue
+        if not stack:
+            continue
+        head = stack.pop()
+        says = [(k.lower(), v.lower(), bool(i)) for k, v, i in _SAYS.findall(text)]
+        if not says or head.startswith("@") or not all(_SCREEN.match(h) for h in stack):
+            continue
+        for one in head.split(","):
+            parts, how = [], ""
+            for part in one.replace(">", " > ").split():
+                c = None if part == ">" else _COMPOUND.match(part)
+                if part == ">":
+                    how = ">"
+                elif c:
+                    parts.insert(0, ["", c[1].lower() if c[1] and c[1] != "*" else "", re.findall(r"[.#][\w-]+", c[2])])
+                    parts[0][0] = how or " "
+                    how = ""
+                else:
+                    parts = []
+                    break
+            if parts and not how:
+                names = [n for p in parts for n in p[2]]
+                weight = (sum(n[0] == "#" for n in names), sum(n[0] == "." for n in names), sum(bool(p[1]) for p in parts))
+                out.append((parts, weight, says))
+    return out
+
+
+def style(root: Node) -> None:
+    """Works out display and unseen of all elements from <style> elements, style and visibility attributes. Rules are found by the id, class or tag that
+    they end with, so elements look at few of them."""
+    sheets, todo = [], [root]
+    while todo:
+        node = todo.pop()
+        if node.tag == "style":
+            sheets += [c for c in node.children if isinstance(c, str)]
+        else:
+            todo += [c for c in reversed(node.children) if not isinstance(c, str)]
+    by: dict[str, list] = {}
+    for i, (parts, weight, says) in enumerate(r for sheet in sheets for r in _rules(sheet)):
+        by.setdefault(parts[0][2][0] if parts[0][2] else parts[0][1], []).append((weight, i, parts, says))
+    path: list[tuple[Node, str, set]] = []  # the open elements: node, tag, names
+
+    def fits(part, entry) -> bool:
+        return (not part[1] or part[1] == entry[1]) and entry[2].issuperset(part[2])
+
+    def match(parts, depth: int) -> bool:
+        """Whether path[depth] is what the selector means: the depths at which each part may stand, from the element outwards."""
+        at = {depth} if fits(parts[0], path[depth]) else set()
+        for k in range(1, len(parts)):
+            if not at:
+                return False
+            above = {d - 1 for d in at} if parts[k - 1][0] == ">" else range(max(at))
+            at = {d for d in above if d >= 0 and fits(parts[k], path[d])}
+        return bool(at)
+
+    steps: list = [(c, root) for c in reversed(root.children) if not isinstance(c, str)]
+    while steps:
+        node, parent = steps.pop()
+        if node is None:
+            path.pop()
+            continue
+        a = node.attrs
+        names = {f".{c}" for c in a.get("class", "").split()} | ({f"#{a['id']}"} if a.get("id") else set())
+        path.append((node, node.tag, names))
+        found = [(weight, i, says) for key in (*names, node.tag, "") for weight, i, parts, says in by.get(key, ()) if match(parts, len(path) - 1)]
+        says = [(important, weight, i, k, v) for weight, i, told in found for k, v, important in told]
+        says += [(bool(i), (1 << 20,), 0, k.lower(), v.lower()) for k, v, i in _SAYS.findall(a.get("style", ""))]
+        if node.ns == "svg":
+            says += [(False, (-1,), 0, k, a[k].lower()) for k in ("display", "visibility") if k in a]
+        node.unseen = parent.unseen
+        for _, _, _, k, v in sorted(says, key=lambda x: x[:3]):
+            if k == "display":
+                node.display = v
+            elif v != "inherit":
+                node.unseen = v in ("hidden", "collapse")
+            else:
+                node.unseen = parent.unseen
+        steps.append((None, node))
+        steps += [(c, node) for c in reversed(node.children) if not isinstance(c, str)]
+
+
 def visible(node: Node, parent: Node) -> bool:
     a = node.attrs
+    if node.display == "none":
+        return False
     if node.ns:
-        if node.tag in UNDRAWN or a.get("display") == "none" or node.ns == "svg" and a.get("visibility") in ("hidden", "collapse"):
+        if node.tag in UNDRAWN or not node.display and a.get("display") == "none":
             return False
-        if "style" in a and _GONE.search(a["style"]):
-            return False
-    elif node.tag in HIDDEN or "hidden" in a or "style" in a and _GONE.search(a["style"]) or node.tag == "input":
+    elif node.tag in HIDDEN or "hidden" in a and not node.display or node.tag == "input":
         return False
     if node.tag == "dialog" and "open" not in a:
         return False
@@ -266,6 +366,8 @@ def _block(root: Node) -> list[str]:
             out.gap = True
             continue
         if isinstance(node, str):
+            if parent.unseen:
+                continue
             if parent.tag in ("table", "tbody", "thead", "tfoot", "tr", "ul", "ol", "select") and not node.strip(" \t\n\r\f"):
                 continue
             if parent.tag == "details" and "open" not in parent.attrs or parent.ns == "svg" and parent.tag not in DRAWN:
@@ -333,12 +435,12 @@ def _table(table: Node) -> list[str]:
     while todo:
         node, parent = todo.pop()
         if isinstance(node, str):
-            if node.strip():
+            if node.strip() and not parent.unseen:
                 head.children.append(node)
         elif visible(node, parent):
             if node.tag == "tr":
                 rows.append([c for c in node.children if not isinstance(c, str) and visible(c, node)])
-                head.children += [c for c in node.children if isinstance(c, str) and c.strip()]
+                head.children += [c for c in node.children if isinstance(c, str) and c.strip() and not node.unseen]
             elif node.tag in ("tbody", "thead", "tfoot"):
                 todo += [(c, node) for c in reversed(node.children)]
             else:
@@ -378,7 +480,12 @@ def _table(table: Node) -> list[str]:
 
 
 def extract(page: str | None) -> str | None:
-    return None if page is None else render(tree(page))
+    if page is None:
+        return None
+    root = tree(page)
+    if _STYLED.search(page):
+        style(root)
+    return render(root)
 
 
 def visible_text(df: DataFrame, html: str = "html", output: str = "text") -> DataFrame:
