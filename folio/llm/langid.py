@@ -64,16 +64,23 @@ def softmax(z: np.ndarray) -> np.ndarray:
     return e / e.sum(1, keepdims=True)
 
 
-def windows(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The windows of all rows, the row of each, and the bytes in it."""
+def window_blocks(data: np.ndarray, at: np.ndarray, most: int = 4096):
+    """Yields the windows of all rows, `most` at a time, the row of each, and the bytes in it; a text of any length is cut as it is read."""
     n = -(-np.diff(at) // WINDOW)
-    row = np.repeat(np.arange(len(n)), n)
-    start = at[row] + (np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)) * WINDOW
-    size = np.minimum(WINDOW, at[row + 1] - start)
-    place = start[:, None] + np.arange(WINDOW)
-    x = data[np.minimum(place, max(0, len(data) - 1))] if len(data) else np.zeros((0, WINDOW), np.uint8)
-    x[np.arange(WINDOW) >= size[:, None]] = 32
-    return x, row, size
+    ends = np.cumsum(n)
+    for i in range(0, int(ends[-1]) if len(ends) else 0, most):
+        number = np.arange(i, min(i + most, ends[-1]))
+        row = np.searchsorted(ends, number, "right")
+        start = at[row] + (number - ends[row] + n[row]) * WINDOW
+        size = np.minimum(WINDOW, at[row + 1] - start)
+        x = data[np.minimum(start[:, None] + np.arange(WINDOW), len(data) - 1)]
+        x[np.arange(WINDOW) >= size[:, None]] = 32
+        yield x, row, size
+
+
+def windows(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All windows at once."""
+    return next(window_blocks(data, at, 1 << 62), (np.zeros((0, WINDOW), np.uint8), np.zeros(0, np.int64), np.zeros(0, np.int64)))
 
 
 def fit(x: np.ndarray, y: np.ndarray, langs: list[str], epochs: int = 8, batch: int = 64, rate: float = 0.01, seed: int = 7) -> ByteConvNet:
@@ -163,8 +170,8 @@ def predict(df: DataFrame, model: ByteConvNet, text: str = "text") -> DataFrame:
         label, score = [], np.zeros(len(texts))
         for first, data, at in pieces(texts):
             total = np.zeros((len(at) - 1, len(langs)))
-            x, row, size = windows(data, at)
-            np.add.at(total, row, model.probabilities(x, tables) * size[:, None])
+            for x, row, size in window_blocks(data, at):
+                np.add.at(total, row, model.probabilities(x, tables) * size[:, None])
             total /= np.maximum(1, np.diff(at))[:, None]
             best = total.argmax(1)
             label += [langs[i] for i in best]
