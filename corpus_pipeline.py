@@ -24,7 +24,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each group linked at 0.8 on five-word shingles; of rows that repeat an id one stays, rows without an id all stay."""
+    """Keeps one document of each group linked at 0.8 on five-word shingles; of rows that repeat an id the first by hash stays, rows without an id all stay."""
     found = staged(neardup.near_duplicates(docs, shingle=5, percent=80).groupBy("doc_id").agg(F.min("component_id").alias("c"), F.count(F.lit(1)).alias("n")), "found")
     flag, times = fresh(docs, "dropped_id", "times")
     odd = found.filter("doc_id IS NOT NULL AND (doc_id <> c OR n > 1)").select(F.col("doc_id").alias(flag), F.when(F.expr("doc_id = c"), F.col("n")).otherwise(0).alias(times))
@@ -32,7 +32,9 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     once = rows.filter(F.col(flag).isNull()).select(*[f"`{c}`" for c in docs.columns])
     if not odd.filter(F.col(times) > 1).limit(1).count():
         return once
-    return once.unionByName(rows.filter(F.col(times) > 1).select(*[f"`{c}`" for c in docs.columns]).dropDuplicates(["doc_id"]))
+    every = [F.col(f"`{c}`") for c in docs.columns]
+    first = rows.filter(F.col(times) > 1).groupBy("doc_id").agg(F.min(F.struct(F.xxhash64(*every).alias("h"), *every)).alias("first"))
+    return once.unionByName(first.select(*[F.col("first")[c].alias(c) for c in docs.columns]))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
