@@ -55,16 +55,6 @@ def _answers(spark):
     return verify.source_pages(rows, ["chunk_no"]), verify.answer_pages(rows, ["chunk_no"])
 
 
-@query("SELECT * FROM (VALUES (1, 5)) t(chunk_no, page_no)")
-def missing_pages(spark, sf):
-    return verify.missing_pages(*_answers(spark), ["chunk_no"])
-
-
-@query("SELECT * FROM (VALUES (1, 9)) t(chunk_no, page_no)")
-def extra_pages(spark, sf):
-    return verify.extra_pages(*_answers(spark), ["chunk_no"])
-
-
 @query("""SELECT * FROM (VALUES (1, 3, 'note_repeated'), (1, 3, 'figure_in_translation'), (1, 4, 'translation_short'), (1, 4, 'no_emphasis'), (1, 4, 'teaser'), (1, 5, 'missing'), (1, 9, 'extra_page'), (1, 6, 'no_translation'), (1, 6, 'no_explanation')) t(chunk_no, page_no, code)""")
 def answer_checks(spark, sf):
     return verify.answer_issues(*_answers(spark), ["chunk_no"])
@@ -81,11 +71,6 @@ def ocr_accept(spark, sf):
     return verify.ocr_accepted(frame(spark, "fx_word"), vocabulary(table(spark, sf, "documents"), []).select("word"), ["page_idx"])
 
 
-@query("SELECT * FROM (VALUES (0, 2, 1::BIGINT, 75.0::DOUBLE), (1, 1, 1, 95.0), (2, 1, 0, 10.0)) t(page_idx, reading, sure_words, confidence) WHERE page_idx <> 0 UNION ALL SELECT 0, 1, 1, 77.5")
-def best_reading(spark, sf):
-    return verify.best_reading(frame(spark, "fx_reading"), ["page_idx"])
-
-
 @query(f"WITH {cte('fx_scan')} SELECT doc_id, avg((coalesce(length(text), 0) < 20 AND has_image)::INTEGER) AS share, avg((coalesce(length(text), 0) < 20 AND has_image)::INTEGER) >= 0.8 AS image_only FROM fx_scan GROUP BY 1")
 def image_books(spark, sf):
     return verify.image_only(frame(spark, "fx_scan"), ["doc_id"])
@@ -133,11 +118,6 @@ def stale_outputs(spark, sf):
     return incremental.stale(frame(spark, "fx_output"), frame(spark, "fx_file"), ["path"])
 
 
-@query("SELECT * FROM (VALUES ('a', 'x', NULL, 'a/x.pdf'), ('a', 'y', NULL, 'a/y.pdf'), ('a', 'z', NULL, 'a/z.pdf'), ('a', 'new', 'a/new.pptx', 'a/new.pdf'), ('b', 'new', 'b/new.ppt', NULL)) t(folder, stem, pres_path, pdf_path)")
-def deck_discovery(spark, sf):
-    return incremental.decks(frame(spark, "fx_file"))
-
-
 @query(r"SELECT page_id, substr(regexp_replace(regexp_replace(url, '[\\/:*?" + '"' + r"<>|]', '', 'g'), '\s+', '_', 'g'), 1, 80) AS name, regexp_replace(lower(url), '[^a-z0-9]', '', 'g') AS key FROM pages")
 def safe_names(spark, sf):
     return table(spark, sf, "pages").select("page_id", safe_name(F.col("url"), F.col("page_id").cast("string")).alias("name"), folder_key(F.col("url")).alias("key"))

@@ -69,15 +69,6 @@ def chapter_bounds_contents(spark, sf):
     return structure.chapters_from_contents(frame(spark, "fx_toc_entry"), frame(spark, "fx_offset"), frame(spark, "fx_document"), ["doc_id"])
 
 
-@query("""SELECT * FROM (VALUES (2::BIGINT, 'chapter', '1', 'First', 0, 8), (2, 'chapter', '2', 'Second', 9, 18), (2, 'chapter', '3', 'Third', 19, 39),
-(1, 'chapter', '1', 'Basics', 12, 20), (1, 'chapter', '2', 'Models', 21, 28), (1, 'chapter', '3', 'Queries', 30, 41), (1, 'appendix', 'A', 'Tools', 42, 46), (1, 'glossary', '99', 'Glossary', 47, 50)) t(doc_id, kind, no, title, first_page, last_page)""")
-def chapters_first_found(spark, sf):
-    """Bookmarks, else contents."""
-    marks = structure.chapters_from_bookmarks(frame(spark, "fx_bookmark"), frame(spark, "fx_document"), ["doc_id"])
-    contents = structure.chapters_from_contents(frame(spark, "fx_toc_entry"), frame(spark, "fx_offset"), frame(spark, "fx_document"), ["doc_id"])
-    return structure.first_found(marks.filter("doc_id <> 1"), contents, book=["doc_id"])
-
-
 PAIRS = "pair AS (SELECT a.set_id, a.box_id AS a_id, b.box_id AS b_id, a.x0 AS ax0, a.y0 AS ay0, a.x1 AS ax1, a.y1 AS ay1, b.x0 AS bx0, b.y0 AS by0, b.x1 AS bx1, b.y1 AS by1 FROM fx_box a JOIN fx_box b ON a.set_id = b.set_id AND a.box_id < b.box_id)"
 
 
@@ -113,16 +104,6 @@ def box_overlap_audit(spark, sf):
     return figures.overlapping(figures.boxes(frame(spark, "fx_box")).withColumnRenamed("box_id", "no"), ["set_id"])
 
 
-@query("SELECT * FROM (VALUES (1::BIGINT, 1), (1, 2), (1, 3), (1, 4), (1, 5), (1, 6), (2, 1), (2, 2), (2, 3), (2, 4), (3, 1), (3, 3)) t(set_id, pos)")
-def iou_dedup(spark, sf):
-    return figures.without_repeats(figures.boxes(frame(spark, "fx_box")), ["set_id"]).select("set_id", "pos")
-
-
-@query("SELECT * FROM (VALUES (1::BIGINT, 0, 1, 'figure', '1.1', 'A first picture'), (1, 0, 4, 'figure', '1.2', 'The second.'), (1, 0, 5, 'table', '1.3', '(continued)')) t(doc_id, page_idx, pos, kind, no, title)")
-def caption_lines(spark, sf):
-    return figures.captions(figures.boxes(frame(spark, "fx_line")), ["doc_id", "page_idx"]).drop("caption_box")
-
-
 @query(f"""WITH {cte('fx_caption', 'fx_cluster')}, d AS (SELECT k.page_idx, cluster, no, least(abs(k.y0 - a.y0), abs(a.y0 - k.y1), abs(k.y0 - a.y1),
   CASE WHEN least(k.y1, a.y1) - greatest(k.y0, a.y0) > 0.5 * least(a.y1 - a.y0, k.y1 - k.y0) AND greatest(k.x0 - a.x1, a.x0 - k.x1) < 60 THEN abs(k.y1 - a.y1) ELSE 1e9 END)::DOUBLE AS distance
   FROM fx_cluster k JOIN fx_caption a ON k.page_idx = a.page_idx), r AS (SELECT *, row_number() OVER (PARTITION BY page_idx, cluster ORDER BY distance, no) AS i FROM d WHERE distance < 40)
@@ -162,12 +143,6 @@ def table_markdown(spark, sf):
     return figures.table_markdown(figures.table_cells(figures.boxes(frame(spark, "fx_word")), cells, ["page_idx"]), cells, ["page_idx"])
 
 
-@query("SELECT 1::BIGINT AS doc_id, 0 AS page_idx, '1.1' AS no, 'Start · End' AS labels")
-def figure_labels(spark, sf):
-    fig = spark.createDataFrame([(1, 0, "1.1", 50.0, 20.0, 300.0, 110.0)], "doc_id long, page_idx int, no string, x0 double, y0 double, x1 double, y1 double")
-    return figures.label_text(figures.boxes(frame(spark, "fx_line")), figures.boxes(fig), ["doc_id", "page_idx"])
-
-
 @query(f"WITH {cte('fx_caption')}, d AS (SELECT page_idx, no, kind FROM fx_caption UNION ALL SELECT 1, '1.2', 'figure'), n AS (SELECT *, row_number() OVER (PARTITION BY kind, no ORDER BY page_idx) AS i FROM d) SELECT page_idx, no, kind, kind || '-' || no || (CASE WHEN i > 1 THEN '-' || i ELSE '' END) || '.png' AS file_name FROM n")
 def figure_names(spark, sf):
     again = spark.createDataFrame([(1, "1.2", "figure", 1)], "page_idx int, no string, kind string, book int")
@@ -175,13 +150,6 @@ def figure_names(spark, sf):
     return figures.unique_names(rows, ["book"], ["page_idx"]).drop("book")
 
 
-@query("SELECT 1::BIGINT AS doc_id, 'figure' AS kind, '2.1' AS no")
-def unseen_mentions(spark, sf):
-    found = frame(spark, "fx_caption").select(F.lit(1).cast("long").alias("doc_id"), "kind", "no")
-    texts = frame(spark, "fx_paragraph").unionByName(spark.createDataFrame([(1, 90, "See Figure 1.1 and Table 1.3.")], "doc_id long, pos int, text string"))
-    return figures.unseen_mentions(texts, found, ["doc_id"])
-
-
 ISLANDS = "s AS (SELECT user_id, value, CASE WHEN value - lag(value) OVER w <= {tol} THEN 0 ELSE 1 END AS step FROM events WHERE value IS NOT NULL WINDOW w AS (PARTITION BY user_id ORDER BY value)), g AS (SELECT user_id, value, sum(step) OVER (PARTITION BY user_id ORDER BY value ROWS UNBOUNDED PRECEDING)::INTEGER AS cluster FROM s)"
 
 
@@ -201,40 +169,17 @@ def lower_quartile(spark, sf):
     return slides.upper_median(table(spark, sf, "events"), ["event_type"], "value", 4)
 
 
-@query("SELECT * FROM (VALUES (1::BIGINT, 1, 1, 0), (1, 1, 2, 1), (1, 1, 3, 0), (1, 1, 4, 1), (1, 1, 5, NULL), (1, 1, 6, NULL)) t(deck_id, page_idx, pos, level)")
-def bullet_levels(spark, sf):
-    lines_ = figures.boxes(frame(spark, "fx_slide_line")).filter("page_idx = 1")
-    return slides.bullet_levels(lines_, ["deck_id"]).select("deck_id", "page_idx", "pos", "level")
-
-
 @query("SELECT * FROM (VALUES (1::BIGINT, 1, 1, 1), (1, 1, 2, 2), (1, 1, 3, 3)) t(deck_id, page_idx, mark, pos)")
 def matched_bullets(spark, sf):
     return slides.matched_bullets(figures.boxes(frame(spark, "fx_slide_line")), frame(spark, "fx_mark"), ["deck_id", "page_idx"])
 
 
-@query("SELECT 1::BIGINT AS deck_id, 'page # of #' AS footer, 2::BIGINT AS n_slides")
-def slide_footers(spark, sf):
-    lines_ = frame(spark, "fx_slide_line").withColumn("y", F.col("y0")).withColumn("height", F.lit(540.0))
-    return slides.repeated_lines(lines_, ["deck_id"])
-
-
 @query("SELECT * FROM (VALUES (1::BIGINT, 0, 1, '| Name | Meaning |'), (1, 0, 2, '| Row | cost-effective |'), (1, 0, 3, '| Col | down |'), (1, 0, 4, '| Key | id |')) t(deck_id, page_idx, row_no, line)")
 def slide_table(spark, sf):
     found = slides.slide_tables(figures.boxes(frame(spark, "fx_slide_line")), ["deck_id", "page_idx"])
     return found.select("deck_id", "page_idx", "row_no", slides.table_rows_markdown(F.col("cells")).alias("line"))
 
 
-@query("SELECT * FROM (VALUES (1::BIGINT, 1, 'Intro', 'a,b'), (1, 2, 'The  plan', 'c'), (1, 3, 'Third', 'x'), (2, 1, 'Only', 'y'), (2, 2, 'Hid', 'z')) t(deck_id, slide_no, title, items)")
-def deck_titles(spark, sf):
-    filled = slides.deck_titles(frame(spark, "fx_slide"), frame(spark, "fx_rendered"), ["deck_id"])
-    return filled.withColumn("items", F.array_join("items", ","))
-
-
-@query("SELECT * FROM (VALUES (1::BIGINT, 1, 1), (1, 2, 2), (1, 3, 3), (2, 1, 1)) t(deck_id, slide_no, page_no)")
-def visible_match(spark, sf):
-    return slides.visible_match(frame(spark, "fx_slide"), frame(spark, "fx_rendered"), ["deck_id"])
-
-
 @query(r"""WITH b AS (SELECT page_id, unnest(regexp_extract_all(html, '(?is)<(?:h[1-6]|li)[^>]*>.*?</(?:h[1-6]|li)>')) AS b, generate_subscripts(regexp_extract_all(html, '(?is)<(?:h[1-6]|li)[^>]*>.*?</(?:h[1-6]|li)>'), 1) AS i FROM pages),
 t AS (SELECT page_id, i, CASE WHEN b ILIKE '<li%' THEN '- ' ELSE '### ' END || regexp_replace(regexp_replace(regexp_replace(b, '<[^>]*>', '', 'g'), '\s+', ' ', 'g'), '^\s+|\s+$', '', 'g') AS line FROM b)
 SELECT page_id, '## ' || page_id || chr(10) || chr(10) || string_agg(line, chr(10) ORDER BY i) AS md FROM t GROUP BY page_id""")

@@ -100,8 +100,8 @@ def coverage_rollup(spark, sf):
 
 
 @query(rf"""WITH RECURSIVE {LINES}, {COVER}, {PACK.format(text='text', docs='removed')}
-SELECT p.source, p.lang, p.chunk_no, min(p.doc_id) AS first_page, max(p.doc_id) AS last_page, count(*) AS n_pages, sum(p.n_words)::BIGINT AS n_words, sum(c.total)::BIGINT AS total, sum(c.common)::BIGINT AS common
-FROM packed p JOIN cover c USING (doc_id) GROUP BY p.source, p.lang, p.chunk_no""")
+SELECT p.source, p.lang, p.chunk_no, min(p.doc_id) AS first_page, max(p.doc_id) AS last_page, count(*) AS n_pages, sum(p.n_words)::BIGINT AS n_words, sum(coalesce(c.total, 0))::BIGINT AS total, sum(coalesce(c.common, 0))::BIGINT AS common
+FROM packed p LEFT JOIN cover c USING (doc_id) GROUP BY p.source, p.lang, p.chunk_no""")
 def packed_coverage(spark, sf):
     """Flagship: headers removed, pages packed, and the words of each chunk checked against the source."""
     docs = table(spark, sf, "documents").select(*BOOK, "doc_id", "text", F.col("text").alias("raw"))
@@ -173,28 +173,19 @@ def hyphen_repaired(spark, sf):
     return textclean.repair_hyphens(frame(spark, "fx_clean"), frame(spark, "fx_raw"), ["doc_id"])
 
 
-@query("SELECT * FROM (VALUES (1::BIGINT, 0, 12, 'middle' || chr(10) || 'last'), (1, 1, 13, 'No number' || chr(10) || 'here'), (1, 2, NULL, '7' || chr(10) || 'kept')) t(doc_id, page_idx, printed_no, text)")
-def page_number_lines(spark, sf):
-    return textclean.remove_page_numbers(frame(spark, "fx_numbered"))
+PLACE = r"^[\t\n\x0b\f\r ]*(?:(?:[-*]|[0-9]+\.)[\t\n\x0b\f\r ]+)?|[.!?] "
+CAPITALS = rf"SELECT doc_id, regexp_replace(regexp_replace(text, '(?m)({PLACE})d([a-np-z][a-z]|o[a-hj-z])', '\1D\2', 'g'), '(?m)({PLACE})doi([0-9A-Za-z_])', '\1Doi\2', 'g') AS text FROM documents"
 
 
-@query(r"""WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents), w AS (SELECT DISTINCT unnest(regexp_extract_all(line, '[A-Za-z]+')) AS word FROM l)
-SELECT word FROM w WHERE length(word) >= 4 AND upper(word) <> word AND (regexp_matches(word, '^[a-z].*[A-Z]') OR len(regexp_extract_all(word, '[a-z][A-Z]')) >= 2)""")
-def odd_case_words(spark, sf):
-    rows = table(spark, sf, "documents").select(F.explode(F.regexp_extract_all("text", F.lit("([A-Za-z]+)"), F.lit(1))).alias("word")).distinct()
-    return rows.filter(odd_case(F.col("word")))
-
-
-@query(r"SELECT doc_id, regexp_replace(regexp_replace(text, '(^|\n)d([a-np-z][a-z])', '\1D\2', 'g'), '([.!?] )d([a-np-z][a-z])', '\1D\2', 'g') AS text FROM documents WHERE NOT regexp_matches(text, '(^|\n|[.!?] )do')")
+@query(CAPITALS)
 def capitals_restored(spark, sf):
-    docs = table(spark, sf, "documents").filter(~F.col("text").rlike(r"(^|\n|[.!?] )do"))
-    return docs.select("doc_id", capital_d(F.col("text")).alias("text"))
+    return table(spark, sf, "documents").select("doc_id", capital_d(F.col("text")).alias("text"))
 
 
-@query()
+@query(CAPITALS)
 def capitals_restored_everywhere(spark, sf):
-    """All documents, also those with do at a start and null texts, which the SQL of capitals_restored leaves out."""
-    return table(spark, sf, "documents").select("doc_id", capital_d(F.col("text")).alias("text"))
+    """All documents, also those with do at a start and null texts."""
+    return capitals_restored(spark, sf)
 
 
 @query("SELECT * FROM (VALUES (1::BIGINT, 'haza', 'rd', 'hazard'), (1, 'sys', 'tem', 'system')) t(deck_id, \"left\", \"right\", joined)")
@@ -208,23 +199,26 @@ def split_word_repair(spark, sf):
 
 
 EDIT = r"""v AS (SELECT word, count(*) AS n FROM (SELECT unnest(regexp_extract_all(lower(text), '[\p{L}\p{N}]+')) AS word FROM documents) GROUP BY word),
-rare AS (SELECT word FROM v WHERE n <= 1), known AS (SELECT word, n FROM v WHERE n >= 5),
-latin AS (SELECT word FROM rare WHERE regexp_full_match(word, '[a-z]+')), sure AS (SELECT word FROM known WHERE regexp_full_match(word, '[a-z]+'))"""
+rare AS (SELECT word FROM v WHERE n <= 1), known AS (SELECT word, n FROM v WHERE n >= 5)"""
 
 
-@query(rf"""WITH {EDIT}, pairs AS (SELECT r.word, k.word AS fixed FROM latin r JOIN sure k ON abs(length(r.word) - length(k.word)) <= 1 AND length(r.word) >= 6 AND length(k.word) >= 5 AND levenshtein(r.word, k.word) = 1)
-SELECT word, min(fixed) AS fixed FROM pairs GROUP BY word HAVING count(*) = 1""")
+# one edit by character: one place replaced, or one letter more on either side
+FIXES = rf"""WITH {EDIT}, a AS (SELECT word FROM rare WHERE length(word) >= 6), k AS (SELECT word AS fixed FROM known WHERE length(word) >= 5),
+da AS (SELECT word, unnest(range(1, length(word) + 1)) AS i, substr(word, 1, i - 1) || substr(word, i + 1) AS form FROM a), dk AS (SELECT fixed, unnest(range(1, length(fixed) + 1)) AS i, substr(fixed, 1, i - 1) || substr(fixed, i + 1) AS form FROM k),
+pairs AS (SELECT word, fixed FROM da JOIN dk ON da.form = dk.form AND da.i = dk.i WHERE word <> fixed UNION SELECT word, fixed FROM da JOIN k ON form = fixed UNION SELECT word, fixed FROM dk JOIN a ON form = word)
+SELECT word, min(fixed) AS fixed FROM pairs GROUP BY word HAVING count(*) = 1"""
+
+
+@query(FIXES)
 def edit1_fix(spark, sf):
     v = vocab.vocabulary(table(spark, sf, "documents"), [])
-    v = v.filter(F.col("word").rlike("^[a-z]+$"))  # SQL measures edits in bytes
     return vocab.one_edit_fixes(v.filter("n <= 1"), v.filter("n >= 5"))
 
 
-@query()
+@query(FIXES)
 def edit1_fix_every_letter(spark, sf):
-    """The whole vocabulary, with edits by character; the SQL of edit1_fix measures bytes and keeps to a-z."""
-    v = vocab.vocabulary(table(spark, sf, "documents"), [])
-    return vocab.one_edit_fixes(v.filter("n <= 1"), v.filter("n >= 5"))
+    """The whole vocabulary, with edits by character."""
+    return edit1_fix(spark, sf)
 
 
 @query(rf"""WITH {EDIT}, cuts AS (SELECT word, unnest(range(2, length(word) - 1)) AS cut FROM rare WHERE length(word) >= 6),
