@@ -6,7 +6,7 @@ a path listed twice is processed twice; equal extensions go to the smaller path;
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Which presentation format is preferred.
@@ -56,3 +56,10 @@ def stale(outputs: DataFrame, inputs: DataFrame, key: list[str]) -> DataFrame:
 def latest(df: DataFrame, key: list[str], order: list) -> DataFrame:
     """The last row of each key in an order."""
     return df.withColumn("rank", F.row_number().over(Window.partitionBy(*key).orderBy(*order))).filter("rank = 1").drop("rank")
+
+
+def reading_way(presentation: Column, pdf: Column, n_slides: Column, n_shown: Column, n_pages: Column, has_text: Column) -> Column:
+    """How a deck is read: its text from the presentation if there is one, with pictures from a PDF whose pages are its slides (all, or those shown), else
+    from a rendering; without one from the PDF's text layer, or by OCR where it has none. Null if there is neither file."""
+    fits = F.coalesce(pdf.isNotNull() & ((n_pages == n_slides) | (n_pages == n_shown)), F.lit(False))
+    return F.when(presentation.isNotNull(), F.when(fits, "presentation and pdf").otherwise("presentation and rendering")).when(pdf.isNotNull(), F.when(F.coalesce(has_text, F.lit(False)), "pdf").otherwise("pdf of images"))

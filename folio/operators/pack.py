@@ -303,7 +303,7 @@ def study_prompts(chapters: DataFrame, key: str, template: str, terms: DataFrame
     outline or terms a dash stands there. chapters(key, md) has one row a chapter; a chapter without markers has no chunks.
     """
     pages = kept(marked_pages(chapters, [key], md), "pages")
-    numbered = chunk_numbers(pages, [key], "pos").select(key, "pos", "chunk_no")
+    numbered = chunk_numbers(pages, [key], "pos", budget=budget).select(key, "pos", "chunk_no")
     rows = same_keys(pages, numbered, [key, "pos"])
     ordered = F.array_sort(F.collect_list(F.struct("pos", "label", "page_no", "text")))
     made = rows.groupBy(key, "chunk_no").agg(ordered.alias("p"))

@@ -278,3 +278,35 @@ def best_structure(readings: DataFrame, page: list[str]) -> DataFrame:
     table = (F.col("n_rows") >= 3) & (F.col("n_filled") >= 0.75 * F.col("n_cells"))
     best = F.max_by("reading", F.struct(F.coalesce(table, F.lit(False)).alias("t"), "n_words", "confidence", (-F.col("reading")).alias("r")))
     return readings.groupBy(*page).agg(best.alias("reading"))
+
+
+def text_slides(lines_: DataFrame, deck: list[str], slide: str = "page_idx", page_height: float = 540.0) -> tuple[DataFrame, DataFrame]:
+    """The slides of a deck with a text layer: (deck, slide, pos, role, level, text) without the lines that repeat at the edges of its slides, and
+    (deck, removed), up to five of these. lines_(deck, slide, pos, box, text, bullet_x)."""
+    key = F.regexp_replace(normal_line(F.col("text")), r"\s+", " ")
+    y = F.col("box")["y0"]
+    edged = lines_.withColumn("y", y).withColumn("height", F.lit(page_height)).withColumn("footer", key)
+    footers = repeated_lines(edged, deck, slide)
+    at_edge = (F.col("y") > 0.88 * page_height) | (F.col("y") < 0.08 * page_height)
+    marked = same_keys(edged, footers.select(*deck, "footer", F.lit(True).alias("repeats")), [*deck, "footer"], "left").withColumn("gone", F.coalesce(F.col("repeats"), F.lit(False)) & at_edge)
+    kept = marked.filter("NOT gone").select(*deck, slide, "pos", "box", "text", "bullet_x")
+    roles = structured(bullet_levels(kept, deck), deck, slide, page_height)
+    first = marked.filter("gone").groupBy(*deck, "footer").agg(F.min_by("text", F.struct(slide, "pos")).alias("text"), F.min(F.struct(slide, "pos")).alias("at"))
+    shown = first.groupBy(*deck).agg(F.transform(F.slice(F.array_sort(F.collect_list(F.struct("at", "text"))), 1, 5), lambda x: x["text"]).alias("removed"))
+    return roles.select(*deck, slide, "pos", "role", "level", "text"), shown
+
+
+def deck_index(slides_: DataFrame, deck: list[str]) -> DataFrame:
+    """(deck, n_slides, n_images, n_flagged, n_hidden, index_md): what a deck's package says of it: counts, and a table with a row a slide.
+
+    slides_(deck, slide_no, title, hidden, has_table, has_notes, image, rate, flags). A rate is shown in whole per cent; a slide without one, a
+    title or flags has a dash there.
+    """
+    dash = lambda c: F.when(F.coalesce(c, F.lit("")) == "", "–").otherwise(c)
+    told = F.array_join(F.coalesce("flags", F.array().cast("array<string>")), "; ")
+    cells = F.array(F.col("slide_no").cast("string"), dash(table_cell(F.col("title"))), F.when(F.col("has_table"), "yes").otherwise(""), F.when(F.col("has_notes"), "yes").otherwise(""), dash(F.concat(F.round(F.col("rate") * 100).cast("int").cast("string"), F.lit(" %"))), dash(table_cell(told)))
+    rows = slides_.select(*deck, "slide_no", "hidden", "image", (F.size("flags") > 0).alias("flagged"), F.concat(F.lit("| "), F.array_join(cells, " | "), F.lit(" |")).alias("line"))
+    n = lambda c: F.count(F.when(F.col(c), 1))
+    per = rows.groupBy(*deck).agg(F.count(F.lit(1)).alias("n_slides"), n("image").alias("n_images"), n("flagged").alias("n_flagged"), n("hidden").alias("n_hidden"), F.array_sort(F.collect_list(F.struct("slide_no", "line"))).alias("r"))  # of one deck
+    head = F.lit("| # | Title | Table | Notes | Coverage | Flags |\n|---|---|---|---|---|---|\n")
+    return per.select(*deck, "n_slides", "n_images", "n_flagged", "n_hidden", F.concat(head, F.array_join(F.transform("r", lambda x: x["line"]), "\n")).alias("index_md"))
