@@ -185,6 +185,24 @@ def drop_caps(spans: DataFrame, page: list[str], body_size: float) -> DataFrame:
     return near.groupBy(*page, "capital").agg(F.min_by("pos", F.struct(b["y0"], b["x0"])).alias("pos"))
 
 
+def drop_caps_placed(pages: DataFrame, spans: DataFrame, page: list[str], body_size: float, text: str = "text") -> DataFrame:
+    """The pages' texts with their large initials put before the words that stand beside them (the first three of that line, where they first occur);
+    a text without these words stays."""
+    caps = drop_caps(spans, page, body_size)
+    words = F.regexp_extract_all("beside", F.lit(r"(\S+)"), F.lit(1))
+    beside = same_keys(caps, spans.select(*page, "pos", F.col("text").alias("beside")), [*page, "pos"]).select(*page, F.struct("pos", "capital", F.slice(words, 1, 3).alias("words")).alias("c"))
+    found = beside.groupBy(*page).agg(F.array_sort(F.collect_set("c")).alias("initials"))  # of one page
+    literal = lambda w: F.concat(F.lit(r"\Q"), F.replace(w, F.lit(r"\E"), F.lit(r"\E\\E\Q")), F.lit(r"\E"))
+
+    def put(told, c):
+        at = F.regexp_instr(told, F.concat(F.lit(r"(?<!\w)"), F.array_join(F.transform(c["words"], literal), r"\s+")))
+        return F.when(at > 0, F.concat(F.substring(told, F.lit(1), at - 1), c["capital"], F.substring(told, at, F.length(told)))).otherwise(told)
+
+    rows = same_keys(pages, found, page, "left")
+    placed = F.when(F.col("initials").isNull(), F.col(text)).otherwise(F.aggregate("initials", F.col(text), put))
+    return rows.select(*[placed.alias(c) if c == text else F.col(f"`{c}`") for c in pages.columns])
+
+
 def slide_middle(lines_: DataFrame, page: list[str]) -> DataFrame:
     """(page, middle): halfway between the left edge at place n div 10 and the right edge at that place from the right: buttons at the
     margins do not count."""
