@@ -38,20 +38,43 @@ def matrix(col: pa.Array, kind) -> np.ndarray:
 
 
 def best(q: np.ndarray, qd: np.ndarray, qid: np.ndarray, x: np.ndarray, xd: np.ndarray, xid: np.ndarray, k: int, floor: np.ndarray | None = None, step: int = 256):
-    """For each query its k best rows of other ids that reach its floor: yields (ids, scores), in order."""
+    """For each query its k best rows of other ids that reach its floor: yields (ids, scores), in order.
+
+    Rows are evaluated by falling bound, `step` at first and then twice as many each time, until no bound reaches the k-th score.
+    """
     x_norm, q_norm = (x.astype(float) ** 2).sum(1), (q.astype(float) ** 2).sum(1)
+    exact = len(q) > 0 and len(x) > 0 and q_norm.max() * x_norm.max() < 2.0**104  # all sums fit a double's 53 bits
+    kind = float if exact else np.int64
+    q = q.astype(kind)
+    table, twice = np.ascontiguousarray(xd.T), len(np.unique(xid)) < len(xid)
+    gap, apart = np.empty(len(x)), np.empty(len(x))
     for i in range(len(q)):
-        gap = np.abs(xd - qd[i]).max(1) if xd.shape[1] else np.zeros(len(x))
-        bound = (q_norm[i] + x_norm - gap**2) / 2 + 1 + 1e-9 * (q_norm[i] + x_norm)  # rounding stays below this slack
+        gap[:] = 0
+        for pivot, own in zip(table, qd[i], strict=True):
+            np.subtract(pivot, own, out=apart)
+            np.abs(apart, out=apart)
+            np.maximum(gap, apart, out=gap)
+        both = q_norm[i] + x_norm
+        bound = (both - gap**2) / 2 + 1 + 1e-9 * both  # rounding stays below this slack
         left = np.flatnonzero((bound >= floor[i]) & (xid != qid[i])) if floor is not None else np.flatnonzero(xid != qid[i])
-        order = left[np.argsort(-bound[left])]
-        score, ids, at = np.zeros(0, np.int64), np.zeros(0, np.int64), 0
-        while at < len(order) and not (len(score) >= k and bound[order[at]] < score[k - 1]):
-            rows = order[at : at + step]
-            score, ids = np.concatenate([score, x[rows] @ q[i]]), np.concatenate([ids, xid[rows]])
+        bound, take = bound[left], step
+        score, ids = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        while len(left):
+            first = np.argpartition(-bound, take - 1)[:take] if len(left) > take else np.arange(len(left))
+            rows = left[first]
+            now = (x[rows].astype(kind) @ q[i]).astype(np.int64)
+            if len(score) >= k:
+                rows, now = rows[now >= score[k - 1]], now[now >= score[k - 1]]
+            score, ids = np.concatenate([score, now]), np.concatenate([ids, xid[rows]])
             top = np.lexsort((ids, -score))
-            top = top[np.sort(np.unique(ids[top], return_index=True)[1])[:k]]  # an id once, with its best
-            score, ids, at = score[top], ids[top], at + step
+            if twice:
+                top = top[np.sort(np.unique(ids[top], return_index=True)[1])]  # an id once, with its best
+            score, ids = score[top[:k]], ids[top[:k]]
+            rest = np.ones(len(left), bool)
+            rest[first] = False
+            if len(score) >= k:
+                rest &= bound >= score[k - 1]
+            left, bound, take = left[rest], bound[rest], 2 * take
         yield ids, score
 
 
