@@ -121,14 +121,14 @@ def fit(x: np.ndarray, y: np.ndarray, langs: list[str], epochs: int = 8, batch:
     return model
 
 
-def train(df: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id", max_docs: int = 3000, seed: int = 7) -> ByteConvNet:
+def train(df: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id", max_docs: int = 3000, max_langs: int = 500, seed: int = 7) -> ByteConvNet:
     """Fits the network on at most `max_docs` rows with a language, equally many for each, drawn by a hash of the key; three windows of each.
 
-    The bound is on what is trained on only: the counts that set the draw cover all rows, and the draw is the same at every size.
+    Of more than `max_langs` languages the most frequent ones are learned (then the first in order); with them the draw stays within its bound. The bound is on what is trained on only: the counts that set the draw cover all rows, and the draw is the same at every size.
     """
     small_batches()
     known = df.filter(F.col(lang).isNotNull() & F.coalesce(F.col(text), F.lit("")).rlike(r"\p{L}"))
-    counts = {r[0]: r[1] for r in known.groupBy(lang).count().collect()}
+    counts = {r[0]: r[1] for r in known.groupBy(F.col(lang).alias("l")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "l").limit(max_langs).collect()}
     langs = sorted(counts)
     if not langs:
         return fit(np.zeros((0, WINDOW), np.uint8), np.zeros(0, int), [])
