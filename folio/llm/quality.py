@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from folio.llm.common import LOWER, SEPARATOR, pieces, small_batches, without, word_hashes
+from folio.llm.common import LOWER, SEPARATOR, pieces, small_batches, staged, without, word_hashes
 
 BUCKETS = 1 << 16
 GRADES = 3
@@ -111,8 +111,11 @@ def fit(rows: list[np.ndarray], grades: np.ndarray, sample_weight: np.ndarray, e
     return CumulativeLink(w, ordered())
 
 
-def train(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id", max_docs: int = 12_000, seed: int = 9) -> CumulativeLink:
-    """Fits on at most `max_docs` labelled documents, equally many of each grade, drawn by a hash of the key and weighted back to their shares."""
+def train(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id", max_docs: int = 12_000, max_features: int = 20_000_000, seed: int = 9) -> CumulativeLink:
+    """Fits on at most `max_docs` labelled documents, equally many of each grade, drawn by a hash of the key and weighted back to their shares.
+
+    If the documents drawn have more than `max_features` distinct words in all (80 MB), those first by hash that stay within it are learned from.
+    """
     small_batches()
     grade = F.when(F.coalesce(F.col("toxic"), F.lit(0)) == 1, 0).when(F.col("quality") == 1, 2).otherwise(1)
     rated = labels.filter(F.col(key).isNotNull() & F.col("quality").isNotNull()).select(F.col(key).alias("rated_id"), grade.alias("grade"))
@@ -132,7 +135,13 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "do
 
     # the draw is bounded by max_docs (give or take its own chance), so it may go to every task that reads documents
     some = docs.select(F.col(key).alias("id"), F.col(text).alias("text")).filter(F.col("id").isNotNull()).join(F.broadcast(drawn), F.col("id") == F.col("rated_id")).select(F.col("id").cast("long").alias("id"), "grade", "text")
-    got = sorted(some.mapInArrow(cut, "id long, grade int, x binary").collect(), key=lambda r: (r[0], r[1], bytes(r[2])))
+    kept = staged(some.mapInArrow(cut, "id long, grade int, x binary"), "rated")
+    if (kept.agg(F.sum(F.octet_length("x"))).first()[0] or 0) > 4 * max_features:
+        place = F.xxhash64("id", F.lit(seed), F.lit(2))
+        sizes = kept.select(place.alias("h"), F.octet_length("x").alias("n")).orderBy("h").collect()  # at most max_docs rows, give or take chance
+        ends = np.cumsum([r[1] for r in sizes])
+        kept = kept.filter(place < F.lit(sizes[int(np.searchsorted(ends, 4 * max_features, "right"))][0]))
+    got = sorted(kept.collect(), key=lambda r: (r[0], r[1], bytes(r[2])))
     rows, grades = [np.frombuffer(bytes(r[2]), np.int32) for r in got], np.array([r[1] for r in got], int)
     seen = np.maximum(1, np.bincount(grades, minlength=GRADES))
     weight = np.array([counts.get(g, 0) for g in range(GRADES)]) / seen
