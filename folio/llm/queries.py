@@ -117,7 +117,7 @@ SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5"""
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document, and what is left to count after masking the personal data that the patterns find in it."""
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
-    counted = docs.select("doc_id", tokencount.edited(F.col("text"), tokencount.trees(F.col("text")), pii.masks(F.col("text"))).alias("c"))
+    counted = docs.select("doc_id", tokencount.edited(F.col("text"), tokencount.trees(F.col("text")), pii.masks(F.col("text")), with_text=False).alias("c"))
     return counted.select("doc_id", "c.n_tokens", "c.n_pretokens", "c.n_edits", "c.n_tokens_after", "c.n_reencoded")
 
 

@@ -171,15 +171,15 @@ def trees(text: Column, folder: str = TOKENIZERS, vocabulary: str = VOCABULARY)
     return build(text)
 
 
-def edited(text: Column, tree: Column, edits: Column, folder: str = TOKENIZERS, vocabulary: str = VOCABULARY) -> Column:
+def edited(text: Column, tree: Column, edits: Column, folder: str = TOKENIZERS, vocabulary: str = VOCABULARY, with_text: bool = True) -> Column:
     """Applies edits (array of struct<start int, end int, text string>) to texts with kept trees.
 
-    struct<n_tokens, n_pretokens: before; n_edits; n_tokens_after; n_reencoded: pre-tokens counted anew; text_after>.
+    struct<n_tokens, n_pretokens: before; n_edits; n_tokens_after; n_reencoded: pre-tokens counted anew; text_after>, the last only if it is asked for.
     """
     names = ["n_tokens", "n_pretokens", "n_edits", "n_tokens_after", "n_reencoded"]
 
     small_batches()
-    @F.arrow_udf(", ".join(f"{n} long" for n in names) + ", text_after string")
+    @F.arrow_udf(", ".join(f"{n} long" for n in names) + (", text_after string" if with_text else ""))
     def apply(texts: pa.Array, kept: pa.Array, changes: pa.Array) -> pa.Array:
         split, counts = counter(folder, vocabulary)
         rows, after = [], []
@@ -195,7 +195,9 @@ def edited(text: Column, tree: Column, edits: Column, folder: str = TOKENIZERS,
                     tree.edit(s + moved, stop + moved, new)
                     moved, done, n = moved + len(new) - (stop - s), stop, n + 1
             rows.append((before, pretokens, n, tree.tokens, tree.encoded))
-            after.append(tree.text)
-        return pa.StructArray.from_arrays([*(pa.array([r[i] for r in rows], pa.int64()) for i in range(5)), pa.array(after, pa.string())], [*names, "text_after"])
+            if with_text:
+                after.append(tree.text)
+        columns = [pa.array([r[i] for r in rows], pa.int64()) for i in range(5)]
+        return pa.StructArray.from_arrays([*columns, pa.array(after, pa.string())], [*names, "text_after"]) if with_text else pa.StructArray.from_arrays(columns, names)
 
     return apply(text, tree, edits)
