@@ -24,7 +24,16 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/folio-{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.staged_at = path
+    return out
+
+
+def discard(*written: DataFrame) -> None:
+    """Deletes what `staged` wrote for these; nothing that is still to be computed may read it."""
+    for df in written:
+        place = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df.staged_at)
+        place.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(place, True)
 
 
 #: Up to so many rows of a few numbers (tens of MB) are sent to every executor; more are joined by a shuffle, with the same result.

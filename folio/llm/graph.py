@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from folio.llm.common import staged
+from folio.llm.common import discard, staged
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -23,7 +23,8 @@ def components(edges: DataFrame) -> DataFrame:
         down = large.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
         low = down.groupBy("a").agg(F.min("b").alias("m"))
         small = down.join(low, "a").select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e")).select("e.*")
-        now = staged(small.filter("a <> b").distinct(), "stars")
+        before, now = now, staged(small.filter("a <> b").distinct(), "stars")
+        discard(before)
         # the same edges twice: every component is a star around its smallest id
         mark = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if mark == last:

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from folio.llm.common import LOWER, mix, pieces, sent_if_small, small_batches, staged, word_hashes, words
+from folio.llm.common import LOWER, discard, mix, pieces, sent_if_small, small_batches, staged, word_hashes, words
 from folio.llm.graph import components
 
 TREES, PREFIX = 24, 4
@@ -123,15 +123,17 @@ def _forest(batches):
             yield pa.RecordBatch.from_arrays([pa.array(x) for x in cols], ["id", "h", "s1", "s2"])
 
 
-def candidates(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """classes(id, sig) to pairs (a, b, support), a < b with the number of regions they met in; and (h, id), the members of crowded regions."""
-    crowds = None
+def candidates(classes: DataFrame) -> tuple[DataFrame, DataFrame, list[DataFrame]]:
+    """classes(id, sig) to pairs (a, b, support), a < b with the number of regions they met in; (h, id), the members of crowded regions; and what
+    may be discarded once both are written."""
+    crowds, written = None, []
     rows, key, found = classes.mapInArrow(_forest, "id long, h long, s1 long, s2 long"), [], []
     pair = lambda x, y: [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
     for depth in ("h", "s1", "s2"):
         key = [*key, depth]
         counts = rows.groupBy(*key).agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
         live = staged(rows.join(counts, key).select("id", "h", "s1", "s2", "c"), "regions")
+        written.append(live)
         w = Window.partitionBy(*key).orderBy("s1", "s2", "id")
         near = live.filter(F.col("c") <= FEW).select("id", F.array(*[F.lag("id", j).over(w) for j in range(1, FEW)]).alias("others"))
         near = near.select("id", F.explode(F.array_compact("others")).alias("other"))
@@ -152,7 +154,7 @@ def candidates(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
     every = found[0]
     for more in found[1:]:
         every = every.union(more)
-    return every.filter("a <> b").groupBy("a", "b").agg(F.count(F.lit(1)).alias("support")), crowds
+    return every.filter("a <> b").groupBy("a", "b").agg(F.count(F.lit(1)).alias("support")), crowds, written
 
 
 def _linked(k: int, percent: int):
@@ -263,8 +265,9 @@ def _rare_shingles(k: int, percent: int, often: np.ndarray):
     return rare
 
 
-def crowd_links(crowds: DataFrame, components_: DataFrame, texts: DataFrame, k: int, percent: int, confirm) -> DataFrame:
-    """(a, b): links between different components within crowded regions, see 4 above; confirm(pairs) keeps those of the pairs that link."""
+def crowd_links(crowds: DataFrame, components_: DataFrame, texts: DataFrame, k: int, percent: int, confirm, written: list[DataFrame]) -> DataFrame:
+    """(a, b): links between different components within crowded regions, see 4 above; confirm(pairs) keeps those of the pairs that link. What is
+    staged on the way is added to `written`."""
     placed = crowds.join(components_, "id", "left").select("h", "id", F.coalesce("component", "id").alias("comp"))
     sizes = placed.groupBy("h", "comp").agg(F.count(F.lit(1)).alias("n"))
     regions = sizes.groupBy("h").agg(F.max_by("comp", F.col("n") * (1 << 20) + F.xxhash64("comp").bitwiseAND(F.lit((1 << 20) - 1))).alias("major"), F.sum("n").alias("members"), F.max("n").alias("most")).filter("members > most")
@@ -286,7 +289,9 @@ def crowd_links(crowds: DataFrame, components_: DataFrame, texts: DataFrame, k:
     many = rare.join(shared.filter(F.col("c") > COMMON).select("x"), "x", "left_semi").select("id").distinct()
     rest = mixed.join(many, "id", "left_semi")
     left_over = rest.groupBy("h").agg(F.count(F.lit(1)).alias("members"), F.count(F.when(F.col("comp") != F.col("major"), 1)).alias("minors")).filter("minors > 0 AND members > 1")
+    written += [mixed, ids, rare, shared, pairs]
     mixed = staged(rest.join(left_over, "h"), "blocks")
+    written.append(mixed)
     count = lambda n: F.ceil(n / BLOCK).cast("int")
     blocks = lambda n: F.explode(F.sequence(F.lit(0), count(n) - 1))
     own = lambda n: F.pmod(F.xxhash64("id"), count(n)).cast("int")
@@ -309,8 +314,10 @@ def near_duplicates(df: DataFrame, text: str = "text", key: str = "doc_id", shin
     named = shapes.filter("id IS NOT NULL AND n > 0")
     class_of = named.groupBy("n", "f1", "f2").agg(F.min("id").alias("rep"))
     reps = shapes.join(class_of.select(F.col("rep").alias("id"), "n", "f1", "f2"), ["id", "n", "f1", "f2"], "left_semi").select("id", "sig").dropDuplicates(["id", "sig"])
-    met, crowds = candidates(reps)
+    met, crowds, regions = candidates(reps)
     pairs = staged(met, "pairs")
+    crowds = staged(crowds, "crowds")
+    discard(*regions)
     involved = staged(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "involved")
     # the texts of the classes that met another, once each
     texts = staged(own.join(sent_if_small(involved), "id", "left_semi"), "texts")
@@ -334,7 +341,9 @@ def near_duplicates(df: DataFrame, text: str = "text", key: str = "doc_id", shin
     more = confirm(apart)
     star = lambda c: c.select(F.col("id").alias("a"), F.col("component").alias("b"))
     second = components(star(joined).union(more))
-    whole = components(star(second).union(crowd_links(crowds, second, texts, shingle, percent, confirm)))
+    written = [pairs, involved, texts, links, crowds]
+    whole = components(star(second).union(crowd_links(crowds, second, texts, shingle, percent, confirm, written)))
+    discard(*written)
     rows = shapes.select("id", "n", "f1", "f2").join(class_of, ["n", "f1", "f2"], "left")
     rows = rows.join(whole.select(F.col("id").alias("rep"), "component"), "rep", "left")
     component = F.when(F.col("id").isNotNull(), F.coalesce("component", "rep", "id"))
