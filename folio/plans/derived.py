@@ -38,6 +38,10 @@ LAYOUTS = {
     # stacked lines, with large initials among them
     "dx_stack": """SELECT o AS page_idx, pos, CASE WHEN q % 4 = 0 THEN flag WHEN q % 4 = 1 THEN 'his ' || CAST(p AS STRING) ELSE 'Other ' || CAST(p AS STRING) END AS text, CAST(CASE WHEN q % 4 = 0 THEN 30 ELSE 10 END AS DOUBLE) AS size,
         CAST(CASE WHEN q % 4 = 0 THEN s % 3 ELSE 12 + s % 20 END AS DOUBLE) AS x0, CAST(pos * 14 + q % 3 * 3 AS DOUBLE) AS y0, CAST(CASE WHEN q % 4 = 0 THEN s % 3 + 12 ELSE 60 + p % 30 END AS DOUBLE) AS x1, CAST(pos * 14 + q % 3 * 3 + CASE WHEN q % 4 = 0 THEN 30 ELSE 12 END AS DOUBLE) AS y1 FROM dx_item""",
+    # texts in which words are torn by spaces, and words split at a line's end
+    "dx_torn": """SELECT CAST(floor(o / 30) AS BIGINT) AS deck_id, o, pos, CASE p % 6 WHEN 0 THEN 'sys tem' WHEN 1 THEN 'haza rd' WHEN 2 THEN 'system' WHEN 3 THEN 'hazard' WHEN 4 THEN 'in to' ELSE 'into' END || ' of ' || CASE WHEN s % 47 = 0 THEN 'haza' WHEN s % 43 = 0 THEN 'tem' WHEN s % 5 = 0 THEN 'in' ELSE 'plants' END AS text FROM dx_item""",
+    "dx_hyphen": """SELECT CAST(floor(o / 50) AS BIGINT) AS doc_id, CASE p % 6 WHEN 0 THEN 'real' WHEN 1 THEN 'time' WHEN 2 THEN 'so' WHEN 3 THEN 'Addison' WHEN 4 THEN 'life' ELSE 'develop' END AS a, CASE s % 6 WHEN 0 THEN 'time' WHEN 1 THEN 'based' WHEN 2 THEN 'Wesley' WHEN 3 THEN 'ment' WHEN 4 THEN 'called' ELSE 'Front' END AS b,
+        CASE q % 5 WHEN 0 THEN 'develop' WHEN 1 THEN 'Real' WHEN 2 THEN 'life' ELSE 'up' END AS c, CASE q % 3 WHEN 0 THEN 'ment' WHEN 1 THEN 'front' ELSE 'Time' END AS d FROM dx_item""",
     # headings of a kind, in words of odd case
     "dx_odd": """SELECT o, pos, CASE q % 6 WHEN 0 THEN 'exerCiSeS of the day' WHEN 1 THEN 'Plain WORDS here' WHEN 2 THEN 'sYstem' || CAST(p AS STRING) || ' aBc' WHEN 3 THEN 'McDonald and eBay' WHEN 4 THEN 'oNe TwO ThReE fouR' ELSE 'iPhone' END AS text FROM dx_item""",
 }

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from folio.functions.text import odd_case
-from folio.operators import figures, incremental, ocr, raster, slides, structure, textclean, verify
+from folio.operators import figures, incremental, ocr, raster, slides, structure, textclean, verify, vocab
 from folio.plans.derived import cte, frame
 
 Q: dict = {}
@@ -297,3 +297,20 @@ def odd_case_words(spark, sf):
     """Words of the documents, and of headings that hold some of odd case."""
     texts = spark.read.parquet(f"{sf}/documents.parquet").select("text").unionByName(frame(spark, sf, "dx_odd").select("text"))
     return texts.select(F.explode(F.regexp_extract_all("text", F.lit("([A-Za-z]+)"), F.lit(1))).alias("word")).distinct().filter(odd_case(F.col("word")))
+
+
+@query(f"""WITH {cte('dx_torn')}, w AS (SELECT deck_id, o, pos, unnest(string_split(text, ' ')) AS word, generate_subscripts(string_split(text, ' '), 1) AS i FROM dx_torn), known AS (SELECT deck_id, word, count(*) AS n FROM w GROUP BY ALL),
+n AS (SELECT deck_id, word AS l, lead(word) OVER (PARTITION BY deck_id, o, pos ORDER BY i) AS r FROM w), p AS (SELECT deck_id, l, r, count(*) AS n FROM n WHERE r IS NOT NULL GROUP BY ALL),
+torn AS (SELECT p.* FROM p JOIN known k ON k.deck_id = p.deck_id AND k.word = l || r), sides AS (SELECT deck_id, word, sum(n) AS n FROM (SELECT deck_id, l AS word, n FROM torn UNION ALL SELECT deck_id, r, n FROM torn) GROUP BY ALL),
+only_ AS (SELECT k.deck_id, k.word FROM known k JOIN sides s ON s.deck_id = k.deck_id AND s.word = k.word AND s.n = k.n)
+SELECT deck_id, l AS "left", r AS "right", l || r AS joined FROM torn t WHERE EXISTS (SELECT 1 FROM only_ o WHERE o.deck_id = t.deck_id AND o.word IN (l, r))""")
+def split_word_pairs(spark, sf):
+    return vocab.split_words(frame(spark, sf, "dx_torn"), ["deck_id"])
+
+
+@query(f"""WITH {cte('dx_hyphen')}, parts AS (SELECT doc_id, a, b, a || b AS joined, a || '-' || b AS hyphened, count(*) AS times FROM dx_hyphen GROUP BY ALL), inl AS (SELECT DISTINCT doc_id, lower(c || '-' || d) AS low FROM dx_hyphen), whole AS (SELECT DISTINCT doc_id, b AS w FROM dx_hyphen UNION SELECT doc_id, a || d FROM dx_hyphen),
+good AS (SELECT * FROM parts p WHERE lower(joined) <> 'lifetime' AND ((regexp_matches(b, '^[A-Z]') AND NOT EXISTS (SELECT 1 FROM whole w WHERE w.doc_id = p.doc_id AND w.w = joined)) OR EXISTS (SELECT 1 FROM inl i WHERE i.doc_id = p.doc_id AND i.low = lower(hyphened)) OR lower(a) IN ('real', 'time', 'so') OR lower(b) IN ('time', 'based', 'called'))),
+r AS (SELECT *, row_number() OVER (PARTITION BY doc_id, joined ORDER BY times DESC, hyphened) AS i FROM good) SELECT doc_id, joined, hyphened FROM r WHERE i = 1""")
+def hyphen_compounds(spark, sf):
+    raw = frame(spark, sf, "dx_hyphen").select("doc_id", F.concat("a", F.lit("-\n"), "b", F.lit(" and "), "c", F.lit("-"), "d", F.lit(" "), "a", "d", F.lit(".")).alias("text"))
+    return textclean.hyphen_compounds(raw, ["doc_id"])

@@ -137,7 +137,12 @@ def table_cells(spark, sf):
     return figures.table_cells(figures.boxes(frame(spark, "fx_word")), figures.boxes(frame(spark, "fx_cell"), "cell"), ["page_idx"])
 
 
-@query("SELECT 0 AS page_idx, 1 AS table_id, 3::BIGINT AS n_rows, 2 AS n_cols, '| Role | What it does |' || chr(10) || '|---|---|' || chr(10) || '| Editor | reads off-site and cuts/pastes |' || chr(10) || '| Author team | writes first drafts daily |' AS table_md")
+@query(f"""WITH {cte('fx_word', 'fx_cell')}, w AS (SELECT c.page_idx, table_id, row_no, col_no, round_even(w.y0 / 3, 0) AS line, w.x0, text FROM fx_word w JOIN fx_cell c ON w.page_idx = c.page_idx
+ AND (w.x0 + w.x1) / 2 >= c.x0 AND (w.x0 + w.x1) / 2 < c.x1 AND (w.y0 + w.y1) / 2 >= c.y0 AND (w.y0 + w.y1) / 2 < c.y1),
+t AS (SELECT page_idx, table_id, row_no, col_no, replace(regexp_replace(string_agg(text, ' ' ORDER BY line, x0), '(\\w)- ([a-z])', '\\1-\\2', 'g'), '|', '/') AS text FROM w GROUP BY ALL), e AS (SELECT c.page_idx, c.table_id, c.row_no, c.col_no, coalesce(text, '') AS text FROM fx_cell c LEFT JOIN t USING (page_idx, table_id, row_no, col_no)),
+r AS (SELECT page_idx, table_id, row_no, list(text ORDER BY col_no) AS cells FROM e GROUP BY ALL HAVING bool_or(text <> '')), m AS (SELECT page_idx, table_id, count(*) AS n_rows, max(len(cells))::INTEGER AS n_cols, list('| ' || array_to_string(cells, ' | ') || ' |' ORDER BY row_no) AS l,
+ sum(len(list_filter(cells, lambda x: x <> ''))) / sum(len(cells)) AS fill, sum(list_sum(list_transform(cells, lambda x: len(regexp_extract_all(x, '\\S+'))))) AS n_words FROM r GROUP BY ALL)
+SELECT page_idx, table_id, n_rows, n_cols, l[1] || chr(10) || '|' || repeat('---|', n_cols) || chr(10) || array_to_string(l[2:], chr(10)) AS table_md FROM m WHERE n_cols >= 2 AND n_rows >= 2 AND fill >= 0.6 AND n_words >= 15""")
 def table_markdown(spark, sf):
     cells = figures.boxes(frame(spark, "fx_cell"), "cell")
     return figures.table_markdown(figures.table_cells(figures.boxes(frame(spark, "fx_word")), cells, ["page_idx"]), cells, ["page_idx"])

@@ -163,11 +163,6 @@ def bullet_glyph_runs(spark, sf):
     return textclean.bullet_glyphs(frame(spark, "fx_bullet"), ["doc_id"])
 
 
-@query("SELECT * FROM (VALUES (1::BIGINT, 'AddisonWesley', 'Addison-Wesley'), (1, 'realtime', 'real-time'), (1, 'servicecentric', 'service-centric'), (1, 'upfront', 'up-front')) t(doc_id, joined, hyphened)")
-def hyphen_compounds(spark, sf):
-    return textclean.hyphen_compounds(frame(spark, "fx_raw"), ["doc_id"])
-
-
 @query("SELECT * FROM (VALUES (1::BIGINT, 0, 'A service-centric view and development of real-time systems.'), (1, 1, 'By Addison-Wesley; DIFFERENCE and the DIFFERENCE. A lifetime. The up-front cost, up-front.')) t(doc_id, page_idx, text)")
 def hyphen_repaired(spark, sf):
     return textclean.repair_hyphens(frame(spark, "fx_clean"), frame(spark, "fx_raw"), ["doc_id"])
@@ -188,11 +183,6 @@ def capitals_restored_everywhere(spark, sf):
     return capitals_restored(spark, sf)
 
 
-@query("SELECT * FROM (VALUES (1::BIGINT, 'haza', 'rd', 'hazard'), (1, 'sys', 'tem', 'system')) t(deck_id, \"left\", \"right\", joined)")
-def split_word_pairs(spark, sf):
-    return vocab.split_words(frame(spark, "fx_torn"), ["deck_id"])
-
-
 @query("SELECT * FROM (VALUES (1::BIGINT, 1, 'a hazard in the plant'), (1, 2, 'every hazard counts in to day'), (1, 3, 'into the hazard zone, rd'), (2, 1, 'haza rd alone'), (1, 4, 'the system and a system to')) t(deck_id, pos, text)")
 def split_word_repair(spark, sf):
     return vocab.repair_split_words(frame(spark, "fx_torn"), ["deck_id"], ["pos"])
