@@ -160,6 +160,20 @@ def test_pages_of_one_template(spark, monkeypatch, common):
     assert {r.doc_id: r.n_shingles for r in got} == {i: len(shingles(t, 2)) for i, t in rows}
 
 
+# ---- mixing ------------------------------------------------------------------------------------
+
+
+def test_mixing_of_more_sources_than_the_driver_plans(spark, monkeypatch):
+    rng = random.Random(7)
+    names = [None, "", *[f"s{i}" for i in range(40)], "ä", "z"]
+    rows = [(i, rng.choice(names), "w " * rng.choice([0, 1, 5, 300])) for i in range(600)] + [(9000, "empty", None)] + [(9100 + i, "s1", "w " * 900) for i in range(20)]
+    df = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    want = sorted(map(str, mixing.mix(df).collect()))
+    monkeypatch.setattr(mixing, "MAX_SOURCES", 5)
+    assert sorted(map(str, mixing.mix(df.repartition(3)).collect())) == want
+    assert mixing.mix(df.limit(0)).count() == 0
+
+
 # ---- HTML --------------------------------------------------------------------------------------
 
 
