@@ -35,7 +35,8 @@ def ingest_twice(spark: SparkSession, source: str) -> DataFrame:
 
 
 def stream_totals(spark: SparkSession, source: str) -> DataFrame:
-    """Events and latest time of each user, kept by streaming state; every batch replaces the table of totals."""
+    """Events and latest time of each user, kept by streaming state; every batch writes a table of totals of its own, and the last one counts, so a
+    failure in between leaves the one before."""
     base = f"{shared_dir(spark)}/totals-{uuid.uuid4().hex}"
     schema = spark.read.parquet(source).schema
     folder, name = source.rstrip("/").rsplit("/", 1)
@@ -45,7 +46,8 @@ def stream_totals(spark: SparkSession, source: str) -> DataFrame:
     totals = rows.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"), F.max("ts").alias("last_ts"))
 
     def keep(batch: DataFrame, number: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{base}/out")
+        batch.write.mode("overwrite").parquet(f"{base}/out/batch={number}")  # a batch that is run again replaces itself
 
     totals.writeStream.outputMode("complete").foreachBatch(keep).option("checkpointLocation", f"{base}/state").trigger(availableNow=True).start().awaitTermination()
-    return spark.read.parquet(f"{base}/out")
+    every = spark.read.parquet(f"{base}/out")
+    return every.filter(F.col("batch") == every.agg(F.max("batch")).first()[0]).drop("batch")
