@@ -201,14 +201,14 @@ def _written(turns: pa.Array) -> pa.Array:
     return pa.array(out, pa.binary())
 
 
-@query(rf"""WITH {ROUND} SELECT conv_id, slide_no::INTEGER AS slide_no, (slide_no - 1) % 5 = 4 AS hidden, role AS title, list_transform(l, lambda x, i: 'item ' || ((i - 1) % 2) || ' ' || x) || ['table 0 | lines | a\|b |', 'table 0 | ' || len(l) || ' |  |'] AS items, '' AS flags, 'turn ' || (slide_no - 1) || chr(10) || 'end' AS notes FROM t""")
+@query(rf"""WITH {ROUND} SELECT conv_id, slide_no::INTEGER AS slide_no, (slide_no - 1) % 5 = 4 AS hidden, role AS title, array_to_string(list_transform(l, lambda x, i: 'item ' || ((i - 1) % 2) || ' ' || x) || ['table 0 | lines | a\|b |', 'table 0 | ' || len(l) || ' |  |'], chr(10)) AS items, '' AS flags, 'turn ' || (slide_no - 1) || chr(10) || 'end' AS notes FROM t""")
 def deck_round_trip(spark, sf):
     """Conversations written as .pptx decks and read back: titles, items with levels, tables, hidden slides and notes."""
     talks = table(spark, sf, "conversations").groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "role", "text"))).alias("t"))
     files = talks.select(F.col("conv_id").cast("string").alias("path"), F.arrow_udf(_written, "binary")("t").alias("content"))
     read = decks.slides(decks.parsed(files))
     items = F.transform("items", lambda x: F.concat_ws(" ", x["kind"], x["level"].cast("string"), x["text"]))
-    return read.select(F.col("path").cast("long").alias("conv_id"), "slide_no", "hidden", "title", items.alias("items"), F.array_join("flags", ",").alias("flags"), "notes")
+    return read.select(F.col("path").cast("long").alias("conv_id"), "slide_no", "hidden", "title", F.array_join(items, "\n").alias("items"), F.array_join("flags", ",").alias("flags"), "notes")
 
 
 @query(f"""WITH {cte('dx_line')}, k AS (SELECT *, regexp_replace({KEY}, '\\s+', ' ', 'g') AS footer, y0 > 0.88 * 540 OR y0 < 0.08 * 540 AS edge FROM dx_line), d AS (SELECT deck_id, count(DISTINCT page_idx) AS slides FROM dx_line GROUP BY 1),
