@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folio.llm import decontam, html_text, langid, mixing, neardup, pii, quality, sharding, tokencount, topk
+from folio.llm import codebook, decontam, html_text, langid, mixing, neardup, pii, quality, sharding, tokencount, topk
 from folio.llm.common import read
 
 
@@ -121,5 +121,34 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.select("doc_id", "c.n_tokens", "c.n_pretokens", "c.n_edits", "c.n_tokens_after", "c.n_reencoded")
 
 
-QUERIES = {"op1_language_id": op1_language_id, "op2_sharding": op2_sharding, "op3_pii": op3_pii, "op4_quality": op4_quality, "op5_near_dedup": op5_near_dedup, "op6_mixing": op6_mixing, "op7_decontamination": op7_decontamination, "op8_html_text": op8_html_text, "op9_topk": op9_topk, "op10_token_counts": op10_token_counts}
-ORACLES = {"op5_near_dedup": OP5, "op6_mixing": OP6, "op9_topk": OP9}
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return codebook.compress(read(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label"))
+
+
+def _op12() -> str:
+    """The rounds one after the other: c<r> are the codebooks before round r, a<r> each part's nearest entry in them."""
+    far = "list_sum(list_transform(range(1, len(x) + 1), lambda i: (x[i] - c[i]) * (x[i] - c[i])))::BIGINT"
+    steps = [
+        """whole AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: floor(4096 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x::DOUBLE))) = 0)""",
+        "parts AS (SELECT vec_id, label, p, v[p * (len(v) // 8) + 1 : (p + 1) * (len(v) // 8)] AS x FROM whole, range(8) r(p))",
+        "c0 AS (SELECT p, row_number() OVER (PARTITION BY p ORDER BY vec_id) - 1 AS e, x AS c FROM parts QUALIFY e < 16)",
+    ]
+    for r in range(7):
+        steps.append(f"a{r} AS MATERIALIZED (SELECT vec_id, label, p, x, arg_min(e, d * 16 + e) AS e, min(d) AS d FROM (SELECT t.*, c.e, {far} AS d FROM parts t JOIN c{r} c USING (p)) GROUP BY vec_id, label, p, x)")
+        if r < 6:
+            steps.append(f"""s{r} AS (
+  SELECT p, e, i, sum(x[i])::BIGINT AS s, count(*) AS n FROM (SELECT p, e, x, unnest(range(1, len(x) + 1)) AS i FROM a{r}) GROUP BY p, e, i),
+m{r} AS (SELECT p, e, list((s - (s % n + n) % n) // n ORDER BY i) AS c FROM s{r} GROUP BY p, e),
+c{r + 1} AS MATERIALIZED (SELECT o.p, o.e, coalesce(m.c, o.c) AS c FROM c{r} o LEFT JOIN m{r} m ON o.p = m.p AND o.e = m.e)""")
+    return "WITH " + ",\n".join(steps) + """,
+book AS (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY p, e)) AS codebooks_sha256 FROM c6),
+coded AS (SELECT vec_id, label, string_agg(printf('%02x', e), '' ORDER BY p) AS code, sum(d)::BIGINT AS error FROM a6 GROUP BY vec_id, label)
+SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error, codebooks_sha256 FROM coded, book"""
+
+
+OP12 = _op12()
+
+QUERIES = {"op1_language_id": op1_language_id, "op2_sharding": op2_sharding, "op3_pii": op3_pii, "op4_quality": op4_quality, "op5_near_dedup": op5_near_dedup, "op6_mixing": op6_mixing, "op7_decontamination": op7_decontamination, "op8_html_text": op8_html_text, "op9_topk": op9_topk, "op10_token_counts": op10_token_counts, "op12_vector_codes": op12_vector_codes}
+ORACLES = {"op5_near_dedup": OP5, "op6_mixing": OP6, "op9_topk": OP9, "op12_vector_codes": OP12}
