@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folio.llm import codebook, decontam, html_text, langid, mixing, neardup, pii, quality, sharding, tokencount, topk
+from folio.llm import codebook, decontam, divergence, html_text, langid, mixing, neardup, pii, quality, sharding, tokencount, topk
 from folio.llm.common import read
 
 
@@ -150,5 +150,34 @@ SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS labe
 
 OP12 = _op12()
 
-QUERIES = {"op1_language_id": op1_language_id, "op2_sharding": op2_sharding, "op3_pii": op3_pii, "op4_quality": op4_quality, "op5_near_dedup": op5_near_dedup, "op6_mixing": op6_mixing, "op7_decontamination": op7_decontamination, "op8_html_text": op8_html_text, "op9_topk": op9_topk, "op10_token_counts": op10_token_counts, "op12_vector_codes": op12_vector_codes}
-ORACLES = {"op5_near_dedup": OP5, "op6_mixing": OP6, "op9_topk": OP9, "op12_vector_codes": OP12}
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(read(spark, sf_dir, "documents").select("text", "lang", "source"))
+
+
+OP13 = r"""
+WITH docs AS (SELECT row_number() OVER () AS d, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS text FROM documents),
+occ AS (
+  SELECT d, lang, source, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM docs),
+kept AS (SELECT lang, term, count(*) AS n FROM occ GROUP BY lang, term HAVING count(DISTINCT d) >= 10),
+groups AS (SELECT DISTINCT lang, source FROM docs),
+found AS (SELECT lang, source, term, count(*) AS n FROM occ SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+size AS (SELECT lang, count(*)::HUGEINT AS v, sum(n)::HUGEINT AS n FROM kept GROUP BY lang),
+own AS (SELECT g.lang, g.source, coalesce(sum(f.n), 0)::HUGEINT AS n FROM groups g LEFT JOIN found f USING (lang, source) GROUP BY ALL),
+p AS (
+  SELECT g.lang, g.source, k.term, coalesce(f.n, 0) AS c, 1 + (1000000000 * (coalesce(f.n, 0) + 2)::HUGEINT) // (g.n + 2 * s.v) AS p,
+         1 + (1000000000 * (k.n + 2)::HUGEINT) // (s.n + 2 * s.v) AS q
+  FROM own g JOIN kept k USING (lang) JOIN size s USING (lang) LEFT JOIN found f ON f.lang = g.lang AND f.source = g.source AND f.term = k.term),
+far AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+  FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+rows AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(f.value, 0)::BIGINT AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN far f ON f.lang = a.lang AND f.source = a.source AND f.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, ((p - q) * (p - q) // (p + q))::BIGINT FROM p WHERE c > 0 AND p > q)
+SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item))::INTEGER AS rank FROM rows
+QUALIFY part = 'pair' OR rank <= 10"""
+
+
+QUERIES = {"op1_language_id": op1_language_id, "op2_sharding": op2_sharding, "op3_pii": op3_pii, "op4_quality": op4_quality, "op5_near_dedup": op5_near_dedup, "op6_mixing": op6_mixing, "op7_decontamination": op7_decontamination, "op8_html_text": op8_html_text, "op9_topk": op9_topk, "op10_token_counts": op10_token_counts, "op12_vector_codes": op12_vector_codes, "op13_source_divergence": op13_source_divergence}
+ORACLES = {"op5_near_dedup": OP5, "op6_mixing": OP6, "op9_topk": OP9, "op12_vector_codes": OP12, "op13_source_divergence": OP13}
