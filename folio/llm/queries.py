@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folio.llm import codebook, decontam, divergence, html_text, langid, mixing, neardup, pii, quality, sharding, tokencount, topk
+from folio.llm import codebook, decontam, divergence, html_text, langid, mixing, neardup, ngramjoin, pii, quality, sharding, tokencount, topk
 from folio.llm.common import read
 
 
@@ -121,6 +121,28 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.select("doc_id", "c.n_tokens", "c.n_pretokens", "c.n_edits", "c.n_tokens_after", "c.n_reencoded")
 
 
+def op11_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngramjoin.similar_sets(read(spark, sf_dir, "documents").select("doc_id", "text"), shingle=3, percent=90)
+
+
+OP11 = r"""
+WITH RECURSIVE tok AS (
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+sets AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) END) AS s FROM tok),
+flat AS (SELECT doc_id, len(s) AS n, unnest(s) AS x FROM sets),
+shared AS (
+  SELECT a.doc_id AS p, b.doc_id AS q FROM flat a JOIN flat b ON a.x = b.x AND a.doc_id < b.doc_id
+    AND 100 * least(a.n, b.n) >= 90 * greatest(a.n, b.n)
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 90 * (a.n + b.n - count(*))),
+edges AS (SELECT p, q FROM shared UNION ALL SELECT q, p FROM shared),
+reach(id, to_id) AS (SELECT p, q FROM edges UNION SELECT r.id, e.q FROM reach r JOIN edges e ON r.to_id = e.p),
+low AS (SELECT id, least(id, min(to_id)) AS component FROM reach GROUP BY id)
+SELECT s.doc_id, coalesce(len(s.s), 0)::BIGINT AS n_shingles, coalesce(l.component, s.doc_id) AS component_id
+FROM sets s LEFT JOIN low l ON s.doc_id = l.id"""
+
+
 def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return codebook.compress(read(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label"))
 
@@ -179,5 +201,5 @@ SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC
 QUALIFY part = 'pair' OR rank <= 10"""
 
 
-QUERIES = {"op1_language_id": op1_language_id, "op2_sharding": op2_sharding, "op3_pii": op3_pii, "op4_quality": op4_quality, "op5_near_dedup": op5_near_dedup, "op6_mixing": op6_mixing, "op7_decontamination": op7_decontamination, "op8_html_text": op8_html_text, "op9_topk": op9_topk, "op10_token_counts": op10_token_counts, "op12_vector_codes": op12_vector_codes, "op13_source_divergence": op13_source_divergence}
-ORACLES = {"op5_near_dedup": OP5, "op6_mixing": OP6, "op9_topk": OP9, "op12_vector_codes": OP12, "op13_source_divergence": OP13}
+QUERIES = {"op1_language_id": op1_language_id, "op2_sharding": op2_sharding, "op3_pii": op3_pii, "op4_quality": op4_quality, "op5_near_dedup": op5_near_dedup, "op6_mixing": op6_mixing, "op7_decontamination": op7_decontamination, "op8_html_text": op8_html_text, "op9_topk": op9_topk, "op10_token_counts": op10_token_counts, "op11_ngram_join": op11_ngram_join, "op12_vector_codes": op12_vector_codes, "op13_source_divergence": op13_source_divergence}
+ORACLES = {"op5_near_dedup": OP5, "op6_mixing": OP6, "op9_topk": OP9, "op11_ngram_join": OP11, "op12_vector_codes": OP12, "op13_source_divergence": OP13}
