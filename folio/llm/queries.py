@@ -106,7 +106,7 @@ def op9_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 OP9 = """
 WITH whole AS (
   SELECT DISTINCT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
-  WHERE vec_id IS NOT NULL AND len(embedding) > 0
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
     AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x::DOUBLE))) = 0),
 pairs AS (
   SELECT q.vec_id AS query_id, x.vec_id, max(list_sum(list_transform(range(1, len(q.v) + 1), lambda i: q.v[i] * x.v[i])))::BIGINT AS score
