@@ -1,7 +1,8 @@
 """Benchmark decontamination by template canonicalisation.
 
-A text becomes a sequence of tokens: lower-cased runs of letters and digits, with typed placeholders for numbers, for units after a number,
-and for names (title-case words; neighbours in a sentence make one name, a sentence's first word may be one). Windows of WINDOW tokens are
+A text becomes a sequence of tokens: lower-cased runs of letters, marks and digits of any script (by Unicode's classes), with typed placeholders
+for numbers, for units after a number, and for names (title-case words of any script that has capitals; neighbours in a sentence make one name, a
+sentence's first word may be one). Windows of WINDOW tokens are
 hashed; benchmark windows are joined by hash with those of every whole document.
 
 An occurrence of an item is a stretch of a document: windows of the item on diagonals (distances between the two places) that lie within
@@ -20,19 +21,23 @@ candidate pair joined, by document and hash.
 
 Edge cases: null and empty texts, on either side, match nothing; an item of fewer than WINDOW tokens is one window, and one of fewer than
 LEAST tokens, or whose windows all hold fewer than LEAST literal words, is looked for literally only, be it a single word; an item without
-letters and digits cannot be found. Punctuation and small or capital letters make no difference to literal windows. Rows sharing a doc_id
+letters and digits cannot be found. Punctuation and spaces of any kind (typographic quotes, dashes, no-break spaces), signs without width (soft
+hyphens) and small or capital letters make no difference to literal windows; composed and decomposed accents are not alike. Rows sharing a doc_id
 count as one document; texts sharing an item_id are looked for one by one and reported as one item; a document without id cannot be reported
 and is kept by `clean`. Repeated rows count once. Empty tables give no rows.
 """
 
 from __future__ import annotations
 
+import functools
+import unicodedata
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from folio.llm.common import LOWER, mix, pieces, sent_if_small, small_batches, staged, word_hashes
+from folio.llm.common import mix, pieces, sent_if_small, small_batches, staged, word_hashes
 
 WINDOW = 8
 LEAST = 4
@@ -46,14 +51,54 @@ NEAR = 8
 UNITS = "mm cm m km in ft yd mi mg g kg t lb oz ml cl l gal s sec min h hr hrs day days week weeks month months year years second seconds minute minutes hour hours meter meters metre metres kilometer kilometers kilometre kilometres gram grams kilogram kilograms liter liters litre litres inch inches foot feet yard yards mile miles pound pounds ounce ounces dollar dollars euro euros cent cents eur usd gbp kmh mph percent degrees".split()
 
 _NUMBER, _NAME, _UNIT = (np.uint64(x) for x in (0x1111, 0x2222, 0x3333))
-_DIGIT = np.zeros(256, bool)
-_DIGIT[48:58] = True
-_CAPITAL = np.zeros(256, bool)
-_CAPITAL[65:91] = True
-_INSIDE = _DIGIT | _CAPITAL
-_INSIDE[97:123] = _INSIDE[128:] = True
-_STOP = np.zeros(256, bool)
-_STOP[[10, 33, 46, 63]] = True
+_INSIDE, _DIGIT, _CAPITAL, _STOP, _GONE = (np.uint8(1 << i) for i in range(5))
+#: Code points with a class and a small letter of their own; above them are ideographs up to 0x3FFFF, and signs that are no letters.
+_CLASSED = 0x20000
+
+
+@functools.cache
+def _classes() -> tuple[np.ndarray, np.ndarray]:
+    """The class of each code point as bits, and its small letter."""
+    kind, small = np.zeros(_CLASSED, np.uint8), np.arange(_CLASSED, dtype=np.uint32)
+    for c in range(_CLASSED):
+        name = unicodedata.category(chr(c))
+        if name[0] in "LNM":
+            kind[c] = _INSIDE | (_DIGIT if name == "Nd" else 0) | (_CAPITAL if name in ("Lu", "Lt") else 0)
+        elif name == "Cf":
+            kind[c] = _GONE
+        if name in ("Lu", "Lt") and len(chr(c).lower()) == 1:
+            small[c] = ord(chr(c).lower())
+    for stop in "\n!.?\u061f\u0964\u3002\uff01\uff1f":
+        kind[ord(stop)] |= _STOP
+    return kind, small
+
+
+def signs(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """UTF-8 as code points, without signs that have no width; and where the rows begin and end."""
+    begins = (data & 0xC0) != 0x80
+    lead = data[begins].astype(np.uint32)
+    place = np.flatnonzero(begins)
+    many = (lead >= 0xC0).astype(np.int64) + (lead >= 0xE0) + (lead >= 0xF0)
+    point = np.where(many == 0, lead, lead & (0x3F >> many).astype(np.uint32))
+    for j in range(1, 4):
+        more = np.flatnonzero(many >= j)
+        point[more] = (point[more] << 6) | (data[np.minimum(place[more] + j, len(data) - 1)] & 0x3F)
+    at = np.searchsorted(place, at)
+    stays = ~_is(point, _GONE)
+    return point[stays], np.concatenate([[0], np.cumsum(stays)])[at]
+
+
+def _is(point: np.ndarray, kind: np.uint8) -> np.ndarray:
+    table = _classes()[0]
+    out = (table[np.minimum(point, _CLASSED - 1)] & kind) > 0
+    above = point >= _CLASSED
+    if above.any():
+        out[above] = (point[above] < 0x40000) & (kind == _INSIDE)
+    return out
+
+
+def _small(point: np.ndarray) -> np.ndarray:
+    return np.where(point < _CLASSED, _classes()[1][np.minimum(point, _CLASSED - 1)], point)
 
 
 def _literal(word: str) -> np.uint64:
@@ -77,30 +122,26 @@ def member(x: np.ndarray, table: np.ndarray) -> np.ndarray:
     return out
 
 
-def template(data: np.ndarray, at: np.ndarray):
-    """Token hashes with placeholders, whether each is a placeholder, start, end and row of each token; and the same of the literal tokens."""
+def template(point: np.ndarray, at: np.ndarray):
+    """Of code points token hashes with placeholders, whether each is a placeholder, start, end and row of each token; and the same of the literal tokens."""
     empty = np.zeros(0, np.int64)
-    if not len(data):
+    if not len(point):
         return [(empty.astype(np.uint64), empty.astype(bool), empty, empty, empty)] * 2
-    digit = _DIGIT[data]
-    inside = _INSIDE[data]
-    joins = np.zeros(len(data), bool)  # 3.5 and 1,000 are one number
-    joins[1:-1] = ((data[1:-1] == 46) | (data[1:-1] == 44)) & digit[:-2] & digit[2:]
+    digit = _is(point, _DIGIT)
+    inside = _is(point, _INSIDE)
+    joins = np.zeros(len(point), bool)  # 3.5 and 1,000 are one number
+    joins[1:-1] = ((point[1:-1] == 46) | (point[1:-1] == 44)) & digit[:-2] & digit[2:]
     inside |= joins
-    edge = np.zeros(len(data) + 1, bool)
+    edge = np.zeros(len(point) + 1, bool)
     edge[at] = True
     begins, ends = inside.copy(), inside.copy()
     begins[1:] &= ~inside[:-1] | edge[1:-1]
     ends[:-1] &= ~inside[1:] | edge[1:-1]
     start, end = np.flatnonzero(begins), np.flatnonzero(ends) + 1
     row = np.searchsorted(at, start, "right") - 1
-    low = LOWER[data]
-    high = np.zeros(len(data), bool)  # second bytes of the capitals from U+00C0 to U+00DE
-    high[1:] = (data[:-1] == 0xC3) & (data[1:] >= 0x80) & (data[1:] <= 0x9E) & (data[1:] != 0x97)
-    low = low + (high * 32).astype(np.uint8)
-    capital = _CAPITAL[data]
-    capital[:-1] |= high[1:]
-    stops = np.concatenate([[0], np.cumsum(_STOP[data] & ~joins, dtype=np.int32)])
+    low = _small(point)
+    capital = _is(point, _CAPITAL)
+    stops = np.concatenate([[0], np.cumsum(_is(point, _STOP) & ~joins, dtype=np.int32)])
     first = np.ones(len(start), bool)  # of a sentence
     first[1:] = (row[1:] != row[:-1]) | (stops[start[1:]] > stops[end[:-1]])
     upper = np.concatenate([[0], np.cumsum(capital, dtype=np.int32)])
@@ -146,7 +187,8 @@ def _emit(size_of, keep):
             ids = b.column(0)
             for lead, data, at in pieces(b.column(1)):
                 n = len(at) - 1
-                for literally, (token, slot, start, end, row) in enumerate(template(data, at)):
+                point, at = signs(data, at)
+                for literally, (token, slot, start, end, row) in enumerate(template(point, at)):
                     count = np.bincount(row, minlength=n)
                     first = np.cumsum(count) - count
                     for size, whole in [(size, whole) for size, whole, how in size_of if how == literally]:
@@ -156,7 +198,7 @@ def _emit(size_of, keep):
                             h, begin = h[hit], begin[hit]
                         if not len(h):
                             continue
-                        values = [[]] * len(begin) if literally else [[" ".join(data[start[i] : end[i]].tobytes().decode("utf-8", "replace").split()) for i in range(g, g + size) if slot[i]] for g in begin.tolist()]
+                        values = [[]] * len(begin) if literally else [[" ".join("".join(map(chr, point[start[i] : end[i]].tolist())).split()) for i in range(g, g + size) if slot[i]] for g in begin.tolist()]
                         r = row[begin]
                         yield pa.RecordBatch.from_arrays([ids.take(pa.array(r + lead)), pa.array((begin - first[r]).astype(np.int32)), pa.array(h.view(np.int64)), pa.array(values, pa.list_(pa.string())), pa.array(np.full(len(h), size, np.int32)), pa.array(np.full(len(h), bool(literally)))], schema=schema)
 
@@ -203,7 +245,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", key: str =
     pairs = met.select(*at, F.explode(F.arrays_zip("item_slots", "doc_slots")).alias("s")).groupBy(*at, "s").agg(F.count(F.lit(1)).alias("c"))
     ways = F.array(F.struct(F.lit(True).alias("there"), F.col("s.item_slots").alias("v")), F.struct(F.lit(False).alias("there"), F.col("s.doc_slots").alias("v")))
     by_value = pairs.select(*at, "c", F.explode(ways).alias("w")).groupBy(*at, "w").agg(F.sum("c").alias("all"), F.max("c").alias("most"))
-    there, back = F.col("w.there"), ~F.col("w.there") & ~F.col("w.v").rlike("^[0-9]")
+    there, back = F.col("w.there"), ~F.col("w.there") & ~F.col("w.v").rlike(r"^\p{Nd}")
     when = lambda cond, x: F.coalesce(F.sum(F.when(cond, x)), F.lit(0))
     kept = by_value.groupBy(*at).agg(when(there, F.col("all")).alias("slots"), when(there, F.col("most")).alias("forth"), when(back, F.col("all") - F.col("most")).alias("lost"))
     kept = kept.select(*at, "slots", F.least("forth", F.col("slots") - F.col("lost")).alias("slots_kept"))
