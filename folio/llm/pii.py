@@ -6,13 +6,15 @@ spacing, two tokens to each side. It is trained from a small labelled table (lab
 the spans it finds that touch no base span: phones without a leading plus, and addresses written out with "at" and "dot".
 
 Edge cases: a null text is empty and has no spans. Spans are in code points, end exclusive. A text may be of any length: the patterns
-never go back over a run, and only triggers' neighbourhoods are tokenised. Only 0-9 are digits: raised, circled and other scripts' digits
+never go back over a run, and only triggers' neighbourhoods are tokenised; a long one (a table of numbers) is decoded in pieces of 1,024 tokens
+that share 128, so memory does not grow with it. Only 0-9 are digits: raised, circled and other scripts' digits
 are signs like any other. Repeated rows are kept; an empty table gives no rows; input columns named like the outputs are replaced.
 """
 
 from __future__ import annotations
 
 import re
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -86,11 +88,14 @@ def shape(token: str, spaced: bool) -> list[int]:
     return [2 + (_PUNCT.find(token) + 1), 98, 150, 100 + spaced, 145]
 
 
+def features(text: str, spans: list[tuple[int, int]]) -> np.ndarray:
+    return np.array([shape(text[s:e], s == 0 or text[s - 1].isspace()) for s, e in spans], np.int64).reshape(-1, 5)
+
+
 def tokens(text: str, start: int, end: int) -> tuple[np.ndarray, list[tuple[int, int]]]:
     """Features and spans of the tokens of text[start:end]."""
     spans = [m.span() for m in _TOKEN.finditer(text, start, end)]
-    ids = [shape(text[s:e], s == 0 or text[s - 1].isspace()) for s, e in spans]
-    return np.array(ids, np.int64).reshape(-1, 5), spans
+    return features(text, spans), spans
 
 
 def neighbourhoods(text: str, reach: int = 48) -> list[tuple[int, int]]:
@@ -271,25 +276,57 @@ def train(rows=None) -> Field:
 _SPELLED = re.compile(r"\bat\b.*\bdot\b|@", re.I | re.S)
 
 
-def decode(field: Field, texts: list[str], places: list[list[tuple[int, int]]], batch: int = 256) -> list[list[tuple[int, int, int]]]:
-    """(kind, start, end) that the field finds in each text's given ranges."""
-    work = [(i, *tokens(texts[i], s, e)) for i, ranges in enumerate(places) for s, e in ranges]
-    work = sorted((w for w in work if len(w[2])), key=lambda w: len(w[2]))
+#: Tokens of a range that are decoded at a time, tokens that two pieces of a range share, and tokens of a batch with its padding.
+PIECE, SHARED, TOKENS = 1024, 128, 1 << 16
+
+
+def cut(text: str, start: int, end: int):
+    """A range's tokens in pieces that overlap: yields features, spans, and the places from which and up to which a span's beginning counts."""
+    found = _TOKEN.finditer(text, start, end)
+    spans, lead = [m.span() for m in islice(found, PIECE)], 0
+    while spans:
+        after = [m.span() for m in islice(found, PIECE - SHARED)]
+        yield features(text, spans), spans, lead, len(spans) - (SHARED // 2 if after else 0)
+        spans, lead = spans[-SHARED:] + after if after else [], SHARED // 2
+
+
+def _batches(work: list):
+    """Pieces of like length together, TOKENS tokens at most with the padding (one piece at least)."""
+    work.sort(key=lambda w: len(w[2]))
+    at = 0
+    while at < len(work):
+        n = at + 1
+        while n < len(work) and (n + 1 - at) * len(work[n][2]) <= TOKENS:
+            n += 1
+        yield work[at:n]
+        at = n
+
+
+def decode(field: Field, texts: list[str], places: list[list[tuple[int, int]]]) -> list[list[tuple[int, int, int]]]:
+    """(kind, start, end) that the field finds in each text's given ranges. A few batches of tokens are held at a time, however long texts and ranges are."""
     out: list[list[tuple[int, int, int]]] = [[] for _ in texts]
-    for at in range(0, len(work), batch):
-        some = work[at : at + batch]
-        ids, mask = padded([w[1] for w in some])
-        for (i, _, spans), tags in zip(some, field.viterbi(ids, mask), strict=True):
-            j = 0
-            while j < len(spans):
-                if tags[j] and TAGS[tags[j]][0] == "B":
-                    n, kind = j + 1, (tags[j] - 1) // 2
+
+    def settle(work: list) -> None:
+        for some in _batches(work):
+            ids, mask = padded([w[1] for w in some])
+            for (i, _, spans, first, last), tags in zip(some, field.viterbi(ids, mask), strict=True):
+                tags = tags[: len(spans)]
+                for j in np.flatnonzero(tags[first:last] % 2 == 1) + first:  # the odd ones begin a span
+                    n = j + 1
                     while n < len(spans) and tags[n] == tags[j] + 1:
                         n += 1
-                    out[i].append((int(kind), spans[j][0], spans[n - 1][1]))
-                    j = n
-                else:
-                    j += 1
+                    out[i].append((int(tags[j] - 1) // 2, spans[j][0], spans[n - 1][1]))
+
+    work, held = [], 0
+    for i, ranges in enumerate(places):
+        for s, e in ranges:
+            for piece in cut(texts[i], s, e):
+                work.append((i, *piece))
+                held += len(piece[1])
+                if held >= 4 * TOKENS:
+                    settle(work)
+                    work, held = [], 0
+    settle(work)
     return out
 
 
