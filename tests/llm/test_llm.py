@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import itertools
 import random
 import re
+import unicodedata
 import zlib
 from collections import Counter, defaultdict
 from html.parser import HTMLParser
 
 import numpy as np
 import pytest
+import regex
 from pyspark.sql import functions as F
 
 from folio.llm import decontam, graph, html_text, langid, mixing, neardup, pii, quality, queries, sharding, tokencount, topk
@@ -131,6 +134,22 @@ def test_field_on_new_rows():
     assert right >= 190
 
 
+def test_long_ranges_are_decoded_in_pieces(monkeypatch):
+    """The spans are those of whole ranges, wherever the pieces meet, and a batch never holds more tokens than it may."""
+    field, rng = pii.train(), random.Random(5)
+    rows = [" ".join(rng.choice([f"{rng.randint(0, 99999)}", f"({rng.randint(200, 999)}) {rng.randint(200, 999)}-{rng.randint(1000, 9999)}", f"{rng.random():.3f}", "anna at example dot com", "and"]) for _ in range(n)) for n in (1, 60, 900, 2500)]
+    whole = [[(0, len(t))] for t in rows]
+    monkeypatch.setattr(pii, "PIECE", 1 << 20)
+    want = [sorted(f) for f in pii.decode(field, rows, whole)]
+    monkeypatch.setattr(pii, "TOKENS", 3000)
+    seen, viterbi = [], field.viterbi
+    field.viterbi = lambda ids, mask: seen.append(mask.size) or viterbi(ids, mask)
+    for size in (200, 1024):
+        monkeypatch.setattr(pii, "PIECE", size)
+        assert [sorted(f) for f in pii.decode(field, rows, whole)] == want
+    assert max(seen) <= 3000 and sum(map(len, want)) > 500
+
+
 def test_pii_odd_input(spark, odd):
     rows = [(20, "mail jo.doe@x.example.com or 10.0.0.7, call (555) 010-1234 now", "en", "a", 1), (21, "write to jo at mail dot com today", "en", "a", 1)]
     more = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
@@ -385,12 +404,12 @@ def test_leaks_of_numbers_names_and_short_items(spark, monkeypatch):
 
 def template_by_rule(text):
     """Tokens as (what they match by, value of a slot or None), and the literal tokens; word by word."""
-    found = [(m.group(), m.start(), m.end()) for m in re.finditer(r"(?:[0-9A-Za-z]|(?<=[0-9])[.,](?=[0-9]))+", text)]
+    found = [(m.group(), m.start(), m.end()) for m in regex.finditer(r"(?:[\p{L}\p{M}\p{N}]|(?<=\p{Nd})[.,](?=\p{Nd}))+", text)]
     out, last = [], 0
     for w, s, e in found:
-        gap = re.sub(r"(?<=[0-9])[.,](?=[0-9])", "", text[last:s])
+        gap = regex.sub(r"(?<=\p{Nd})[.,](?=\p{Nd})", "", text[last:s])
         first = not out or re.search(r"[.!?\n]", gap)
-        if w[0].isdigit():
+        if w[0].isdecimal():
             out.append(("<n>", w))
         elif out and out[-1][0] == "<n>" and w.lower() in decontam.UNITS:
             out.append(("<u>", w))
@@ -434,7 +453,7 @@ def holds(text, item):
 
 def test_templates_against_brute_force(spark):
     rng = random.Random(12)
-    people, places, units = ["Alice", "Bob", "Chen Wu", "Maria Silva", "Ivan", "Zoe"], ["Paris", "Oslo", "New York"], ["km", "kg", "dollars", "minutes"]
+    people, places, units = ["Alice", "Bob", "Chen Wu", "Maria Silva", "Ivan", "Zoe", "Łukasz", "Анна", "Ólafur Þór"], ["Paris", "Oslo", "New York"], ["km", "kg", "dollars", "minutes"]
     frames = [
         "{p} buys {n} apples for {n} {u} each", "{p} walks from {c} to {c} in {n} {u} and then {p} rests for {n} {u} before going home", "If {p} has {n} red balls and {q} takes {n} of them, how many are left for {p}?",
         "Compute {n} + {n} * {n} - {n} / {n}", "Is {n} plus {n} equal {n}?", "Capital of {c}?", "{p}, {q} and {p}", "A pump fills the long tank in {n} {u}. {p} opens it at {n}. When will {q} find the tank full of water?",
@@ -455,6 +474,9 @@ def test_templates_against_brute_force(spark):
             parts = parts[: len(parts) // 2]
         if n % 11 == 3:  # scattered halves
             parts = parts[: len(parts) // 2] + ["filler"] * 60 + parts[len(parts) // 2 :]
+        if n % 4 == 1:  # as typesetters write it
+            text = " ".join(parts).replace(", ", " — ").replace(" ", rng.choice(["\u00a0", "\u2009", " "]))
+            parts = ["“" + text + "”…"]
         docs.append(rng.choice(["", "some lead words here. ", "Then "]) + " ".join(parts) + rng.choice(["", ". And more of it."]))
     want = {(i, j) for i, d in enumerate(docs) for j, t in enumerate(items) if holds(d, t)}
     df, bench = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string"), spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
@@ -464,6 +486,31 @@ def test_templates_against_brute_force(spark):
     assert len(told) > 20
 
 
+@pytest.mark.parametrize(
+    ("item", "text", "held"),
+    [
+        ("Capital of France?", "He asked: “Capital of France?” again", True), ("Capital of France?", "He asked—capital of\u00a0France…", True), ("Capital of France?", "«Cap\u00adital of\u2009France»", True),
+        ("don't stop", "Don’t stop!", True), ("Столица Франции?", "Он спросил: «столица Франции?»", True), ("Ποια είναι η πρωτεύουσα", "ΠΟΙΑ ΕΊΝΑΙ Η ΠΡΩΤΕΎΟΥΣΑ", True), ("Capital of France", "capital of Francés", False),
+        ("Łukasz ma pięć czerwonych jabłek i oddaje 3 z nich", "Paweł ma pięć czerwonych jabłek i oddaje 7 z nich", True), ("Анна купила красные яблоки и 12 зелёных груш", "Ольга купила красные яблоки и 40 зелёных груш", True), ("𠀀𠀁 𠀂", "x 𠀀𠀁 – 𠀂 y", True),
+    ],
+)
+def test_signs_of_any_script(spark, item, text, held):
+    found = decontam.leaks(spark.createDataFrame([(1, text)], "doc_id long, text string"), spark.createDataFrame([(5, item)], "item_id long, text string"))
+    assert found.count() == held
+
+
+def test_signs_are_code_points():
+    rng = random.Random(4)
+    texts = ["", "a", "é\u00ad–", "\u200b", "日本𠀀x", "".join(chr(rng.choice([rng.randrange(32, 0xD800), rng.randrange(0xE000, 0x110000)])) for _ in range(3000))]
+    data = [t.encode() for t in texts]
+    point, at = decontam.signs(np.frombuffer(b"".join(data), np.uint8), np.cumsum([0, *map(len, data)]))
+    kept = [[ord(c) for c in t if unicodedata.category(c) != "Cf" or ord(c) >= 0x20000] for t in texts]
+    assert [point[i:j].tolist() for i, j in itertools.pairwise(at)] == kept
+    low = [c for t in kept for c in t if c < 0x20000]
+    for c in low:
+        assert bool(decontam._is(np.array([c]), decontam._INSIDE)[0]) == (unicodedata.category(chr(c))[0] in "LMN")
+
+
 def test_first_words_scattered_pieces_and_two_way_slots(spark):
     long = " ".join(f"word{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(40)) + " Anna and Bert and Carl and Anna and Bert and Carl end here now with all of this"
     parts = long.split(" ")
@@ -558,6 +605,30 @@ def test_html_odd_input(spark):
 # ---- top-k -------------------------------------------------------------------------------------
 
 
+def in_long(score):
+    return min(max(score, -(1 << 63)), (1 << 63) - 1)
+
+
+def test_topk_of_vectors_of_any_magnitude(spark):
+    """Large vectors take part; scores up to the ends of the long range are exact, beyond them the ends."""
+    rng = random.Random(12)
+    size = lambda: 10.0 ** rng.uniform(-3, 12) * rng.choice([-1, 1])
+    rows = [(i, [size() for _ in range(3)]) for i in range(260)] + [(50, [1.0, 0.0, 0.0]), (1100, [1.0, 0.0, 0.0]), (1, [2.7e9, 1.0, 0.0]), (2, [1e14, 0.0, 0.0]), (1000, [1e300, -1e300, 0.0]), (1001, [1.7e308] * 3), (1050, []), (1051, [])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    largest = int(float.fromhex("0x1.fffffffffffffp+1023"))
+    held = defaultdict(list)
+    for i, v in rows:
+        held[i].append([int(np.floor(256 * c)) if abs(c) < 1e304 else largest if c > 0 else -largest for c in v])
+    want = set()
+    for q in (q for q in held if q % 50 == 0):
+        scored = sorted((-max(in_long(sum(x * y for x, y in zip(a, b, strict=True))) for a in held[q] for b in held[i]), i) for i in held if i != q and len(held[i][0]) == len(held[q][0]))
+        want |= {(q, n + 1, i, -s) for n, (s, i) in enumerate(scored[:5])}
+    assert any(2**62 < abs(w[3]) < 2**63 - 1 for w in want)
+    for block in (8192, 30):
+        got = [tuple(r) for r in topk.search(df, block_rows=block, query_rows=2 if block == 30 else 8192).collect()]
+        assert set(got) == want and len(got) == len(want)
+
+
 def test_topk_against_brute_force(spark):
     rng = random.Random(8)
     rows = [(i, [rng.gauss(0, 0.3) for _ in range(6)], 0) for i in range(330)] + [(400, None, 0), (450, [None] * 6, 0), (500, [float("nan")] * 6, 0), (550, [float("inf")] * 6, 0), (None, [0.1] * 6, 0), (600, [0.5, 0.25], 0), (601, [0.1, 0.2], 0), (700, [], 0), (900, [3e38] * 6, 0), (950, [-3e38, 1.0, 0.0, 0.0, 0.0, 0.0], 0), (10, [1e6] * 6, 0)]
@@ -566,11 +637,11 @@ def test_topk_against_brute_force(spark):
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
     vectors = defaultdict(list)
     for i, v in ((r.vec_id, r.embedding) for r in df.collect()):
-        if i is not None and v and all(c is not None and abs(c) < 1e30 for c in v):
+        if i is not None and v is not None and all(c is not None and np.isfinite(c) for c in v):
             vectors[i].append([int(np.floor(256 * c)) for c in v])
     want = set()
     for q in (q for q in vectors if q % 50 == 0):
-        scored = sorted((-max((sum(x * y for x, y in zip(a, b, strict=True)) for a in vectors[q] for b in some if len(a) == len(b)), default=0), i) for i, some in vectors.items() if i != q and len(some[0]) == len(vectors[q][0]))
+        scored = sorted((-max((in_long(sum(x * y for x, y in zip(a, b, strict=True))) for a in vectors[q] for b in some if len(a) == len(b)), default=0), i) for i, some in vectors.items() if i != q and len(some[0]) == len(vectors[q][0]))
         want |= {(q, n + 1, i, -s) for n, (s, i) in enumerate(scored[:5])}
     for size in (8192, 40):
         got = [tuple(r) for r in topk.search(df, block_rows=size, query_rows=3 if size == 40 else 8192).collect()]
