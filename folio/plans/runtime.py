@@ -43,9 +43,9 @@ def sent_if_small(df: DataFrame, most: int = MOST_SENT) -> DataFrame:
     return F.broadcast(df) if df.count() <= most else df
 
 
-def fresh(df: DataFrame, *names: str) -> list[str]:
-    """Column names like the given ones that df does not have (compared without case, as Spark does)."""
-    taken, out = {c.lower() for c in df.columns}, []
+def fresh(df: DataFrame | list[str], *names: str) -> list[str]:
+    """Column names like the given ones that df (or a list of names) does not have (compared without case, as Spark does)."""
+    taken, out = {c.lower() for c in (df if isinstance(df, list) else df.columns)}, []
     for name in names:
         while name.lower() in taken:
             name = f"_{name}"
