@@ -97,25 +97,40 @@ def visual_rows(lines_: DataFrame, page: list[str]) -> DataFrame:
 
 
 def slide_tables(lines_: DataFrame, page: list[str], tolerance: float = 15.0) -> DataFrame:
-    """(page, row_no, cells): tables from rows with separate columns, three at least; a row without a first cell continues the one above."""
-    rows = visual_rows(lines_, page)
+    """(page, row_no, cells): the table that a slide's lines without bullets make: three rows at least with two columns or more, set apart by 8 points.
+
+    Columns are the clusters of those rows' left edges; what stands in one of them from the first such row on is the table. A line of it begins a new row
+    by what stands in the first column: nothing there goes on with the row above; something does begin one if the line above has nothing there, or if all
+    lines have something there and are evenly set (no step of 1.3 times the lower quartile of the steps); else if the step above it is wider than that.
+    """
+    plain = lines_.filter("bullet_x IS NULL") if "bullet_x" in lines_.columns else lines_
+    plain = plain.select(*page, "pos", "box", "text")
+    rows = visual_rows(plain, page)
     w = Window.partitionBy(*page, "row_no").orderBy(F.col("box")["x0"])
     stepped = rows.withColumn("clear", F.coalesce(F.lead(F.col("box")["x0"]).over(w) - F.col("box")["x1"] > 8, F.lit(True)))
     wide = stepped.groupBy(*page, "row_no").agg(F.count(F.lit(1)).alias("n"), F.bool_and("clear").alias("clear"), F.min(F.col("box")["y0"]).alias("top")).filter("n >= 2 AND clear")
-    enough = wide.groupBy(*page).agg(F.count(F.lit(1)).alias("n"), (F.min("top") - 2).alias("top")).filter("n >= 3").drop("n")
+    enough = wide.groupBy(*page).agg(F.count(F.lit(1)).alias("n"), (F.min_by("top", "row_no") - 2).alias("top")).filter("n >= 3").drop("n")
     x = rows.join(wide.select(*page, "row_no"), [*page, "row_no"]).join(enough, page).select(*page, F.col("box")["x0"].alias("x"))
     columns = clusters_1d(x, page, "x", tolerance).groupBy(*page).agg(F.array_sort(F.collect_list("centre")).alias("columns")).filter(F.size("columns") >= 2)
     near = F.array_min(F.transform("columns", lambda c, i: F.struct(F.abs(c - F.col("box")["x0"]).alias("d"), i.alias("i"))))
-    inside = rows.join(columns, page).join(enough, page).filter(F.col("box")["y0"] >= F.col("top")).withColumn("near", near).filter(F.col("near.d") < tolerance)
-    cell = inside.groupBy(*page, "row_no", F.col("near.i").alias("col_no"), F.size("columns").alias("n_cols")).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(F.col("box")["x0"].alias("x"), "text"))), lambda t: t["text"]), " ").alias("text"))
-    line = cell.groupBy(*page, "row_no", "n_cols").agg(F.map_from_entries(F.collect_list(F.struct("col_no", "text"))).alias("m"))
-    cells = line.select(*page, "row_no", F.transform(F.sequence(F.lit(0), F.col("n_cols") - 1), lambda i: F.coalesce(F.col("m")[i], F.lit(""))).alias("cells"))
-    run = F.sum(F.when(F.get("cells", F.lit(0)) != "", 1).otherwise(0)).over(Window.partitionBy(*page).orderBy("row_no"))
-    grouped = cells.withColumn("r", run).groupBy(*page, "r").agg(F.array_sort(F.collect_list(F.struct("row_no", "cells"))).alias("parts"))
-    empty = F.transform(F.element_at("parts", 1)["cells"], lambda c: F.lit(""))
-    joined = F.aggregate("parts", empty, lambda acc, p: F.transform(F.arrays_zip(acc.alias("a"), p["cells"].alias("b")), lambda z: F.when(z["b"] == "", z["a"]).otherwise(join_lines(z["a"], z["b"]))))
-    table = grouped.select(*page, F.col("r").cast("int").alias("row_no"), joined.alias("cells"))
-    return table.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy(*page))).filter("n >= 3").drop("n")
+    held = plain.join(columns, page).join(enough, page).filter(F.col("box")["y0"] >= F.col("top")).withColumn("near", near).filter(F.col("near.d") < tolerance)
+    # the rows of what is left, each with its columns' texts from top to bottom
+    placed = visual_rows(held.select(*page, "pos", "box", "text"), page).join(columns, page).withColumn("near", near)
+    b = F.col("box")
+    entry = F.struct(b["y0"].alias("y"), b["x0"].alias("x"), "pos", F.col("near.i").alias("i"), "text")
+    level = placed.groupBy(*page, "row_no").agg(F.array_sort(F.collect_list(entry)).alias("parts"), F.min_by(b["y0"], F.struct(b["y0"], b["x0"], "pos")).alias("y"), F.bool_or(F.col("near.i") == 0).alias("first"), F.first(F.size("columns")).alias("n_cols"))
+    order, all_ = Window.partitionBy(*page).orderBy("row_no"), Window.partitionBy(*page)
+    stepped = level.withColumn("step", F.col("y") - F.lag("y").over(order)).withColumn("steps", F.array_sort(F.collect_list("step").over(all_)))
+    usual = F.get("steps", F.floor(F.size("steps") / 4).cast("int"))
+    even = F.bool_and("first").over(all_) & F.coalesce(F.array_max("steps") < 1.3 * usual, F.lit(False))
+    above = F.lag("first").over(order)
+    new = F.when(above.isNull(), True).when(~F.col("first"), False).when(even | ~above, True).otherwise(F.col("step") > 1.3 * usual)
+    numbered = stepped.withColumn("new", new.cast("int")).withColumn("r", F.sum("new").over(order))
+    whole = numbered.groupBy(*page, "r").agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("row_no", "parts"))), lambda x: x["parts"])).alias("parts"), F.first("n_cols").alias("n_cols"))
+    text = lambda i: F.aggregate(F.filter("parts", lambda p: p["i"] == i), F.lit(""), lambda told, p: join_lines(told, F.coalesce(p["text"], F.lit(""))))
+    cells = whole.select(*page, "r", F.transform(F.sequence(F.lit(0), F.col("n_cols") - 1), text).alias("cells"))
+    table = cells.select(*page, F.row_number().over(Window.partitionBy(*page).orderBy("r")).alias("row_no"), "cells", F.count(F.lit(1)).over(all_).alias("n"))
+    return table.filter("n >= 3").drop("n")
 
 
 def deck_titles(slides: DataFrame, rendered: DataFrame, deck: list[str]) -> DataFrame:
@@ -148,19 +163,36 @@ def table_rows_markdown(cells: Column) -> Column:
 
 
 def label_groups(lines_: DataFrame, page: list[str]) -> DataFrame:
-    """(page, label): lines stacked under each other with near centres (20 points) and small gaps (0.7 of the height) are one label.
+    """(page, no, label): lines stacked under each other, centres less than 20 points apart and gaps under 0.7 of their height, are one label.
 
-    Each line looks up its nearest line above by a join within the slide; chains are followed by counting breaks in each column of centres.
+    From the top, each line goes on with the first label whose last line it stands under. Labels are read in rows (tops within 0.6 of a label's first
+    line's height), from the left. A fold over one slide's lines: what a line may go on with depends on the lines before it.
     """
     b = F.col("box")
-    centre = F.bround((b["x0"] + b["x1"]) / 2 / 20).alias("column")
-    rows = lines_.select(*page, "pos", "text", "box", centre)
-    w = Window.partitionBy(*page, "column").orderBy(b["y0"], b["x0"])
-    near = F.coalesce(b["y0"] - F.lag(b["y1"]).over(w) < 0.7 * (b["y1"] - b["y0"]), F.lit(False))
-    runs = rows.withColumn("new", (~near).cast("int")).withColumn("run", F.sum("new").over(w))
-    ordered = F.array_sort(F.collect_list(F.struct(b["y0"].alias("y"), b["x0"].alias("x"), "text")))
-    grouped = runs.groupBy(*page, "column", "run").agg(F.array_join(F.transform(ordered, lambda t: t["text"]), " ").alias("label"), F.min(b["y0"]).alias("top"), F.min(b["x0"]).alias("left"))
-    return grouped.select(*page, F.row_number().over(Window.partitionBy(*page).orderBy("top", "left")).alias("no"), "label")
+    line = F.struct(b["y0"].alias("y0"), b["x0"].alias("x0"), "pos", b["y1"].alias("y1"), ((b["x0"] + b["x1"]) / 2).alias("centre"), F.coalesce("text", F.lit("")).alias("text"))
+    rows = lines_.filter("box IS NOT NULL").groupBy(*page).agg(F.array_sort(F.collect_list(line)).alias("lines"))
+    label = "struct<top:double,left:double,height:double,centre:double,bottom:double,text:string>"
+
+    def begun(r):
+        return F.struct(r["y0"].alias("top"), r["x0"].alias("left"), (r["y1"] - r["y0"]).alias("height"), r["centre"].alias("centre"), r["y1"].alias("bottom"), join_lines(F.lit(""), r["text"]).alias("text"))
+
+    def step(labels, r):
+        under = lambda g: (F.abs(g["centre"] - r["centre"]) < 20) & (r["y0"] >= g["bottom"]) & (r["y0"] - g["bottom"] < 0.7 * (r["y1"] - r["y0"]))
+        at = F.array_position(F.transform(labels, under), F.lit(True)) - 1
+        longer = lambda g: F.struct(g["top"].alias("top"), g["left"].alias("left"), g["height"].alias("height"), r["centre"].alias("centre"), r["y1"].alias("bottom"), join_lines(g["text"], r["text"]).alias("text"))
+        return F.when(at >= 0, F.transform(labels, lambda g, i: F.when(i == at, longer(g)).otherwise(g))).otherwise(F.array_append(labels, begun(r)))
+
+    grouped = rows.select(*page, F.aggregate("lines", F.array().cast(f"array<{label}>"), step).alias("labels"))
+    start = F.struct(F.lit(0).alias("row"), F.lit(None).cast("double").alias("top"), F.array().cast(f"array<struct<row:int,left:double,no:int,text:string>>").alias("out"))
+
+    def place(acc, g):
+        same = F.coalesce(F.abs(g["top"] - acc["top"]) < 0.6 * F.greatest(g["height"], F.lit(1.0)), F.lit(False))
+        row = acc["row"] + F.when(same, 0).otherwise(1)
+        return F.struct(row.alias("row"), F.when(same, acc["top"]).otherwise(g["top"]).alias("top"), F.array_append(acc["out"], F.struct(row.alias("row"), g["left"].alias("left"), F.size(acc["out"]).alias("no"), g["text"].alias("text"))).alias("out"))
+
+    # labels are in the order of their tops, as they began
+    read = grouped.select(*page, F.posexplode(F.array_sort(F.aggregate("labels", start, place, lambda acc: acc["out"]))).alias("no", "label"))
+    return read.select(*page, (F.col("no") + 1).alias("no"), "label.text").withColumnRenamed("text", "label")
 
 
 def structured(lines_: DataFrame, deck: list[str], slide: str = "page_idx", page_height: float = 540.0) -> DataFrame:
@@ -223,7 +255,7 @@ def visual_regions(objects: DataFrame, page_width: float, page_height: float) ->
 
 
 #: How OCR reads a bullet.
-READ_AS_BULLET = ["e", "o", "c", "¢", "©", "®", "°", "•", "*", "-", "»", "«", "+"]
+READ_AS_BULLET = ["e", "«", "¢", "¢«", "+", "*", "•", "●", "o", "°", "-", "–", "»", "©", "@", "®", "«e", "ee"]
 
 
 def read_bullets(words: DataFrame, line: list[str]) -> DataFrame:

@@ -199,6 +199,16 @@ def shared_tables(tables: DataFrame, book: list[str]) -> DataFrame:
     return tables.groupBy(*book, "table_md").agg(F.count(F.lit(1)).alias("n"), F.min("no").alias("first")).filter("n > 1")
 
 
+def words_outside(tables: DataFrame, figures: DataFrame, key: list[str], table: str = "table_md", text: str = "text") -> DataFrame:
+    """(key, word, in_table, in_figure): the words that a table's text holds more often than the figure that it was taken from: a containment of words with
+    their counts. A table whose figure is not among figures has all its words reported; null texts hold none. Words are summed by key before they meet."""
+    def counted(df: DataFrame, column: str, name: str) -> DataFrame:
+        return df.select(*key, F.explode(tokens(F.col(column))).alias("word")).groupBy(*key, "word").agg(F.count(F.lit(1)).alias(name))
+
+    both = same_keys(counted(tables, table, "in_table"), counted(figures, text, "in_figure"), [*key, "word"], "left").fillna(0, ["in_figure"])
+    return both.filter(F.col("in_table") > F.col("in_figure")).select(*key, "word", "in_table", "in_figure")
+
+
 def repair_words(log: DataFrame, key: list[str]) -> DataFrame:
     """(key, expected): the words that repairs made or took away on purpose, for `coverage(expected=...)`; log(key, left, right, joined)."""
     return log.groupBy(*key).agg(F.array_join(F.array_sort(F.collect_set(F.concat_ws(" ", "left", "right", "joined"))), " ").alias("expected"))

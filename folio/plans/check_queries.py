@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from folio.functions.text import folder_key, safe_name
 from folio.operators import incremental, verify
-from folio.plans.fixtures import cte, frame
+from folio.plans.derived import cte, frame
+from folio.plans.fixtures import frame as authored
 from folio.plans.text_queries import table
 from folio.streaming import ingest
 
@@ -51,7 +52,7 @@ def answer_set_coverage(spark, sf):
 
 
 def _answers(spark):
-    rows = frame(spark, "fx_answer")
+    rows = authored(spark, "fx_answer")
     return verify.source_pages(rows, ["chunk_no"]), verify.answer_pages(rows, ["chunk_no"])
 
 
@@ -60,20 +61,20 @@ def answer_checks(spark, sf):
     return verify.answer_issues(*_answers(spark), ["chunk_no"])
 
 
-@query(f"""WITH {cte('fx_word')}, v AS (SELECT DISTINCT unnest(regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}]+')) AS word FROM documents), n AS (SELECT count(*) AS size FROM v),
-w AS (SELECT f.*, lower(regexp_replace(text, '[^\\p{{L}}]', '', 'g')) AS w FROM fx_word f)
+@query(f"""WITH {cte('dx_word')}, v AS (SELECT DISTINCT unnest(regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}]+')) AS word FROM documents), n AS (SELECT count(*) AS size FROM v),
+w AS (SELECT f.*, lower(regexp_replace(text, '[^\\p{{L}}]', '', 'g')) AS w FROM dx_word f)
 SELECT page_idx, avg(conf) AS confidence, count(*) AS n_words, sum(CASE WHEN length(w) >= 3 AND word IS NOT NULL THEN 1 ELSE 0 END)::BIGINT AS known_words,
  (avg(conf) >= 90 AND count(*) >= 2 AND (any_value(size) < 1000 OR sum(CASE WHEN length(w) >= 3 AND word IS NOT NULL THEN 1 ELSE 0 END) >= 0.9 * sum(CASE WHEN length(w) >= 3 THEN 1 ELSE 0 END))) AS accepted
 FROM w LEFT JOIN v ON w.w = v.word CROSS JOIN n GROUP BY page_idx""")
 def ocr_accept(spark, sf):
     from folio.operators.vocab import vocabulary
 
-    return verify.ocr_accepted(frame(spark, "fx_word"), vocabulary(table(spark, sf, "documents"), []).select("word"), ["page_idx"])
+    return verify.ocr_accepted(frame(spark, sf, "dx_word"), vocabulary(table(spark, sf, "documents"), []).select("word"), ["page_idx"])
 
 
-@query(f"WITH {cte('fx_scan')} SELECT doc_id, avg((coalesce(length(text), 0) < 20 AND has_image)::INTEGER) AS share, avg((coalesce(length(text), 0) < 20 AND has_image)::INTEGER) >= 0.8 AS image_only FROM fx_scan GROUP BY 1")
+@query(f"WITH {cte('dx_scan')} SELECT doc_id, avg((coalesce(length(text), 0) < 20 AND has_image)::INTEGER) AS share, avg((coalesce(length(text), 0) < 20 AND has_image)::INTEGER) >= 0.8 AS image_only FROM dx_scan GROUP BY 1")
 def image_books(spark, sf):
-    return verify.image_only(frame(spark, "fx_scan"), ["doc_id"])
+    return verify.image_only(frame(spark, sf, "dx_scan"), ["doc_id"])
 
 
 FLAGS = r"""f AS (SELECT doc_id, source, text, list_filter(string_split(text, chr(10)), lambda x: trim(x) <> '') AS l, length(text) AS n, length(text) - length(regexp_replace(text, '[^\p{L}\p{N}\s]', '', 'g')) AS signs, length(text) - length(regexp_replace(text, '[A-Z]', '', 'g')) AS caps, length(text) - length(regexp_replace(text, '[A-Za-z]', '', 'g')) AS letters FROM documents),
@@ -103,19 +104,19 @@ def content_hashes(spark, sf):
     return incremental.content_hashes(table(spark, sf, "pages"), ["page_id"], "html")
 
 
-@query(f"WITH {cte('fx_file', 'fx_manifest')} SELECT path, CASE WHEN m.path IS NULL THEN 'added' WHEN f.path IS NULL THEN 'removed' WHEN f.sha1 <> m.sha1 THEN 'changed' ELSE 'unchanged' END AS change FROM fx_file f FULL JOIN fx_manifest m USING (path)")
+@query(f"WITH {cte('dx_source', 'dx_manifest')} SELECT path, CASE WHEN m.path IS NULL THEN 'added' WHEN f.path IS NULL THEN 'removed' WHEN f.sha1 <> m.sha1 THEN 'changed' ELSE 'unchanged' END AS change FROM dx_source f FULL JOIN dx_manifest m USING (path)")
 def changed_manifest(spark, sf):
-    return incremental.changes(frame(spark, "fx_file"), frame(spark, "fx_manifest"))
+    return incremental.changes(frame(spark, sf, "dx_source"), frame(spark, sf, "dx_manifest"))
 
 
-@query(f"WITH {cte('fx_file', 'fx_manifest')} SELECT path, sha1, modified FROM fx_file f WHERE NOT EXISTS (SELECT 1 FROM fx_manifest m WHERE m.path = f.path AND m.sha1 = f.sha1 AND m.version = '2')")
+@query(f"WITH {cte('dx_source', 'dx_manifest')} SELECT path, sha1, modified FROM dx_source f WHERE NOT EXISTS (SELECT 1 FROM dx_manifest m WHERE m.path = f.path AND m.sha1 = f.sha1 AND m.version = '2')")
 def files_to_process(spark, sf):
-    return incremental.to_process(frame(spark, "fx_file"), frame(spark, "fx_manifest"), "2").select("path", "sha1", "modified")
+    return incremental.to_process(frame(spark, sf, "dx_source"), frame(spark, sf, "dx_manifest"), "2").select("path", "sha1", "modified")
 
 
-@query(f"WITH {cte('fx_file', 'fx_output')} SELECT i.path FROM (SELECT path, max(modified) AS m FROM fx_file GROUP BY 1) i LEFT JOIN (SELECT path, max(modified) AS m FROM fx_output GROUP BY 1) o USING (path) WHERE o.m IS NULL OR i.m > o.m")
+@query(f"WITH {cte('dx_source', 'dx_output')} SELECT i.path FROM (SELECT path, max(modified) AS m FROM dx_source GROUP BY 1) i LEFT JOIN (SELECT path, max(modified) AS m FROM dx_output GROUP BY 1) o USING (path) WHERE o.m IS NULL OR i.m > o.m")
 def stale_outputs(spark, sf):
-    return incremental.stale(frame(spark, "fx_output"), frame(spark, "fx_file"), ["path"])
+    return incremental.stale(frame(spark, sf, "dx_output"), frame(spark, sf, "dx_source"), ["path"])
 
 
 @query(r"SELECT page_id, substr(regexp_replace(regexp_replace(url, '[\\/:*?" + '"' + r"<>|]', '', 'g'), '\s+', '_', 'g'), 1, 80) AS name, regexp_replace(lower(url), '[^a-z0-9]', '', 'g') AS key FROM pages")

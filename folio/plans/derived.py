@@ -42,6 +42,44 @@ LAYOUTS = {
     "dx_torn": """SELECT CAST(floor(o / 30) AS BIGINT) AS deck_id, o, pos, CASE p % 6 WHEN 0 THEN 'sys tem' WHEN 1 THEN 'haza rd' WHEN 2 THEN 'system' WHEN 3 THEN 'hazard' WHEN 4 THEN 'in to' ELSE 'into' END || ' of ' || CASE WHEN s % 47 = 0 THEN 'haza' WHEN s % 43 = 0 THEN 'tem' WHEN s % 5 = 0 THEN 'in' ELSE 'plants' END AS text FROM dx_item""",
     "dx_hyphen": """SELECT CAST(floor(o / 50) AS BIGINT) AS doc_id, CASE p % 6 WHEN 0 THEN 'real' WHEN 1 THEN 'time' WHEN 2 THEN 'so' WHEN 3 THEN 'Addison' WHEN 4 THEN 'life' ELSE 'develop' END AS a, CASE s % 6 WHEN 0 THEN 'time' WHEN 1 THEN 'based' WHEN 2 THEN 'Wesley' WHEN 3 THEN 'ment' WHEN 4 THEN 'called' ELSE 'Front' END AS b,
         CASE q % 5 WHEN 0 THEN 'develop' WHEN 1 THEN 'Real' WHEN 2 THEN 'life' ELSE 'up' END AS c, CASE q % 3 WHEN 0 THEN 'ment' WHEN 1 THEN 'front' ELSE 'Time' END AS d FROM dx_item""",
+    # spans of book pages, pages with printed numbers, contents with chapters, parts and ends
+    "dx_span": """SELECT CAST(floor(o / 10) AS BIGINT) AS doc_id, CAST(o % 10 AS INT) AS page_idx, pos AS block_no, 0 AS line_no, 0 AS span_no, CASE p % 3 WHEN 0 THEN 'Arial' ELSE 'Times' END AS font, CAST(9 + q % 5 * 0.5 AS DOUBLE) AS size, CASE WHEN q % 13 = 0 THEN '  ' ELSE ' some text ' || flag || CAST(p AS STRING) END AS text FROM dx_item""",
+    "dx_page": """SELECT CAST(floor(o / 10) AS BIGINT) AS doc_id, CAST(o % 10 AS INT) AS page_idx, CASE q % 5 WHEN 0 THEN CAST(o % 10 + 3 AS STRING) || ' Basics' WHEN 1 THEN 'Basics ' || CAST(o % 10 + 3 AS STRING) WHEN 2 THEN 'No number' WHEN 3 THEN CAST(p AS STRING) ELSE CAST(o % 10 + 3 AS STRING) END || chr(10) || 'Some text.' || chr(10)
+        || CASE WHEN s % 4 = 0 THEN '' ELSE 'More ' || flag || chr(10) || 'and 7 more' || chr(10) END || CASE WHEN s % 3 = 0 THEN CAST(o % 10 + 3 AS STRING) ELSE 'end' END AS text FROM dx_item WHERE pos = 1""",
+    "dx_toc_entry": """SELECT CAST(floor(o / 8) AS BIGINT) AS doc_id, CAST(o % 8 + 1 AS INT) AS pos, CASE WHEN o % 8 = 7 THEN CASE q % 3 WHEN 0 THEN 'glossary' WHEN 1 THEN 'end' ELSE 'appendix' END WHEN q % 4 = 0 THEN 'part' ELSE 'chapter' END AS kind,
+        CASE WHEN o % 8 = 7 THEN CASE WHEN q % 3 = 2 THEN 'A' ELSE '' END WHEN q % 4 = 0 THEN '' ELSE CAST(p % 6 + 1 AS STRING) END AS no, 'Title ' || CAST(s AS STRING) AS title, CAST(o % 8 * 6 + q % 5 + 1 AS INT) AS printed_page FROM dx_item WHERE pos = 1""",
+    "dx_offset": """SELECT doc_id, CAST(doc_id % 5 AS INT) AS page_offset FROM dx_toc_entry GROUP BY doc_id""",
+    "dx_document": """SELECT doc_id, CAST(44 + doc_id % 20 AS INT) AS n_pages FROM dx_toc_entry GROUP BY doc_id""",
+    # clusters of drawn objects and captions near them
+    "dx_cluster": """SELECT o AS page_idx, CAST(pos AS BIGINT) AS cluster, CAST(p % 6 * 50 AS DOUBLE) AS x0, CAST(s % 10 * 40 AS DOUBLE) AS y0, CAST(p % 6 * 50 + 30 + q AS DOUBLE) AS x1, CAST(s % 10 * 40 + 30 + q % 20 AS DOUBLE) AS y1 FROM dx_item""",
+    "dx_caption": """SELECT o AS page_idx, '1.' || CAST(pos AS STRING) AS no, CASE WHEN q % 3 = 0 THEN 'table' ELSE 'figure' END AS kind, CAST(q % 6 * 50 AS DOUBLE) AS x0, CAST(p % 10 * 40 + 33 AS DOUBLE) AS y0, CAST(q % 6 * 50 + 100 AS DOUBLE) AS x1, CAST(p % 10 * 40 + 45 AS DOUBLE) AS y1 FROM dx_item WHERE pos % 2 = 1""",
+    # words over the cells of a table of up to three rows
+    "dx_word": """SELECT CAST(floor(o / 8) AS INT) AS page_idx, CAST(o % 8 * 10 + pos AS INT) AS pos, CAST(p % 190 AS DOUBLE) AS x0, CAST((p * 7 + q) % 50 AS DOUBLE) AS y0, CAST(p % 190 + 10 AS DOUBLE) AS x1, CAST((p * 7 + q) % 50 + 8 AS DOUBLE) AS y1, CASE q % 6 WHEN 0 THEN 'off-' WHEN 1 THEN 'a|b' WHEN 2 THEN 'two words' ELSE 'word' || CAST(p AS STRING) END AS text, CAST(60 + q % 40 AS DOUBLE) AS conf FROM dx_item""",
+    "dx_cell": """SELECT CAST(floor(o / 8) AS INT) AS page_idx, 1 AS table_id, CAST(floor((pos - 1) / 2) AS INT) AS row_no, CAST((pos - 1) % 2 AS INT) AS col_no, CAST((pos - 1) % 2 * 100 AS DOUBLE) AS x0, CAST(floor((pos - 1) / 2) * 20 AS DOUBLE) AS y0, CAST((pos - 1) % 2 * 100 + 100 AS DOUBLE) AS x1, CAST(floor((pos - 1) / 2) * 20 + 20 AS DOUBLE) AS y1 FROM dx_item WHERE o % 8 = 0 AND pos <= 6""",
+    # slides with a table of terms: wrapped meanings, wrapped terms, rows without a term, bullets between
+    "dx_grid": """SELECT o AS page_idx, pos * 10 + 1 AS pos, CAST(40 + s % 4 AS DOUBLE) AS x0, CAST(pos * 30 + s % 2 AS DOUBLE) AS y0, CAST(90 AS DOUBLE) AS x1, CAST(pos * 30 + s % 2 + 10 AS DOUBLE) AS y1, 'term ' || CAST(p AS STRING) AS text, CAST(NULL AS DOUBLE) AS bullet_x FROM dx_item WHERE q % 6 <> 0
+        UNION ALL SELECT o, pos * 10 + 2, CAST(200 + p % 5 AS DOUBLE), CAST(pos * 30 AS DOUBLE), CAST(260 AS DOUBLE), CAST(pos * 30 + 10 AS DOUBLE), 'meaning ' || CAST(s AS STRING) || CASE WHEN q % 8 = 0 THEN '-' ELSE '' END, NULL FROM dx_item
+        UNION ALL SELECT o, pos * 10 + 3, CAST(200 + p % 5 AS DOUBLE), CAST(pos * 30 + 12 AS DOUBLE), CAST(250 AS DOUBLE), CAST(pos * 30 + 22 AS DOUBLE), 'wrapped ' || flag, NULL FROM dx_item WHERE q % 4 = 0
+        UNION ALL SELECT o, pos * 10 + 4, CAST(41 AS DOUBLE), CAST(pos * 30 + 12 AS DOUBLE), CAST(80 AS DOUBLE), CAST(pos * 30 + 22 AS DOUBLE), 'longer', NULL FROM dx_item WHERE q % 9 = 0
+        UNION ALL SELECT o, pos * 10 + 5, CAST(60 AS DOUBLE), CAST(pos * 30 + 20 AS DOUBLE), CAST(120 AS DOUBLE), CAST(pos * 30 + 30 AS DOUBLE), 'item', CAST(50 AS DOUBLE) FROM dx_item WHERE q % 11 = 0""",
+    # lines of image slides: course footers, some of them misread or small
+    "dx_foot": """SELECT CAST(floor(o / 20) AS BIGINT) AS deck_id, CAST(o % 20 AS INT) AS page_idx, pos, CASE WHEN pos = 1 AND q % 5 = 0 THEN 'C0urse of Systoms' WHEN pos = 1 AND q % 5 = 1 THEN 'Course of Systems and more' WHEN pos = 1 THEN 'Course of Systems ' || CAST(q AS STRING) WHEN pos = 2 THEN 'Lecturer Nane ' || flag WHEN pos = 3 THEN 'page' ELSE 'line of text ' || flag END AS text,
+        CAST(pos * 40 AS DOUBLE) AS y0, CAST(pos * 40 + CASE WHEN pos <= 2 AND s % 3 <> 0 THEN 8 ELSE 16 END AS DOUBLE) AS y1 FROM dx_item""",
+    # small figures on a page's ink, two at most
+    "dx_part": """SELECT o AS page_idx, 'f' || CAST(pos AS STRING) AS no, CAST(p % 70 * 2 AS DOUBLE) AS x0, CAST(s % 60 * 2 AS DOUBLE) AS y0, CAST(p % 70 * 2 + 3 AS DOUBLE) AS x1, CAST(s % 60 * 2 + 3 AS DOUBLE) AS y1 FROM dx_item WHERE pos <= 2""",
+    # scanned pages, a manifest, the files it tells of and what was made of them
+    "dx_scan": """SELECT CAST(floor(o / 10) AS BIGINT) AS doc_id, CAST(o % 10 AS INT) AS page_idx, CASE WHEN floor(o / 10) % 3 = 0 AND q % 3 = 0 THEN 'a text that is much longer than that' WHEN q % 4 = 0 THEN NULL ELSE 'short ' || flag END AS text, q % 17 <> 0 AS has_image FROM dx_item WHERE pos = 1""",
+    "dx_source": """SELECT 'f' || CAST(o % 90 AS STRING) || '/d' || CAST(p % 20 AS STRING) || '.pdf' AS path, 'h' || CAST(min(q) % 3 AS STRING) AS sha1, CAST(max(s) % 10 AS INT) AS modified FROM dx_item WHERE flag <> 'R' GROUP BY 1""",
+    "dx_manifest": """SELECT 'f' || CAST(o % 90 AS STRING) || '/d' || CAST(p % 20 AS STRING) || '.pdf' AS path, CASE WHEN max(p) % 4 = 0 THEN '1' ELSE '2' END AS version, 'h' || CAST(max(q) % 3 AS STRING) AS sha1 FROM dx_item WHERE flag <> 'A' GROUP BY 1""",
+    "dx_output": """SELECT 'f' || CAST(o % 90 AS STRING) || '/d' || CAST(p % 20 AS STRING) || '.pdf' AS path, CAST(min(s) % 10 AS INT) AS modified FROM dx_item WHERE q % 3 <> 0 GROUP BY 1""",
+    # paragraphs of chapters, items with a glyph read as I
+    "dx_paragraph": """SELECT CAST(floor(o / 20) AS BIGINT) AS doc_id, CAST(o % 20 * 10 + pos AS INT) AS pos, CASE q % 13 WHEN 0 THEN '# Chapter one' WHEN 1 THEN 'In most places there are now fewer natural' WHEN 2 THEN '| a | b |' WHEN 3 THEN '###### History of it' WHEN 4 THEN 'A box with its own end.' WHEN 5 THEN 'resources, and they change.' WHEN 6 THEN 'https://example.com/a'
+        WHEN 7 THEN 'Figure 2.1 A caption' WHEN 8 THEN 'of testing' WHEN 9 THEN '- an item of the list' WHEN 10 THEN '![x](y.png)' WHEN 11 THEN 'cell <br> cell' ELSE 'Whole ' || flag END AS text FROM dx_item""",
+    "dx_bullet": """SELECT CAST(floor(o / 5) AS BIGINT) AS doc_id, CAST(o % 5 * 10 + pos AS INT) AS pos, CASE q % 5 WHEN 0 THEN '' WHEN 1 THEN '- plain ' || flag WHEN 2 THEN 'Text.' ELSE '- I item ' || flag END AS text FROM dx_item""",
+    # blocks of two fonts, and rules with notes under them
+    "dx_block_span": """SELECT o AS page_idx, CAST(pos % 2 AS INT) AS block_no, pos AS line_no, CASE WHEN q % 3 = 0 THEN 'Times' ELSE 'Italic' END AS font, CAST(9.5 + q % 3 AS DOUBLE) AS size, 'words ' || CASE WHEN s % 2 = 0 THEN 'that are many more here' ELSE flag END AS text, CAST(50 AS DOUBLE) AS x0, CAST(pos * 12 AS DOUBLE) AS y0, CAST(250 + p % 200 AS DOUBLE) AS x1, CAST(pos * 12 + 10 AS DOUBLE) AS y1 FROM dx_item""",
+    "dx_rule": """SELECT o AS page_idx, CAST(48 + p % 8 AS DOUBLE) AS x0, CAST(480 + p * 3 % 200 AS DOUBLE) AS y0, CAST(60 + p % 300 AS DOUBLE) AS x1, CAST(480.5 + p * 3 % 200 + q % 3 AS DOUBLE) AS y1 FROM dx_item""",
+    "dx_note": """SELECT o AS page_idx, CAST(7 + q % 4 AS DOUBLE) AS size, CASE WHEN q % 5 = 0 THEN 'See it' ELSE CAST(q AS STRING) || ' See the source' END AS text, CAST(50 AS DOUBLE) AS x0, CAST(485 + p * 3 % 200 + s % 20 AS DOUBLE) AS y0, CAST(300 AS DOUBLE) AS x1, CAST(495 + p * 3 % 200 + s % 20 AS DOUBLE) AS y1 FROM dx_item""",
     # headings of a kind, in words of odd case
     "dx_odd": """SELECT o, pos, CASE q % 6 WHEN 0 THEN 'exerCiSeS of the day' WHEN 1 THEN 'Plain WORDS here' WHEN 2 THEN 'sYstem' || CAST(p AS STRING) || ' aBc' WHEN 3 THEN 'McDonald and eBay' WHEN 4 THEN 'oNe TwO ThReE fouR' ELSE 'iPhone' END AS text FROM dx_item""",
 }

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from folio.functions.geometry import rect
 from folio.functions.text import odd_case
 from folio.operators import figures, incremental, ocr, raster, slides, structure, textclean, verify, vocab
 from folio.plans.derived import cte, frame
@@ -88,12 +89,10 @@ def image_slides(spark, sf):
     return slides.image_slides(boxed(spark, sf, "dx_line"), ["deck_id", "page_idx"]).drop("level")
 
 
-@query(f"""WITH {cte('dx_line')}, k AS (SELECT deck_id, page_idx, pos, {KEY} AS key FROM dx_line)
-SELECT deck_id, page_idx, pos FROM k WHERE contains(key, 'course # of #') OR levenshtein(key, 'course # of #') <= 0.25 * greatest(length(key), 13)""")
+@query()
 def similar_footers(spark, sf):
-    lines_ = frame(spark, sf, "dx_line").select("deck_id", "page_idx", "pos", "text")
-    footers = lines_.select("deck_id").distinct().withColumn("footer", F.lit("course # of #"))
-    return ocr.similar_footers(lines_, footers, ["deck_id"]).select("deck_id", "page_idx", "pos")
+    """Compared with Python's own matching blocks in tests/test_layouts.py."""
+    return ocr.similar_footers(frame(spark, sf, "dx_foot"), ["deck_id"])
 
 
 @query(f"""WITH {cte('dx_line')}, l AS (SELECT *, len(regexp_extract_all(text, '\\p{{L}}')) AS n FROM dx_line)
@@ -178,9 +177,18 @@ def iou_dedup(spark, sf):
     return figures.without_repeats(boxed(spark, sf, "dx_box"), ["set_id"]).select("set_id", "pos")
 
 
-@query(f"""WITH {cte('dx_stack')}, c AS (SELECT *, round_even((x0 + x1) / 2 / 20, 0) AS col FROM dx_stack), n AS (SELECT *, CASE WHEN y0 - lag(y1) OVER w < 0.7 * (y1 - y0) THEN 0 ELSE 1 END AS new FROM c WINDOW w AS (PARTITION BY page_idx, col ORDER BY y0, x0)),
-r AS (SELECT *, sum(new) OVER (PARTITION BY page_idx, col ORDER BY y0, x0) AS run FROM n), g AS (SELECT page_idx, string_agg(text, ' ' ORDER BY y0, x0, text) AS label, min(y0) AS top, min(x0) AS l FROM r GROUP BY page_idx, col, run)
-SELECT page_idx, row_number() OVER (PARTITION BY page_idx ORDER BY top, l)::INTEGER AS no, label FROM g""")
+def join_sql(a: str, b: str) -> str:
+    """Two lines as one, in SQL: a hyphen within a word closes up."""
+    return rf"CASE WHEN rtrim({a}) = '' THEN trim({b}) WHEN regexp_matches(rtrim({a}), '\p{{L}}-$') AND regexp_matches(trim({b}), '^\p{{L}}') THEN rtrim({a}) || trim({b}) ELSE rtrim({a}) || ' ' || trim({b}) END"
+
+
+@query(f"""WITH RECURSIVE {cte('dx_stack')}, s AS (SELECT page_idx, row_number() OVER (PARTITION BY page_idx ORDER BY y0, x0, pos) AS i, x0, y0, x1, y1, (x0 + x1) / 2 AS c, text FROM dx_stack),
+f AS (SELECT page_idx, 0::BIGINT AS i, []::STRUCT(top DOUBLE, l DOUBLE, h DOUBLE, c DOUBLE, b DOUBLE, t VARCHAR)[] AS g FROM s GROUP BY 1
+  UNION ALL SELECT page_idx, i, CASE WHEN hit IS NULL THEN list_append(g, {{'top': y0, 'l': x0, 'h': y1 - y0, 'c': c, 'b': y1, 't': trim(text)}}) ELSE list_transform(g, lambda x, n: CASE WHEN n = hit THEN {{'top': x.top, 'l': x.l, 'h': x.h, 'c': c, 'b': y1, 't': {join_sql('x.t', 'text')}}} ELSE x END) END
+    FROM (SELECT s.*, g, list_filter(range(1, len(g) + 1), lambda n: abs(g[n].c - s.c) < 20 AND s.y0 >= g[n].b AND s.y0 - g[n].b < 0.7 * (s.y1 - s.y0))[1] AS hit FROM f JOIN s ON s.page_idx = f.page_idx AND s.i = f.i + 1)),
+e AS (SELECT page_idx, arg_max(g, i) AS g FROM f GROUP BY 1), l AS (SELECT page_idx, unnest(g) AS x, generate_subscripts(g, 1) AS n FROM e),
+r AS (SELECT page_idx, n, x, x.top AS top, 1 AS r FROM l WHERE n = 1 UNION ALL SELECT l.page_idx, l.n, l.x, CASE WHEN abs(l.x.top - r.top) < 0.6 * greatest(l.x.h, 1) THEN r.top ELSE l.x.top END, CASE WHEN abs(l.x.top - r.top) < 0.6 * greatest(l.x.h, 1) THEN r.r ELSE r.r + 1 END FROM r JOIN l ON l.page_idx = r.page_idx AND l.n = r.n + 1)
+SELECT page_idx, row_number() OVER (PARTITION BY page_idx ORDER BY r, x.l, n)::INTEGER AS no, x.t AS label FROM r""")
 def label_groups(spark, sf):
     return slides.label_groups(boxed(spark, sf, "dx_stack"), ["page_idx"])
 
@@ -314,3 +322,75 @@ r AS (SELECT *, row_number() OVER (PARTITION BY doc_id, joined ORDER BY times DE
 def hyphen_compounds(spark, sf):
     raw = frame(spark, sf, "dx_hyphen").select("doc_id", F.concat("a", F.lit("-\n"), "b", F.lit(" and "), "c", F.lit("-"), "d", F.lit(" "), "a", "d", F.lit(".")).alias("text"))
     return textclean.hyphen_compounds(raw, ["doc_id"])
+
+
+def _rows_sql(name: str, source: str) -> str:
+    """A page's lines in rows at one height, as a fold in SQL."""
+    same = "(abs(r.fy0 - o.y0) < 3 OR least(r.fy1, o.y1) - greatest(r.fy0, o.y0) > 0.5 * greatest(1, least(r.fy1 - r.fy0, o.y1 - o.y0)))"
+    return f"""{name}_o AS (SELECT *, row_number() OVER (PARTITION BY page_idx ORDER BY y0, x0, pos) AS i FROM {source}),
+{name} AS (SELECT *, y0 AS fy0, y1 AS fy1, 0 AS n FROM {name}_o WHERE i = 1 UNION ALL SELECT o.*, CASE WHEN {same} THEN r.fy0 ELSE o.y0 END, CASE WHEN {same} THEN r.fy1 ELSE o.y1 END, CASE WHEN {same} THEN r.n ELSE r.n + 1 END FROM {name} r JOIN {name}_o o ON o.page_idx = r.page_idx AND o.i = r.i + 1)"""
+
+
+@query(f"""WITH RECURSIVE {cte('dx_grid')}, plain AS (SELECT page_idx, pos, x0, y0, x1, y1, text FROM dx_grid WHERE bullet_x IS NULL), {_rows_sql('v', 'plain')},
+g AS (SELECT *, coalesce(lead(x0) OVER (PARTITION BY page_idx, n ORDER BY x0) - x1 > 8, true) AS clear FROM v), wide AS (SELECT page_idx, n, min(y0) AS top FROM g GROUP BY ALL HAVING count(*) >= 2 AND bool_and(clear)),
+enough AS (SELECT page_idx, arg_min(top, n) - 2 AS top FROM wide GROUP BY 1 HAVING count(*) >= 3), xs AS (SELECT v.page_idx, v.x0 FROM v JOIN wide w ON w.page_idx = v.page_idx AND w.n = v.n JOIN enough e ON e.page_idx = v.page_idx),
+st AS (SELECT *, CASE WHEN x0 - lag(x0) OVER (PARTITION BY page_idx ORDER BY x0) <= 15 THEN 0 ELSE 1 END AS step FROM xs), cl AS (SELECT page_idx, x0, sum(step) OVER (PARTITION BY page_idx ORDER BY x0 ROWS UNBOUNDED PRECEDING) AS c FROM st),
+col AS (SELECT page_idx, list_sort(list(m)) AS cols FROM (SELECT page_idx, c, avg(x0) AS m FROM cl GROUP BY ALL) GROUP BY 1 HAVING count(*) >= 2),
+near AS (SELECT p.*, cols, list_sort(list_transform(range(1, len(cols) + 1), lambda k: {{'d': abs(cols[k] - p.x0), 'k': k}}))[1] AS near FROM plain p JOIN col ON col.page_idx = p.page_idx JOIN enough e ON e.page_idx = p.page_idx WHERE y0 >= top),
+kept AS (SELECT page_idx, pos, x0, y0, x1, y1, text, near.k AS k, len(cols) AS n_cols FROM near WHERE near.d < 15), {_rows_sql('h', 'kept')},
+lv AS (SELECT page_idx, n, arg_min(y0, i) AS y, bool_or(k = 1) AS f FROM h GROUP BY ALL), sp AS (SELECT *, y - lag(y) OVER w AS step, lag(f) OVER w AS above FROM lv WINDOW w AS (PARTITION BY page_idx ORDER BY n)),
+q AS (SELECT page_idx, list_sort(list(step) FILTER (WHERE step IS NOT NULL)) AS steps, bool_and(f) AS every FROM sp GROUP BY 1), u AS (SELECT page_idx, steps[len(steps) // 4 + 1] AS usual, coalesce(every AND list_max(steps) < 1.3 * steps[len(steps) // 4 + 1], false) AS even FROM q),
+nw AS (SELECT sp.page_idx, n, sum(CASE WHEN above IS NULL THEN 1 WHEN NOT f THEN 0 WHEN even OR NOT above THEN 1 WHEN step > 1.3 * usual THEN 1 ELSE 0 END) OVER (PARTITION BY sp.page_idx ORDER BY n) AS r FROM sp JOIN u ON u.page_idx = sp.page_idx),
+pc AS (SELECT h.page_idx, r, k, text, row_number() OVER (PARTITION BY h.page_idx, r, k ORDER BY h.n, y0, x0, pos) AS j FROM h JOIN nw ON nw.page_idx = h.page_idx AND nw.n = h.n),
+jn AS (SELECT page_idx, r, k, j, trim(text) AS t FROM pc WHERE j = 1 UNION ALL SELECT p.page_idx, p.r, p.k, p.j, {join_sql('jn.t', 'p.text')} FROM jn JOIN pc p ON p.page_idx = jn.page_idx AND p.r = jn.r AND p.k = jn.k AND p.j = jn.j + 1),
+cell AS (SELECT page_idx, r, k, arg_max(t, j) AS t FROM jn GROUP BY ALL), size AS (SELECT page_idx, max(n_cols) AS n_cols FROM kept GROUP BY 1), rs AS (SELECT DISTINCT page_idx, r FROM nw),
+line AS (SELECT rs.page_idx, rs.r, '| ' || string_agg(coalesce(replace(t, '|', '\\|'), ''), ' | ' ORDER BY c.k) || ' |' AS line FROM rs JOIN size s ON s.page_idx = rs.page_idx JOIN LATERAL (SELECT unnest(range(1, s.n_cols + 1)) AS k) c ON true LEFT JOIN cell x ON x.page_idx = rs.page_idx AND x.r = rs.r AND x.k = c.k GROUP BY ALL)
+SELECT page_idx, row_number() OVER (PARTITION BY page_idx ORDER BY r)::INTEGER AS row_no, line FROM line QUALIFY count(*) OVER (PARTITION BY page_idx) >= 3""")
+def slide_table(spark, sf):
+    """Tables of terms: wrapped meanings and terms, rows without a term, bullets between the rows."""
+    found = slides.slide_tables(boxed(spark, sf, "dx_grid"), ["page_idx"])
+    return found.select("page_idx", "row_no", slides.table_rows_markdown(F.col("cells")).alias("line"))
+
+
+#: Cells within so many steps (along plus across) are of one part, for each gap of the ladder.
+REACHES = "(VALUES (0, 9), (1, 7), (2, 5), (3, 5), (4, 3)) g(place, reach)"
+CUT = "a.x0 < b.x1 AND b.x0 < a.x1 AND a.y0 < b.y1 AND b.y0 < a.y1"
+
+
+@query(f"""WITH RECURSIVE {cte('dx_part', 'dx_ink')}, c AS (SELECT DISTINCT page_idx, gx, gy FROM dx_ink),
+r AS (SELECT f.page_idx, place, reach, no, gx, gy FROM dx_part f JOIN c ON c.page_idx = f.page_idx AND gx * 2 < x1 AND gx * 2 + 2 > x0 AND gy * 2 < y1 AND gy * 2 + 2 > y0, {REACHES}
+  UNION SELECT r.page_idx, place, reach, no, c.gx, c.gy FROM r JOIN c ON c.page_idx = r.page_idx AND abs(c.gx - r.gx) + abs(c.gy - r.gy) <= reach),
+n AS (SELECT page_idx, place, gx, gy, count(*) AS n FROM r GROUP BY ALL), p AS (SELECT page_idx, coalesce(min(place) FILTER (WHERE most = 1), 4) AS place FROM (SELECT page_idx, place, max(n) AS most FROM n GROUP BY ALL) GROUP BY 1),
+hull AS (SELECT r.page_idx, no, min(r.gx) * 2 AS a, min(r.gy) * 2 AS b, max(r.gx) * 2 + 2 AS c, max(r.gy) * 2 + 2 AS d FROM r JOIN n ON n.page_idx = r.page_idx AND n.place = r.place AND n.gx = r.gx AND n.gy = r.gy AND n.n = 1 JOIN p ON p.page_idx = r.page_idx AND p.place = r.place GROUP BY ALL),
+w AS (SELECT f.page_idx, f.no, least(x0, a)::DOUBLE AS x0, least(y0, b)::DOUBLE AS y0, greatest(x1, c)::DOUBLE AS x1, greatest(y1, d)::DOUBLE AS y1 FROM dx_part f JOIN hull h ON h.page_idx = f.page_idx AND h.no = f.no),
+free AS (SELECT * FROM w a WHERE NOT EXISTS (SELECT 1 FROM dx_part b WHERE b.page_idx = a.page_idx AND b.no <> a.no AND {CUT})), good AS (SELECT * FROM free a WHERE NOT EXISTS (SELECT 1 FROM free b WHERE b.page_idx = a.page_idx AND b.no < a.no AND {CUT}))
+SELECT f.page_idx, f.no, coalesce(g.x0, f.x0) AS x0, coalesce(g.y0, f.y0) AS y0, coalesce(g.x1, f.x1) AS x1, coalesce(g.y1, f.y1) AS y1 FROM dx_part f LEFT JOIN good g ON g.page_idx = f.page_idx AND g.no = f.no""")
+def ink_bridged(spark, sf):
+    """Two figures a page grow over their ink, by the widest gap that keeps them apart."""
+    found = raster.bridged(boxed(spark, sf, "dx_part"), frame(spark, sf, "dx_ink"), ["page_idx"])
+    return found.select("page_idx", "no", "box.x0", "box.y0", "box.x1", "box.y1")
+
+
+@query(f"""WITH {cte('dx_word')}, t AS (SELECT page_idx, unnest(regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}]+')) AS word, pos % 3 = 0 AS t FROM dx_word), c AS (SELECT page_idx, word, count(*) FILTER (WHERE t) AS in_table, count(*) FILTER (WHERE NOT t) AS in_figure FROM t GROUP BY ALL)
+SELECT * FROM c WHERE in_table > in_figure""")
+def table_words_outside(spark, sf):
+    """A third of a page's words as a table, the others as the figure that should hold them."""
+    words = frame(spark, sf, "dx_word")
+    told = lambda rows, name: rows.groupBy("page_idx").agg(F.array_join(F.array_sort(F.collect_list("text")), " ").alias(name))
+    return verify.words_outside(told(words.filter("pos % 3 = 0"), "table_md"), told(words.filter("pos % 3 <> 0"), "text"), ["page_idx"])
+
+
+@query(f"""WITH {cte('dx_block_span')}, s AS (SELECT *, length(trim(text)) AS n, font = 'Times' AND abs(size - 10) < 1 AS body FROM dx_block_span), b AS (SELECT page_idx, block_no, max(x1) - min(x0) AS wide, sum(n) AS n, coalesce(sum(n) FILTER (WHERE body), 0) AS n_body FROM s GROUP BY ALL),
+l AS (SELECT page_idx, block_no, count(*) AS lines, avg(w) AS w FROM (SELECT page_idx, block_no, line_no, max(x1) - min(x0) AS w FROM s GROUP BY ALL) GROUP BY ALL)
+SELECT page_idx, block_no FROM b JOIN l USING (page_idx, block_no) WHERE n > 0 AND n_body >= 0.2 * n AND lines >= 2 AND wide > 0.4 * 595 AND w >= 0.6 * wide""")
+def body_paragraphs(spark, sf):
+    spans = boxed(spark, sf, "dx_block_span")
+    b = F.col("box")
+    blocks = spans.groupBy("page_idx", "block_no").agg(rect(F.min(b["x0"]), F.min(b["y0"]), F.max(b["x1"]), F.max(b["y1"])).alias("box"))
+    return figures.body_paragraphs(spans, blocks, ["page_idx"], "Times", 10.0, 595.0)
+
+
+@query(f"""WITH {cte('dx_rule', 'dx_note')} SELECT r.page_idx, min(r.y0) AS y FROM dx_rule r JOIN dx_note n ON n.page_idx = r.page_idx AND r.y1 - r.y0 < 1.5 AND r.x1 - r.x0 > 40 AND r.x1 - r.x0 < 0.45 * 595 AND r.y0 > 0.6 * 842
+AND n.y0 - r.y1 > 0 AND n.y0 - r.y1 < 20 AND abs(n.x0 - r.x0) < 6 AND size < 9.5 AND regexp_matches(text, '^[0-9]{{1,3}} ?[A-Za-z]') GROUP BY 1""")
+def footnote_rules(spark, sf):
+    return figures.footnote_rules(boxed(spark, sf, "dx_rule"), boxed(spark, sf, "dx_note"), ["page_idx"], 10.0, 595.0, 842.0)

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from folio.functions.text import capital_d, lines, odd_case, tokens, words
 from folio.operators import pack, stitch, textclean, verify, vocab
+from folio.plans.derived import cte as drawn_cte
+from folio.plans.derived import frame as drawn
 from folio.plans.fixtures import cte, frame
 
 BOOK = ["source", "lang"]
@@ -138,13 +140,13 @@ def chunk_prompts(spark, sf):
     return pack.prompts(table(spark, sf, "documents"), BOOK, "doc_id", "Pages %s\n\n%s")
 
 
-@query(rf"""WITH {cte('fx_paragraph')}, near AS (SELECT *, lag(text) OVER w AS b, lead(text) OVER w AS n FROM fx_paragraph WINDOW w AS (PARTITION BY doc_id ORDER BY pos))
+@query(rf"""WITH {drawn_cte('dx_paragraph')}, near AS (SELECT *, lag(text) OVER w AS b, lead(text) OVER w AS n FROM dx_paragraph WINDOW w AS (PARTITION BY doc_id ORDER BY pos))
 SELECT doc_id, pos, text, CASE WHEN regexp_matches(text, '^#{{1,5}}\s') THEN 'heading' WHEN regexp_matches(text, '^###### ') THEN 'box'
  WHEN regexp_matches(text, '^(\||<!--|!\[)') OR contains(text, '<br>') OR regexp_matches(text, '^(#+\s*)?https?://\S+$') OR (regexp_matches(text, '^(Figure|Table) [0-9]+\.[0-9]+ [A-Z]') AND len(regexp_extract_all(text, '\S+')) <= 20)
-   OR (len(regexp_extract_all(text, '\S+')) <= 6 AND NOT regexp_matches(text, '[.:!?]$') AND NOT regexp_matches(text, '^[-*+] ') AND (coalesce(regexp_matches(b, '^(Figure|Table) [0-9]+\.[0-9]+ [A-Z]'), false) OR coalesce(regexp_matches(n, '^(Figure|Table) [0-9]+\.[0-9]+ [A-Z]'), false)))
+   OR (len(regexp_extract_all(text, '\S+')) <= 6 AND NOT regexp_matches(text, '[.:!?]$') AND NOT regexp_matches(text, '^[-*+] ') AND (coalesce(regexp_matches(b, '^(Figure|Table) [0-9]+\.[0-9]+ [A-Z]'), false) OR coalesce(regexp_matches(n, '^(Figure|Table) [0-9]+\.[0-9]+ [A-Z]'), false) OR coalesce(contains(b, '<br>'), false) OR coalesce(contains(n, '<br>'), false)))
  THEN 'floating' ELSE 'text' END AS kind FROM near""")
 def paragraph_kind(spark, sf):
-    return textclean.paragraph_kinds(frame(spark, "fx_paragraph"), ["doc_id"])
+    return textclean.paragraph_kinds(drawn(spark, sf, "dx_paragraph"), ["doc_id"])
 
 
 STITCHED = [(1, 1, "heading", "# Chapter one"), (1, 2, "text", "In most places there are now fewer natural resources, and they change."), (1, 3, "floating", "| a | b |"), (1, 4, "box", "###### History of it"), (1, 5, "text", "A box with its own end."), (1, 7, "text", "The language for all of this is called Unified Modeling Language, or UML."), (1, 8, "floating", "![x](y.png)"), (1, 9, "floating", "Figure 2.1 A caption"), (1, 10, "floating", "of testing"), (1, 12, "text", "- an item that is not text"), (1, 13, "text", "A longer paragraph that ends nowhere at all"), (1, 14, "heading", "## Next"), (1, 15, "text", "goes not back over a heading."), (1, 16, "floating", "https://example.com/a"), (2, 1, "text", "Whole."), (2, 2, "text", "Also whole.")]
@@ -155,12 +157,12 @@ def stitched_paragraphs(spark, sf):
     return stitch.stitched(frame(spark, "fx_paragraph"), ["doc_id"])
 
 
-@query(rf"""WITH {cte('fx_bullet')}, f AS (SELECT *, regexp_matches(text, '^- I [A-Za-z]') AS g FROM fx_bullet WHERE text <> ''),
+@query(rf"""WITH {drawn_cte('dx_bullet')}, f AS (SELECT *, regexp_matches(text, '^- I [A-Za-z]') AS g FROM dx_bullet WHERE text <> ''),
 r AS (SELECT *, sum(CASE WHEN g THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY pos) AS run FROM f)
 SELECT doc_id, pos, CASE WHEN g AND sum(CASE WHEN g THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id, run) >= 2 THEN '- ' || substr(text, 5) ELSE text END AS text FROM r
-UNION ALL SELECT doc_id, pos, text FROM fx_bullet WHERE text = ''""")
+UNION ALL SELECT doc_id, pos, text FROM dx_bullet WHERE text = ''""")
 def bullet_glyph_runs(spark, sf):
-    return textclean.bullet_glyphs(frame(spark, "fx_bullet"), ["doc_id"])
+    return textclean.bullet_glyphs(drawn(spark, sf, "dx_bullet"), ["doc_id"])
 
 
 @query("SELECT * FROM (VALUES (1::BIGINT, 0, 'A service-centric view and development of real-time systems.'), (1, 1, 'By Addison-Wesley; DIFFERENCE and the DIFFERENCE. A lifetime. The up-front cost, up-front.')) t(doc_id, page_idx, text)")
@@ -177,12 +179,6 @@ def capitals_restored(spark, sf):
     return table(spark, sf, "documents").select("doc_id", capital_d(F.col("text")).alias("text"))
 
 
-@query(CAPITALS)
-def capitals_restored_everywhere(spark, sf):
-    """All documents, also those with do at a start and null texts."""
-    return capitals_restored(spark, sf)
-
-
 @query("SELECT * FROM (VALUES (1::BIGINT, 1, 'a hazard in the plant'), (1, 2, 'every hazard counts in to day'), (1, 3, 'into the hazard zone, rd'), (2, 1, 'haza rd alone'), (1, 4, 'the system and a system to')) t(deck_id, pos, text)")
 def split_word_repair(spark, sf):
     return vocab.repair_split_words(frame(spark, "fx_torn"), ["deck_id"], ["pos"])
@@ -205,12 +201,6 @@ def edit1_fix(spark, sf):
     return vocab.one_edit_fixes(v.filter("n <= 1"), v.filter("n >= 5"))
 
 
-@query(FIXES)
-def edit1_fix_every_letter(spark, sf):
-    """The whole vocabulary, with edits by character."""
-    return edit1_fix(spark, sf)
-
-
 @query(rf"""WITH {EDIT}, cuts AS (SELECT word, unnest(range(2, length(word) - 1)) AS cut FROM rare WHERE length(word) >= 6),
 both_ AS (SELECT c.word, c.cut, l.word AS l, r.word AS r, least(l.n, r.n) AS s FROM cuts c JOIN known l ON l.word = substr(c.word, 1, c.cut) JOIN known r ON r.word = substr(c.word, c.cut + 1)),
 best AS (SELECT *, row_number() OVER (PARTITION BY word ORDER BY s DESC, cut) AS i FROM both_) SELECT word, l AS "left", r AS "right" FROM best WHERE i = 1""")
