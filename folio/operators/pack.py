@@ -1,8 +1,9 @@
 """Packing: chunks of whole pages under a word budget, outlines, glossary terms, prompts.
 
 Greedy filling is sequential within a book, but a run of pages acts on what comes before it only through how full the open chunk is. So pages
-are sorted into ranges; each range of a book that spans several is reduced to a small table (fullness on entry: chunks begun, fullness at the
-end); a book's tables are composed in order, and then every range numbers its pages by itself. Texts never take part, and no task holds a book.
+of books of more than RANGE pages are sorted into ranges of about so many; each range is reduced to a small table (fullness on entry: chunks
+begun, fullness at the end); a book's tables are composed in order, and then every range numbers its pages by itself. Smaller books are numbered
+whole. Texts never take part, and no task holds more than some ranges' numbers.
 
 Edge cases: a null or wordless text is a page of 0 words; pages that share a place are ordered by their words, null places come first; null keys
 are a book of their own; repeated rows are pages of their own; a page over the budget is a chunk; an empty table gives no rows. Glossaries may
@@ -24,6 +25,8 @@ from folio.functions.text import read_words, squeeze, strip
 from folio.plans.runtime import fresh, kept, same_keys, sent_if_small
 
 BUDGET = 1800
+#: Pages of a range; a book of more is packed range by range.
+RANGE = 100_000
 
 
 def _reduce(sizes: np.ndarray, budget: int) -> tuple[list[int], list[int], list[int]]:
@@ -58,16 +61,35 @@ def chunk_numbers(pages: DataFrame, book: list[str], order: str, text: str = "te
     """
     carry = carry or []
     sized = pages.select(*[F.col(f"`{c}`") for c in dict.fromkeys([*book, order, *carry])], read_words(F.col(text)).alias("n_words"))
-    sized = kept(sized, "sizes")  # ranges are drawn from a sample, which must not read the texts again
     keys = [F.col(f"`{k}`") for k in book]
     part, first, last = fresh(sized, "range_no", "entry", "before")
-    ranged = sized.repartitionByRange(*[k.asc_nulls_first() for k in keys], F.col(order).asc_nulls_first(), F.col("n_words").asc()).withColumn(part, F.spark_partition_id())
-    ranged = kept(ranged, "ranges")
-    pieces = ranged.groupBy(*book, part).agg(F.count(F.lit(1)).alias("n"))
-    # at most two books of a range go on in others
-    spread = kept(pieces.groupBy(*book).agg(F.count(F.lit(1)).alias("ranges")).filter("ranges > 1").select(*book), "spread")
-    by_range = [*[F.col(f"`{k}`") for k in book], F.col(part)]
+    large = pages.groupBy(*keys).agg(F.count(F.lit(1)).alias(part)).filter(F.col(part) > RANGE)  # reads the keys only
+    rows_of_large = large.agg(F.sum(part)).first()[0]
     place = lambda t: t.take(pc.sort_indices(t, sort_keys=[(order, "ascending"), ("n_words", "ascending")], null_placement="at_start"))
+    schema, sized_names = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in sized.schema), sized.columns
+
+    def number(rows: pa.Table) -> pa.Table:
+        rows = place(rows)
+        sums = np.concatenate([[0], np.cumsum(rows["n_words"].to_numpy())])
+        full, chunk = (rows[first][0].as_py(), rows[last][0].as_py()) if first in rows.column_names else (budget + 1, 0)
+        out = np.empty(rows.num_rows, np.int64)
+        at = max(0, int(np.searchsorted(sums, budget - full, "right")) - 1) if full <= budget else 0  # pages that still fit
+        out[:at] = chunk
+        while at < rows.num_rows:
+            stop = max(at + 1, int(np.searchsorted(sums, sums[at] + budget, "right")) - 1)
+            chunk += 1
+            out[at:stop] = chunk
+            at = stop
+        return rows.select(sized_names).append_column("chunk_no", pa.array(out.astype(np.int32)))
+
+    if not rows_of_large:
+        return sized.groupBy(*keys).applyInArrow(number, f"{schema}, chunk_no int")
+    large = sent_if_small(kept(large.drop(part), "large"))
+    small = same_keys(sized, large, book, "left_anti").groupBy(*keys).applyInArrow(number, f"{schema}, chunk_no int")
+    sized = kept(same_keys(sized, large, book, "left_semi"), "sizes")  # ranges are drawn from a sample, which must not read the texts again
+    ranged = sized.repartitionByRange(-(-rows_of_large // RANGE), *[k.asc_nulls_first() for k in keys], F.col(order).asc_nulls_first(), F.col("n_words").asc()).withColumn(part, F.spark_partition_id())
+    ranged = kept(ranged, "ranges")
+    by_range = [*keys, F.col(part)]
 
     names = fresh(sized, "fullness", "begun", "ends", "total")
     key_schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in sized.select(*book).schema)
@@ -82,7 +104,7 @@ def chunk_numbers(pages: DataFrame, book: list[str], order: str, text: str = "te
         return one
 
     head = f"{key_schema}, " if book else ""
-    tables = same_keys(ranged, sent_if_small(spread), book, "left_semi").groupBy(*by_range).applyInArrow(table, f"{head}`{part}` int, `{names[0]}` array<long>, `{names[1]}` array<long>, `{names[2]}` array<long>, `{names[3]}` long")
+    tables = ranged.groupBy(*by_range).applyInArrow(table, f"{head}`{part}` int, `{names[0]}` array<long>, `{names[1]}` array<long>, `{names[2]}` array<long>, `{names[3]}` long")
 
     def compose(rows: pa.Table) -> pa.Table:
         """A book's ranges in order: how full the open chunk is where each begins, and how many chunks there are."""
@@ -95,27 +117,10 @@ def chunk_numbers(pages: DataFrame, book: list[str], order: str, text: str = "te
             full, chunks = (ends[i], chunks + begun[i]) if i >= 0 else (full + total, chunks)
         return rows.select([*book, part]).append_column(first, pa.array(entry, pa.int64())).append_column(last, pa.array(before, pa.int64()))
 
-    entries = tables.groupBy(*[F.col(f"`{k}`") for k in book]).applyInArrow(compose, f"{head}`{part}` int, `{first}` long, `{last}` long")
+    entries = tables.groupBy(*keys).applyInArrow(compose, f"{head}`{part}` int, `{first}` long, `{last}` long")
     entries = kept(entries, "entries")
-    entered = same_keys(ranged, sent_if_small(entries), [*book, part], "left").fillna({first: budget + 1, last: 0})
-
-    def number(rows: pa.Table) -> pa.Table:
-        rows = place(rows)
-        sums = np.concatenate([[0], np.cumsum(rows["n_words"].to_numpy())])
-        full, chunk = rows[first][0].as_py(), rows[last][0].as_py()
-        out = np.empty(rows.num_rows, np.int64)
-        at = max(0, int(np.searchsorted(sums, budget - full, "right")) - 1) if full <= budget else 0  # pages that still fit
-        out[:at] = chunk
-        while at < rows.num_rows:
-            stop = max(at + 1, int(np.searchsorted(sums, sums[at] + budget, "right")) - 1)
-            chunk += 1
-            out[at:stop] = chunk
-            at = stop
-        return rows.select(sized_names).append_column("chunk_no", pa.array(out.astype(np.int32)))
-
-    sized_names = sized.columns
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in sized.schema)
-    return entered.groupBy(*by_range).applyInArrow(number, f"{schema}, chunk_no int")
+    entered = same_keys(ranged, sent_if_small(entries), [*book, part])
+    return small.unionByName(entered.groupBy(*by_range).applyInArrow(number, f"{schema}, chunk_no int"))
 
 
 def chunks(pages: DataFrame, book: list[str], order: str, text: str = "text", budget: int = BUDGET) -> DataFrame:

@@ -33,12 +33,16 @@ def _compared(source: pa.Array, output: pa.Array) -> pa.Array:
 
 
 def covered(source: Column, output: Column, expected: Column | None = None) -> Column:
-    """struct<total, common, missing, extra>: the two texts' words compared as multisets; words of expected leave both sides."""
-    a, b = tokens(source), tokens(output)
+    """struct<total, common, missing, extra>: the two texts' words compared as multisets; words of expected leave both sides. The words of a text that did
+    not change are counted only."""
+    a, b, changed = tokens(source), tokens(output), ~source.eqNullSafe(output)
     if expected is not None:
         known = F.array_distinct(tokens(expected))
         a, b = (F.filter(c, lambda w: ~F.array_contains(known, w)) for c in (a, b))
-    return F.arrow_udf("total long, common long, missing long, extra long")(_compared)(a, b)
+    none = F.array().cast("array<string>")
+    compared = F.arrow_udf("total long, common long, missing long, extra long")(_compared)(*[F.when(changed, c).otherwise(none) for c in (a, b)])
+    n, zero = F.size(a).cast("long"), F.lit(0).cast("long")
+    return F.when(changed, compared).otherwise(F.struct(n.alias("total"), n.alias("common"), zero.alias("missing"), zero.alias("extra")))
 
 
 def coverage(df: DataFrame, key: list[str], source: str, output: str, expected: str | None = None) -> DataFrame:

@@ -8,6 +8,7 @@ from folio.functions.text import folder_key, safe_name
 from folio.operators import incremental, verify
 from folio.plans.derived import cte, frame
 from folio.plans.fixtures import frame as authored
+from folio.plans.runtime import spread
 from folio.plans.text_queries import table
 from folio.streaming import ingest
 
@@ -90,7 +91,7 @@ def quality_flags(spark, sf):
 
 @query(rf"WITH {FLAGS}, u AS (SELECT source, unnest(flags) AS flag FROM flagged) SELECT source, flag, count(*) AS n FROM u GROUP BY ALL")
 def quality_report(spark, sf):
-    rows = table(spark, sf, "documents").select("source", F.explode(verify.page_flags(F.col("text"))).alias("flag"))
+    rows = spread(table(spark, sf, "documents").select("source", "text")).select("source", F.explode(verify.page_flags(F.col("text"))).alias("flag"))
     return rows.groupBy("source", "flag").agg(F.count(F.lit(1)).alias("n"))
 
 

@@ -35,13 +35,14 @@ def plain_lines(spark, sf):
     return table(spark, sf, "conversations").select("conv_id", "turn", bare(F.concat(F.lit("**"), "text", F.lit("** <u>#`>"))).alias("plain"))
 
 
-@query(r"""WITH l AS (SELECT doc_id, n_chars, trim(string_split(text, chr(10))[1]) AS s FROM documents), m AS (SELECT doc_id, ['# ', '1. ', '- ', '| '][n_chars % 4 + 1] || s AS s FROM l)
-SELECT doc_id, CASE WHEN regexp_matches(s, '^(#|>|\d+[.)]\s|[-+*]\s)') THEN '\' || s ELSE s END AS line, replace(s, '|', '\|') AS cell FROM m""")
+@query(r"""WITH l AS (SELECT doc_id, n_chars, unnest(string_split(text, chr(10))) AS s, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS line_no FROM documents), m AS (SELECT doc_id, line_no::INTEGER AS line_no, ['# ', '1. ', '- ', '| '][(n_chars + line_no) % 4 + 1] || trim(s) AS s FROM l)
+SELECT doc_id, line_no, CASE WHEN regexp_matches(s, '^(#|>|\d+[.)]\s|[-+*]\s)') THEN '\' || regexp_replace(s, '\s+$', '') ELSE regexp_replace(s, '\s+$', '') END AS line, regexp_replace(replace(s, '|', '\|'), '\s+$', '') AS cell FROM m""")
 def escaped_lines(spark, sf):
-    first = F.trim(F.element_at(F.split("text", "\n"), 1))
-    mark = F.element_at(F.array(*map(F.lit, ("# ", "1. ", "- ", "| "))), (F.col("n_chars") % 4 + 1).cast("int"))
-    rows = table(spark, sf, "documents").select("doc_id", F.concat(mark, first).alias("s"))
-    return rows.select("doc_id", escape_block(F.col("s")).alias("line"), table_cell(F.col("s")).alias("cell"))
+    """All lines of the documents, behind signs that markdown would read."""
+    lines_ = table(spark, sf, "documents").select("doc_id", "n_chars", F.posexplode(F.split("text", "\n")).alias("line_no", "s"))
+    mark = F.element_at(F.array(*map(F.lit, ("# ", "1. ", "- ", "| "))), ((F.col("n_chars") + F.col("line_no")) % 4 + 1).cast("int"))
+    rows = lines_.select("doc_id", "line_no", F.concat(mark, F.trim("s")).alias("s"))
+    return rows.select("doc_id", "line_no", escape_block(F.col("s")).alias("line"), table_cell(F.col("s")).alias("cell"))
 
 
 @query(rf"""WITH {cte('dx_stack')}, n AS (SELECT page_idx, pos, text || CASE WHEN pos % 2 = 0 THEN 'ab-' ELSE '  ' END AS a, lead(text) OVER (PARTITION BY page_idx ORDER BY pos) AS b FROM dx_stack)

@@ -72,3 +72,10 @@ def same_keys(left: DataFrame, right: DataFrame, keys: list[str], how: str = "in
     condition = [F.col(f"`{k}`").eqNullSafe(F.col(f"`{n}`")) for k, n in zip(keys, names, strict=True)]
     joined = left.join(other, condition, how) if keys else left.join(other, F.lit(True), how)
     return joined.drop(*names)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """A table that was just read, dealt to all cores if it comes in fewer pieces than there are (a file of one row group): work by row is then done on
+    all of them. Tables of any size come in more pieces, and stay where they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

@@ -10,6 +10,7 @@ from folio.operators import pack, stitch, textclean, verify, vocab
 from folio.plans.derived import cte as drawn_cte
 from folio.plans.derived import frame as drawn
 from folio.plans.fixtures import cte, frame
+from folio.plans.runtime import spread
 
 BOOK = ["source", "lang"]
 Q: dict = {}
@@ -86,7 +87,7 @@ cover AS (SELECT doc_id, source, lang, sum(s)::BIGINT AS total, sum(least(s, o))
 
 
 def _cover(spark, sf) -> DataFrame:
-    docs = table(spark, sf, "documents")
+    docs = spread(table(spark, sf, "documents"))
     cleaned = textclean.remove_headers(docs.withColumn("raw", F.col("text")), BOOK)
     return verify.coverage(cleaned, ["doc_id", "source", "lang"], "raw", "text")
 
@@ -106,7 +107,7 @@ SELECT p.source, p.lang, p.chunk_no, min(p.doc_id) AS first_page, max(p.doc_id)
 FROM packed p LEFT JOIN cover c USING (doc_id) GROUP BY p.source, p.lang, p.chunk_no""")
 def packed_coverage(spark, sf):
     """Flagship: headers removed, pages packed, and the words of each chunk checked against the source."""
-    docs = table(spark, sf, "documents").select(*BOOK, "doc_id", "text", F.col("text").alias("raw"))
+    docs = spread(table(spark, sf, "documents").select(*BOOK, "doc_id", "text")).withColumn("raw", F.col("text"))
     cleaned = textclean.remove_headers(docs, BOOK)
     # texts are read once: what later steps need of a page is a handful of numbers
     compared = cleaned.select(*BOOK, "doc_id", "text", verify.covered(F.col("raw"), F.col("text")).alias("c")).select(*BOOK, "doc_id", "text", "c.total", "c.common")
@@ -125,7 +126,7 @@ def outline(spark, sf):
 p AS (SELECT *, '(?i)(^|[^A-Za-z])' || replace(replace(regexp_replace(variant, '([.\\+*?\[\](){{}}^$|])', '\\\1', 'g'), 'isation', 'i[sz]ation'), 'centred', 'cent(red|ered)') AS pattern FROM v)
 SELECT doc_id, term_id, min_by(variant, i) AS variant FROM documents JOIN p ON regexp_matches(text, pattern) GROUP BY ALL""")
 def glossary_hits(spark, sf):
-    return pack.glossary_hits(table(spark, sf, "documents"), frame(spark, "fx_term"), "doc_id")
+    return pack.glossary_hits(spread(table(spark, sf, "documents").select("doc_id", "text")), frame(spark, "fx_term"), "doc_id")
 
 
 @query(rf"""WITH {cte('fx_term')}, p AS (SELECT term_id, unnest(forbidden) AS form FROM fx_term)

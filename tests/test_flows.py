@@ -144,8 +144,10 @@ def greedy(sizes, budget):
     return out
 
 
-def test_packing_across_ranges(spark):
-    """Books that several ranges hold, with nulls, ties and repeated pages, against one loop."""
+@pytest.mark.parametrize("pages", [100_000, 20, 1])
+def test_packing_across_ranges(spark, monkeypatch, pages):
+    """Books that one range or several hold, with nulls, ties and repeated pages, against one loop."""
+    monkeypatch.setattr(pack, "RANGE", pages)
     rng = random.Random(4)
     rows = [(b, p, "w " * rng.choice([0, 3, 40, 200])) for b in ("a", None) for p in range(150)] + [("a", 7, None), ("a", 7, "x y"), ("a", 7, "x y"), ("c", None, "only")]
     df = spark.createDataFrame(rows, "book string, page int, text string").repartition(5)
