@@ -80,6 +80,14 @@ LAYOUTS = {
     "dx_block_span": """SELECT o AS page_idx, CAST(pos % 2 AS INT) AS block_no, pos AS line_no, CASE WHEN q % 3 = 0 THEN 'Times' ELSE 'Italic' END AS font, CAST(9.5 + q % 3 AS DOUBLE) AS size, 'words ' || CASE WHEN s % 2 = 0 THEN 'that are many more here' ELSE flag END AS text, CAST(50 AS DOUBLE) AS x0, CAST(pos * 12 AS DOUBLE) AS y0, CAST(250 + p % 200 AS DOUBLE) AS x1, CAST(pos * 12 + 10 AS DOUBLE) AS y1 FROM dx_item""",
     "dx_rule": """SELECT o AS page_idx, CAST(48 + p % 8 AS DOUBLE) AS x0, CAST(480 + p * 3 % 200 AS DOUBLE) AS y0, CAST(60 + p % 300 AS DOUBLE) AS x1, CAST(480.5 + p * 3 % 200 + q % 3 AS DOUBLE) AS y1 FROM dx_item""",
     "dx_note": """SELECT o AS page_idx, CAST(7 + q % 4 AS DOUBLE) AS size, CASE WHEN q % 5 = 0 THEN 'See it' ELSE CAST(q AS STRING) || ' See the source' END AS text, CAST(50 AS DOUBLE) AS x0, CAST(485 + p * 3 % 200 + s % 20 AS DOUBLE) AS y0, CAST(300 AS DOUBLE) AS x1, CAST(495 + p * 3 % 200 + s % 20 AS DOUBLE) AS y1 FROM dx_item""",
+    # book pages of body text, captions with a second line, labels and drawings above the captions; frames, rules and white fills among them; their ink
+    "dx_figure_span": """SELECT o AS page_idx, pos AS block_no, 0 AS line_no, CASE WHEN pos % 3 = 1 THEN 'Times' ELSE 'Arial' END AS font, CAST(CASE WHEN pos % 3 = 1 THEN 10 ELSE 8 END AS DOUBLE) AS size, CASE pos % 3 WHEN 1 THEN 'Body text that explains it in detail ' || flag WHEN 2 THEN 'Figure 1.' || CAST(pos AS STRING) || ' A picture of ' || flag ELSE 'label ' || CAST(p AS STRING) END AS text,
+        CAST(60 + CASE WHEN pos % 3 = 0 THEN 40 + p % 80 ELSE 0 END AS DOUBLE) AS x0, CAST(60 + pos * 95 + CASE WHEN pos % 3 = 2 THEN 70 ELSE 0 END AS DOUBLE) AS y0, CAST(CASE pos % 3 WHEN 1 THEN 500 WHEN 2 THEN 220 ELSE 160 + p % 80 END AS DOUBLE) AS x1, CAST(70 + pos * 95 + CASE WHEN pos % 3 = 2 THEN 70 ELSE 0 END AS DOUBLE) AS y1 FROM dx_item
+        UNION ALL SELECT o, pos, 1, CASE WHEN pos % 3 = 1 THEN 'Times' ELSE 'Arial' END, CAST(CASE WHEN pos % 3 = 1 THEN 10 ELSE 8 END AS DOUBLE), 'and its second line', 62, CAST(72 + pos * 95 + CASE WHEN pos % 3 = 2 THEN 70 ELSE 0 END AS DOUBLE), CAST(CASE WHEN pos % 3 = 1 THEN 480 ELSE 180 END AS DOUBLE), CAST(82 + pos * 95 + CASE WHEN pos % 3 = 2 THEN 70 ELSE 0 END AS DOUBLE) FROM dx_item WHERE pos % 3 <> 0 AND q % 4 = 0""",
+    "dx_figure_drawing": """SELECT o AS page_idx, CASE WHEN q % 5 = 0 THEN 'image' ELSE 'drawing' END AS kind, CAST(CASE WHEN q % 7 = 0 THEN 1 ELSE 0.5 END AS DOUBLE) AS fill, CAST(60 + p % 40 AS DOUBLE) AS x0, CAST(60 + pos * 95 AS DOUBLE) AS y0, CAST(160 + p % 40 AS DOUBLE) AS x1, CAST(122 + pos * 95 AS DOUBLE) AS y1 FROM dx_item WHERE pos % 3 = 2
+        UNION ALL SELECT o, 'drawing', CAST(0 AS DOUBLE), CAST(180 + p % 40 AS DOUBLE), CAST(65 + pos * 95 AS DOUBLE), CAST(230 + p % 40 AS DOUBLE), CAST(100 + pos * 95 AS DOUBLE) FROM dx_item WHERE pos % 3 = 2 AND q % 2 = 0
+        UNION ALL SELECT o, 'drawing', CAST(NULL AS DOUBLE), CAST(20 AS DOUBLE), CAST(20 AS DOUBLE), CAST(575 AS DOUBLE), CAST(CASE WHEN q % 2 = 0 THEN 820 ELSE 20.5 END AS DOUBLE) FROM dx_item WHERE pos = 1""",
+    "dx_figure_ink": """SELECT o AS page_idx, CAST(30 + (p % 40 + k * 7) / 2 AS INT) AS gx, CAST(35 + pos * 95 / 2 + k % 3 AS INT) AS gy FROM dx_item CROSS JOIN (SELECT 0 AS k UNION ALL SELECT 1 UNION ALL SELECT 2 UNION ALL SELECT 3 UNION ALL SELECT 4 UNION ALL SELECT 5 UNION ALL SELECT 16 UNION ALL SELECT 17) c WHERE pos % 3 = 2""",
     # headings of a kind, in words of odd case
     "dx_odd": """SELECT o, pos, CASE q % 6 WHEN 0 THEN 'exerCiSeS of the day' WHEN 1 THEN 'Plain WORDS here' WHEN 2 THEN 'sYstem' || CAST(p AS STRING) || ' aBc' WHEN 3 THEN 'McDonald and eBay' WHEN 4 THEN 'oNe TwO ThReE fouR' ELSE 'iPhone' END AS text FROM dx_item""",
 }

@@ -394,3 +394,13 @@ def body_paragraphs(spark, sf):
 AND n.y0 - r.y1 > 0 AND n.y0 - r.y1 < 20 AND abs(n.x0 - r.x0) < 6 AND size < 9.5 AND regexp_matches(text, '^[0-9]{{1,3}} ?[A-Za-z]') GROUP BY 1""")
 def footnote_rules(spark, sf):
     return figures.footnote_rules(boxed(spark, sf, "dx_rule"), boxed(spark, sf, "dx_note"), ["page_idx"], 10.0, 595.0, 842.0)
+
+
+@query()
+def page_figures(spark, sf):
+    """Pages' figures end to end: text and drawings told apart, captions assembled, objects, then ink. Held by tests/test_flows.py and tests/test_figures.py."""
+    page = ["page_idx"]
+    spans, drawings = boxed(spark, sf, "dx_figure_span"), boxed(spark, sf, "dx_figure_drawing")
+    items, caps, bodies, rules = figures.page_objects(spans, drawings, page, "Times", 10.0, 595.0, 842.0)
+    found = raster.page_figures(items, caps, bodies, spans, frame(spark, sf, "dx_figure_ink"), page, rules=rules)
+    return found.select("page_idx", "no", "kind", "box.x0", "box.y0", "box.x1", "box.y1", "missing", "edge")
