@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from folio.functions.text import folder_key, safe_name
-from folio.operators import incremental, verify
+from folio.operators import incremental, pack, verify
 from folio.plans.derived import cte, frame
 from folio.plans.fixtures import frame as authored
-from folio.plans.runtime import spread
-from folio.plans.text_queries import table
-from folio.streaming import ingest
+from folio.plans.runtime import shared_dir, spread
+from folio.plans.text_queries import BOOK, PACK, table
+from folio.sources import package
+from folio.streaming import chapters, ingest
 
 Q: dict = {}
 O: dict[str, str] = {}
@@ -134,3 +137,27 @@ def incremental_ingest(spark, sf):
 @query("SELECT user_id, count(*) AS n, max(ts) AS last_ts FROM events GROUP BY 1")
 def event_totals_stream(spark, sf):
     return ingest.stream_totals(spark, f"{sf}/events.parquet")
+
+
+@query("""SELECT conv_id::VARCHAR AS chapter, 'complete' AS state, count(*)::INTEGER AS n_pages, string_agg(coalesce(text, ''), chr(10) || chr(10) ORDER BY turn) AS text FROM conversations GROUP BY conv_id""")
+def chapters_streamed(spark, sf):
+    """Conversations as chapters whose turns are pages, given out by a stream when they are complete."""
+    turns = table(spark, sf, "conversations")
+    wanted = turns.groupBy("conv_id").agg(F.count(F.lit(1)).alias("wanted"))
+    base = f"{shared_dir(spark)}/chapters-{uuid.uuid4().hex}"
+    stream = ingest.reading(spark, f"{sf}/conversations.parquet").join(wanted, "conv_id")
+    chapters.run(chapters.complete_chapters(stream, "conv_id", "turn", "wanted", "text"), f"{base}/out", f"{base}/state")
+    return spark.read.schema(chapters.OUT).parquet(f"{base}/out")
+
+
+@query(f"""WITH RECURSIVE {PACK.format(text='text', docs='documents')}, made AS (SELECT p.source, p.lang, chunk_no, 'Pages ' || min(p.doc_id) || '-' || max(p.doc_id) || chr(10) || chr(10) || string_agg(text, chr(10) || chr(10) ORDER BY p.doc_id) AS prompt
+FROM packed p JOIN documents d USING (doc_id) GROUP BY p.source, p.lang, chunk_no) SELECT lang || '/' || source || '/' || chunk_no || '.md' AS path, sha1(prompt) AS sha1 FROM made""")
+def package_files(spark, sf):
+    """The documents' chunks as a package of files, written twice: the second run leaves the first one's version."""
+    prompts = pack.prompts(table(spark, sf, "documents"), BOOK, "doc_id", "Pages %s\n\n%s")
+    rows = prompts.select(F.concat_ws("/", "lang", "source", F.concat(F.col("chunk_no").cast("string"), F.lit(".md"))).alias("path"), F.col("prompt").alias("content"))
+    root = f"{shared_dir(spark)}/package-{uuid.uuid4().hex}"
+    root = root if ":" in root else f"file://{root}"
+    for _ in range(2):
+        package.write_package(rows, root)
+    return package.read_package(spark, root).select("path", F.sha1("content").alias("sha1"))

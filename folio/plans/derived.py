@@ -88,6 +88,8 @@ LAYOUTS = {
         UNION ALL SELECT o, 'drawing', CAST(0 AS DOUBLE), CAST(180 + p % 40 AS DOUBLE), CAST(65 + pos * 95 AS DOUBLE), CAST(230 + p % 40 AS DOUBLE), CAST(100 + pos * 95 AS DOUBLE) FROM dx_item WHERE pos % 3 = 2 AND q % 2 = 0
         UNION ALL SELECT o, 'drawing', CAST(NULL AS DOUBLE), CAST(20 AS DOUBLE), CAST(20 AS DOUBLE), CAST(575 AS DOUBLE), CAST(CASE WHEN q % 2 = 0 THEN 820 ELSE 20.5 END AS DOUBLE) FROM dx_item WHERE pos = 1""",
     "dx_figure_ink": """SELECT o AS page_idx, CAST(30 + (p % 40 + k * 7) / 2 AS INT) AS gx, CAST(35 + pos * 95 / 2 + k % 3 AS INT) AS gy FROM dx_item CROSS JOIN (SELECT 0 AS k UNION ALL SELECT 1 UNION ALL SELECT 2 UNION ALL SELECT 3 UNION ALL SELECT 4 UNION ALL SELECT 5 UNION ALL SELECT 16 UNION ALL SELECT 17) c WHERE pos % 3 = 2""",
+    # bullets beside the lines of slides
+    "dx_mark": """SELECT CAST(floor(o / 20) AS BIGINT) AS deck_id, CAST(o % 20 AS INT) AS page_idx, pos AS mark, CAST(30 + (p % 3) * 30 - q % 60 AS DOUBLE) AS x, CAST(25 + (pos - 1) * 60 + s % 6 + q % 19 - 9 AS DOUBLE) AS yc FROM dx_item""",
     # headings of a kind, in words of odd case
     "dx_odd": """SELECT o, pos, CASE q % 6 WHEN 0 THEN 'exerCiSeS of the day' WHEN 1 THEN 'Plain WORDS here' WHEN 2 THEN 'sYstem' || CAST(p AS STRING) || ' aBc' WHEN 3 THEN 'McDonald and eBay' WHEN 4 THEN 'oNe TwO ThReE fouR' ELSE 'iPhone' END AS text FROM dx_item""",
 }

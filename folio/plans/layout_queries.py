@@ -1,4 +1,4 @@
-"""Registered queries of structure, geometry, figures and slides over layouts drawn from the tables; three are on authored rows."""
+"""Registered queries of structure, geometry, figures and slides over layouts drawn from the tables; two are on authored rows."""
 
 from __future__ import annotations
 
@@ -187,9 +187,14 @@ def lower_quartile(spark, sf):
     return slides.upper_median(table(spark, sf, "events"), ["event_type"], "value", 4)
 
 
-@query("SELECT * FROM (VALUES (1::BIGINT, 1, 1, 1), (1, 1, 2, 2), (1, 1, 3, 3)) t(deck_id, page_idx, mark, pos)")
+@query(f"""WITH RECURSIVE {cte('dx_line', 'dx_mark')}, n AS (SELECT m.deck_id, m.page_idx, m.mark, list_sort(list({{'far': abs((y0 + y1) / 2 - yc) > 0.6 * (y1 - y0), 'dx': x0 - x, 'dy': abs((y0 + y1) / 2 - yc), 'pos': pos}})) AS near
+  FROM dx_mark m JOIN dx_line l ON l.deck_id = m.deck_id AND l.page_idx = m.page_idx AND x0 > x AND x0 - x < 90 AND yc BETWEEN y0 - 0.3 * (y1 - y0) AND y1 + 0.3 * (y1 - y0) GROUP BY ALL),
+c AS (SELECT *, row_number() OVER (PARTITION BY deck_id, page_idx ORDER BY mark) AS i FROM n),
+r AS (SELECT deck_id, page_idx, 0::BIGINT AS i, NULL::INTEGER AS mark, NULL::INTEGER AS pos, []::INTEGER[] AS taken FROM c GROUP BY ALL
+  UNION ALL SELECT deck_id, page_idx, i, mark, got, CASE WHEN got IS NULL THEN taken ELSE list_append(taken, got) END FROM (SELECT c.*, taken, list_filter(near, lambda x: NOT list_contains(taken, x.pos))[1].pos AS got FROM r JOIN c ON c.deck_id = r.deck_id AND c.page_idx = r.page_idx AND c.i = r.i + 1))
+SELECT deck_id, page_idx, mark, pos FROM r WHERE pos IS NOT NULL""")
 def matched_bullets(spark, sf):
-    return slides.matched_bullets(figures.boxes(authored(spark, "fx_slide_line")), authored(spark, "fx_mark"), ["deck_id", "page_idx"])
+    return slides.matched_bullets(figures.boxes(frame(spark, sf, "dx_line")), frame(spark, sf, "dx_mark"), ["deck_id", "page_idx"])
 
 
 @query(r"""WITH b AS (SELECT page_id, unnest(regexp_extract_all(html, '(?is)<(?:h[1-6]|li)[^>]*>.*?</(?:h[1-6]|li)>')) AS b, generate_subscripts(regexp_extract_all(html, '(?is)<(?:h[1-6]|li)[^>]*>.*?</(?:h[1-6]|li)>'), 1) AS i FROM pages),

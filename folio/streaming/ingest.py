@@ -10,6 +10,14 @@ from pyspark.sql import functions as F
 from folio.plans.runtime import shared_dir
 
 
+def reading(spark: SparkSession, source: str) -> DataFrame:
+    """A stream of the rows of a Parquet table, be it a folder or a single file."""
+    folder, name = source.rstrip("/").rsplit("/", 1)
+    is_file = spark.read.format("binaryFile").option("pathGlobFilter", name).load(folder).select("path").limit(1).count()
+    stream = spark.readStream.schema(spark.read.parquet(source).schema)
+    return stream.option("pathGlobFilter", name).parquet(folder) if is_file else stream.parquet(source)
+
+
 def run_once(spark: SparkSession, source: str, target: str, checkpoint: str, transform) -> None:
     """Processes the files of source that the checkpoint does not know, and appends to target; a failed run is repeated without loss or repeats."""
     schema = spark.read.parquet(source).schema
@@ -38,11 +46,7 @@ def stream_totals(spark: SparkSession, source: str) -> DataFrame:
     """Events and latest time of each user, kept by streaming state; every batch writes a table of totals of its own, and the last one counts, so a
     failure in between leaves the one before."""
     base = f"{shared_dir(spark)}/totals-{uuid.uuid4().hex}"
-    schema = spark.read.parquet(source).schema
-    folder, name = source.rstrip("/").rsplit("/", 1)
-    is_file = spark.read.format("binaryFile").option("pathGlobFilter", name).load(folder).select("path").limit(1).count()
-    stream = spark.readStream.schema(schema)
-    rows = stream.option("pathGlobFilter", name).parquet(folder) if is_file else stream.parquet(source)
+    rows = reading(spark, source)
     totals = rows.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"), F.max("ts").alias("last_ts"))
 
     def keep(batch: DataFrame, number: int) -> None:

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import pytest
 from pyspark.sql import functions as F
 
 from folio.functions.text import chapter_file
 from folio.operators import pack, textclean
 from folio.plans import sinks
 from folio.plans.scan_queries import small_deck
+from folio.sources import package
 from folio.sources.decks import PptxSource
-from folio.streaming import ingest
+from folio.streaming import chapters, ingest
 
 
 def test_pptx_source(spark, tmp_path):
@@ -57,3 +59,86 @@ def test_chapter_files_and_outline(spark):
 def test_tidy(spark):
     text = "# **2**\nA ~~2.1~~ part.\n- Figure 1.1 Cap\n  3. item\n\n\n\nend"
     assert spark.range(1).select(textclean.tidy(F.lit(text))).first()[0] == "A 2.1 part.\nFigure 1.1 Cap\n3. item\n\nend"
+
+
+# ---- packages ----------------------------------------------------------------------------------
+
+
+def files_of(folder):
+    return sorted(str(p.relative_to(folder)) for p in folder.rglob("*") if p.is_file())
+
+
+def test_package_is_the_old_one_or_the_new_one(spark, tmp_path):
+    rows = lambda n, *more: spark.createDataFrame([(f"a/{i}.md", f"text {i} é", "x") for i in range(n)] + list(more), "path string, content string, other string").repartition(4)
+    root = str(tmp_path / "p")
+    read = lambda: {r.path: bytes(r.content).decode() for r in package.read_package(spark, root).collect()}
+    assert read() == {} and package.current(root) is None and package.sweep(root) == 0
+    package.write_package(rows(20), root)
+    first = {f"a/{i}.md": f"text {i} é" for i in range(20)}
+    assert read() == first and package.current(root).endswith("/v-1")
+    before = {p: (tmp_path / "p" / p).stat().st_mtime_ns for p in files_of(tmp_path / "p")}
+    package.write_package(rows(20).repartition(2), root)  # the same again writes nothing
+    assert before == {p: (tmp_path / "p" / p).stat().st_mtime_ns for p in files_of(tmp_path / "p")}
+    # a task that fails half way: the run is aborted and the old package whole
+    for bad in ("../out.md", "/abs", "a//b", None):
+        with pytest.raises(Exception, match="no place within a package"):
+            package.write_package(rows(30, (bad, "x", "")), root)
+        assert read() == first
+    package.sweep(root)
+    with pytest.raises(ValueError, match="one path"):
+        package.write_package(rows(20, ("a/1.md", "again", "")), root)
+    # a file that someone put there stays, one that is not made any more goes
+    (tmp_path / "p" / "v-1" / "answers").mkdir()
+    (tmp_path / "p" / "v-1" / "answers" / "mine.txt").write_text("my own")
+    (tmp_path / "p" / "v-1" / "junk.txt").write_text("junk")
+    package.write_package(rows(3, ("b.md", None, "")), root, protected="^answers/")
+    assert read() == {**{k: v for k, v in first.items() if int(k[2:-3]) < 3}, "answers/mine.txt": "my own"}
+    assert (tmp_path / "p" / "v-2" / "b.md").read_text() == ""
+    assert files_of(tmp_path / "p" / "v-1") and not list((tmp_path / "p").glob(".staging*"))
+    package.write_package(rows(4), root)
+    assert not (tmp_path / "p" / "v-1").exists() and package.current(root).endswith("/v-3")
+
+
+def test_a_killed_run_leaves_the_old_package(spark, tmp_path):
+    root = str(tmp_path / "p")
+    package.write_package(spark.createDataFrame([("a", "1")], "path string, content string"), root)
+    (tmp_path / "p" / ".staging-killed" / "a").mkdir(parents=True)  # killed while tasks wrote
+    (tmp_path / "p" / "v-2").mkdir()  # killed between the two renames
+    (tmp_path / "p" / "v-2" / "half").write_text("x")
+    assert [tuple(r) for r in package.read_package(spark, root).collect()] == [("a", bytearray(b"1"))]
+    package.write_package(spark.createDataFrame([("a", "2")], "path string, content string"), root)
+    assert [tuple(r) for r in package.read_package(spark, root).collect()] == [("a", bytearray(b"2"))] and package.sweep(root) == 1
+    package.write_package(spark.createDataFrame([], "path string, content string"), root)
+    assert package.read_package(spark, root).count() == 0
+
+
+# ---- chapters of a stream ----------------------------------------------------------------------
+
+
+def test_chapters_come_when_they_are_complete(spark, tmp_path):
+    source, out, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+    schema = "chapter string, page int, wanted int, text string"
+
+    def more(*rows):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(source)
+        pages = spark.readStream.schema(schema).parquet(source)
+        chapters.run(chapters.complete_chapters(pages, "chapter", "page", "wanted", "text"), out, state)
+        return sorted(tuple(r) for r in spark.read.schema(chapters.OUT).parquet(out).collect())
+
+    assert more(("a", 2, 3, "two"), ("b", 1, 1, None), ("a", 2, 3, "two again"), (None, 1, 1, "x"), ("c", None, 1, "x")) == [("b", "complete", 1, "")]
+    assert more(("a", 3, 3, "three")) == [("b", "complete", 1, "")]  # each run goes on from the checkpoint of the one before
+    done = [("a", "complete", 3, "one\n\ntwo\n\nthree"), ("b", "complete", 1, "")]
+    assert more(("a", 1, 3, "one"), ("d", 1, 2, "x")) == done
+    assert more(("a", 2, 3, "late")) == [done[0], ("a", "late", 1, "late"), done[1]]
+    assert spark.conf.get(chapters.PROVIDER, None) != chapters.ROCKS
+
+
+def test_same_chapters_whatever_the_files(spark, tmp_path):
+    turns = spark.read.parquet("/root/testdata/sf0.001/conversations.parquet").dropDuplicates(["conv_id", "turn"])
+    pages = turns.join(turns.groupBy("conv_id").count().withColumnRenamed("count", "wanted"), "conv_id").select(F.col("conv_id").cast("string").alias("chapter"), F.col("turn").cast("int").alias("page"), F.col("wanted").cast("int").alias("wanted"), "text")
+    pages.repartition(5, "page").write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(pages.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    chapters.run(chapters.complete_chapters(stream, "chapter", "page", "wanted", "text"), str(tmp_path / "out"), str(tmp_path / "state"))
+    whole = {r.chapter: "\n\n".join(t.text or "" for t in sorted(r.t)) for r in pages.groupBy("chapter").agg(F.collect_list(F.struct("page", "text")).alias("t")).collect()}
+    got = spark.read.parquet(str(tmp_path / "out")).collect()
+    assert {r.chapter: r.text for r in got} == whole and len(got) == len(whole) and {r.state for r in got} == {"complete"}
