@@ -117,7 +117,7 @@ def heading_case(c: Column) -> Column:
 
 def contents_items(c: Column) -> Column:
     """A Contents heading's numbered entries, also several in one line, as items of their own: paragraphs that begin with a section number."""
-    number = r"\d{1,2}\.\d{1,2}\s"
+    number = r"\d{1,2}\.\d{1,2}\s"  # fixed value: what a section number in the contents looks like
     parts = F.split(c, r"\n\n+")
     entry = lambda p: p.rlike(rf"^(?:[-*]\s*)?{number}")
     start = F.struct(F.array().cast("array<string>").alias("out"), F.lit(False).alias("inside"))
@@ -142,6 +142,7 @@ def join_lines(first: Column, second: Column) -> Column:
 def escape_block(c: Column) -> Column:
     """A line that must not turn into a markdown block."""
     s = strip(c)
+    # Signs that begin a block of markdown.
     return F.when(s.rlike(r"^(#|>|\d+[.)]\s|[-+*]\s)"), F.concat(F.lit("\\"), s)).otherwise(s)
 
 
