@@ -47,6 +47,8 @@ LITERAL = 1000
 MOST_SENT, MOST_ROWS = 4_000_000, 200_000
 #: Tokens by which the windows of one occurrence may be shifted against each other; half of a longer item's windows.
 NEAR = 8
+#: Bytes of text that are cut into tokens at a time (one text at least).
+PIECE = 1 << 18
 #: Units that stand after a number.
 UNITS = "mm cm m km in ft yd mi mg g kg t lb oz ml cl l gal s sec min h hr hrs day days week weeks month months year years second seconds minute minutes hour hours meter meters metre metres kilometer kilometers kilometre kilometres gram grams kilogram kilograms liter liters litre litres inch inches foot feet yard yards mile miles pound pounds ounce ounces dollar dollars euro euros cent cents eur usd gbp kmh mph percent degrees".split()
 
@@ -185,7 +187,7 @@ def _emit(size_of, keep):
     def emit(batches):
         for b in batches:
             ids = b.column(0)
-            for lead, data, at in pieces(b.column(1)):
+            for lead, data, at in pieces(b.column(1), PIECE):
                 n = len(at) - 1
                 point, at = signs(data, at)
                 for literally, (token, slot, start, end, row) in enumerate(template(point, at)):
