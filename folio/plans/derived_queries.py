@@ -240,8 +240,8 @@ def outside_ink(spark, sf):
 
 @query(f"""WITH {cte('dx_ink')}, a AS (SELECT DISTINCT page_idx, gx - min(gx) OVER w AS gx, gy - min(gy) OVER w AS gy FROM dx_ink WINDOW w AS (PARTITION BY page_idx)),
 b AS (SELECT DISTINCT page_idx, gx - min(gx) OVER w AS gx, gy - min(gy) OVER w AS gy FROM dx_ink WHERE gx % 23 <> 0 WINDOW w AS (PARTITION BY page_idx)),
-f AS (SELECT coalesce(a.page_idx, b.page_idx) AS page_idx, coalesce(a.gx, b.gx) AS gx, coalesce(a.gy, b.gy) AS gy, a.gx IS NULL OR b.gx IS NULL AS odd FROM a FULL JOIN b ON a.page_idx = b.page_idx AND a.gx = b.gx AND a.gy = b.gy)
-SELECT page_idx, sum(odd::INTEGER) < 0.01 * greatest(100, (max(gx) + 1) * (max(gy) + 1)) AS same FROM f GROUP BY 1""")
+f AS (SELECT coalesce(a.page_idx, b.page_idx) AS page_idx, coalesce(a.gx, b.gx) AS gx, coalesce(a.gy, b.gy) AS gy, a.gx IS NULL OR b.gx IS NULL AS odd, CASE WHEN a.gx IS NULL THEN 0 ELSE a.gx + 1 END AS ax, CASE WHEN a.gx IS NULL THEN 0 ELSE a.gy + 1 END AS ay, CASE WHEN b.gx IS NULL THEN 0 ELSE b.gx + 1 END AS bx, CASE WHEN b.gx IS NULL THEN 0 ELSE b.gy + 1 END AS by_ FROM a FULL JOIN b ON a.page_idx = b.page_idx AND a.gx = b.gx AND a.gy = b.gy)
+SELECT page_idx, sum(odd::INTEGER) < 0.01 * greatest(100, (max(gx) + 1) * (max(gy) + 1)) AND abs(max(ax) - max(bx)) <= greatest(0.02 * greatest(max(ax), max(bx)), 4) AND abs(max(ay) - max(by_)) <= greatest(0.02 * greatest(max(ay), max(by_)), 4) AS same FROM f GROUP BY 1""")
 def same_image(spark, sf):
     ink = frame(spark, sf, "dx_ink")
     return raster.same_image(ink, ink.filter("gx % 23 <> 0").withColumn("gx", F.col("gx") + 7), ["page_idx"])

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import struct
+
 import pyarrow as pa
 from pyspark.sql import functions as F
 
@@ -11,7 +13,7 @@ from folio.plans import fixtures
 from folio.plans.derived import cte, frame
 from folio.plans.derived_queries import FOOTERS, KEY, PAGES, boxed
 from folio.plans.text_queries import table
-from folio.sources import deck_writer, decks
+from folio.sources import deck_writer, decks, pictures
 
 Q: dict = {}
 O: dict[str, str] = {}
@@ -212,6 +214,40 @@ def deck_round_trip(spark, sf):
     return read.select(F.col("path").cast("long").alias("conv_id"), "slide_no", "hidden", "title", F.array_join(items, "\n").alias("items"), F.array_join("flags", ",").alias("flags"), "notes")
 
 
+def png_head(n: int, wide: int, high: int) -> bytes:
+    """The beginning of a picture of that size, and a number for what it shows."""
+    return b"\x89PNG\r\n\x1a\n" + struct.pack(">I4sII", 13, b"IHDR", wide, high) + struct.pack(">I", n)
+
+
+def _pictured(slides_: pa.Array) -> pa.Array:
+    """array<struct<page_idx, pictures array<struct<pos, p, q>>>> to a deck: a slide a page, with its pictures."""
+    out = []
+    for rows in slides_.to_pylist():
+        made = []
+        for r in rows:
+            names = {f"r{x['pos']}": f"ppt/media/s{r['page_idx']}-{x['pos']}.png" for x in r["pictures"]}
+            parts = {names[f"r{x['pos']}"]: png_head(x["p"] % 9, 30 + x["p"] % 9 * 10, 40 + x["p"] % 9) for x in r["pictures"]}
+            made.append({"shapes": [deck_writer.picture(k, 100) for k in names], "links": names, "parts": parts})
+        out.append(deck_writer.deck(made))
+    return pa.array(out, pa.binary())
+
+
+@query(f"""WITH {cte('dx_item')}, i AS (SELECT floor(o / 20)::BIGINT AS deck_id, o, pos, p % 9 AS n FROM dx_item), s AS (SELECT *, dense_rank() OVER (PARTITION BY deck_id ORDER BY o) AS slide_no FROM i), k AS (SELECT deck_id, n, min((slide_no, pos)) AS first, count(*) AS times FROM s WHERE least(30 + n * 10, 40 + n) >= 48 GROUP BY ALL)
+SELECT deck_id, first[1]::INTEGER AS slide_no, (first[2] - 1)::INTEGER AS place, (30 + n * 10)::INTEGER AS width, (40 + n)::INTEGER AS height, times AS n FROM k""")
+def deck_pictures(spark, sf):
+    """Pictures of decks written with them and read back: equal ones once, small ones not at all."""
+    items = frame(spark, sf, "dx_item").select(F.floor(F.col("o") / 20).alias("deck_id"), F.col("o").alias("page_idx"), "pos", "p", "q")
+    pages = items.groupBy("deck_id", "page_idx").agg(F.array_sort(F.collect_list(F.struct("pos", "p", "q"))).alias("pictures"))
+    decks_ = pages.groupBy("deck_id").agg(F.array_sort(F.collect_list(F.struct("page_idx", "pictures"))).alias("s"))
+    files = decks_.select(F.col("deck_id").cast("string").alias("path"), F.arrow_udf(_pictured, "binary")("s").alias("content"))
+    return pictures.once(pictures.embedded(files)).select(F.col("path").cast("long").alias("deck_id"), "slide_no", "place", "width", "height", "n")
+
+
+@query(f"""WITH {cte('dx_box')}, i AS (SELECT set_id, box_id, (x1 - x0) * (y1 - y0) / (60.0 * 30) AS share FROM dx_box), r AS (SELECT *, row_number() OVER (PARTITION BY set_id ORDER BY share DESC, box_id) AS k FROM i WHERE share > 0.3) SELECT set_id, box_id FROM r WHERE k = 1""")
+def page_images(spark, sf):
+    return pictures.page_image(boxed(spark, sf, "dx_box"), ["set_id"], 60.0, 30.0, "box_id")
+
+
 @query(f"""WITH {cte('dx_line')}, k AS (SELECT *, regexp_replace({KEY}, '\\s+', ' ', 'g') AS footer, y0 > 0.88 * 540 OR y0 < 0.08 * 540 AS edge FROM dx_line), d AS (SELECT deck_id, count(DISTINCT page_idx) AS slides FROM dx_line GROUP BY 1),
 f AS (SELECT k.deck_id, footer FROM k JOIN d USING (deck_id) WHERE edge AND footer <> '' GROUP BY k.deck_id, footer, slides HAVING count(DISTINCT page_idx) >= greatest(2, slides // 2)),
 s AS (SELECT k.*, y1 - y0 AS h, y0 < 0.28 * 540 AS top FROM k LEFT JOIN f ON f.deck_id = k.deck_id AND f.footer = k.footer WHERE f.footer IS NULL OR NOT edge), m AS (SELECT deck_id, page_idx, list_sort(list(h))[count(*) // 2 + 1] AS median FROM s GROUP BY ALL),

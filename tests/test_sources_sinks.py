@@ -9,7 +9,8 @@ from folio.functions.text import chapter_file
 from folio.operators import pack, textclean
 from folio.plans import sinks
 from folio.plans.scan_queries import small_deck
-from folio.sources import package
+from folio.plans.flow_queries import png_head
+from folio.sources import deck_writer, package, pictures
 from folio.sources.decks import PptxSource
 from folio.streaming import chapters, ingest
 
@@ -142,3 +143,21 @@ def test_same_chapters_whatever_the_files(spark, tmp_path):
     whole = {r.chapter: "\n\n".join(t.text or "" for t in sorted(r.t)) for r in pages.groupBy("chapter").agg(F.collect_list(F.struct("page", "text")).alias("t")).collect()}
     got = spark.read.parquet(str(tmp_path / "out")).collect()
     assert {r.chapter: r.text for r in got} == whole and len(got) == len(whole) and {r.state for r in got} == {"complete"}
+
+
+# ---- pictures ----------------------------------------------------------------------------------
+
+
+def test_pictures_of_decks(spark):
+    png = png_head(1, 60, 50)
+    jpeg = b"\xff\xd8\xff\xe0" + (16).to_bytes(2, "big") + b"\0" * 14 + b"\xff\xc2" + (17).to_bytes(2, "big") + b"\x08" + (300).to_bytes(2, "big") + (400).to_bytes(2, "big") + b"\0" * 10
+    assert [pictures.size_of(d) for d in (png, jpeg, b"GIF89a" + bytes([64, 0, 50, 0]), b"", b"\xff\xd8\xff", b"none")] == [(60, 50), (400, 300), (64, 50), None, None, None]
+    shapes = lambda *ids: [deck_writer.picture(i, 10) for i in ids]
+    links = {"a": "ppt/media/a.png", "b": "ppt/media/b.png", "c": "ppt/media/c.jpg", "gone": "ppt/media/gone.png"}
+    parts = {"ppt/media/a.png": png, "ppt/media/b.png": png, "ppt/media/c.jpg": jpeg}
+    deck = deck_writer.deck([{"shapes": shapes("c", "a", "gone"), "links": links, "parts": parts}, {"shapes": shapes("b"), "links": links}, {"shapes": shapes("s", "x"), "links": {"s": "ppt/media/s.png", "x": "ppt/media/x.emf"}, "parts": {"ppt/media/s.png": png_head(2, 47, 90), "ppt/media/x.emf": b"vector"}}])
+    files = spark.createDataFrame([("d", deck), ("bad", b"no zip"), ("null", None)], "path string, content binary").withColumn("sha1", F.lit("own"))
+    media = pictures.embedded(files)
+    assert [(r.slide_no, r.place, r.part.rsplit("/", 1)[1], r.width) for r in media.orderBy("slide_no", "place").collect()] == [(1, 0, "c.jpg", 400), (1, 1, "a.png", 60), (2, 0, "b.png", 60), (3, 0, "s.png", 47), (3, 1, "x.emf", None)]
+    assert sorted((r.slide_no, r.place, r.width, r.n) for r in pictures.once(media).collect()) == [(1, 0, 400, 1), (1, 1, 60, 2)]
+    assert pictures.embedded(files.limit(0)).count() == 0
