@@ -54,7 +54,7 @@ LAYOUTS = {
     "dx_cluster": """SELECT o AS page_idx, CAST(pos AS BIGINT) AS cluster, CAST(p % 6 * 50 AS DOUBLE) AS x0, CAST(s % 10 * 40 AS DOUBLE) AS y0, CAST(p % 6 * 50 + 30 + q AS DOUBLE) AS x1, CAST(s % 10 * 40 + 30 + q % 20 AS DOUBLE) AS y1 FROM dx_item""",
     "dx_caption": """SELECT o AS page_idx, '1.' || CAST(pos AS STRING) AS no, CASE WHEN q % 3 = 0 THEN 'table' ELSE 'figure' END AS kind, CAST(q % 6 * 50 AS DOUBLE) AS x0, CAST(p % 10 * 40 + 33 AS DOUBLE) AS y0, CAST(q % 6 * 50 + 100 AS DOUBLE) AS x1, CAST(p % 10 * 40 + 45 AS DOUBLE) AS y1 FROM dx_item WHERE pos % 2 = 1""",
     # words over the cells of a table of up to three rows
-    "dx_word": """SELECT CAST(floor(o / 8) AS INT) AS page_idx, CAST(o % 8 * 10 + pos AS INT) AS pos, CAST(p % 190 AS DOUBLE) AS x0, CAST((p * 7 + q) % 50 AS DOUBLE) AS y0, CAST(p % 190 + 10 AS DOUBLE) AS x1, CAST((p * 7 + q) % 50 + 8 AS DOUBLE) AS y1, CASE q % 6 WHEN 0 THEN 'off-' WHEN 1 THEN 'a|b' WHEN 2 THEN 'two words' ELSE 'word' || CAST(p AS STRING) END AS text, CAST(60 + q % 40 AS DOUBLE) AS conf FROM dx_item""",
+    "dx_word": """SELECT CAST(floor(o / 8) AS INT) AS page_idx, CAST(o % 8 * 100 + pos AS INT) AS pos, CAST(p % 190 AS DOUBLE) AS x0, CAST((p * 7 + q) % 50 AS DOUBLE) AS y0, CAST(p % 190 + 10 AS DOUBLE) AS x1, CAST((p * 7 + q) % 50 + 8 AS DOUBLE) AS y1, CASE q % 6 WHEN 0 THEN 'off-' WHEN 1 THEN 'a|b' WHEN 2 THEN 'two words' ELSE 'word' || CAST(p AS STRING) END AS text, CAST(60 + q % 40 AS DOUBLE) AS conf FROM dx_item""",
     "dx_cell": """SELECT CAST(floor(o / 8) AS INT) AS page_idx, 1 AS table_id, CAST(floor((pos - 1) / 2) AS INT) AS row_no, CAST((pos - 1) % 2 AS INT) AS col_no, CAST((pos - 1) % 2 * 100 AS DOUBLE) AS x0, CAST(floor((pos - 1) / 2) * 20 AS DOUBLE) AS y0, CAST((pos - 1) % 2 * 100 + 100 AS DOUBLE) AS x1, CAST(floor((pos - 1) / 2) * 20 + 20 AS DOUBLE) AS y1 FROM dx_item WHERE o % 8 = 0 AND pos <= 6""",
     # slides with a table of terms: wrapped meanings, wrapped terms, rows without a term, bullets between
     "dx_grid": """SELECT o AS page_idx, pos * 10 + 1 AS pos, CAST(40 + s % 4 AS DOUBLE) AS x0, CAST(pos * 30 + s % 2 AS DOUBLE) AS y0, CAST(90 AS DOUBLE) AS x1, CAST(pos * 30 + s % 2 + 10 AS DOUBLE) AS y1, 'term ' || CAST(p AS STRING) AS text, CAST(NULL AS DOUBLE) AS bullet_x FROM dx_item WHERE q % 6 <> 0
@@ -73,9 +73,9 @@ LAYOUTS = {
     "dx_manifest": """SELECT 'f' || CAST(o % 90 AS STRING) || '/d' || CAST(p % 20 AS STRING) || '.pdf' AS path, CASE WHEN max(p) % 4 = 0 THEN '1' ELSE '2' END AS version, 'h' || CAST(max(q) % 3 AS STRING) AS sha1 FROM dx_item WHERE flag <> 'A' GROUP BY 1""",
     "dx_output": """SELECT 'f' || CAST(o % 90 AS STRING) || '/d' || CAST(p % 20 AS STRING) || '.pdf' AS path, CAST(min(s) % 10 AS INT) AS modified FROM dx_item WHERE q % 3 <> 0 GROUP BY 1""",
     # paragraphs of chapters, items with a glyph read as I
-    "dx_paragraph": """SELECT CAST(floor(o / 20) AS BIGINT) AS doc_id, CAST(o % 20 * 10 + pos AS INT) AS pos, CASE q % 13 WHEN 0 THEN '# Chapter one' WHEN 1 THEN 'In most places there are now fewer natural' WHEN 2 THEN '| a | b |' WHEN 3 THEN '###### History of it' WHEN 4 THEN 'A box with its own end.' WHEN 5 THEN 'resources, and they change.' WHEN 6 THEN 'https://example.com/a'
+    "dx_paragraph": """SELECT CAST(floor(o / 20) AS BIGINT) AS doc_id, CAST(o % 20 * 100 + pos AS INT) AS pos, CASE q % 13 WHEN 0 THEN '# Chapter one' WHEN 1 THEN 'In most places there are now fewer natural' WHEN 2 THEN '| a | b |' WHEN 3 THEN '###### History of it' WHEN 4 THEN 'A box with its own end.' WHEN 5 THEN 'resources, and they change.' WHEN 6 THEN 'https://example.com/a'
         WHEN 7 THEN 'Figure 2.1 A caption' WHEN 8 THEN 'of testing' WHEN 9 THEN '- an item of the list' WHEN 10 THEN '![x](y.png)' WHEN 11 THEN 'cell <br> cell' ELSE 'Whole ' || flag END AS text FROM dx_item""",
-    "dx_bullet": """SELECT CAST(floor(o / 5) AS BIGINT) AS doc_id, CAST(o % 5 * 10 + pos AS INT) AS pos, CASE q % 5 WHEN 0 THEN '' WHEN 1 THEN '- plain ' || flag WHEN 2 THEN 'Text.' ELSE '- I item ' || flag END AS text FROM dx_item""",
+    "dx_bullet": """SELECT CAST(floor(o / 5) AS BIGINT) AS doc_id, CAST(o % 5 * 100 + pos AS INT) AS pos, CASE q % 5 WHEN 0 THEN '' WHEN 1 THEN '- plain ' || flag WHEN 2 THEN 'Text.' ELSE '- I item ' || flag END AS text FROM dx_item""",
     # blocks of two fonts, and rules with notes under them
     "dx_block_span": """SELECT o AS page_idx, CAST(pos % 2 AS INT) AS block_no, pos AS line_no, CASE WHEN q % 3 = 0 THEN 'Times' ELSE 'Italic' END AS font, CAST(9.5 + q % 3 AS DOUBLE) AS size, 'words ' || CASE WHEN s % 2 = 0 THEN 'that are many more here' ELSE flag END AS text, CAST(50 AS DOUBLE) AS x0, CAST(pos * 12 AS DOUBLE) AS y0, CAST(250 + p % 200 AS DOUBLE) AS x1, CAST(pos * 12 + 10 AS DOUBLE) AS y1 FROM dx_item""",
     "dx_rule": """SELECT o AS page_idx, CAST(48 + p % 8 AS DOUBLE) AS x0, CAST(480 + p * 3 % 200 AS DOUBLE) AS y0, CAST(60 + p % 300 AS DOUBLE) AS x1, CAST(480.5 + p * 3 % 200 + q % 3 AS DOUBLE) AS y1 FROM dx_item""",

@@ -122,7 +122,7 @@ def test_capitals_restored_in_all_documents(spark, tmp_path):
             text = re.sub(start + r"d([a-z]{2,})", lambda m: m[0] if m[3].startswith("oi") and len(m[3]) == 2 else f"{m[1]}{m[2]}D{m[3]}", text)
         return text
 
-    got = {r.doc_id: r.text for r in queries.QUERIES["capitals_restored_everywhere"](spark, str(tmp_path)).collect()}
+    got = {r.doc_id: r.text for r in queries.QUERIES["capitals_restored"](spark, str(tmp_path)).collect()}
     assert got == {i: t if t is None else plain(t) for i, t in enumerate(texts)}
 
 
@@ -139,7 +139,7 @@ def test_edits_of_words_with_any_letter(spark, tmp_path):
     spark.createDataFrame([(1, text)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
     fixes = {w: [k for k in often if one_edit(w, k)] for w in once if len(w) >= 6}
     want = {w: k[0] for w, k in fixes.items() if len(k) == 1}
-    got = {r.word: r.fixed for r in queries.QUERIES["edit1_fix_every_letter"](spark, str(tmp_path)).collect()}
+    got = {r.word: r.fixed for r in queries.QUERIES["edit1_fix"](spark, str(tmp_path)).collect()}
     assert got == want and "plonet" not in got and {"garcon", "größem", "schones"} <= set(got)
 
 
