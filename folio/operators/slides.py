@@ -97,7 +97,13 @@ def visual_rows(lines_: DataFrame, page: list[str]) -> DataFrame:
 
 
 def slide_tables(lines_: DataFrame, page: list[str], tolerance: float = 15.0) -> DataFrame:
-    """(page, row_no, cells): the table that a slide's lines without bullets make: three rows at least with two columns or more, set apart by 8 points.
+    """(page, row_no, cells): the table that a slide's lines without bullets make: see table_rows."""
+    return table_rows(lines_, page, tolerance).select(*page, "row_no", "cells")
+
+
+def table_rows(lines_: DataFrame, page: list[str], tolerance: float = 15.0) -> DataFrame:
+    """(page, row_no, cells, places, top): the table that a slide's lines without bullets make: three rows at least with two columns or more, set apart by
+    8 points; places are the pos of the lines that a row is made of, top is where the table begins.
 
     Columns are the clusters of those rows' left edges; what stands in one of them from the first such row on is the table. A line of it begins a new row
     by what stands in the first column: nothing there goes on with the row above; something does begin one if the line above has nothing there, or if all
@@ -115,10 +121,10 @@ def slide_tables(lines_: DataFrame, page: list[str], tolerance: float = 15.0) ->
     near = F.array_min(F.transform("columns", lambda c, i: F.struct(F.abs(c - F.col("box")["x0"]).alias("d"), i.alias("i"))))
     held = plain.join(columns, page).join(enough, page).filter(F.col("box")["y0"] >= F.col("top")).withColumn("near", near).filter(F.col("near.d") < tolerance)
     # the rows of what is left, each with its columns' texts from top to bottom
-    placed = visual_rows(held.select(*page, "pos", "box", "text"), page).join(columns, page).withColumn("near", near)
+    placed = visual_rows(held.select(*page, "pos", "box", "text"), page).join(columns, page).join(enough, page).withColumn("near", near)
     b = F.col("box")
     entry = F.struct(b["y0"].alias("y"), b["x0"].alias("x"), "pos", F.col("near.i").alias("i"), "text")
-    level = placed.groupBy(*page, "row_no").agg(F.array_sort(F.collect_list(entry)).alias("parts"), F.min_by(b["y0"], F.struct(b["y0"], b["x0"], "pos")).alias("y"), F.bool_or(F.col("near.i") == 0).alias("first"), F.first(F.size("columns")).alias("n_cols"))
+    level = placed.groupBy(*page, "row_no").agg(F.array_sort(F.collect_list(entry)).alias("parts"), F.min_by(b["y0"], F.struct(b["y0"], b["x0"], "pos")).alias("y"), F.bool_or(F.col("near.i") == 0).alias("first"), F.first(F.size("columns")).alias("n_cols"), F.first("top").alias("top"))
     order, all_ = Window.partitionBy(*page).orderBy("row_no"), Window.partitionBy(*page)
     stepped = level.withColumn("step", F.col("y") - F.lag("y").over(order)).withColumn("steps", F.array_sort(F.collect_list("step").over(all_)))
     usual = F.get("steps", F.floor(F.size("steps") / 4).cast("int"))
@@ -126,10 +132,10 @@ def slide_tables(lines_: DataFrame, page: list[str], tolerance: float = 15.0) ->
     above = F.lag("first").over(order)
     new = F.when(above.isNull(), True).when(~F.col("first"), False).when(even | ~above, True).otherwise(F.col("step") > 1.3 * usual)
     numbered = stepped.withColumn("new", new.cast("int")).withColumn("r", F.sum("new").over(order))
-    whole = numbered.groupBy(*page, "r").agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("row_no", "parts"))), lambda x: x["parts"])).alias("parts"), F.first("n_cols").alias("n_cols"))
+    whole = numbered.groupBy(*page, "r").agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("row_no", "parts"))), lambda x: x["parts"])).alias("parts"), F.first("n_cols").alias("n_cols"), F.first("top").alias("top"))
     text = lambda i: F.aggregate(F.filter("parts", lambda p: p["i"] == i), F.lit(""), lambda told, p: join_lines(told, F.coalesce(p["text"], F.lit(""))))
-    cells = whole.select(*page, "r", F.transform(F.sequence(F.lit(0), F.col("n_cols") - 1), text).alias("cells"))
-    table = cells.select(*page, F.row_number().over(Window.partitionBy(*page).orderBy("r")).alias("row_no"), "cells", F.count(F.lit(1)).over(all_).alias("n"))
+    cells = whole.select(*page, "r", F.transform(F.sequence(F.lit(0), F.col("n_cols") - 1), text).alias("cells"), F.transform("parts", lambda p: p["pos"]).alias("places"), "top")
+    table = cells.select(*page, F.row_number().over(Window.partitionBy(*page).orderBy("r")).alias("row_no"), "cells", "places", "top", F.count(F.lit(1)).over(all_).alias("n"))
     return table.filter("n >= 3").drop("n")
 
 

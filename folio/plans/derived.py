@@ -62,6 +62,13 @@ LAYOUTS = {
         UNION ALL SELECT o, pos * 10 + 3, CAST(200 + p % 5 AS DOUBLE), CAST(pos * 30 + 12 AS DOUBLE), CAST(250 AS DOUBLE), CAST(pos * 30 + 22 AS DOUBLE), 'wrapped ' || flag, NULL FROM dx_item WHERE q % 4 = 0
         UNION ALL SELECT o, pos * 10 + 4, CAST(41 AS DOUBLE), CAST(pos * 30 + 12 AS DOUBLE), CAST(80 AS DOUBLE), CAST(pos * 30 + 22 AS DOUBLE), 'longer', NULL FROM dx_item WHERE q % 9 = 0
         UNION ALL SELECT o, pos * 10 + 5, CAST(60 AS DOUBLE), CAST(pos * 30 + 20 AS DOUBLE), CAST(120 AS DOUBLE), CAST(pos * 30 + 30 AS DOUBLE), 'item', CAST(50 AS DOUBLE) FROM dx_item WHERE q % 11 = 0""",
+    # slides of decks: tables of terms on every third, else lines; titles of one or two lines, lines that go on; rasters and drawings
+    "dx_deck_line": """SELECT CAST(floor(page_idx / 20) AS BIGINT) AS deck_id, page_idx, pos, x0, y0 + 40 AS y0, x1, y1 + 40 AS y1, text, bullet_x FROM dx_grid WHERE page_idx % 3 = 0
+        UNION ALL SELECT deck_id, deck_id * 20 + page_idx, pos * 10, x0, y0 + 40, x1, y1 + 40, text, bullet_x FROM dx_line WHERE (deck_id * 20 + page_idx) % 3 <> 0
+        UNION ALL SELECT deck_id, deck_id * 20 + page_idx, pos * 10 + 4, x0 + pos * 3 - 8, y1 + 40 + pos * 3 - 6, x1, y1 + 52 + pos * 3 - 6, 'goes on-', NULL FROM dx_line WHERE (deck_id * 20 + page_idx) % 3 <> 0 AND confidence % 3 = 0
+        UNION ALL SELECT CAST(floor(o / 20) AS BIGINT), o, 9, CAST(30 AS DOUBLE), CAST(s % 3 AS DOUBLE), CAST(200 AS DOUBLE), CAST(s % 3 + 8 + q % 4 * 6 AS DOUBLE), 'Title ' || CAST(p AS STRING), NULL FROM dx_item WHERE pos = 1 AND q % 7 <> 0
+        UNION ALL SELECT CAST(floor(o / 20) AS BIGINT), o, 8, CAST(30 AS DOUBLE), CAST(s % 3 + 30 AS DOUBLE), CAST(200 AS DOUBLE), CAST(s % 3 + 38 + q % 4 * 6 AS DOUBLE), 'and ' || flag, NULL FROM dx_item WHERE pos = 1 AND q % 5 = 0""",
+    "dx_deck_area": """SELECT CAST(floor(o / 20) AS BIGINT) AS deck_id, o AS page_idx, CASE q % 5 WHEN 0 THEN 'raster' WHEN 1 THEN 'line' ELSE 'shape' END AS kind, CAST(p % 150 AS DOUBLE) AS x0, CAST(60 + p % 90 AS DOUBLE) AS y0, CAST(p % 150 + q AS DOUBLE) AS x1, CAST(80 + p % 90 + q AS DOUBLE) AS y1 FROM dx_item WHERE o % 4 <> 1""",
     # lines of image slides: course footers, some of them misread or small
     "dx_foot": """SELECT CAST(floor(o / 20) AS BIGINT) AS deck_id, CAST(o % 20 AS INT) AS page_idx, pos, CASE WHEN pos = 1 AND q % 5 = 0 THEN 'C0urse of Systoms' WHEN pos = 1 AND q % 5 = 1 THEN 'Course of Systems and more' WHEN pos = 1 THEN 'Course of Systems ' || CAST(q AS STRING) WHEN pos = 2 THEN 'Lecturer Nane ' || flag WHEN pos = 3 THEN 'page' ELSE 'line of text ' || flag END AS text,
         CAST(pos * 40 AS DOUBLE) AS y0, CAST(pos * 40 + CASE WHEN pos <= 2 AND s % 3 <> 0 THEN 8 ELSE 16 END AS DOUBLE) AS y1 FROM dx_item""",

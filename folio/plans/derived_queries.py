@@ -182,12 +182,16 @@ def join_sql(a: str, b: str) -> str:
     return rf"CASE WHEN rtrim({a}) = '' THEN trim({b}) WHEN regexp_matches(rtrim({a}), '\p{{L}}-$') AND regexp_matches(trim({b}), '^\p{{L}}') THEN rtrim({a}) || trim({b}) ELSE rtrim({a}) || ' ' || trim({b}) END"
 
 
-@query(f"""WITH RECURSIVE {cte('dx_stack')}, s AS (SELECT page_idx, row_number() OVER (PARTITION BY page_idx ORDER BY y0, x0, pos) AS i, x0, y0, x1, y1, (x0 + x1) / 2 AS c, text FROM dx_stack),
-f AS (SELECT page_idx, 0::BIGINT AS i, []::STRUCT(top DOUBLE, l DOUBLE, h DOUBLE, c DOUBLE, b DOUBLE, t VARCHAR)[] AS g FROM s GROUP BY 1
+#: Labels of the lines s (page_idx, i, x0, y0, x1, y1, c, text): r (page_idx, r, x, n).
+LABEL_SQL = f"""f AS (SELECT page_idx, 0::BIGINT AS i, []::STRUCT(top DOUBLE, l DOUBLE, h DOUBLE, c DOUBLE, b DOUBLE, t VARCHAR)[] AS g FROM s GROUP BY 1
   UNION ALL SELECT page_idx, i, CASE WHEN hit IS NULL THEN list_append(g, {{'top': y0, 'l': x0, 'h': y1 - y0, 'c': c, 'b': y1, 't': trim(text)}}) ELSE list_transform(g, lambda x, n: CASE WHEN n = hit THEN {{'top': x.top, 'l': x.l, 'h': x.h, 'c': c, 'b': y1, 't': {join_sql('x.t', 'text')}}} ELSE x END) END
     FROM (SELECT s.*, g, list_filter(range(1, len(g) + 1), lambda n: abs(g[n].c - s.c) < 20 AND s.y0 >= g[n].b AND s.y0 - g[n].b < 0.7 * (s.y1 - s.y0))[1] AS hit FROM f JOIN s ON s.page_idx = f.page_idx AND s.i = f.i + 1)),
 e AS (SELECT page_idx, arg_max(g, i) AS g FROM f GROUP BY 1), l AS (SELECT page_idx, unnest(g) AS x, generate_subscripts(g, 1) AS n FROM e),
-r AS (SELECT page_idx, n, x, x.top AS top, 1 AS r FROM l WHERE n = 1 UNION ALL SELECT l.page_idx, l.n, l.x, CASE WHEN abs(l.x.top - r.top) < 0.6 * greatest(l.x.h, 1) THEN r.top ELSE l.x.top END, CASE WHEN abs(l.x.top - r.top) < 0.6 * greatest(l.x.h, 1) THEN r.r ELSE r.r + 1 END FROM r JOIN l ON l.page_idx = r.page_idx AND l.n = r.n + 1)
+r AS (SELECT page_idx, n, x, x.top AS top, 1 AS r FROM l WHERE n = 1 UNION ALL SELECT l.page_idx, l.n, l.x, CASE WHEN abs(l.x.top - r.top) < 0.6 * greatest(l.x.h, 1) THEN r.top ELSE l.x.top END, CASE WHEN abs(l.x.top - r.top) < 0.6 * greatest(l.x.h, 1) THEN r.r ELSE r.r + 1 END FROM r JOIN l ON l.page_idx = r.page_idx AND l.n = r.n + 1)"""
+
+
+@query(f"""WITH RECURSIVE {cte('dx_stack')}, s AS (SELECT page_idx, row_number() OVER (PARTITION BY page_idx ORDER BY y0, x0, pos) AS i, x0, y0, x1, y1, (x0 + x1) / 2 AS c, text FROM dx_stack),
+{LABEL_SQL}
 SELECT page_idx, row_number() OVER (PARTITION BY page_idx ORDER BY r, x.l, n)::INTEGER AS no, x.t AS label FROM r""")
 def label_groups(spark, sf):
     return slides.label_groups(boxed(spark, sf, "dx_stack"), ["page_idx"])
@@ -331,7 +335,9 @@ def _rows_sql(name: str, source: str) -> str:
 {name} AS (SELECT *, y0 AS fy0, y1 AS fy1, 0 AS n FROM {name}_o WHERE i = 1 UNION ALL SELECT o.*, CASE WHEN {same} THEN r.fy0 ELSE o.y0 END, CASE WHEN {same} THEN r.fy1 ELSE o.y1 END, CASE WHEN {same} THEN r.n ELSE r.n + 1 END FROM {name} r JOIN {name}_o o ON o.page_idx = r.page_idx AND o.i = r.i + 1)"""
 
 
-@query(f"""WITH RECURSIVE {cte('dx_grid')}, plain AS (SELECT page_idx, pos, x0, y0, x1, y1, text FROM dx_grid WHERE bullet_x IS NULL), {_rows_sql('v', 'plain')},
+def table_sql() -> str:
+    """The tables of the lines of plain (page_idx, pos, x0, y0, x1, y1, text): cell (page_idx, r, k, t), rs, size, and pc, the lines that each is made of."""
+    return f"""{_rows_sql('v', 'plain')},
 g AS (SELECT *, coalesce(lead(x0) OVER (PARTITION BY page_idx, n ORDER BY x0) - x1 > 8, true) AS clear FROM v), wide AS (SELECT page_idx, n, min(y0) AS top FROM g GROUP BY ALL HAVING count(*) >= 2 AND bool_and(clear)),
 enough AS (SELECT page_idx, arg_min(top, n) - 2 AS top FROM wide GROUP BY 1 HAVING count(*) >= 3), xs AS (SELECT v.page_idx, v.x0 FROM v JOIN wide w ON w.page_idx = v.page_idx AND w.n = v.n JOIN enough e ON e.page_idx = v.page_idx),
 st AS (SELECT *, CASE WHEN x0 - lag(x0) OVER (PARTITION BY page_idx ORDER BY x0) <= 15 THEN 0 ELSE 1 END AS step FROM xs), cl AS (SELECT page_idx, x0, sum(step) OVER (PARTITION BY page_idx ORDER BY x0 ROWS UNBOUNDED PRECEDING) AS c FROM st),
@@ -343,7 +349,10 @@ q AS (SELECT page_idx, list_sort(list(step) FILTER (WHERE step IS NOT NULL)) AS
 nw AS (SELECT sp.page_idx, n, sum(CASE WHEN above IS NULL THEN 1 WHEN NOT f THEN 0 WHEN even OR NOT above THEN 1 WHEN step > 1.3 * usual THEN 1 ELSE 0 END) OVER (PARTITION BY sp.page_idx ORDER BY n) AS r FROM sp JOIN u ON u.page_idx = sp.page_idx),
 pc AS (SELECT h.page_idx, r, k, text, row_number() OVER (PARTITION BY h.page_idx, r, k ORDER BY h.n, y0, x0, pos) AS j FROM h JOIN nw ON nw.page_idx = h.page_idx AND nw.n = h.n),
 jn AS (SELECT page_idx, r, k, j, trim(text) AS t FROM pc WHERE j = 1 UNION ALL SELECT p.page_idx, p.r, p.k, p.j, {join_sql('jn.t', 'p.text')} FROM jn JOIN pc p ON p.page_idx = jn.page_idx AND p.r = jn.r AND p.k = jn.k AND p.j = jn.j + 1),
-cell AS (SELECT page_idx, r, k, arg_max(t, j) AS t FROM jn GROUP BY ALL), size AS (SELECT page_idx, max(n_cols) AS n_cols FROM kept GROUP BY 1), rs AS (SELECT DISTINCT page_idx, r FROM nw),
+cell AS (SELECT page_idx, r, k, arg_max(t, j) AS t FROM jn GROUP BY ALL), size AS (SELECT page_idx, max(n_cols) AS n_cols FROM kept GROUP BY 1), rs AS (SELECT DISTINCT page_idx, r FROM nw)"""
+
+
+@query(f"""WITH RECURSIVE {cte('dx_grid')}, plain AS (SELECT page_idx, pos, x0, y0, x1, y1, text FROM dx_grid WHERE bullet_x IS NULL), {table_sql()},
 line AS (SELECT rs.page_idx, rs.r, '| ' || string_agg(coalesce(replace(t, '|', '\\|'), ''), ' | ' ORDER BY c.k) || ' |' AS line FROM rs JOIN size s ON s.page_idx = rs.page_idx JOIN LATERAL (SELECT unnest(range(1, s.n_cols + 1)) AS k) c ON true LEFT JOIN cell x ON x.page_idx = rs.page_idx AND x.r = rs.r AND x.k = c.k GROUP BY ALL)
 SELECT page_idx, row_number() OVER (PARTITION BY page_idx ORDER BY r)::INTEGER AS row_no, line FROM line QUALIFY count(*) OVER (PARTITION BY page_idx) >= 3""")
 def slide_table(spark, sf):
