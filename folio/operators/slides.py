@@ -336,19 +336,24 @@ def best_structure(readings: DataFrame, page: list[str]) -> DataFrame:
     return readings.groupBy(*page).agg(best.alias("reading"))
 
 
-def text_slides(lines_: DataFrame, deck: list[str], slide: str = "page_idx", page_height: float = 540.0) -> tuple[DataFrame, DataFrame]:
-    """The slides of a deck with a text layer: (deck, slide, pos, role, level, text) without the lines that repeat at the edges of its slides, and
-    (deck, removed), up to five of these. lines_(deck, slide, pos, box, text, bullet_x)."""
+def without_repeats(lines_: DataFrame, deck: list[str], slide: str = "page_idx", page_height: float = 540.0) -> tuple[DataFrame, DataFrame]:
+    """The lines but for those that repeat at the edges of a deck's slides, and (deck, removed), up to five of these. lines_(deck, slide, pos, box, text, bullet_x)."""
     key = F.regexp_replace(normal_line(F.col("text")), r"\s+", " ")
     y = F.col("box")["y0"]
     edged = lines_.withColumn("y", y).withColumn("height", F.lit(page_height)).withColumn("footer", key)
     footers = repeated_lines(edged, deck, slide)
     at_edge = (F.col("y") > 0.88 * page_height) | (F.col("y") < 0.08 * page_height)
     marked = same_keys(edged, footers.select(*deck, "footer", F.lit(True).alias("repeats")), [*deck, "footer"], "left").withColumn("gone", F.coalesce(F.col("repeats"), F.lit(False)) & at_edge)
-    kept = marked.filter("NOT gone").select(*deck, slide, "pos", "box", "text", "bullet_x")
-    roles = structured(bullet_levels(kept, deck), deck, slide, page_height)
     first = marked.filter("gone").groupBy(*deck, "footer").agg(F.min_by("text", F.struct(slide, "pos")).alias("text"), F.min(F.struct(slide, "pos")).alias("at"))
     shown = first.groupBy(*deck).agg(F.transform(F.slice(F.array_sort(F.collect_list(F.struct("at", "text"))), 1, 5), lambda x: x["text"]).alias("removed"))
+    return marked.filter("NOT gone").select(*deck, slide, "pos", "box", "text", "bullet_x"), shown
+
+
+def text_slides(lines_: DataFrame, deck: list[str], slide: str = "page_idx", page_height: float = 540.0) -> tuple[DataFrame, DataFrame]:
+    """The slides of a deck with a text layer: (deck, slide, pos, role, level, text) without the lines that repeat at the edges of its slides, and
+    (deck, removed), up to five of these. lines_(deck, slide, pos, box, text, bullet_x). slide_parts.deck_structure joins the lines to what they make."""
+    kept, shown = without_repeats(lines_, deck, slide, page_height)
+    roles = structured(bullet_levels(kept, deck), deck, slide, page_height)
     return roles.select(*deck, slide, "pos", "role", "level", "text"), shown
 
 
