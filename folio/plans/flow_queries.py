@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from folio.functions.text import bare, escape_block, heading_case, join_lines, table_cell, without_picture_noise
-from folio.operators import figures, incremental, pack, slides, textclean, verify, vocab
+from folio.operators import book, figures, incremental, pack, slides, textclean, verify, vocab
 from folio.plans import fixtures
 from folio.plans.derived import cte, frame
 from folio.plans.derived_queries import FOOTERS, KEY, PAGES, boxed
@@ -123,6 +123,33 @@ def study_prompts(spark, sf):
     return pack.study_prompts(chapters, "conv_id", STUDY, fixtures.frame(spark, "fx_term"), "First.", "Last.", budget=90)
 
 
+def _books(spark, sf):
+    """Five conversations as a book: a page of contents, then a page a turn with its printed number; every third book has bookmarks, every third neither
+    these nor contents."""
+    from pyspark.sql import Window
+
+    turns = table(spark, sf, "conversations").select("conv_id", "turn", "text").withColumn("book_id", F.floor(F.col("conv_id") / 5))
+    n = F.row_number().over(Window.partitionBy("book_id").orderBy("conv_id", "turn", "text"))
+    body = turns.withColumn("page_idx", n)
+    starts = body.groupBy("book_id", "conv_id").agg(F.min("page_idx").alias("start")).withColumn("no", (F.col("conv_id") % 5 + 1).cast("string"))
+    entry = F.concat(F.lit("Chapter "), "no", F.lit(" Talk "), F.col("conv_id").cast("string"), F.lit(" of it "), F.col("start").cast("string"))
+    contents = starts.groupBy("book_id").agg(F.array_sort(F.collect_list(F.struct("start", entry.alias("e")))).alias("l"))
+    front = contents.select("book_id", F.lit(0).alias("page_idx"), F.when(F.col("book_id") % 3 != 2, F.concat(F.lit("Contents\n"), F.array_join(F.transform("l", lambda x: x["e"]), "\n"))).otherwise("A book").alias("text"))
+    pages = front.unionByName(body.select("book_id", "page_idx", F.concat(F.lit("Talks\n"), "text", F.lit("\n"), F.col("page_idx").cast("string")).alias("text"))).withColumn("height", F.lit(800.0))
+    bookmarks = starts.filter("book_id % 3 = 0").select("book_id", F.col("start").alias("pos"), F.lit(1).alias("level"), F.concat(F.lit("Chapter "), "no", F.lit(": Talk "), F.col("conv_id").cast("string")).alias("title"), (F.col("start") + 1).alias("page"))
+    documents = pages.groupBy("book_id").agg(F.count(F.lit(1)).cast("int").alias("n_pages")).withColumn("name", F.concat(F.lit("Talks, volume "), (F.floor(F.col("book_id") / 2)).cast("string")))
+    box = F.struct(*[F.lit(v).alias(k) for k, v in (("x0", 0.0), ("y0", 500.0), ("x1", 90.0), ("y1", 600.0))])
+    figs = body.filter("turn % 2 = 1").select("book_id", "page_idx", F.lit("figure").alias("kind"), F.col("page_idx").cast("string").alias("no"), F.lit("A part").alias("title"), F.concat(F.lit("figure-"), F.col("page_idx").cast("string"), F.lit(".png")).alias("file_name"), box.alias("box"), F.lit("").alias("labels"), F.lit(None).cast("string").alias("table_md"))
+    return pages, bookmarks, documents, figs
+
+
+@query()
+def book_package(spark, sf):
+    """All files of the packages of books, from their pages: chapters, study prompts, instructions and an index; held by tests/test_book.py."""
+    pages, bookmarks, documents, figs = _books(spark, sf)
+    return book.book_files(pages, bookmarks, documents, figs, fixtures.frame(spark, "fx_term"), ["book_id"], STUDY, budget=90)
+
+
 @query(f"WITH {cte('dx_item')}, n AS (SELECT o, count(*) AS n_chunks FROM dx_item WHERE q > 25 GROUP BY 1), c AS (SELECT DISTINCT o FROM dx_item) SELECT o, 'Chapter ' || o || ' (c' || o || '): ' || n_chunks || ' parts' AS instructions FROM c JOIN n USING (o)")
 def chunk_instructions(spark, sf):
     items = frame(spark, sf, "dx_item")
