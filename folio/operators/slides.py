@@ -7,7 +7,7 @@ slide (some dozens of lines) or by distinct values of a deck.
 
 from __future__ import annotations
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -53,7 +53,7 @@ def bullet_levels(lines_: DataFrame, deck: list[str], tolerance: float = 10.0) -
 def matched_bullets(lines_: DataFrame, marks: DataFrame, page: list[str]) -> DataFrame:
     """(page, mark, pos): each bullet glyph takes the nearest line to its right (90 points) at its height, no line twice.
 
-    marks(page, mark, x, yc). Pairs come from a join by page and range; the greedy choice runs within a page.
+    marks(page, mark, x, yc). Pairs come from a join by page and range; a page's pairs are one row in the order of choice, and batches of pages are decided together.
     """
     b = F.col("box")
     h = b["y1"] - b["y0"]
@@ -61,15 +61,29 @@ def matched_bullets(lines_: DataFrame, marks: DataFrame, page: list[str]) -> Dat
     off = F.abs((b["y0"] + b["y1"]) / 2 - F.col("yc"))
     ranked = near.select(*page, "mark", "pos", (off > 0.6 * h).alias("far"), (b["x0"] - F.col("x")).alias("dx"), off.alias("dy"))
 
-    def choose(rows: pd.DataFrame) -> pd.DataFrame:
-        taken, out = set(), []
-        for _, r in rows.sort_values(["mark", "far", "dx", "dy", "pos"]).iterrows():
-            if ("m", r["mark"]) not in taken and ("p", r["pos"]) not in taken:
-                taken |= {("m", r["mark"]), ("p", r["pos"])}
-                out.append({**{p: r[p] for p in page}, "mark": r["mark"], "pos": r["pos"]})
-        return pd.DataFrame(out, columns=[*page, "mark", "pos"])
-
-    return ranked.groupBy(*page).applyInPandas(choose, ranked.select(*page, "mark", "pos").schema)
+    kinds = {c: ranked.schema[c].dataType.simpleString() for c in ("mark", "pos")}
+
+    @F.arrow_udf(f"array<struct<mark:{kinds['mark']},pos:{kinds['pos']}>>")
+    def choose(pages: pa.Array) -> pa.Array:
+        flat, kept, ends, at = pages.flatten(), [], [0], 0
+        marks, places = (flat.field(flat.type.get_field_index(c)) for c in ("mark", "pos"))
+        told = list(zip(marks.to_pylist(), places.to_pylist(), strict=True))
+        for n in pages.value_lengths().to_pylist():
+            of_mark, of_place = set(), set()
+            for i in range(at, at + n):
+                mark, place = told[i]
+                if mark in of_mark or place in of_place:
+                    continue
+                of_mark |= {mark} - {None}
+                of_place |= {place} - {None}
+                kept.append(i)
+            at += n
+            ends.append(len(kept))
+        kept = pa.array(kept, pa.int64())
+        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.StructArray.from_arrays([marks.take(kept), places.take(kept)], ["mark", "pos"]))
+
+    whole = ranked.groupBy(*page).agg(F.array_sort(F.collect_list(F.struct("mark", "far", "dx", "dy", "pos"))).alias("near"))
+    return whole.select(*page, F.explode(choose(F.col("near"))).alias("m")).select(*page, "m.mark", "m.pos")
 
 
 def repeated_lines(lines_: DataFrame, deck: list[str], slide: str = "page_idx") -> DataFrame:
