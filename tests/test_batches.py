@@ -23,6 +23,38 @@ def parts_of(nodes, near):
 
 
 
+def test_connected_pages(spark):
+    rng = random.Random(1)
+    rows = [(p, rng.randrange(12), rng.randrange(12)) for p in range(40) for _ in range(rng.randrange(1, 9))] + [(99, 5, 5)]
+    found = spatial.connected(spark.createDataFrame(rows, "page int, a long, b long"), ["page"], "a", "b")
+    assert not calls_by_group(found)
+    want = set()
+    for p in {r[0] for r in rows}:
+        own = [r[1:] for r in rows if r[0] == p]
+        label = parts_of({x for r in own for x in r}, lambda n, m, own=own: (n, m) in own or (m, n) in own)
+        want |= {(p, k, v) for k, v in label.items()}
+    got = [tuple(r) for r in found.collect()]
+    assert len(got) == len(want) and set(got) == want
+
+
+def test_ink_of_pages(spark):
+    rng = random.Random(2)
+    cells = {(p, rng.randrange(-8, 12), rng.randrange(-8, 12)) for p in range(30) for _ in range(rng.randrange(1, 15))} | {(31, 10**7, -(10**7)), (31, 0, 0), (31, 3, 0)}
+    found = spatial.ink_regions(spark.createDataFrame([*cells, *list(cells)[:20]], "page int, gx int, gy int"), ["page"], (9.0, 3.0), 2.0)
+    assert not calls_by_group(found)
+    got = {}
+    for r in found.collect():
+        for x in range(int(r.box.x0 / 2), int(r.box.x1 / 2)):
+            got[r.page, r.place, x, int(r.box.y0 / 2)] = r.region
+    want = {}
+    for p in {c[0] for c in cells}:
+        own = sorted(((y, x) for q, x, y in cells if q == p))
+        for place, reach in enumerate((5, 3)):  # 9 and 3 points at 2 a cell
+            label = parts_of(range(len(own)), lambda i, j, own=own, reach=reach: abs(own[i][0] - own[j][0]) + abs(own[i][1] - own[j][1]) <= reach)
+            want |= {(p, place, x, y): label[i] for i, (y, x) in enumerate(own)}
+    assert got == want
+
+
 def test_bullets_of_pages(spark):
     rng = random.Random(3)
     lines = [(p, i, float(rng.randrange(40, 90)), float(rng.randrange(0, 60, 5))) for p in range(30) for i in range(rng.randrange(1, 8))]
