@@ -22,7 +22,6 @@ def parts_of(nodes, near):
         label = now
 
 
-
 def test_connected_pages(spark):
     rng = random.Random(1)
     rows = [(p, rng.randrange(12), rng.randrange(12)) for p in range(40) for _ in range(rng.randrange(1, 9))] + [(99, 5, 5)]
@@ -88,3 +87,18 @@ def test_captions_of_pages(spark):
         taken.add((r.page, c))
         want[r.page, r.no] = (d, c is None)
     assert {(r.page, r.no): (r.distance, r.missing) for r in found.collect()} == want
+
+
+def test_title_as_the_query_joins_it(spark):
+    """Lines of a title that end with a hyphen: the operator closes them up, the query's SQL sets a space."""
+    import inspect
+
+    from folio.plans import slide_queries
+
+    assert "string_agg(trim(text), ' ' ORDER BY pos)" in slide_queries.O["slide_structures"]
+    lines = spark.createDataFrame([(1, 0, 0, 30.0, 10.0, 200.0, 40.0, "goes on-", None), (1, 0, 1, 30.0, 45.0, 200.0, 75.0, "goes on-", None), (1, 0, 2, 30.0, 300.0, 200.0, 310.0, "body", None)], "deck_id int, page_idx int, pos int, x0 double, y0 double, x1 double, y1 double, text string, bullet_x double")
+    areas = figures.boxes(spark.createDataFrame([], "deck_id int, page_idx int, kind string, x0 double, y0 double, x1 double, y1 double"))
+    titles = lambda **how: [r.title for r in slide_parts.slide_structure(figures.boxes(lines), areas, ["deck_id"], **how).collect()]
+    assert titles() == ["goes on-goes on-"]
+    assert titles(joined=lambda told, line: F.concat_ws(" ", F.nullif(told, F.lit("")), line)) == ["goes on- goes on-"]
+    assert "joined=spaced" in inspect.getsource(slide_queries.slide_structures)
