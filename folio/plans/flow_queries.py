@@ -218,6 +218,16 @@ def far_parts(spark, sf):
 ROUND = r"""t AS (SELECT conv_id, turn + 1 AS slide_no, role, list_filter(list_transform(string_split(text, chr(10)), lambda x: trim(regexp_replace(x, '\s+', ' ', 'g'))), lambda x: x <> '') AS l FROM conversations)"""
 
 
+def _files(write):
+    """(path, rows) to (path, content): files written some at a time."""
+
+    def made(batches):
+        for b in decks.slices(batches):
+            yield pa.RecordBatch.from_arrays([b.column(0), write(b.column(1))], names=["path", "content"])
+
+    return made
+
+
 def _written(turns: pa.Array) -> pa.Array:
     """array<struct<turn, role, text>> to a deck: a slide a turn, with its lines as items, a table, a hidden mark on every fifth, and notes."""
     out = []
@@ -235,7 +245,7 @@ def _written(turns: pa.Array) -> pa.Array:
 def deck_round_trip(spark, sf):
     """Conversations written as .pptx decks and read back: titles, items with levels, tables, hidden slides and notes."""
     talks = table(spark, sf, "conversations").groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "role", "text"))).alias("t"))
-    files = talks.select(F.col("conv_id").cast("string").alias("path"), F.arrow_udf(_written, "binary")("t").alias("content"))
+    files = talks.select(F.col("conv_id").cast("string").alias("path"), "t").mapInArrow(_files(_written), "path string, content binary")
     read = decks.slides(decks.parsed(files))
     items = F.transform("items", lambda x: F.concat_ws(" ", x["kind"], x["level"].cast("string"), x["text"]))
     return read.select(F.col("path").cast("long").alias("conv_id"), "slide_no", "hidden", "title", F.array_join(items, "\n").alias("items"), F.array_join("flags", ",").alias("flags"), "notes")
@@ -266,7 +276,7 @@ def deck_pictures(spark, sf):
     items = frame(spark, sf, "dx_item").select(F.floor(F.col("o") / 20).alias("deck_id"), F.col("o").alias("page_idx"), "pos", "p", "q")
     pages = items.groupBy("deck_id", "page_idx").agg(F.array_sort(F.collect_list(F.struct("pos", "p", "q"))).alias("pictures"))
     decks_ = pages.groupBy("deck_id").agg(F.array_sort(F.collect_list(F.struct("page_idx", "pictures"))).alias("s"))
-    files = decks_.select(F.col("deck_id").cast("string").alias("path"), F.arrow_udf(_pictured, "binary")("s").alias("content"))
+    files = decks_.select(F.col("deck_id").cast("string").alias("path"), "s").mapInArrow(_files(_pictured), "path string, content binary")
     return pictures.once(pictures.embedded(files)).select(F.col("path").cast("long").alias("deck_id"), "slide_no", "place", "width", "height", "n")
 
 

@@ -180,11 +180,21 @@ class PptxSource(DataSource):
         return _Reader(self.options)
 
 
+#: Files that a Python worker has open at a time.
+AT_A_TIME = 32
+
+
+def slices(batches, most: int = AT_A_TIME):
+    """Record batches cut into ones of `most` rows: a batch of Spark's may hold thousands of files, and what is made of each is larger than the file."""
+    for b in batches:
+        for at in range(0, b.num_rows, most):
+            yield b.slice(at, most)
+
+
 def parsed(files: DataFrame, content: str = "content") -> DataFrame:
     """The same rows from binaryFile's content, and error for a deck that cannot be read (its other columns are null)."""
 
-    @F.arrow_udf(f"rows {PARAGRAPH}, error string")
-    def read(contents: pa.Array) -> pa.Array:
+    def read(contents: pa.Array) -> list[pa.Array]:
         rows, errors = [], []
         for c in contents:
             try:
@@ -195,9 +205,14 @@ def parsed(files: DataFrame, content: str = "content") -> DataFrame:
                 errors.append(f"{type(e).__name__}: {e}"[:200])
         types = [pa.int32(), pa.int32(), pa.string(), pa.string(), pa.int32(), pa.string(), pa.float64(), pa.float64(), pa.float64(), pa.float64(), pa.bool_()]
         kind = pa.list_(pa.struct(list(zip(NAMES, types, strict=True))))
-        return pa.StructArray.from_arrays([pa.array(rows, kind), pa.array(errors, pa.string())], ["rows", "error"])
+        return [pa.array(rows, kind), pa.array(errors, pa.string())]
+
+    def opened(batches):
+        for b in slices(batches):
+            yield pa.RecordBatch.from_arrays([b.column(0), *read(b.column(1))], names=["path", "rows", "error"])
 
-    return files.select("path", read(F.col(content)).alias("r")).select("path", "r.error", F.explode_outer("r.rows").alias("p")).select("path", "error", "p.*")
+    read_ = files.select("path", F.col(content).alias("content")).mapInArrow(opened, f"path {files.schema['path'].dataType.simpleString()}, rows {PARAGRAPH}, error string")
+    return read_.select("path", "error", F.explode_outer("rows").alias("p")).select("path", "error", "p.*")
 
 
 def slides(rows: DataFrame) -> DataFrame:

@@ -19,11 +19,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from folio.functions.geometry import area
-from folio.sources.decks import _A, _R, _related
+from folio.sources.decks import _A, _R, _related, slices
 
 MEDIA = "path string, slide_no int, place int, part string, width int, height int, sha1 string, content binary"
 #: Pixels of the shorter side below which a picture is a mark.
 LEAST_SIDE = 48
+#: Bytes of pictures that are handed on together.
+MOST_BYTES = 1 << 20
 
 
 def size_of(data: bytes) -> tuple[int, int] | None:
@@ -60,16 +62,25 @@ def embedded(files: DataFrame) -> DataFrame:
     kinds = {"string": pa.string(), "int": pa.int32(), "binary": pa.binary()}
     schema = pa.schema([pa.field(*(lambda n, k: (n, kinds[k]))(*c.split(" "))) for c in MEDIA.split(", ")])
 
+    def batch(rows):
+        return pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(zip(*rows, strict=True), schema, strict=True)], names=names)
+
     def read(batches):
-        for b in batches:
+        for b in slices(batches):
+            rows, size = [], 0
             for path, content in zip(b.column(0).to_pylist(), b.column(1), strict=True):
                 try:
                     found = list(pictures_of(content.as_py() or b""))
                 except (zipfile.BadZipFile, ElementTree.ParseError, KeyError):
                     continue
-                for slide, place, part, data in found:  # a picture at a time: they may be large
-                    row = [path, slide, place, part, *(size_of(data) or (None, None)), hashlib.sha1(data).hexdigest(), data]
-                    yield pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(row, schema, strict=True)], names=names)
+                for slide, place, part, data in found:
+                    rows.append([path, slide, place, part, *(size_of(data) or (None, None)), hashlib.sha1(data).hexdigest(), data])
+                    size += len(data)
+                    if size > MOST_BYTES:  # large ones leave at once
+                        yield batch(rows)
+                        rows, size = [], 0
+            if rows:
+                yield batch(rows)
 
     return files.select("path", "content").mapInArrow(read, MEDIA)
 

@@ -102,3 +102,20 @@ def test_title_as_the_query_joins_it(spark):
     assert titles() == ["goes on-goes on-"]
     assert titles(joined=lambda told, line: F.concat_ws(" ", F.nullif(told, F.lit("")), line)) == ["goes on- goes on-"]
     assert "joined=spaced" in inspect.getsource(slide_queries.slide_structures)
+
+
+def test_files_some_at_a_time(spark):
+    """However many decks a batch of Spark's holds, some are written at a time; all are read back."""
+    import pyarrow as pa
+
+    from folio.plans import flow_queries
+    from folio.sources import decks, pictures
+
+    n = 3 * decks.AT_A_TIME + 5
+    rows = [[{"page_idx": 0, "pictures": [{"pos": 1, "p": i, "q": 0}]}] for i in range(n)]
+    whole = pa.RecordBatch.from_arrays([pa.array([str(i) for i in range(n)]), pa.array(rows)], names=["path", "s"])
+    made = list(flow_queries._files(flow_queries._pictured)([whole]))
+    assert [b.num_rows for b in made] == [decks.AT_A_TIME] * 3 + [5]
+    files = spark.createDataFrame([(p, bytes(c)) for b in made for p, c in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True)] + [("broken", b"no deck")], "path string, content binary")
+    assert {(r.path, r.width) for r in pictures.embedded(files).collect()} == {(str(i), 30 + i % 9 * 10) for i in range(n)}
+    assert {r.path for r in decks.parsed(files).filter("error IS NOT NULL").select("path").distinct().collect()} == {"broken"}
