@@ -139,10 +139,11 @@ def candidates(classes: DataFrame) -> tuple[DataFrame, DataFrame, list[DataFrame
         near = near.select("id", F.explode(F.array_compact("others")).alias("other"))
         found.append(near.select(*pair(F.col("id"), F.col("other"))))
         crowded = live.filter(F.col("c") > FEW)
-        weight = crowded.groupBy("id").agg(F.sum("c").alias("weight"))
+        # of one class: a row for each tree at most
+        weighted = crowded.withColumn("weight", F.sum("c").over(Window.partitionBy("id")))
         chosen = F.xxhash64("id", "h").bitwiseAND(F.lit((1 << 20) - 1))
         rank = F.when(F.col("h").bitwiseAND(F.lit(1)) == 0, F.col("weight") * (1 << 20)).otherwise(0) + chosen
-        pivots = crowded.join(weight, "id").groupBy(*key).agg(F.max_by("id", rank).alias("pivot"))
+        pivots = weighted.groupBy(*key).agg(F.max_by("id", rank).alias("pivot"))
         found.append(crowded.join(pivots, key).filter("id <> pivot").select(*pair(F.col("id"), F.col("pivot"))))
         crowds = crowds or crowded.select("h", "id")
         rows = crowded.select("id", "h", "s1", "s2", "c")
