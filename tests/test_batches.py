@@ -119,3 +119,60 @@ def test_files_some_at_a_time(spark):
     files = spark.createDataFrame([(p, bytes(c)) for b in made for p, c in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True)] + [("broken", b"no deck")], "path string, content binary")
     assert {(r.path, r.width) for r in pictures.embedded(files).collect()} == {(str(i), 30 + i % 9 * 10) for i in range(n)}
     assert {r.path for r in decks.parsed(files).filter("error IS NOT NULL").select("path").distinct().collect()} == {"broken"}
+
+
+def test_signs_are_not_shuffled(spark):
+    """Lines go to their page as texts and come apart there: exchanges of the table's rows and of whole lines only, no window or join over single characters."""
+    from folio.plans import scan_queries
+
+    for name in ("char_lines", "false_spaces"):
+        plan = scan_queries.Q[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") <= 2 and "posexplode" not in plan and "Join" not in plan, name
+
+
+def test_characters_of_pages(spark):
+    """Characters in any order, two columns, bullets, a page of nothing but a bullet and one without characters with a box: as a plain loop over a page has it."""
+    from folio.operators import ocr
+
+    rng, rows = random.Random(5), []
+    for p in range(25):
+        for y in range(rng.randrange(1, 5)):
+            for x in (20.0, 220.0)[: rng.randrange(1, 3)]:
+                marked, text = rng.random() < 0.4, rng.choice(["ab cd", "x", "a b", "word of", " "])
+                rows += [(p, "•", 10.0, "Symbol", x - 12, y * 20.0, x - 8, y * 20.0 + 10)] if marked else []
+                rows += [(p, c, 10.0 if i else None, "Arial", x + 6 * i, y * 20.0 + rng.random(), x + 6 * i + (2 if c == " " and i == 1 else 6), y * 20.0 + 10 + rng.random()) for i, c in enumerate(text)]
+    rows += [(98, "•", 10.0, "Symbol", 1.0, 1.0, 5.0, 9.0), (97, None, 10.0, "Arial", 1.0, 1.0, 5.0, 9.0)]
+    rng.shuffle(rows)
+    chars = spark.createDataFrame(rows, "page int, c string, size double, font string, x0 double, y0 double, x1 double, y1 double").select("page", "c", "size", "font", rect("x0", "y0", "x1", "y1").alias("box"))
+    chars = chars.unionByName(chars.filter("page = 98").select(F.lit(96).alias("page"), "c", "size", "font", F.when(F.lit(False), F.col("box")).alias("box")))
+    lines, marks = ocr.char_lines(chars, ["page"])
+    want, bullets = set(), set()
+    for p in {r[0] for r in rows}:
+        own = sorted((r for r in rows if r[0] == p and r[1] is not None), key=lambda r: r[7])
+        heights = []
+        for r in own:
+            heights = [*heights[:-1], [*heights[-1], r]] if heights and r[7] - heights[-1][-1][7] <= 3 else [*heights, [r]]
+        made = []
+        for k, row in enumerate(heights):
+            parts = []
+            for r in sorted(row, key=lambda r: r[4:5] + r[6:7]):
+                parts = [*parts[:-1], [*parts[-1], r]] if parts and r[4] - parts[-1][-1][6] <= 1.6 * max(r[2] or 1, 1) else [*parts, [r]]
+            for part in parts:
+                kind = lambda r: (r[3], max(r[2] or 1, 1))
+                alone = [(i == 0 or kind(part[i - 1]) != kind(r)) and (i + 1 == len(part) or kind(part[i + 1]) != kind(r)) for i, r in enumerate(part)]
+                n = 0
+                while n < len(part) and (part[n][1] == " " or (part[n][1] == "•" and alone[n])):
+                    n += 1
+                made.append((k, (part[n] if n < len(part) else part[0])[4], part, alone, n))
+        for no, (_, _, part, alone, n) in enumerate(sorted(made, key=lambda m: m[:2]), 1):
+            bullets |= {(p, no, r[4], (r[5] + r[7]) / 2) for r in part[:n] if r[1] == "•"}
+            rest, one = part[n:], alone[n:]
+            wide = [(r[6] - r[4]) / max(r[2] or 1, 1) for r in rest]
+            gaps = sorted(w for r, w in zip(rest, wide, strict=True) if r[1] == " ")
+            small = lambda i, rest=rest: 0 <= i < len(rest) and rest[i][1].islower()
+            text = "".join(r[1] for i, r in enumerate(rest) if not (r[1] == " " and small(i - 1) and small(i + 1) and (wide[i] < 0.72 * gaps[len(gaps) // 2] or one[i])))
+            if text.strip():
+                seen = [r for r in rest if r[1] != " "]
+                want.add((p, no, " ".join(text.split()), max(max(r[2] or 1, 1) for r in rest), min(r[4] for r in seen), min(r[5] for r in rest), max(r[6] for r in rest), max(r[7] for r in rest)))
+    assert {(r.page, r.line_no, r.text, r.size, *r.box) for r in lines.collect()} == want and len(want) > 40
+    assert {(r.page, r.line_no, r.x, r.yc) for r in marks.collect()} == bullets and len(bullets) > 10
