@@ -12,13 +12,17 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from folio.functions.text import content_words, tokens
-from folio.plans.runtime import same_keys
+from folio.plans.runtime import checkpointed, same_keys
 
 SHORT, SHORT_FROM = 0.55, 40
 BRIEF, BRIEF_FROM = 0.4, 120
 
 
-def _compared(source: pa.Array, output: pa.Array) -> pa.Array:
+#: Words of both texts that are compared at a time; a longer row is compared by itself.
+AT_A_TIME = 500_000
+
+
+def _counted(source: pa.Array, output: pa.Array) -> list[np.ndarray]:
     """Multiset counts of two token lists in each row: words become numbers, and equal (row, word) numbers are counted side by side."""
     n = len(source)
     lists = (source, output)  # never null, as tokens() has it
@@ -28,8 +32,19 @@ def _compared(source: pa.Array, output: pa.Array) -> pa.Array:
     keys, place = np.unique(np.concatenate(rows) * width + codes, return_inverse=True)
     s, o = (np.bincount(p, minlength=len(keys)) for p in (place[:cut], place[cut:]))
     both, owner = np.minimum(s, o), keys // width
-    sums = [np.bincount(owner, c, n).astype(np.int64) for c in (s, both, s - both, o - both)]
-    return pa.StructArray.from_arrays([pa.array(x) for x in sums], ["total", "common", "missing", "extra"])
+    return [np.bincount(owner, c, n).astype(np.int64) for c in (s, both, s - both, o - both)]
+
+
+def _compared(source: pa.Array, output: pa.Array) -> pa.Array:
+    """_counted for some rows at a time, so that its arrays of numbers do not grow with the batch that Spark sends."""
+    words_ = np.cumsum(np.diff(source.offsets.to_numpy()) + np.diff(output.offsets.to_numpy()))
+    sums, start = [], 0
+    while start < len(source):
+        end = max(start + 1, int(np.searchsorted(words_, (words_[start - 1] if start else 0) + AT_A_TIME, "right")))
+        sums.append(_counted(source.slice(start, end - start), output.slice(start, end - start)))
+        start = end
+    columns = [np.concatenate(c) for c in zip(*sums, strict=True)] if sums else [np.zeros(0, np.int64)] * 4
+    return pa.StructArray.from_arrays([pa.array(c) for c in columns], ["total", "common", "missing", "extra"])
 
 
 def covered(source: Column, output: Column, expected: Column | None = None) -> Column:
@@ -136,13 +151,22 @@ def answer_issues(source: DataFrame, answer: DataFrame, key: list[str]) -> DataF
     return both.select(*key, "page_no", F.explode(codes).alias("code"))
 
 
+#: A word of more rows than these is frequent.
+FREQUENT = 20_000
+
+
 def ocr_accepted(words: DataFrame, vocabulary: DataFrame, page: list[str]) -> DataFrame:
     """Whether a page's OCR can be trusted: mean confidence 90, two words, and 90 % of its words of three letters known (if the vocabulary
     has 1,000 words). vocabulary(word) joins by word, whatever its size."""
     size = vocabulary.agg(F.count(F.lit(1)).alias("vocabulary_size"))
     word = F.lower(F.regexp_replace("text", r"[^\p{L}]", ""))
     known = vocabulary.select(F.col("word").alias("w"), F.lit(1).alias("known")).dropDuplicates(["w"])
-    rows = words.withColumn("w", word).join(known, "w", "left")
+    # a word that very many rows have is told to all tasks (there are few such words); the rows of the others are joined by word, none of which is large
+    rows = words.select(*page, "conf", word.alias("w"))
+    hot = checkpointed(rows.groupBy("w").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > FREQUENT).select("w").join(known, "w", "left").withColumn("hot", F.lit(1)))
+    rows = rows.join(F.broadcast(hot), "w", "left")
+    told, others = rows.filter("hot = 1").drop("hot"), rows.filter("hot IS NULL").drop("hot", "known")
+    rows = told.unionByName(others.join(known, "w", "left"))
     long = F.length("w") >= 3
     sums = rows.groupBy(*page).agg(F.avg("conf").alias("confidence"), F.count(F.lit(1)).alias("n_words"), F.sum(F.when(long, 1).otherwise(0)).alias("long_words"), F.sum(F.when(long & F.col("known").isNotNull(), 1).otherwise(0)).alias("known_words"))
     good = (F.col("confidence") >= 90) & (F.col("n_words") >= 2) & ((F.col("vocabulary_size") < 1000) | (F.col("known_words") >= 0.9 * F.col("long_words")))
