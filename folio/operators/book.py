@@ -32,10 +32,13 @@ def _apart(df: DataFrame, name: str, to: str, within: list[str], order: list[str
 def book_chapters(pages: DataFrame, bookmarks: DataFrame, documents: DataFrame, book: list[str]) -> DataFrame:
     """(book, kind, no, title, first_page, last_page, way): from the bookmarks, else from printed contents and the offset of page numbers, else the whole
     book as one. pages(book, page_idx, text), bookmarks(book, pos, level, title, page), documents(book, n_pages)."""
-    contents = structure.chapters_from_contents(structure.contents_entries(pages, book), structure.page_offset(pages, book), documents, book)
+    # each is read by several steps: kept, none of them is worked out again within the plan of the next
+    documents = kept(documents.select(*book, "n_pages"), "book-documents")
+    entries, offsets = kept(structure.contents_entries(pages, book), "book-entries"), kept(structure.page_offset(pages, book).select(*book, "page_offset"), "book-offsets")
     columns = [*book, "kind", "no", "title", "first_page", "last_page"]
-    tries = {"bookmarks": structure.chapters_from_bookmarks(bookmarks, documents, book), "contents": contents, "whole": structure.single_chapter(pages, documents, book)}
-    return structure.first_found(*[t.select(*columns, F.lit(way).alias("way")) for way, t in tries.items()], book=book).filter("last_page >= first_page")
+    tries = {"bookmarks": structure.chapters_from_bookmarks(bookmarks, documents, book), "contents": structure.chapters_from_contents(entries, offsets, documents, book), "whole": structure.single_chapter(pages, documents, book)}
+    made = [kept(t.select(*columns, F.lit(way).alias("way")), f"book-{way}") for way, t in tries.items()]
+    return structure.first_found(*made, book=book).filter("last_page >= first_page")
 
 
 def named_chapters(chapters: DataFrame, documents: DataFrame, book: list[str]) -> DataFrame:
@@ -59,7 +62,7 @@ def chapter_texts(pages: DataFrame, chapters: DataFrame, figures: DataFrame, boo
     linked = linked.select(*page, "text", "before", "after", "page_offset", (F.col("page_idx") - F.col("page_offset") + 1).cast("int").alias("printed_no"))
     ranges = chapters.select(*book, "folder", F.explode(F.sequence(F.col("first_page").cast("int"), F.col("last_page").cast("int"))).alias("page_idx"))
     rows = kept(ranges.join(linked, page), "book-pages")  # read for the text, for the hyphens of its lines and for the offsets
-    cleaned = clean_chapters(rows, ["folder"])
+    cleaned = kept(clean_chapters(rows, ["folder"]), "book-cleaned")  # each word of it may be repaired, so it is read more than once
     whole = repair_hyphens(cleaned, rows.select("folder", F.col("text").alias("md")), ["folder"], "md")
     shown = figures.join(ranges, page).groupBy("folder").agg(F.count(F.lit(1)).alias("n_figures"))
     facts = rows.groupBy("folder").agg(F.max("page_offset").alias("page_offset"))

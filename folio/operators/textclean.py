@@ -210,11 +210,12 @@ def clean_chapters(pages: DataFrame, chapter: list[str], order: str = "page_idx"
     rows = pages.select(*[F.col(f"`{c}`") for c in dict.fromkeys([*chapter, order])], F.col(f"`{printed}`").alias("printed_no"), "before", "after", F.coalesce(without_picture_noise(F.col(text)), F.lit("")).alias("text"))
     rows = remove_headers(remove_page_numbers(rows), chapter).withColumn("text", loose_items(F.col("text")))
     blocks = F.filter(F.array("before", "text", "after"), lambda b: F.coalesce(strip(b), F.lit("")) != "")
-    rows = rows.withColumn("text", F.array_join(blocks, "\n\n"))
+    rows = checkpointed(rows.withColumn("text", F.array_join(blocks, "\n\n")))
     parts = paragraphs(rows, chapter, order)
     place = F.row_number().over(Window.partitionBy(*chapter).orderBy(order, "pos"))
-    joined = stitched(parts.select(*chapter, place.alias("pos"), "text"), chapter)
+    joined = stitched(checkpointed(parts.select(*chapter, place.alias("pos"), "text")), chapter)
     gathered = lambda between: F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "text"))), lambda p: p["text"]), between)
     md = joined.groupBy(*chapter).agg(gathered("\n\n").alias("text")).withColumn("text", tidy(capital_d(F.col("text"))))
+    md = checkpointed(md)  # its lines are read twice, with and without blank ones
     line = bullet_glyphs(md.select(*chapter, F.posexplode(F.split("text", "\n")).alias("pos", "text")), chapter)
     return line.groupBy(*chapter).agg(strip(F.regexp_replace(gathered("\n"), r"\n{3,}", "\n\n")).alias("md"))

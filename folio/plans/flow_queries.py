@@ -12,6 +12,7 @@ from folio.operators import book, figures, incremental, pack, slides, textclean,
 from folio.plans import fixtures
 from folio.plans.derived import cte, frame
 from folio.plans.derived_queries import FOOTERS, KEY, PAGES, boxed
+from folio.plans.runtime import kept
 from folio.plans.text_queries import table
 from folio.sources import deck_writer, decks, pictures
 
@@ -146,7 +147,7 @@ def _books(spark, sf):
 @query()
 def book_package(spark, sf):
     """All files of the packages of books, from their pages: chapters, study prompts, instructions and an index; held by tests/test_book.py."""
-    pages, bookmarks, documents, figs = _books(spark, sf)
+    pages, bookmarks, documents, figs = (kept(t, "book-input") for t in _books(spark, sf))  # as a decoded book would lie there
     return book.book_files(pages, bookmarks, documents, figs, fixtures.frame(spark, "fx_term"), ["book_id"], STUDY, budget=90)
 
 

@@ -176,3 +176,41 @@ def test_characters_of_pages(spark):
                 want.add((p, no, " ".join(text.split()), max(max(r[2] or 1, 1) for r in rest), min(r[4] for r in seen), min(r[5] for r in rest), max(r[6] for r in rest), max(r[7] for r in rest)))
     assert {(r.page, r.line_no, r.text, r.size, *r.box) for r in lines.collect()} == want and len(want) > 40
     assert {(r.page, r.line_no, r.x, r.yc) for r in marks.collect()} == bullets and len(bullets) > 10
+
+
+def test_words_compared_some_at_a_time(spark, monkeypatch):
+    """Numbers of a few words at a time, whatever a batch holds; a longer row stands alone, and the sums are those of the whole."""
+    import pyarrow as pa
+
+    from folio.operators import verify
+
+    rng, sizes, whole = random.Random(6), [], verify._counted
+    texts = [[[rng.choice("abcdef") for _ in range(rng.randrange(0, 30))] for _ in range(60)] for _ in range(2)]
+    arrays = [pa.array([["x"], *t], pa.list_(pa.string()))[1:] for t in texts]
+    want = [pa.array(c).to_pylist() for c in whole(*[pa.array(t, pa.list_(pa.string())) for t in texts])]
+    monkeypatch.setattr(verify, "AT_A_TIME", 20)
+    monkeypatch.setattr(verify, "_counted", lambda a, b: (sizes.append((len(a), len(a.flatten()) + len(b.flatten()))), whole(a, b))[1])
+    got = verify._compared(*arrays)
+    assert [c.to_pylist() for c in got.flatten()] == want and sum(n for n, _ in sizes) == 60 and all(n == 1 or w <= 20 for n, w in sizes)
+
+
+def test_frequent_words_of_pages(spark, monkeypatch):
+    """A word that many rows have is not joined by its rows; the result is the same however many count as many."""
+    from folio.operators import verify
+
+    words = spark.createDataFrame([(p, w, 95.0) for p in range(20) for w in ["word", "Word1", "odd", "other", None, "!"]], "page int, text string, conf double")
+    vocabulary = spark.createDataFrame([("word",), ("other",), ("word",)], "word string")
+    found = lambda: sorted(tuple(r) for r in verify.ocr_accepted(words, vocabulary, ["page"]).collect())
+    rare = found()
+    monkeypatch.setattr(verify, "FREQUENT", 15)
+    assert found() == rare == [(p, 95.0, 6, 3, True) for p in range(20)]
+
+
+def test_books_are_not_worked_out_twice(spark):
+    """The plan of a book's chapters reads what was kept: no page text is cut into lines in it, and its size is bounded."""
+    from folio.operators import book
+    from folio.plans import flow_queries
+
+    pages, bookmarks, documents, _ = flow_queries._books(spark, "/root/testdata/sf0.001")
+    plan = book.book_chapters(pages, bookmarks, documents, ["book_id"])._jdf.queryExecution().executedPlan().toString()
+    assert "conversations.parquet" not in plan and plan.count("Join") <= 4
