@@ -214,3 +214,14 @@ def test_books_are_not_worked_out_twice(spark):
     pages, bookmarks, documents, _ = flow_queries._books(spark, "/root/testdata/sf0.001")
     plan = book.book_chapters(pages, bookmarks, documents, ["book_id"])._jdf.queryExecution().executedPlan().toString()
     assert "conversations.parquet" not in plan and plan.count("Join") <= 4
+
+
+def test_images_compared_after_one_exchange(spark):
+    """Both renderings' cells go to their image once: no join, and one exchange of cells."""
+    from folio.operators import raster
+
+    ink = spark.createDataFrame([(i, x, y) for i in range(6) for x in range(9) for y in range(12)] + [(9, 1, 1)], "page int, gx int, gy int")
+    found = raster.same_image(ink, ink.filter("page <> 3 OR gx < 2").filter("page <> 9").withColumn("gx", F.col("gx") + 7), ["page"])
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and plan.count("Exchange hashpartitioning") == 1
+    assert {r.page: r.same for r in found.collect()} == {i: i != 3 for i in range(6)} | {9: False}
