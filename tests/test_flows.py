@@ -7,7 +7,8 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from folio.operators import figures, incremental, ocr, pack, raster, slides, stitch, structure, textclean, verify, vocab
+from folio.operators import figures, incremental, ocr, pack, raster, slides, spatial, stitch, structure, textclean, verify, vocab
+from folio.plans import runtime
 from folio.sources import deck_writer as w
 from folio.sources import decks
 
@@ -210,3 +211,14 @@ def test_large_initials_are_put_back(spark):
     got = slides.drop_caps_placed(pages, spans, ["page_idx"], 10.0)
     assert got.columns == pages.columns
     assert sorted(map(str, (r.text for r in got.collect()))) == ["None", "atabases and (more)", "x databases\nDatabases and\n(more) of atabases and (more)"]
+
+
+def test_tables_laid_by_page_meet_where_they_lie(spark):
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    rows = spark.createDataFrame([(p, k, 0.0, 0.0, 9.0, 9.0) for p in (1, 2, None) for k in (1, 2)], f"page_idx int, k int, {BOX}")
+    with runtime.in_place(spark):
+        left, right = (runtime.laid_by(figures.boxes(rows.withColumnRenamed("k", k), box), ["page_idx"]) for k, box in (("a", "box"), ("b", "other")))
+        met = spatial.meeting(left, right, ["page_idx"], F.col("box"), F.col("other"), nulls=True).groupBy("page_idx", "a").agg(F.count(F.lit(1)).alias("n"))
+        assert "Exchange" not in met._jdf.queryExecution().executedPlan().toString()
+        assert sorted(map(tuple, met.collect())) == [(p, a, 2) for p in (1, 2) for a in (1, 2)]
+    assert spark.conf.get("spark.sql.adaptive.enabled") == before
