@@ -35,3 +35,11 @@ def test_ink_beside_figures_goes_to_its_tiles_once(spark):
         assert shuffles(raster.outside_ink(boxes, boxes, cells, ["page_idx"])) <= 4  # the cells, both kinds of boxes, the sums
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_words_of_a_line_go_to_one_place_once(spark):
+    rows = [(1, 1, "b", 1.0, 30.0, 0.0, 40.0, 10.0), (1, 1, "a", 3.0, 0.0, 0.0, 10.0, 10.0), (1, 1, "c", 5.0, 41.0, 0.0, 50.0, 8.0), (1, 2, "d", 2.0, 0.0, 0.0, 5.0, 9.0), (None, 1, "e", 1.0, 0.0, 0.0, 5.0, 9.0)]
+    words = figures.boxes(spark.createDataFrame(rows, f"page int, line_no int, text string, conf double, {BOX}"))
+    parts = ocr.split_lines(words, ["page"])
+    assert shuffles(parts) == 1
+    assert sorted(tuple(r) for r in parts.collect()) == [(1, 1, 0, "a", 0.0, 10.0, 1, 3.0), (1, 1, 1, "b c", 30.0, 50.0, 2, 3.0), (1, 2, 0, "d", 0.0, 5.0, 1, 2.0)]
