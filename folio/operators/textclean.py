@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from folio.functions.text import bare, capital_d, contents_items, heading_case, is_complete, lines, normal_line, starts_item, strip, without_picture_noise, words
 from folio.operators.vocab import replace_words
-from folio.plans.runtime import checkpointed, fresh, own, same_keys
+from folio.plans.runtime import checkpointed, fresh, once, own, same_keys
 
 EDGE = 3
 LONGEST = 100
@@ -74,8 +74,14 @@ def remove_page_numbers(pages: DataFrame, text: str = "text", printed: str = "pr
     """Deletes edge lines (two at each end, 100 characters at most without decoration) that begin or end with the page's printed number."""
     rows, edges = fresh(pages, "page_rows", "page_edges")
     number = F.col(printed).cast("string")
-    pattern = F.concat(F.lit("^"), number, F.lit(r"(?![0-9]|\.[0-9])|(?<![0-9.])"), number, F.lit("$"))
-    numbered = F.filter(edges, lambda s: (F.length(bare(s["x"])) <= LONGEST) & F.rlike(bare(s["x"]), pattern))
+    size = F.length(number)
+
+    def bears(t: Column) -> Column:  # no pattern is made for each row's number
+        begins = F.startswith(t, number) & ~F.substring(t, size + 1, F.lit(2)).rlike(r"^\.?[0-9]")
+        ends = F.endswith(t, number) & ((F.length(t) == size) | ~F.substring(t, F.length(t) - size, F.lit(1)).rlike("[0-9.]"))
+        return (F.length(t) <= LONGEST) & (begins | ends)
+
+    numbered = F.filter(edges, lambda s: once(bare(s["x"]), bears))
     rest = F.array_join(F.transform(F.array_except(F.col(rows), numbered), lambda s: s["x"]), "\n")
     edged = _with_edges(pages, text, 2, rows, edges)
     return edged.withColumn(text, F.when(F.col(printed).isNull() | F.col(text).isNull(), F.col(text)).otherwise(rest)).select(*own(pages))

@@ -43,3 +43,12 @@ def test_words_of_a_line_go_to_one_place_once(spark):
     parts = ocr.split_lines(words, ["page"])
     assert shuffles(parts) == 1
     assert sorted(tuple(r) for r in parts.collect()) == [(1, 1, 0, "a", 0.0, 10.0, 1, 3.0), (1, 1, 1, "b c", 30.0, 50.0, 2, 3.0), (1, 2, 0, "d", 0.0, 5.0, 1, 2.0)]
+
+
+def test_page_numbers_without_a_pattern_for_each_row(spark):
+    lines = ["**7** Basics", "Basics 7", "7.1 A section", "75 rows", "1.7", "17", "7.", "7", "# 7", "a7", "7 of 7.7", "v 77"]
+    gone = [True, True, False, False, False, False, True, True, True, True, True, False]
+    texts = spark.createDataFrame([(t, 7) for t in lines] + [("1**2** x", 12), ("x", None), (None, 7)], "text string, printed_no int")
+    cleaned = textclean.remove_page_numbers(texts)
+    assert [r.text for r in cleaned.collect()] == ["" if g else t for t, g in zip(lines, gone, strict=True)] + ["", "x", None]
+    assert "(?![0-9]" not in cleaned._jdf.queryExecution().optimizedPlan().toString()
