@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from folio.functions.text import content_words, tokens
-from folio.plans.runtime import checkpointed, same_keys
+from folio.plans.runtime import checkpointed, fresh, same_keys
 
 SHORT, SHORT_FROM = 0.55, 40
 BRIEF, BRIEF_FROM = 0.4, 120
@@ -120,6 +120,13 @@ def extra_pages(source: DataFrame, answer: DataFrame, key: list[str]) -> DataFra
     return missing_pages(answer, source, key)
 
 
+def unmatched_pages(source: DataFrame, answer: DataFrame, key: list[str]) -> DataFrame:
+    """(key, page_no, code): missing pages and pages too many (extra_page), from one sum by page instead of two joins."""
+    marked = source.select(*key, "page_no", F.lit(True).alias("asked")).unionByName(answer.select(*key, "page_no", F.lit(False).alias("asked")))
+    both = marked.groupBy(*key, "page_no").agg(F.bool_or("asked").alias("asked"), F.bool_and("asked").alias("lacking"))
+    return both.filter("NOT asked OR lacking").select(*key, "page_no", F.when(F.col("asked"), "missing").otherwise("extra_page").alias("code"))
+
+
 TEASER = r"(?i)\bin the next (?:section|part|page)\b[^.]*"
 IMAGE = r"!\[[^\]]*\]\(([^)]+)\)"
 
@@ -270,8 +277,14 @@ def report(chunks: DataFrame, answers: DataFrame, issues: DataFrame, key: list[s
 
     chunks(key), answers(key), issues(key, page_no, code). n_issues summed over all lines is what a run exits with.
     """
-    said = issues.groupBy(*key).agg(F.array_sort(F.collect_list(F.struct("page_no", "code"))).alias("i"))
-    rows = same_keys(same_keys(chunks.select(*key).distinct(), answers.select(*key).distinct().withColumn("answered", F.lit(True)), key, "left"), said, key, "left")
+    # chunks, answers and issues are summed by chunk at once, not joined one after the other
+    said = F.struct("page_no", "code")
+    issue, chunk, got = fresh(key, "issue", "in_chunks", "answered")
+    rows = issues.select(*key, said.alias(issue), F.lit(False).alias(chunk), F.lit(False).alias(got))
+    for df, asked in ((chunks, True), (answers, False)):
+        rows = rows.unionByName(df.select(*key, F.lit(None).alias(issue), F.lit(asked).alias(chunk), F.lit(not asked).alias(got)))
+    rows = rows.groupBy(*key).agg(F.array_sort(F.collect_list(issue)).alias("i"), F.bool_or(chunk).alias(chunk), F.bool_or(got).alias("answered")).filter(F.col(chunk))
+    rows = rows.select(*key, F.when(F.size("i") > 0, F.col("i")).alias("i"), F.when(F.col("answered"), True).alias("answered"))
     listed = F.transform("i", lambda x: F.concat(F.lit("\n    - page "), x["page_no"].cast("string"), F.lit(": "), x["code"]))
     n = F.when(F.col("answered").isNull(), 1).otherwise(F.coalesce(F.size("i"), F.lit(0))).cast("long")
     name = F.concat_ws("-", *[F.col(k).cast("string") for k in key])

@@ -376,7 +376,7 @@ def answer_report(spark, sf):
     chunks = frame(spark, sf, "dx_answer")
     answers = chunks.filter("chunk_no % 9 <> 0")
     source, got = verify.source_pages(answers, ["chunk_no"]), verify.answer_pages(answers, ["chunk_no"])
-    issues = verify.missing_pages(source, got, ["chunk_no"]).withColumn("code", F.lit("missing")).unionByName(verify.extra_pages(source, got, ["chunk_no"]).select("chunk_no", "page_no", F.lit("extra_page").alias("code")))
+    issues = verify.unmatched_pages(source, got, ["chunk_no"])
     return verify.report(chunks, answers, issues, ["chunk_no"])
 
 

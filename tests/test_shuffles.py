@@ -52,3 +52,14 @@ def test_page_numbers_without_a_pattern_for_each_row(spark):
     cleaned = textclean.remove_page_numbers(texts)
     assert [r.text for r in cleaned.collect()] == ["" if g else t for t, g in zip(lines, gone, strict=True)] + ["", "x", None]
     assert "(?![0-9]" not in cleaned._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_a_report_is_one_sum_by_chunk(spark):
+    source = spark.createDataFrame([(1, 1), (1, 2), (1, 2), (3, 1), (None, 4)], "chunk int, page_no int")
+    answer = spark.createDataFrame([(1, 1), (1, 9), (3, 1), (None, 4)], "chunk int, page_no int")
+    issues = verify.unmatched_pages(source, answer, ["chunk"])
+    assert sorted(map(tuple, issues.collect())) == [(1, 2, "missing"), (1, 9, "extra_page")]
+    chunks = spark.createDataFrame([(1,), (1,), (2,), (3,), (None,)], "chunk int")
+    lines = verify.report(chunks, answer, issues, ["chunk"])
+    assert sorted(map(tuple, lines.collect()), key=str) == sorted([(1, 2, "- 1: 2 issues\n    - page 2: missing\n    - page 9: extra_page"), (2, 1, "- 2: no answer"), (3, 0, "- 3: complete"), (None, 0, "- : complete")], key=str)
+    assert "Join" not in lines._jdf.queryExecution().executedPlan().toString()
