@@ -63,3 +63,19 @@ def test_a_report_is_one_sum_by_chunk(spark):
     lines = verify.report(chunks, answer, issues, ["chunk"])
     assert sorted(map(tuple, lines.collect()), key=str) == sorted([(1, 2, "- 1: 2 issues\n    - page 2: missing\n    - page 9: extra_page"), (2, 1, "- 2: no answer"), (3, 0, "- 3: complete"), (None, 0, "- : complete")], key=str)
     assert "Join" not in lines._jdf.queryExecution().executedPlan().toString()
+
+
+def test_equal_pairs_of_keys_are_compared_once(spark, monkeypatch):
+    calls = spark.sparkContext.accumulator(0)
+    plain = ocr.block_similarity
+
+    def counted(a, b):
+        calls.add(1)
+        return plain(a, b)
+
+    monkeypatch.setattr(ocr, "block_similarity", counted)
+    alike = ocr._alike(0.75).func
+    import pyarrow as pa
+
+    assert alike(pa.array(["abcd"] * 50 + ["ab"]), pa.array(["abce"] * 50 + ["xy"])).to_pylist() == [True] * 50 + [False]
+    assert calls.value == 2
