@@ -53,14 +53,15 @@ def _reduce(sizes: np.ndarray, budget: int) -> tuple[list[int], list[int], list[
     return [fullness[k] for k in order], [int(begun[where[k]]) for k in order], [int(min(budget + 1, ends[where[k]])) for k in order]
 
 
-def chunk_numbers(pages: DataFrame, book: list[str], order: str, text: str = "text", budget: int = BUDGET, carry: list[str] | None = None) -> DataFrame:
+def chunk_numbers(pages: DataFrame, book: list[str], order: str, text: str = "text", budget: int = BUDGET, carry: list[str] | None = None, counted: str | None = None) -> DataFrame:
     """(book, order, carry, n_words, chunk_no): pages in order fill a chunk until the next one would exceed the budget; a larger page is a chunk.
 
     Words are those that are read: links to pictures and comments (page markers among them) do not count. `carry` names small columns that
-    come along.
+    come along, `counted` a column that has the words' number already; the text is not read then.
     """
     carry = carry or []
-    sized = pages.select(*[F.col(f"`{c}`") for c in dict.fromkeys([*book, order, *carry])], read_words(F.col(text)).alias("n_words"))
+    n_words = F.col(f"`{counted}`") if counted else read_words(F.col(text))
+    sized = pages.select(*[F.col(f"`{c}`") for c in dict.fromkeys([*book, order, *carry])], n_words.alias("n_words"))
     keys = [F.col(f"`{k}`") for k in book]
     part, first, last = fresh(sized, "range_no", "entry", "before")
     large = pages.groupBy(*keys).agg(F.count(F.lit(1)).alias(part)).filter(F.col(part) > RANGE)  # reads the keys only
@@ -85,8 +86,9 @@ def chunk_numbers(pages: DataFrame, book: list[str], order: str, text: str = "te
     if not rows_of_large:
         return sized.groupBy(*keys).applyInArrow(number, f"{schema}, chunk_no int")
     large = sent_if_small(kept(large.drop(part), "large"))
+    sized = kept(sized, "sizes")  # small and large books read them, and ranges are drawn from a sample; none must read the texts again
     small = same_keys(sized, large, book, "left_anti").groupBy(*keys).applyInArrow(number, f"{schema}, chunk_no int")
-    sized = kept(same_keys(sized, large, book, "left_semi"), "sizes")  # ranges are drawn from a sample, which must not read the texts again
+    sized = same_keys(sized, large, book, "left_semi")
     ranged = sized.repartitionByRange(-(-rows_of_large // RANGE), *[k.asc_nulls_first() for k in keys], F.col(order).asc_nulls_first(), F.col("n_words").asc()).withColumn(part, F.spark_partition_id())
     ranged = kept(ranged, "ranges")
     by_range = [*keys, F.col(part)]
@@ -268,16 +270,18 @@ def term_lines(hits: DataFrame, terms: DataFrame, key: str) -> DataFrame:
 def filled_chunks(pages: DataFrame, book: list[str], order: str, text: str = "text", budget: int = BUDGET) -> DataFrame:
     """(book, chunk_no, n_chunks, first_page, last_page, pages): each chunk with its pages in order, array<struct<order, words, text>>.
 
-    Only a chunk's own pages come together, which the budget bounds but for a single larger page. Pages find their chunk by place and text, so pages
-    that share a place, and repeated ones, keep their own.
+    Only a chunk's own pages come together, which the budget bounds but for a single larger page. Pages find their chunk by place and text (its
+    digest), so pages that share a place, and repeated ones, keep their own. Texts are read twice: to count their words, and to be put together; what
+    lies between are the pages' numbers, written to the shared folder.
     """
     place, sign, times, words_ = fresh(pages, "page_place", "page_sign", "page_times", "page_words")
-    rows = pages.select(*[F.col(f"`{b}`") for b in book], F.col(f"`{order}`").alias(place), F.col(f"`{text}`").alias(text)).withColumn(sign, F.xxhash64(text)).withColumn(words_, read_words(F.col(text)))
-    numbered = chunk_numbers(rows, book, place, text, budget, [sign])
+    rows = pages.select(*[F.col(f"`{b}`") for b in book], F.col(f"`{order}`").alias(place), F.col(f"`{text}`").alias(text)).withColumn(sign, F.md5(text))
+    sizes = kept(rows.select(*[F.col(f"`{b}`") for b in book], place, sign, read_words(F.col(text)).alias(words_)), "sizes")
+    numbered = kept(chunk_numbers(sizes, book, place, budget=budget, carry=[sign], counted=words_).withColumnRenamed("n_words", words_), "numbers")
     # equal pages at one place may be dealt to several chunks: the k-th of them goes where the k-th number says
     same = [*book, place, sign]
-    turn = lambda df, *by: df.withColumn(times, F.row_number().over(Window.partitionBy(*same).orderBy(*by)))
-    met = same_keys(turn(rows, words_), turn(numbered.select(*same, "chunk_no"), "chunk_no"), [*same, times])
+    turn = lambda df, by: df.withColumn(times, F.row_number().over(Window.partitionBy(*same).orderBy(by)))
+    met = same_keys(turn(rows, F.lit(0)), turn(numbered.select(*same, words_, "chunk_no"), "chunk_no"), [*same, times])
     told = F.array_sort(F.collect_list(F.struct(F.col(place).alias("place"), F.col(words_).alias("words"), F.col(text).alias("text"))))
     made = met.groupBy(*book, "chunk_no").agg(F.min(place).alias("first_page"), F.max(place).alias("last_page"), told.alias("pages"))
     counts = numbered.groupBy(*book).agg(F.max("chunk_no").alias("n_chunks"))

@@ -10,7 +10,7 @@ from folio.functions.text import folder_key, safe_name
 from folio.operators import incremental, pack, verify
 from folio.plans.derived import cte, frame
 from folio.plans.fixtures import frame as authored
-from folio.plans.runtime import shared_dir, spread
+from folio.plans.runtime import kept, shared_dir, spread
 from folio.plans.text_queries import BOOK, PACK, table
 from folio.sources import package
 from folio.streaming import chapters, ingest
@@ -156,6 +156,7 @@ def package_files(spark, sf):
     """The documents' chunks as a package of files, written twice: the second run leaves the first one's version."""
     prompts = pack.prompts(table(spark, sf, "documents"), BOOK, "doc_id", "Pages %s\n\n%s")
     rows = prompts.select(F.concat_ws("/", "lang", "source", F.concat(F.col("chunk_no").cast("string"), F.lit(".md"))).alias("path"), F.col("prompt").alias("content"))
+    rows = kept(rows, "files")  # put together once; each run reads them twice
     root = f"{shared_dir(spark)}/package-{uuid.uuid4().hex}"
     root = root if ":" in root else f"file://{root}"
     for _ in range(2):

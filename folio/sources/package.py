@@ -3,7 +3,7 @@
 `rows.write.format("package").option("path", root).mode("append").save()` with rows(path, content): tasks write their files into a staging folder of the run
 under root, each under a name of its own attempt first, and rename it when it is whole. The commit renames the staging folder to a version (`v-<n>`) and
 then replaces `_CURRENT`, which names the version, its number of files and a digest of paths and contents: readers that go by it (`current`) see the old
-package or the new one, whole. A run whose digest is the current one leaves everything as it is. An abort removes the staging folder; what tasks still
+package or the new one, whole. A run whose digest is the current one leaves everything as it is (`write_package` works the digest out first). An abort removes the staging folder; what tasks still
 write then, and what a killed run leaves, `sweep` removes; the old package stays. The driver gets a count and a sum from each task, no list of files.
 
 Files that the new rows do not have are gone from the new version, except those whose names match the option `protected` (a pattern), which are
@@ -30,6 +30,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMessage
 
 CURRENT = "_CURRENT"
+#: Files that a task reads. Spark's reader reckons a file as 4 MB at least and would make a task of each 32 small ones.
+READ_AT_ONCE = 2_048
 
 
 @dataclass
@@ -119,9 +121,20 @@ class PackageSink(DataSource):
 
 
 def write_package(rows: DataFrame, root: str, protected: str = "") -> None:
-    """Writes rows(path, content) as a package; paths that several rows share are refused first."""
-    if rows.groupBy("path").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").limit(1).count():
+    """Writes rows(path, content) as a package; paths that several rows share are refused first, and rows that the package has already, all of them and no
+    others, are not written to a staging folder again. rows are read twice, so what is dear to work out should be kept before."""
+    now = _current(*_place(root))
+    content = F.sha2(F.coalesce(F.col("content").cast("binary"), F.lit(b"")), 256)
+    row = F.sha2(F.concat(F.col("path").cast("binary"), F.lit(b"\0"), F.unhex(content)), 256)
+    # a row's digest in four parts of 32 bits, whose sums a long holds
+    parts = [F.conv(F.substring("row", 1 + 8 * i, 8), 16, 10).cast("long").alias(f"d{i}") for i in range(4 if now["version"] else 0)]
+    paths = rows.select("path", row.alias("row")).select("path", *parts).groupBy("path").agg(F.count(F.lit(1)).alias("n"), *[F.sum(f"d{i}").alias(f"d{i}") for i in range(len(parts))])
+    most, files, *sums = paths.agg(F.max("n"), F.sum("n"), *[F.sum(f"d{i}") for i in range(len(parts))]).first()
+    if (most or 0) > 1:
         raise ValueError("several rows have one path")
+    digest = sum((d or 0) << (32 * (3 - i)) for i, d in enumerate(sums)) % (1 << 128)
+    if now["version"] and (now["files"], now["digest"]) == (files or 0, f"{digest:032x}"):
+        return
     rows.sparkSession.dataSource.register(PackageSink)
     rows.select("path", "content").write.format("package").option("path", root).option("protected", protected).mode("append").save()
 
@@ -139,7 +152,8 @@ def read_package(spark: SparkSession, root: str) -> DataFrame:
     if folder is None:
         return spark.createDataFrame([], "path string, content binary")
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
-    return files.select(F.regexp_extract("path", r"/v-[0-9]+/(.*)$", 1).alias("path"), "content")
+    tasks = max(spark.sparkContext.defaultParallelism, -(-_current(*_place(root))["files"] // READ_AT_ONCE))
+    return files.select(F.regexp_extract("path", r"/v-[0-9]+/(.*)$", 1).alias("path"), "content").coalesce(tasks)
 
 
 def sweep(root: str) -> int:

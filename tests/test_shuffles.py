@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import hashlib
 import random
 
 from pyspark.sql import functions as F
 
-from folio.operators import figures, ocr, raster, textclean, verify
+from folio.operators import figures, ocr, pack, raster, textclean, verify
+from folio.plans import check_queries
+from folio.sources import package
 
 BOX = "x0 double, y0 double, x1 double, y1 double"
 
@@ -79,3 +82,59 @@ def test_equal_pairs_of_keys_are_compared_once(spark, monkeypatch):
 
     assert alike(pa.array(["abcd"] * 50 + ["ab"]), pa.array(["abce"] * 50 + ["xy"])).to_pylist() == [True] * 50 + [False]
     assert calls.value == 2
+
+
+def counted_pages(spark):
+    """(pages, how often a text was worked out, rows): repeated pages, pages that share a place, and null ones among them."""
+    rng = random.Random(5)
+    rows = [("a", lang, p, "w " * rng.choice([0, 3, 40, 200]) + f"<!-- {p} -->![x](y z) end") for lang in ("x", "y") for p in range(120)]
+    rows += [("a", "x", 7, None), ("a", "x", 7, "k l"), ("a", "x", 7, "k l"), ("b", "y", 0, "only"), ("b", "y", 1, "w " * 2000)]
+    times = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def told(text):
+        times.add(1)
+        return text
+
+    pages = spark.createDataFrame(rows, "source string, lang string, doc_id long, text string").repartition(3)
+    return pages.withColumn("text", told("text")), times, rows
+
+
+def test_texts_of_prompts_are_read_twice(spark):
+    pages, times, rows = counted_pages(spark)
+    made = pack.filled_chunks(pages, ["source", "lang"], "doc_id", budget=300).collect()
+    assert times.value <= 2 * len(rows)  # three times before, and nine times by package_files
+    told = sorted(((r.source, r.lang, p.place, p.text or "", p.words) for r in made for p in r.pages))
+    words = lambda t: len((t or "").split("<")[0].split()) + (" end" in (t or ""))
+    assert told == sorted((s, la, p, t or "", words(t)) for s, la, p, t in rows)
+    for r in made:
+        assert sum(p.words for p in r.pages) <= 300 or len(r.pages) == 1
+        assert (r.first_page, r.last_page) == (r.pages[0].place, r.pages[-1].place) and 1 <= r.chunk_no <= r.n_chunks
+
+
+def test_texts_of_a_package_are_read_twice(spark, monkeypatch):
+    pages, times, rows = counted_pages(spark)
+    monkeypatch.setattr(check_queries, "table", lambda *_: pages)
+    files = check_queries.package_files(spark, "").collect()
+    assert times.value <= 2 * len(rows)
+    n_words = lambda t: len((t or "").split("<")[0].split()) + (" end" in (t or ""))
+    chunks, filled = {}, {}
+    for s, la, p, n, t in sorted((s, la, p, n_words(t), t or "") for s, la, p, t in rows):
+        no, full = filled.get((s, la), (0, 1801))
+        no, full = (no + 1, n) if full + n > 1800 else (no, full + n)
+        filled[s, la] = no, full
+        chunks.setdefault((s, la, no), []).append((p, t))
+    prompt = lambda c: f"Pages {c[0][0]}-{c[-1][0]}\n\n" + "\n\n".join(t for _, t in c if t)
+    assert sorted(map(tuple, files)) == sorted((f"{la}/{s}/{no}.md", hashlib.sha1(prompt(c).encode()).hexdigest()) for (s, la, no), c in chunks.items())
+
+
+def test_a_package_that_is_the_same_is_not_staged(spark, tmp_path):
+    files = spark.createDataFrame([(f"f/{i}é.md", f"text {i} ü".encode() if i else None) for i in range(300)], "path string, content binary")
+    root = f"file://{tmp_path}/p"
+    package.write_package(files, root)
+    before = (tmp_path / "p").stat().st_mtime_ns
+    package.write_package(files.repartition(5), root)
+    assert (tmp_path / "p").stat().st_mtime_ns == before  # a staging folder came and went before
+    assert package.read_package(spark, root).rdd.getNumPartitions() <= spark.sparkContext.defaultParallelism  # one for each 32 files before
+    package.write_package(files.filter("path <> 'f/7é.md'"), root)
+    assert package.current(root).endswith("/v-2") and package.read_package(spark, root).count() == 298  # an empty file is left out
