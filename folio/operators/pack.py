@@ -274,14 +274,19 @@ def filled_chunks(pages: DataFrame, book: list[str], order: str, text: str = "te
     digest), so pages that share a place, and repeated ones, keep their own. Texts are read twice: to count their words, and to be put together; what
     lies between are the pages' numbers, written to the shared folder.
     """
-    place, sign, times, words_ = fresh(pages, "page_place", "page_sign", "page_times", "page_words")
-    rows = pages.select(*[F.col(f"`{b}`") for b in book], F.col(f"`{order}`").alias(place), F.col(f"`{text}`").alias(text)).withColumn(sign, F.md5(text))
-    sizes = kept(rows.select(*[F.col(f"`{b}`") for b in book], place, sign, read_words(F.col(text)).alias(words_)), "sizes")
+    place, sign, times, words_, side = fresh(pages, "page_place", "page_sign", "page_times", "page_words", "page_side")
+    text_ = F.col(f"`{text}`")
+    rows = pages.select(*[F.col(f"`{b}`") for b in book], F.col(f"`{order}`").alias(place), text_.alias(text)).withColumn(sign, F.md5(text_))
+    sizes = kept(rows.select(*[F.col(f"`{b}`") for b in book], place, sign, read_words(text_).alias(words_)), "sizes")
     numbered = kept(chunk_numbers(sizes, book, place, budget=budget, carry=[sign], counted=words_).withColumnRenamed("n_words", words_), "numbers")
-    # equal pages at one place may be dealt to several chunks: the k-th of them goes where the k-th number says
+    # equal pages at one place may be dealt to several chunks: the k-th of them goes where the k-th number says. Both lie by page, and meet there
     same = [*book, place, sign]
-    turn = lambda df, by: df.withColumn(times, F.row_number().over(Window.partitionBy(*same).orderBy(by)))
-    met = same_keys(turn(rows, F.lit(0)), turn(numbered.select(*same, words_, "chunk_no"), "chunk_no"), [*same, times])
+    keys = [F.col(f"`{k}`") for k in same]
+    of_text = rows.select(*keys, text_, F.lit(None).cast("long").alias(words_), F.lit(None).cast("int").alias("chunk_no"), F.lit(True).alias(side))
+    of_number = numbered.select(*keys, F.lit(None).cast("string").alias(text), F.col(words_), F.col("chunk_no"), F.lit(False).alias(side))
+    both = of_text.unionByName(of_number).repartition(*keys)
+    both = both.withColumn(times, F.row_number().over(Window.partitionBy(*keys, side).orderBy("chunk_no")))
+    met = both.groupBy(*keys, times).agg(*[F.max(c).alias(c) for c in (text, words_, "chunk_no")])  # one of each
     told = F.array_sort(F.collect_list(F.struct(F.col(place).alias("place"), F.col(words_).alias("words"), F.col(text).alias("text"))))
     made = met.groupBy(*book, "chunk_no").agg(F.min(place).alias("first_page"), F.max(place).alias("last_page"), told.alias("pages"))
     counts = numbered.groupBy(*book).agg(F.max("chunk_no").alias("n_chunks"))

@@ -102,7 +102,13 @@ def counted_pages(spark):
 
 def test_texts_of_prompts_are_read_twice(spark):
     pages, times, rows = counted_pages(spark)
-    made = pack.filled_chunks(pages, ["source", "lang"], "doc_id", budget=300).collect()
+    made = pack.filled_chunks(pages, ["source", "lang"], "doc_id", budget=300)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert shuffles(made) <= 3  # texts and numbers by page, pages by chunk, the books' counts
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    made = made.collect()
     assert times.value <= 2 * len(rows)  # three times before, and nine times by package_files
     told = sorted(((r.source, r.lang, p.place, p.text or "", p.words) for r in made for p in r.pages))
     words = lambda t: len((t or "").split("<")[0].split()) + (" end" in (t or ""))
