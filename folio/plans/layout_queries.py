@@ -168,10 +168,11 @@ def figure_names(spark, sf):
     return figures.unique_names(rows, ["book"], ["page_idx"]).drop("book")
 
 
-ISLANDS = "s AS (SELECT user_id, value, CASE WHEN value - lag(value) OVER w <= {tol} THEN 0 ELSE 1 END AS step FROM events WHERE value IS NOT NULL WINDOW w AS (PARTITION BY user_id ORDER BY value)), g AS (SELECT user_id, value, sum(step) OVER (PARTITION BY user_id ORDER BY value ROWS UNBOUNDED PRECEDING)::INTEGER AS cluster FROM s)"
+ISLANDS = """c AS (SELECT user_id, value, count(*) AS c FROM events WHERE value IS NOT NULL GROUP BY ALL), s AS (SELECT *, CASE WHEN value - lag(value) OVER w <= {tol} THEN 0 ELSE 1 END AS step FROM c WINDOW w AS (PARTITION BY user_id ORDER BY value)),
+g AS (SELECT *, sum(step) OVER (PARTITION BY user_id ORDER BY value RANGE UNBOUNDED PRECEDING)::INTEGER AS cluster FROM s)"""
 
 
-@query(f"WITH {ISLANDS.format(tol=5)} SELECT user_id, cluster, round(sum(value) / count(*), 6) AS centre, count(*) AS n FROM g GROUP BY ALL")
+@query(f"WITH {ISLANDS.format(tol=5)} SELECT user_id, cluster, round(sum(value * c ORDER BY value) / sum(c), 6) AS centre, sum(c)::BIGINT AS n FROM g GROUP BY ALL")
 def clusters_1d(spark, sf):
     found = slides.clusters_1d(table(spark, sf, "events"), ["user_id"], "value", 5.0)
     return found.withColumn("centre", F.round("centre", 6))
