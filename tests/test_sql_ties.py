@@ -17,6 +17,6 @@ def told(name: str, threads: int) -> list[tuple]:
     return con.execute(f"SELECT count(*), sum(hash(o)) FROM ({queries.ORACLES[name]}) o").fetchall()
 
 
-@pytest.mark.parametrize("name", ["bullet_levels", "clusters_1d", "slide_table", "reliable_readings"])
+@pytest.mark.parametrize("name", ["bullet_levels", "clusters_1d", "slide_table", "reliable_readings", "slide_structures"])
 def test_same_on_any_number_of_threads(name):
     assert told(name, 1) == told(name, 8)
