@@ -14,7 +14,10 @@ def told(name: str, threads: int) -> list[tuple]:
     con = duckdb.connect(config={"threads": threads})
     con.execute(f"CREATE TABLE lineitem AS SELECT x.* REPLACE (l_orderkey + k * 6000 AS l_orderkey) FROM '{DATA}/lineitem.parquet' x, range({COPIES}) r(k)")
     con.execute(f"CREATE TABLE events AS SELECT x.* REPLACE (user_id + k // 20 * 1000 AS user_id) FROM '{DATA}/events.parquet' x, range({COPIES * 20}) r(k)")
-    return con.execute(f"SELECT count(*), sum(hash(o)) FROM ({queries.ORACLES[name]}) o").fetchall()
+    sql = queries.ORACLES[name]
+    if name == "slide_structures":  # few slides show a wrong cluster: the clusters themselves (its columns are slide_table's)
+        sql = f"{sql.split(', b3 AS')[0]} SELECT deck_id, c, count(*), sum(bullet_x) FROM b2 GROUP BY ALL"
+    return con.execute(f"SELECT count(*), sum(hash(o)) FROM ({sql}) o").fetchall()
 
 
 @pytest.mark.parametrize("name", ["bullet_levels", "clusters_1d", "slide_table", "reliable_readings", "slide_structures"])
