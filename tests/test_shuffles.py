@@ -144,3 +144,18 @@ def test_a_package_that_is_the_same_is_not_staged(spark, tmp_path):
     assert package.read_package(spark, root).rdd.getNumPartitions() <= spark.sparkContext.defaultParallelism  # one for each 32 files before
     package.write_package(files.filter("path <> 'f/7é.md'"), root)
     assert package.current(root).endswith("/v-2") and package.read_package(spark, root).count() == 298  # an empty file is left out
+
+
+def test_bridging_stores_no_table_of_runs(spark, monkeypatch):
+    monkeypatch.setattr(raster, "checkpointed", None)  # a call fails
+    ink = spark.createDataFrame([(p, x, 0) for p in (1, 2) for x in (0, 1, 2, 8, 9)] + [(1, 0, 0), (None, 0, 0), (3, None, 1)], "page int, gx int, gy int")
+    figs = [(1, "a", 0.0, 0.0, 2.0, 2.0, 7), (1, "b", 16.0, 0.0, 17.0, 2.0, 8), (2, "a", 0.0, 0.0, 2.0, 2.0, 9), (2, None, 17.0, 0.0, 18.0, 2.0, 1), (2, "c", None, None, None, None, 2), (3, "a", 0.0, 0.0, 1.0, 1.0, 3), (None, "a", 0.0, 0.0, 1.0, 1.0, 4)]
+    figs = figures.boxes(spark.createDataFrame(figs, "page int, no string, x0 double, y0 double, x1 double, y1 double, more int"))
+    grown = raster.bridged(figs, ink, ["page"])
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert shuffles(grown) <= 2  # cells by page, figures by page
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    got = {r.more: r.box and tuple(r.box) for r in grown.collect()}
+    assert grown.columns == figs.columns and got == {7: (0.0, 0.0, 6.0, 2.0), 8: (16.0, 0.0, 20.0, 2.0), 9: (0.0, 0.0, 6.0, 2.0), 1: (17.0, 0.0, 18.0, 2.0), 2: (None,) * 4, 3: (0.0, 0.0, 1.0, 1.0), 4: (0.0, 0.0, 1.0, 1.0)}
