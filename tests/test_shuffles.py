@@ -159,3 +159,31 @@ def test_bridging_stores_no_table_of_runs(spark, monkeypatch):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     got = {r.more: r.box and tuple(r.box) for r in grown.collect()}
     assert grown.columns == figs.columns and got == {7: (0.0, 0.0, 6.0, 2.0), 8: (16.0, 0.0, 20.0, 2.0), 9: (0.0, 0.0, 6.0, 2.0), 1: (17.0, 0.0, 18.0, 2.0), 2: (None,) * 4, 3: (0.0, 0.0, 1.0, 1.0), 4: (0.0, 0.0, 1.0, 1.0)}
+
+
+def test_figures_of_pages_come_in_parts_that_leave_nothing(spark, monkeypatch, tmp_path):
+    from pathlib import Path
+
+    from folio.plans import derived_queries, runtime
+
+    rows = [(o, 1, 10, 5, 1.0, 2.0, "A", None) for o in range(40)] + [(None, 1, 10, 5, 1.0, 2.0, "A", None)]
+    spark.createDataFrame(rows, "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, l_quantity double, l_extendedprice double, l_returnflag string, l_shipdate timestamp").write.parquet(f"{tmp_path}/lineitem.parquet")
+    parts = runtime.in_parts(spark.read.parquet(f"{tmp_path}/lineitem.parquet"), ["l_orderkey"], 9, "test")
+    told = [{r.l_orderkey for r in p.collect()} for p in parts]
+    assert len(parts) == 5 and sum(map(len, told)) == 41 and set().union(*told) == {r[0] for r in rows}
+    stored = []
+
+    def figures_of(spans, drawings, page, *_):
+        return spans, spans, spans, spans
+
+    def found(items, captions, bodies, spans, ink, page, rules, laid):
+        kept = runtime.checkpointed(spans.groupBy("page_idx").agg(F.first("box").alias("box")))
+        stored.append(Path(spark.sparkContext.getCheckpointDir().removeprefix("file:")))
+        assert any(stored[-1].iterdir())
+        return kept.select("page_idx", F.lit("1").alias("no"), F.lit("figure").alias("kind"), "box", F.lit(False).alias("missing"), F.lit(False).alias("edge"))
+
+    monkeypatch.setattr(derived_queries.figures, "page_objects", figures_of)
+    monkeypatch.setattr(derived_queries.raster, "page_figures", found)
+    monkeypatch.setattr(derived_queries, "FIGURE_ROWS", 15)
+    got = [r.page_idx for r in derived_queries.page_figures(spark, str(tmp_path)).collect()]
+    assert sorted(got) == list(range(40)) and len(stored) == 3 and not any(p.exists() for p in stored)
