@@ -122,35 +122,137 @@ def table_rows(lines_: DataFrame, page: list[str], tolerance: float = 15.0) -> D
     Columns are the clusters of those rows' left edges; what stands in one of them from the first such row on is the table. A line of it begins a new row
     by what stands in the first column: nothing there goes on with the row above; something does begin one if the line above has nothing there, or if all
     lines have something there and are evenly set (no step of 1.3 times the lower quartile of the steps); else if the step above it is wider than that.
+    A slide's lines are one row; a batch of slides is decided in one call, and only the texts of a cell are joined by Spark.
     """
     plain = lines_.filter("bullet_x IS NULL") if "bullet_x" in lines_.columns else lines_
-    plain = plain.select(*page, "pos", "box", "text")
-    rows = visual_rows(plain, page)
-    w = Window.partitionBy(*page, "row_no").orderBy(F.col("box")["x0"])
-    stepped = rows.withColumn("clear", F.coalesce(F.lead(F.col("box")["x0"]).over(w) - F.col("box")["x1"] > 8, F.lit(True)))
-    wide = stepped.groupBy(*page, "row_no").agg(F.count(F.lit(1)).alias("n"), F.bool_and("clear").alias("clear"), F.min(F.col("box")["y0"]).alias("top")).filter("n >= 2 AND clear")
-    enough = wide.groupBy(*page).agg(F.count(F.lit(1)).alias("n"), (F.min_by("top", "row_no") - 2).alias("top")).filter("n >= 3").drop("n")
-    x = rows.join(wide.select(*page, "row_no"), [*page, "row_no"]).join(enough, page).select(*page, F.col("box")["x0"].alias("x"))
-    columns = clusters_1d(x, page, "x", tolerance).groupBy(*page).agg(F.array_sort(F.collect_list("centre")).alias("columns")).filter(F.size("columns") >= 2)
-    near = F.array_min(F.transform("columns", lambda c, i: F.struct(F.abs(c - F.col("box")["x0"]).alias("d"), i.alias("i"))))
-    held = plain.join(columns, page).join(enough, page).filter(F.col("box")["y0"] >= F.col("top")).withColumn("near", near).filter(F.col("near.d") < tolerance)
-    # the rows of what is left, each with its columns' texts from top to bottom
-    placed = visual_rows(held.select(*page, "pos", "box", "text"), page).join(columns, page).join(enough, page).withColumn("near", near)
     b = F.col("box")
-    entry = F.struct(b["y0"].alias("y"), b["x0"].alias("x"), "pos", F.col("near.i").alias("i"), "text")
-    level = placed.groupBy(*page, "row_no").agg(F.array_sort(F.collect_list(entry)).alias("parts"), F.min_by(b["y0"], F.struct(b["y0"], b["x0"], "pos")).alias("y"), F.bool_or(F.col("near.i") == 0).alias("first"), F.first(F.size("columns")).alias("n_cols"), F.first("top").alias("top"))
-    order, all_ = Window.partitionBy(*page).orderBy("row_no"), Window.partitionBy(*page)
-    stepped = level.withColumn("step", F.col("y") - F.lag("y").over(order)).withColumn("steps", F.array_sort(F.collect_list("step").over(all_)))
-    usual = F.get("steps", F.floor(F.size("steps") / 4).cast("int"))
-    even = F.bool_and("first").over(all_) & F.coalesce(F.array_max("steps") < 1.3 * usual, F.lit(False))
-    above = F.lag("first").over(order)
-    new = F.when(above.isNull(), True).when(~F.col("first"), False).when(even | ~above, True).otherwise(F.col("step") > 1.3 * usual)
-    numbered = stepped.withColumn("new", new.cast("int")).withColumn("r", F.sum("new").over(order))
-    whole = numbered.groupBy(*page, "r").agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("row_no", "parts"))), lambda x: x["parts"])).alias("parts"), F.first("n_cols").alias("n_cols"), F.first("top").alias("top"))
-    text = lambda i: F.aggregate(F.filter("parts", lambda p: p["i"] == i), F.lit(""), lambda told, p: join_lines(told, F.coalesce(p["text"], F.lit(""))))
-    cells = whole.select(*page, "r", F.transform(F.sequence(F.lit(0), F.col("n_cols") - 1), text).alias("cells"), F.transform("parts", lambda p: p["pos"]).alias("places"), "top")
-    table = cells.select(*page, F.row_number().over(Window.partitionBy(*page).orderBy("r")).alias("row_no"), "cells", "places", "top", F.count(F.lit(1)).over(all_).alias("n"))
-    return table.filter("n >= 3").drop("n")
+    line = F.struct(b["y0"].alias("y0"), b["x0"].alias("x0"), "pos", b.isNull().alias("none"), b["x1"].alias("x1"), b["y1"].alias("y1"), "text")
+    whole = plain.dropna(subset=page).groupBy(*page).agg(F.array_sort(F.collect_list(line)).alias("lines"))
+    found = whole.select(*page, F.explode(_tables(plain.schema["pos"].dataType.simpleString(), tolerance)(F.col("lines"))).alias("r"))
+    cell = lambda texts: F.aggregate(texts, F.lit(""), lambda told, t: join_lines(told, F.coalesce(t, F.lit(""))))
+    return found.select(*page, "r.row_no", F.transform("r.cells", cell).alias("cells"), "r.places", "r.top")
+
+
+def _least(a: float | None, b: float | None) -> float | None:
+    return b if a is None else a if b is None or a <= b else b
+
+
+def _most(a: float | None, b: float | None) -> float | None:
+    return b if a is None else a if b is None or a >= b else b
+
+
+def _less(a: float | None, b: float | None) -> float | None:
+    return None if a is None or b is None else a - b
+
+
+def _rows_of(boxes: list, lines_: list[int]) -> list[list[int]]:
+    """visual_rows of one slide's lines, which come in order."""
+    rows, first = [], None
+    for i in lines_:
+        box, same = boxes[i], False
+        if first is not None and box is not None:
+            step = _less(first[1], box[1])
+            same = step is not None and abs(step) < 3
+            if not same:
+                over = _less(_least(first[3], box[3]), _most(first[1], box[1]))
+                same = over is not None and over > 0.5 * _most(1.0, _least(_less(first[3], first[1]), _less(box[3], box[1])))
+        if same:
+            rows[-1].append(i)
+        else:
+            rows.append([i])
+            first = box
+    return rows
+
+
+def _table(boxes: list, pos: list, texts: list, begin: int, end: int, tolerance: float) -> tuple[list[list[tuple[int, int]]], int, float] | None:
+    """One slide's table: its rows of (column, line), how many columns it has, and where it begins."""
+    wide, top = [], None
+    for row in _rows_of(boxes, range(begin, end)):
+        if len(row) < 2:
+            continue
+        held = sorted((boxes[i] or (None,) * 4 for i in row), key=lambda x: (x[0] is not None, x[0] or 0.0))
+        gaps = (_less(after[0], box[2]) for box, after in zip(held, held[1:], strict=False))
+        if all(g is None or g > 8 for g in gaps):
+            if not wide:
+                top = min((x[1] for x in held if x[1] is not None), default=None)
+            wide.append([x[0] for x in held if x[0] is not None])
+    if len(wide) < 3 or top is None:
+        return None
+    top, counts = top - 2, {}
+    for x in (x for row in wide for x in row):
+        counts[x] = counts.get(x, 0) + 1
+    columns, before = [], None
+    for x in sorted(counts):
+        if before is None or not x - before <= tolerance:
+            columns.append([0.0, 0])
+        columns[-1][0] += x * counts[x]
+        columns[-1][1] += counts[x]
+        before = x
+    if len(columns) < 2:
+        return None
+    centres = sorted(total / n for total, n in columns)
+    place = {}
+    for i in range(begin, end):
+        box = boxes[i]
+        if box is not None and box[0] is not None and box[1] is not None and box[1] >= top:
+            far, k = min((abs(c - box[0]), k) for k, c in enumerate(centres))
+            if far < tolerance:
+                place[i] = k
+    levels = _rows_of(boxes, list(place))
+    if not levels:
+        return None
+    starts, first = [boxes[row[0]][1] for row in levels], [any(place[i] == 0 for i in row) for row in levels]
+    steps = sorted(b - a for a, b in zip(starts, starts[1:], strict=False))
+    usual = steps[len(steps) // 4] if steps else None
+    even = all(first) and bool(steps) and steps[-1] < 1.3 * usual
+    rows = []
+    for n, row in enumerate(levels):
+        if n == 0 or (first[n] and (even or not first[n - 1] or starts[n] - starts[n - 1] > 1.3 * usual)):
+            rows.append([])
+        # lines of one place by their text
+        told = sorted(row, key=lambda i: (texts[i] is not None, (texts[i] or "").encode())) if len({(boxes[i][:2], pos[i]) for i in row}) < len(row) else None
+        if told:
+            where = {}
+            for i in row:
+                where.setdefault((boxes[i][:2], pos[i]), len(where))
+            row = sorted(told, key=lambda i: where[boxes[i][:2], pos[i]])
+        rows[-1] += [(place[i], i) for i in row]
+    return (rows, len(centres), top) if len(rows) >= 3 else None
+
+
+def _tables(pos: str, tolerance: float):
+    @F.arrow_udf(f"array<struct<row_no:int,cells:array<array<string>>,places:array<{pos}>,top:double>>")
+    def tables(slides: pa.Array) -> pa.Array:
+        flat = slides.flatten()
+        of = {flat.type.field(i).name: flat.field(i) for i in range(flat.type.num_fields)}
+        edges = zip(*[of[c].to_pylist() for c in ("none", "x0", "y0", "x1", "y1")], strict=True)
+        boxes, texts, places = [None if none else tuple(box) for none, *box in edges], of["text"].to_pylist(), of["pos"].to_pylist()
+        numbers, tops, ends, at = [], [], [0], 0
+        row_ends, cell_ends, cell_lines, line_ends, lines_ = [0], [0], [], [0], []
+        for n in slides.value_lengths().to_pylist():
+            found = _table(boxes, places, texts, at, at + n, tolerance)
+            at += n
+            if found:
+                rows, n_columns, top = found
+                for number, row in enumerate(rows, 1):
+                    numbers.append(number)
+                    tops.append(top)
+                    cells = [[] for _ in range(n_columns)]
+                    for k, i in row:
+                        cells[k].append(i)
+                        lines_.append(i)
+                    line_ends.append(len(lines_))
+                    for c in cells:
+                        cell_lines += c
+                        cell_ends.append(len(cell_lines))
+                    row_ends.append(len(cell_ends) - 1)
+            ends.append(len(numbers))
+        listed = lambda bounds, values: pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), values)
+        cells = listed(row_ends, listed(cell_ends, of["text"].take(pa.array(cell_lines, pa.int64()))))
+        told = {"row_no": pa.array(numbers, pa.int32()), "cells": cells, "places": listed(line_ends, of["pos"].take(pa.array(lines_, pa.int64()))), "top": pa.array(tops, pa.float64())}
+        return listed(ends, pa.StructArray.from_arrays(list(told.values()), list(told)))
+
+    return tables
 
 
 def deck_titles(slides: DataFrame, rendered: DataFrame, deck: list[str]) -> DataFrame:

@@ -187,3 +187,21 @@ def test_figures_of_pages_come_in_parts_that_leave_nothing(spark, monkeypatch, t
     monkeypatch.setattr(derived_queries, "FIGURE_ROWS", 15)
     got = [r.page_idx for r in derived_queries.page_figures(spark, str(tmp_path)).collect()]
     assert sorted(got) == list(range(40)) and len(stored) == 3 and not any(p.exists() for p in stored)
+
+
+def test_lines_of_a_slide_go_to_their_table_once(spark):
+    from folio.operators import slides
+
+    rows = [(p, n * 10 + k, x, 30.0 * n + k, x + 20.0, 30.0 * n + 10 + k, f"{p} {n} {k}") for p in (1, 2, None) for n in range(4) for k, x in ((0, 40.0 + n), (1, 200.0 - n))]
+    rows += [(1, 33, 200.0, 91.0, 220.0, 101.0, "twice"), (1, 33, 200.0, 91.0, 220.0, 101.0, None), (1, 99, None, None, None, None, "nowhere"), (2, 7, 40.0, 20.0, 60.0, 25.0, "above")]
+    lines_ = figures.boxes(spark.createDataFrame(rows, f"page int, pos int, {BOX}, text string"))
+    found = slides.table_rows(lines_, ["page"])
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert shuffles(found) == 1
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    got = {(r.page, r.row_no): (r.cells, r.places, r.top) for r in found.collect()}
+    want = {(p, n + 1): ([f"{p} {n} 0", f"{p} {n} 1"], [n * 10, n * 10 + 1], -2.0) for p in (1, 2) for n in range(4)}
+    want[1, 4] = (["1 3 0", "1 3 1 twice"], [30, 31, 33, 33], -2.0)
+    assert got == want
