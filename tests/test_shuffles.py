@@ -205,3 +205,18 @@ def test_lines_of_a_slide_go_to_their_table_once(spark):
     want = {(p, n + 1): ([f"{p} {n} 0", f"{p} {n} 1"], [n * 10, n * 10 + 1], -2.0) for p in (1, 2) for n in range(4)}
     want[1, 4] = (["1 3 0", "1 3 1 twice"], [30, 31, 33, 33], -2.0)
     assert got == want
+
+
+def test_slides_of_decks_come_in_parts_that_leave_nothing(spark, monkeypatch):
+    from pathlib import Path
+
+    from folio.plans import runtime, slide_queries
+    from test_queries import DATA
+
+    told = lambda: sorted(map(tuple, slide_queries.slide_structures(spark, DATA).collect()))
+    whole, shared, made = told(), Path(runtime.shared_dir(spark).removeprefix("file:")), []
+    plain = runtime.checkpointed
+    monkeypatch.setattr(slide_queries.slide_parts, "checkpointed", lambda df: (plain(df), made.append(spark.sparkContext.getCheckpointDir()))[0])
+    monkeypatch.setattr(slide_queries, "SLIDE_ROWS", 3500)
+    assert told() == whole and len(set(made)) == 2
+    assert shared.exists() and not any(Path(m.removeprefix("file:")).exists() for m in made)
