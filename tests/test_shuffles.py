@@ -220,3 +220,17 @@ def test_slides_of_decks_come_in_parts_that_leave_nothing(spark, monkeypatch):
     monkeypatch.setattr(slide_queries, "SLIDE_ROWS", 3500)
     assert told() == whole and len(set(made)) == 2
     assert shared.exists() and not any(Path(m.removeprefix("file:")).exists() for m in made)
+
+
+def test_footers_of_decks_come_in_parts_that_leave_nothing(spark, monkeypatch):
+    from pathlib import Path
+
+    from folio.plans import derived_queries, runtime
+    from test_queries import DATA
+
+    told = lambda: sorted(map(tuple, derived_queries.similar_footers(spark, DATA).collect()))
+    whole, made, plain = told(), [], runtime.checkpointed
+    monkeypatch.setattr(ocr, "checkpointed", lambda df: (plain(df), made.append(spark.sparkContext.getCheckpointDir()))[0])
+    monkeypatch.setattr(derived_queries, "FOOTER_ROWS", 3500)
+    assert told() == whole and len(set(made)) == 2
+    assert not any(Path(m.removeprefix("file:")).exists() for m in made)
